@@ -3,12 +3,14 @@
 from .exact_dedup import OP3_SQL, op3_exact_dedup
 from .language_id import op9_language_id
 from .mixing import op1_mixing
+from .near_dedup import op2_near_dedup
 from .secrets import op6_secrets
 from .url_filter import op10_url_filter
 from .warc import OP4_SQL, op4_warc
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_near_dedup": op2_near_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_warc": op4_warc,
     "op6_secrets": op6_secrets,
