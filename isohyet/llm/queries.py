@@ -1,5 +1,6 @@
 """The registered corpus queries and their SQL."""
 
+from .decontamination import op5_decontamination
 from .exact_dedup import OP3_SQL, op3_exact_dedup
 from .language_id import op9_language_id
 from .mixing import op1_mixing
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_near_dedup": op2_near_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_warc": op4_warc,
+    "op5_decontamination": op5_decontamination,
     "op6_secrets": op6_secrets,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
