@@ -6,6 +6,8 @@ from .language_id import op9_language_id
 from .mixing import op1_mixing
 from .near_dedup import op2_near_dedup
 from .secrets import op6_secrets
+from .substring_dedup import op8_substring_dedup
+from .suffix_dedup import op7_suffix_array
 from .url_filter import op10_url_filter
 from .warc import OP4_SQL, op4_warc
 
@@ -16,6 +18,8 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_decontamination": op5_decontamination,
     "op6_secrets": op6_secrets,
+    "op7_suffix_array": op7_suffix_array,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
 }
