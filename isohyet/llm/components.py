@@ -1,4 +1,4 @@
-"""Connected components of links between binary node ids, in Spark."""
+"""Connected components of links between node ids, in Spark."""
 
 from __future__ import annotations
 
@@ -21,7 +21,6 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = edges.join(labels, edges["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near, labels["node"] == near["a"]).select("node", F.col("label").alias("before"), F.least("label", "near").alias("label"))
-        step = materialise(step, "step")
         top = step.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
         step = step.join(top, step["label"] == top["_n"], "left").select("node", "before", F.coalesce(F.least("label", "_l"), "label").alias("label"))
         step = materialise(step, "labels")

@@ -1,20 +1,17 @@
 """Near-duplicate detection: MinHash bands and sequential Bayesian verification.
 
 Documents with the same words in the same order are one node. Bands of MinHash
-values put nodes in buckets. A candidate pair's signatures are compared batch by
-batch; a pair is dropped as soon as the posterior probability that its
-similarity reaches the threshold falls below the miss probability. Survivors are
-verified on their full shingle sets.
-
-Within a bucket, pairs are not listed all at once. Star rounds link the members
-to one head; later rounds pair only members of different components, and the
-last round takes every pair that is still between components. No link that
-could join two components is left out, and a group of n copies needs about n
-pairs.
+values put nodes in buckets, and nodes that buckets connect form a cluster. Each
+cluster goes through in blocks: within a block the pairs that share a bucket are
+compared signature batch by signature batch, and a pair is dropped as soon as
+the posterior probability that its similarity reaches the threshold falls below
+the miss probability. Survivors are verified on their full shingle sets. Pairs
+never become rows; a block returns the links that connect its nodes.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -28,11 +25,14 @@ from pyspark.sql import functions as F
 from .common import arrow_batches, materialise, table
 from .components import components
 
-BANDS, ROWS, BATCH = 32, 5, 32
-PERMUTATIONS = BANDS * ROWS
 MISS = 1e-6
-STAR_ROUNDS = 4
-CHUNK = 2048
+BATCH = 64
+LEAST_ROWS = 7
+#: Similarity of unrelated texts, and how many of them may share a bucket with a document by chance.
+CHANCE, CHANCE_PAIRS = 0.07, 0.5
+BLOCK = 256
+CHUNK = 1024
+COLUMNS = 1 << 14
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -63,7 +63,22 @@ def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
     return np.unique(out)
 
 
-def multipliers(n: int = PERMUTATIONS, seed: int = 42) -> np.ndarray:
+def banding(n: int, percent: int, miss: float = MISS) -> tuple[int, int]:
+    """Bands and rows for n nodes.
+
+    Rows grow with the logarithm of n, so that the number of chance candidates
+    of a document does not grow; bands keep the probability of missing a link
+    at the threshold at ``miss``.
+    """
+    t, rows = percent / 100, LEAST_ROWS
+    while True:
+        bands = math.ceil(math.log(miss) / math.log1p(-(t**rows)))
+        if n * bands * CHANCE**rows <= CHANCE_PAIRS:
+            return bands, rows
+        rows += 1
+
+
+def multipliers(n: int, seed: int = 42) -> np.ndarray:
     return np.random.default_rng(seed).integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -87,12 +102,12 @@ def least_matches(n: int, threshold: float, miss: float) -> int:
     return n
 
 
-def signatures(docs: DataFrame, k: int) -> DataFrame:
+def signatures(docs: DataFrame, k: int, size: int) -> DataFrame:
     """``docs(doc_id, text)`` to doc_id, n_shingles, node, sig; node and sig are null without words."""
     doc_id = docs.schema["doc_id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by = multipliers()
+        by = multipliers(size)
         for batch in batches:
             sizes, nodes, sigs = [], [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
@@ -108,111 +123,146 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {doc_id}, n_shingles long, node binary, sig binary")
 
 
-def band_keys(nodes: DataFrame) -> DataFrame:
-    """``nodes(node, sig)`` to (key, node), one row per band."""
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, BANDS, ROWS).astype(np.uint64)
-            key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * _MIX, sig.shape[:2]).copy()
-            for i in range(ROWS):
-                key = (key ^ sig[:, :, i]) * _MIX
-                key ^= key >> np.uint64(29)
-            node = batch.column(0).take(pa.array(np.repeat(np.arange(len(sig)), BANDS)))
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), node], ["key", "node"])
-
-    return nodes.select("node", "sig").mapInArrow(split, "key long, node binary")
+def band_matrix(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """The bucket of each node (row) in each band (column)."""
+    parts = sig[:, : bands * rows].reshape(-1, bands, rows).astype(np.uint64)
+    key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) * _MIX, parts.shape[:2]).copy()
+    for i in range(rows):
+        key = (key ^ parts[:, :, i]) * _MIX
+        key ^= key >> np.uint64(29)
+    return key
 
 
-def similar_signatures(pairs: DataFrame, nodes: DataFrame, threshold: float, miss: float) -> DataFrame:
-    """Of ``pairs(a, b)``, those that the posterior bounds do not rule out."""
-    steps = range(BATCH, PERMUTATIONS + 1, BATCH)
-    need = [least_matches(n, threshold, miss) for n in steps]
+def band_keys(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
+    """``nodes(id, sig)`` to (key, id), one row per band."""
 
-    @F.pandas_udf("boolean")
-    def survives(x: pd.Series, y: pd.Series) -> pd.Series:
-        left = np.frombuffer(b"".join(x), np.uint32).reshape(-1, PERMUTATIONS)
-        right = np.frombuffer(b"".join(y), np.uint32).reshape(-1, PERMUTATIONS)
-        alive, matches = np.arange(len(left)), np.zeros(len(left), np.int64)
-        for end, least in zip(steps, need, strict=True):
-            matches[alive] += (left[alive, end - BATCH : end] == right[alive, end - BATCH : end]).sum(axis=1)
-            alive = alive[matches[alive] >= least]
-        out = np.zeros(len(left), bool)
-        out[alive] = True
-        return pd.Series(out)
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = band_matrix(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(len(batch), -1), bands, rows)
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), bands))], ["key", "id"])
+
+    return nodes.select("id", "sig").mapInArrow(split, "key long, id long")
+
+
+class Verifier:
+    """Finds the links within a block, or between two blocks, of a cluster."""
+
+    def __init__(self, k: int, percent: int, miss: float, bands: int, rows: int):
+        self.k, self.percent, self.bands, self.rows = k, percent, bands, rows
+        self.steps = range(BATCH, -(-bands * rows // BATCH) * BATCH + 1, BATCH)
+        self.need = [least_matches(n, percent / 100, miss) for n in self.steps]
+
+    def survivors(self, sig: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs that share a bucket and that no posterior bound rules out."""
+        keys = band_matrix(sig, self.bands, self.rows)
+        share = np.zeros((len(left), len(right)), bool)
+        for band in range(self.bands):
+            share |= keys[left, band][:, None] == keys[right, band][None, :]
+        i, j = np.nonzero(share)
+        a, b = left[i], right[j]
+        once = (a < b) if left is right or np.array_equal(left, right) else np.ones(len(a), bool)
+        a, b = a[once], b[once]
+        matches = np.zeros(len(a), np.int64)
+        for end, least in zip(self.steps, self.need, strict=True):
+            matches += (sig[a, end - BATCH : end] == sig[b, end - BATCH : end]).sum(axis=1)
+            ok = matches >= least
+            a, b, matches = a[ok], b[ok], matches[ok]
+        return a, b
+
+    def common(self, sets: list[set], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Intersection sizes of pairs: one by one for few, by products of incidence matrices for many."""
+        used = np.unique(np.concatenate((a, b)))
+        if len(a) <= 4 * len(used):
+            return np.array([len(sets[x] & sets[y]) for x, y in zip(a, b, strict=True)], np.int64)
+        place = {int(x): i for i, x in enumerate(used)}
+        numbers: dict = {}
+        cells = [(i, numbers.setdefault(s, len(numbers))) for x, i in place.items() for s in sets[x]]
+        row, col = np.array(cells).T
+        shared = np.flatnonzero(np.bincount(col) > 1)
+        where = np.full(len(numbers), -1)
+        where[shared] = np.arange(len(shared))
+        row, col = row[where[col] >= 0], where[col[where[col] >= 0]]
+        total = np.zeros((len(used), len(used)), np.float32)
+        for start in range(0, len(shared), COLUMNS):
+            here = (col >= start) & (col < start + COLUMNS)
+            m = np.zeros((len(used), min(COLUMNS, len(shared) - start)), np.float32)
+            m[row[here], col[here] - start] = 1
+            total += m @ m.T
+        at = np.array([place[int(x)] for x in a]), np.array([place[int(y)] for y in b])
+        return total[at].astype(np.int64)
+
+    def links(self, ids: np.ndarray, sig: np.ndarray, texts: list[str], left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+        """Verified links that connect all that is linked; links between nodes that are connected already are left out."""
+        a, b = self.survivors(sig, left, right)
+        if not len(a):
+            return []
+        sets: list = [None] * len(texts)
+        for x in np.unique(np.concatenate((a, b))):
+            sets[x] = shingle_set(words_of(texts[x].encode()), self.k)
+        size = np.array([len(s or ()) for s in sets])
+        both = self.common(sets, a, b)
+        ok = 100 * both >= self.percent * (size[a] + size[b] - both)
+        root = list(range(len(ids)))
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
 
-    a, b = nodes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), nodes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
-    return pairs.join(a, "a").join(b, "b").where(survives("sig_a", "sig_b")).select("a", "b")
+        out = []
+        for x, y in zip(a[ok].tolist(), b[ok].tolist(), strict=True):
+            p, q = find(x), find(y)
+            if p != q:
+                root[p] = q
+                out.append((int(ids[x]), int(ids[y])))
+        return out
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
-    """Of ``pairs(a, b)``, those whose full shingle sets reach the threshold. ``nodes`` has node, sig and text."""
+def verified_links(active: DataFrame, verifier: Verifier, block: int = BLOCK) -> DataFrame:
+    """``active(id, cluster, sig, text)`` to links (a, b).
 
-    @F.pandas_udf("boolean")
-    def linked(x: pd.Series, y: pd.Series) -> pd.Series:
+    A cluster of up to ``block`` nodes is one block. A larger one is dealt into
+    blocks, and every pair of blocks is a piece of work of its own. Pieces are
+    packed by hash into groups for pandas.
+    """
+    parts = 4 * int(active.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = active.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    placed = active.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    pieces = placed.select("id", "cluster", "sig", "text", "block", low.alias("low"), high.alias("high"))
+    group = F.when(F.col("high") == 0, F.pmod(F.xxhash64("cluster"), F.lit(parts))).otherwise(F.xxhash64("cluster", "low", "high"))
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for s, t in zip(x, y, strict=True):
-            s, t = shingle_set(words_of(s.encode()), k), shingle_set(words_of(t.encode()), k)
-            common = len(s & t)
-            out.append(100 * common >= percent * (len(s) + len(t) - common))
-        return pd.Series(out)
-
-    arrow_batches(pairs.sparkSession, 500)
-    left = materialise(similar_signatures(pairs, nodes, percent / 100, miss), "survivors")
-    a, b = nodes.select(F.col("node").alias("a"), F.col("text").alias("text_a")), nodes.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return left.join(a, "a").join(b, "b").where(linked("text_a", "text_b")).select("a", "b")
-
-
-def linked_components(docs: DataFrame, signed: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
-    """(node, label) of the nodes of ``signed`` that link with another."""
-    spark = docs.sparkSession
-    nodes = signed.where("node is not null").groupBy("node").agg(F.min_by(F.struct("doc_id", "sig"), "doc_id").alias("r"), F.first("sig").alias("s"))
-    nodes = materialise(nodes.select("node", F.col("r.doc_id").alias("rep"), F.coalesce("r.sig", "s").alias("sig")), "nodes")
-    keys = band_keys(nodes)
-    buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1").select("key", "head")
-    members = materialise(keys.join(buckets, "key"), "members")
-    # The texts of the nodes that share a bucket. A node without a doc_id finds
-    # its text by its words.
-    wanted = members.select("node").distinct()
-    wanted = materialise(nodes.join(wanted, "node"), "wanted")
+        for (_, low, high), g in pdf.groupby(["cluster", "low", "high"]):
+            sig = np.frombuffer(b"".join(g["sig"]), np.uint32).reshape(len(g), -1)
+            side = g["block"].to_numpy()
+            left, right = np.flatnonzero(side == low), np.flatnonzero(side == high)
+            out += verifier.links(g["id"].to_numpy(), sig, g["text"].tolist(), left, right)
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return pieces.withColumn("group", group).groupBy("group").applyInPandas(work, "a long, b long")
+
+
+def linked_components(docs: DataFrame, nodes: DataFrame, k: int, percent: int, miss: float, bands: int, rows: int) -> DataFrame:
+    """``nodes(id, rep, node, sig)`` to (node, label) for nodes that link with another; node is the id."""
+    keys = band_keys(nodes, bands, rows)
+    buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("a")).where("n > 1").select("key", "a")
+    shared = keys.join(buckets, "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()
+    clusters = components(materialise(shared, "shared")).withColumnsRenamed({"node": "id", "label": "cluster"})
+    # A node finds its text by its doc_id; where rows repeat a doc_id, by its words too.
     texts = docs.select("doc_id", "text").where("text is not null")
-    active = wanted.join(texts, wanted["rep"].eqNullSafe(texts["doc_id"])).select("node", "sig", "text")
+    wanted = nodes.join(clusters, "id")
+    active = wanted.join(texts, wanted["rep"].eqNullSafe(texts["doc_id"])).select("id", "cluster", "node", "sig", "text")
 
     @F.pandas_udf("boolean")
     def is_text_of(node: pd.Series, text: pd.Series) -> pd.Series:
         return pd.Series([blake2b(b" ".join(words_of(t.encode())), digest_size=16).digest() == n for n, t in zip(node, text, strict=True)], dtype=bool)
 
-    active = materialise(active.where(is_text_of("node", "text")).dropDuplicates(["node"]), "active")
-    labels = spark.createDataFrame([], "node binary, label binary")
-    links = tested = spark.createDataFrame([], "a binary, b binary")
-    for turn in range(STAR_ROUNDS + 1):
-        placed = members if turn == 0 else members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        if turn:
-            mixed = placed.groupBy("key").agg(
-                F.count("*").alias("n"), F.min("label").alias("l0"), F.max("label").alias("l1"), F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("head_")
-            )
-            mixed = materialise(mixed.where("l0 <> l1").select("key", "n", "head_"), "mixed")
-            size = mixed.agg(F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("n") - 1)).alias("pairs")).first()
-            if not size["n"]:
-                break
-            placed = materialise(placed.drop("head").join(mixed, "key").withColumnRenamed("head_", "head"), "placed")
-        last = turn == STAR_ROUNDS or (turn > 0 and size["pairs"] <= 16 * size["n"])
-        if last:
-            other = placed.select("key", F.col("node").alias("b"), F.col("label").alias("label_b"))
-            pairs = placed.join(other, "key").where("node < b and label <> label_b").select(F.col("node").alias("a"), "b")
-        elif turn:
-            heads = placed.where("node = head").select("key", F.col("label").alias("label_h"))
-            pairs = placed.join(heads, "key").where("label <> label_h").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
-        else:
-            pairs = placed.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))
-        pairs = materialise(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = materialise(verified(pairs, active, k, percent, miss), "links")
-        links, tested = links.unionByName(found), tested.unionByName(pairs)
-        if not found.isEmpty():
-            labels = components(links)
-        if last:
-            break
-    return labels
+    active = materialise(active.where(is_text_of("node", "text")).drop("node"), "active").dropDuplicates(["id"])
+    return components(materialise(verified_links(active, Verifier(k, percent, miss, bands, rows)), "links"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
@@ -224,17 +274,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     words has no shingles and links with nothing. Repeated rows share a
     component. A null doc_id never names a component unless the whole component
     has none; then component_id is null and kept is true. An empty table gives
-    an empty result; other columns are ignored. Bands miss a link at exactly the
-    threshold of 0.8 with probability 3e-6.
+    an empty result; other columns are ignored. Bands, and the posterior bounds,
+    miss a link at exactly the threshold with a probability of about ``miss``.
     """
-    signed = materialise(signatures(docs, k), "signed")
-    labels = linked_components(docs, signed, k, percent, miss)
-    narrow = signed.select("doc_id", "n_shingles", "node")
-    reps = narrow.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
-    named = reps.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    bands, rows = banding(docs.count(), percent, miss)
+    signed = materialise(signatures(docs, k, -(-bands * rows // BATCH) * BATCH), "signed")
+    nodes = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
+    nodes = materialise(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
+    labels = linked_components(docs, nodes, k, percent, miss, bands, rows)
+    named = nodes.select("id", "node", "rep").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     named = materialise(named, "named")
-    roots = named.groupBy("label").agg(F.min("rep").alias("root"))
-    named = materialise(named.join(roots, "label").select("node", "root"), "roots")
+    roots = named.groupBy("label").agg(F.min("rep").alias("root"), F.count("*").alias("n")).where("n > 1").select("label", "root")
+    named = named.join(roots, "label", "left").select("node", F.coalesce("root", "rep").alias("root"))
+    narrow = signed.select("doc_id", "n_shingles", "node")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("root"))
     return (
         narrow.join(named, "node", "left")
