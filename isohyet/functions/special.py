@@ -35,10 +35,10 @@ def trigamma(x: np.ndarray) -> np.ndarray:
     return shift + 1 / x + 1 / (2 * x**2) + 1 / (6 * x**3) - 1 / (30 * x**5) + 1 / (42 * x**7)
 
 
-def gamma_cdf(x: np.ndarray, shape: np.ndarray) -> np.ndarray:
-    """The regularised lower incomplete gamma function: a series below shape + 1, a continued fraction above."""
+def gamma_parts(x: np.ndarray, shape: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The regularised lower and upper incomplete gamma functions: a series below shape + 1, a continued fraction above."""
     x, a = np.broadcast_arrays(np.asarray(x, float), np.asarray(shape, float))
-    out = np.full(x.shape, np.nan)
+    lower, upper = np.full(x.shape, np.nan), np.full(x.shape, np.nan)
     ok = (x >= 0) & (a > 0)
     front = np.zeros(x.shape)
     pos = ok & (x > 0)
@@ -53,7 +53,8 @@ def gamma_cdf(x: np.ndarray, shape: np.ndarray) -> np.ndarray:
             total += term
             if (term < total * 1e-15).all():
                 break
-        out[low] = total * front[low]
+        lower[low] = total * front[low]
+        upper[low] = 1 - lower[low]
     high = ok & ~low
     if high.any():
         b = x[high] + 1 - a[high]
@@ -68,12 +69,18 @@ def gamma_cdf(x: np.ndarray, shape: np.ndarray) -> np.ndarray:
             h *= step
             if (np.abs(step - 1) < 1e-14).all():
                 break
-        out[high] = 1 - front[high] * h
-    return out
+        upper[high] = front[high] * h
+        lower[high] = 1 - upper[high]
+    return lower, upper
+
+
+def gamma_cdf(x: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    return gamma_parts(x, shape)[0]
 
 
 def _erfc(x: np.ndarray) -> np.ndarray:
-    return np.where(x >= 0, 1 - gamma_cdf(x * x, np.full(np.shape(x), 0.5)), 1 + gamma_cdf(x * x, np.full(np.shape(x), 0.5)))
+    lower, upper = gamma_parts(x * x, np.full(np.shape(x), 0.5))
+    return np.where(x >= 0, upper, 1 + lower)
 
 
 def normal_cdf(x: np.ndarray) -> np.ndarray:

@@ -58,7 +58,6 @@ def level(fail: Column, warn: Column | None = None) -> Column:
     return (out if warn is None else out.when(warn, "WARNING")).otherwise("PASS")
 
 
-Y = F.col("year")
 
 
 def _per_variable(long: DataFrame) -> DataFrame:
@@ -112,12 +111,12 @@ def year_checks(years: DataFrame, first: int, last: int) -> DataFrame:
     spark = years.sparkSession
     want = spark.range(first, last + 1).select(F.col("id").cast("int").alias("year"))
     have = years.groupBy(F.col("year").cast("int").alias("year")).agg(F.count("*").alias("n"))
-    gone = want.join(have, "year", "left_anti").select(*result("year_missing", F.lit("FAIL"), F.lit(1), "missing", None, Y))
-    twice = have.where("n > 1").select(*result("year_repeated", F.lit("FAIL"), F.col("n"), "repeated", None, Y))
-    extra = have.join(want, "year", "left_anti").select(*result("year_extra", F.lit("WARNING"), F.lit(1), "unexpected", None, Y))
+    gone = want.join(have, "year", "left_anti").select(*result("year_missing", F.lit("FAIL"), F.lit(1), "missing", None, F.col("year")))
+    twice = have.where("n > 1").select(*result("year_repeated", F.lit("FAIL"), F.col("n"), "repeated", None, F.col("year")))
+    extra = have.join(want, "year", "left_anti").select(*result("year_extra", F.lit("WARNING"), F.lit(1), "unexpected", None, F.col("year")))
     # One row per year, so a single window is small.
     gap = have.withColumn("next", F.lead("year").over(Window.orderBy("year"))).where("next - year > 1")
-    gap = gap.select(*result("year_gap", F.lit("WARNING"), F.col("next") - Y - 1, F.concat(F.lit("gap before "), F.col("next").cast("string")), None, Y))
+    gap = gap.select(*result("year_gap", F.lit("WARNING"), F.col("next") - F.col("year") - 1, F.concat(F.lit("gap before "), F.col("next").cast("string")), None, F.col("year")))
     return gone.unionByName(twice).unionByName(extra).unionByName(gap)
 
 
@@ -127,7 +126,7 @@ def yearly_anomalies(long: DataFrame, coverage_z: float = 3.0, mean_z: float = 4
     w = Window.partitionBy("variable")
     z = lambda c: F.try_divide(F.abs(F.col(c) - F.avg(c).over(w)), F.stddev_pop(c).over(w))
     scored = per.withColumns({"years": F.count("*").over(w), "cz": z("coverage"), "mz": z("mean")}).where(F.col("years") >= min_years)
-    out = lambda name, c, limit: scored.where(F.col(c) > limit).select(*result(name, F.lit("WARNING"), F.col(c), "", F.col("variable"), Y))
+    out = lambda name, c, limit: scored.where(F.col(c) > limit).select(*result(name, F.lit("WARNING"), F.col(c), "", F.col("variable"), F.col("year")))
     return out("coverage_anomaly", "cz", coverage_z).unionByName(out("mean_anomaly", "mz", mean_z))
 
 
@@ -202,7 +201,7 @@ def grid_consistency(rows: DataFrame, tolerance: float = 0.01) -> DataFrame:
     off = F.lit(False)
     for x in "abcd":
         off |= F.abs(F.col(x) - F.first(x).over(w)) > tolerance
-    return per.withColumn("off", off | (F.col("n") != F.first("n").over(w))).select(*result("grid_consistency", level(F.col("off")), F.col("n"), "", None, Y))
+    return per.withColumn("off", off | (F.col("n") != F.first("n").over(w))).select(*result("grid_consistency", level(F.col("off")), F.col("n"), "", None, F.col("year")))
 
 
 def count_checks(long: DataFrame, counts: Sequence[str]) -> DataFrame:

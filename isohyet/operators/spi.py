@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.special import digamma, gamma_cdf, normal_quantile, trigamma
 
@@ -25,7 +26,7 @@ def gamma_shape(log_gap: np.ndarray) -> np.ndarray:
     return shape
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def standardise(x: pd.Series, n: pd.Series, n_zero: pd.Series, total: pd.Series, total_log: pd.Series) -> pd.Series:
     """The normal quantile of x under a zero-inflated gamma with the given calibration sums."""
     x, n, n_zero, total, total_log = (v.to_numpy(float) for v in (x, n, n_zero, total, total_log))

@@ -8,6 +8,7 @@ from itertools import combinations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.special import t_two_sided
 
@@ -23,7 +24,7 @@ def regional_means(df: DataFrame, variables: Sequence[str]) -> DataFrame:
     return df.groupBy("region", "year").agg(*[F.avg(v).alias(v) for v in variables])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def p_value(r2: pd.Series, n: pd.Series) -> pd.Series:
     """Two-sided p of a slope, from R squared and the number of points."""
     out = pd.Series(float("nan"), index=r2.index)
