@@ -141,7 +141,11 @@ def recurring(texts: DataFrame, spec: Spec, within_text: bool) -> np.ndarray:
         return pd.DataFrame({"bit": bits.astype(np.int64) + 1})
 
     arrow_batches(spark, 2000)
-    bits = texts.select("text").mapInArrow(emit, "part int, anchors binary").groupBy("part").applyInPandas(repeated, "bit long")
+    return bit_filter(texts.select("text").mapInArrow(emit, "part int, anchors binary").groupBy("part").applyInPandas(repeated, "bit long"))
+
+
+def bit_filter(bits: DataFrame) -> np.ndarray:
+    """The filter with the given ``bits(bit)`` set, counted from 1."""
     maps = bits.groupBy(F.bitmap_bucket_number("bit").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("m"))
     out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for r in maps.toLocalIterator():  # at most 2^FILTER_BITS bits in all
@@ -149,6 +153,12 @@ def recurring(texts: DataFrame, spec: Spec, within_text: bool) -> np.ndarray:
     return out
 
 
+def key_bits(keys: DataFrame) -> DataFrame:
+    """The filter bits of ``keys(key)``."""
+    at = [F.shiftrightunsigned("key", s).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1 for s in _SHIFTS]
+    return keys.select(F.explode(F.array(*at)).alias("bit"))
+
+
 def passing(anchors: np.ndarray, bloom: np.ndarray) -> np.ndarray:
     ok = np.ones(len(anchors), bool)
     for s in _SHIFTS:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Has Spark delete the shuffle files of plans that nothing refers to any more, which it else does half-hourly."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

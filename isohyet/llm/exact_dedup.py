@@ -87,9 +87,9 @@ def chains(docs: DataFrame, index: DataFrame, key: Callable[[Column], Column]) -
             return found
         chain += 1
         marked = differ.select("key", F.sha2("body", 256).alias("digest"), "doc_id", F.lit(chain).alias("chain")).distinct()
-        found = marked if found is None else materialise(
-            found.join(marked.select("key", "digest", "doc_id"), ["key", "digest", "doc_id"], "left_anti").unionByName(marked), "chains"
-        )
+        # A row's last chain is where its bytes agree with the head's; grouping also matches null ids.
+        found = marked if found is None else found.unionByName(marked).groupBy("key", "digest", "doc_id").agg(F.max("chain").alias("chain"))
+        found = materialise(found, "chains")
         size = differ.groupBy("key").agg(F.min("doc_id").alias("head"), F.ceil(F.count("*") / ROWS_PER_SALT).cast("int").alias("salts"))
         rows = materialise(
             differ.join(size, "key").withColumn("salt", F.pmod(F.xxhash64("doc_id", "body"), "salts").cast("int")), "chained"

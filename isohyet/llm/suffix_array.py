@@ -1,8 +1,9 @@
 """Suffix arrays by induced sorting, and permuted common prefixes.
 
-The text level works on whole buckets as numpy arrays. The reduced string of
-named substrings has a large alphabet and is sorted recursively by the same
-algorithm over lists.
+Suffixes are classified, leftmost-smaller substrings are sorted by induction and
+named, the shorter string of names is sorted, and its order induces the array of
+the text. Induction works on whole buckets as numpy arrays. The string of names
+has too large an alphabet for that, so its recursion doubles ranks instead.
 """
 
 from __future__ import annotations
@@ -28,13 +29,13 @@ def _induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, sigma: int) -> np
     from_l, from_s = np.append(0, np.cumsum(size_l)), np.append(0, np.cumsum(size_s))
     large, less = np.empty(from_l[-1], np.int64), np.empty(from_s[-1], np.int64)
     chars = t[lms]
-    by_char = lms[np.argsort(chars, kind="stable")]
+    by_char = lms[np.argsort(chars.astype(np.uint16), kind="stable")]
     from_m = np.append(0, np.cumsum(np.bincount(chars, minlength=sigma)))
     head, tail = from_l[:-1].copy(), from_s[1:].copy()
 
     def scatter(pre: np.ndarray, out: np.ndarray, edge: np.ndarray, step: int) -> None:
         c = t[pre]
-        order = np.argsort(c, kind="stable")
+        order = np.argsort(c.astype(np.uint16), kind="stable")  # 16 bits sort by radix
         c = c[order]
         count = np.bincount(c, minlength=sigma)
         nth = np.arange(len(c)) - (np.cumsum(count) - count)[c]
@@ -69,58 +70,20 @@ def _induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, sigma: int) -> np
     return out
 
 
-def _sort_names(t: list[int], sigma: int) -> list[int]:
-    """Induced sorting over a list that ends in a unique smallest 0."""
-    n = len(t)
-    if n == 1:
-        return [0]
-    small = [True] * n
-    for i in range(n - 2, -1, -1):
-        small[i] = t[i] < t[i + 1] or (t[i] == t[i + 1] and small[i + 1])
-    lms = [i for i in range(1, n) if small[i] and not small[i - 1]]
-    size = [0] * sigma
-    for c in t:
-        size[c] += 1
-    heads, tails, total = [], [], 0
-    for x in size:
-        heads.append(total)
-        total += x
-        tails.append(total)
-
-    def induce(order: list[int]) -> list[int]:
-        sa, tail = [-1] * n, tails[:]
-        for i in reversed(order):
-            tail[t[i]] -= 1
-            sa[tail[t[i]]] = i
-        head = heads[:]
-        for i in range(n):
-            j = sa[i] - 1
-            if j >= 0 and not small[j]:
-                sa[head[t[j]]] = j
-                head[t[j]] += 1
-        tail = tails[:]
-        for i in range(n - 1, -1, -1):
-            j = sa[i] - 1
-            if j >= 0 and small[j]:
-                tail[t[j]] -= 1
-                sa[tail[t[j]]] = j
-        return sa
-
-    ends = dict(zip(lms, lms[1:] + [n - 1], strict=True))
-    is_lms = set(lms)
-    name, last, names = -1, None, {}
-    for i in induce(lms):
-        if i in is_lms:
-            part = t[i : ends[i] + 1]
-            if part != last:
-                name, last = name + 1, part
-            names[i] = name
-    if name + 1 < len(lms):
-        reduced = _sort_names([names[i] for i in lms], name + 1)
-        order = [lms[i] for i in reduced]
-    else:
-        order = sorted(lms, key=names.__getitem__)
-    return induce(order)
+def _sort_names(names: np.ndarray) -> np.ndarray:
+    """The suffix array of a string of ranks: pairs of ranks double the sorted length until all suffixes differ."""
+    n, rank, step = len(names), names, 1
+    while True:
+        ahead = np.zeros(n, np.int64)
+        ahead[: n - step] = rank[step:] + 1
+        pair = rank * (n + 1) + ahead
+        order = np.argsort(pair, kind="stable")
+        pair = pair[order]
+        fresh = np.empty(n, np.int64)
+        fresh[order] = np.append(0, np.cumsum(pair[1:] != pair[:-1]))
+        if fresh[order[-1]] == n - 1:
+            return order
+        rank, step = fresh, step * 2
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -149,7 +112,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     if rank[-1] + 1 < len(lms):
         names = np.empty(len(t), np.int64)
         names[order] = rank
-        order = lms[np.array(_sort_names(names[lms].tolist(), int(rank[-1]) + 1))]
+        order = lms[_sort_names(names[lms])]
     return _induce(t, small, order, 257)[1:]
 
 

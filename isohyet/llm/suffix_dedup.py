@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import BASE, Hashed, Powers, Spec, covered, mixed, recurring, recurring_runs
-from .common import arrow_batches, materialise, table
+from .anchors import BASE, Hashed, Powers, Spec, bit_filter, covered, key_bits, mixed, passing, recurring, recurring_runs
+from .common import arrow_batches, materialise, release, table
 from .suffix_array import permuted_prefixes, suffix_array
 
 LENGTH, GRAM = 50, 20
@@ -94,6 +94,24 @@ def windows_by_hash(parts: DataFrame, length: int) -> DataFrame:
     return both.select("anchor", "content", F.transform("w", lambda x: x["low"]).alias("least"))
 
 
+def distinct_texts(texts: DataFrame, firsts: DataFrame) -> DataFrame:
+    """``texts(text, key, doc)`` with one row per key, that of the smallest doc.
+
+    Only the texts that have copies are grouped. A filter of fixed size over
+    their keys tells them from the others, which stay where they are read.
+    """
+    held = texts.sparkSession.sparkContext.broadcast(bit_filter(key_bits(firsts.where("n > 1").select("key"))))
+
+    @F.pandas_udf("boolean")
+    def may_repeat(keys: pd.Series) -> pd.Series:
+        return pd.Series(passing(keys.to_numpy().view(np.uint64), held.value))
+
+    arrow_batches(texts.sparkSession, 1000)
+    marked = texts.withColumn("copied", may_repeat("key"))
+    first = marked.where("copied").groupBy("key").agg(F.min(F.struct("doc", "text")).alias("r")).select("r.text", "key", "r.doc")
+    return marked.where("not copied").drop("copied").unionByName(materialise(first, "copied"))
+
+
 def remove_seen(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_contents: int = SHARD_CONTENTS) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
@@ -108,43 +126,46 @@ def remove_seen(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_c
     body = F.coalesce(F.col("text"), F.lit(""))
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     texts = docs.select(body.alias("text"), F.xxhash64(body).alias("key"), doc.alias("doc"))
-    long_texts = texts.where(F.octet_length("text") >= length)
-    runs = materialise(recurring_runs(long_texts, spec, recurring(long_texts, spec, False)).drop("looped"), "runs")
-    firsts = materialise(texts.groupBy("key").agg(F.min("doc").alias("first_doc")), "firsts")
+    firsts = materialise(texts.groupBy("key").agg(F.min("doc").alias("first_doc"), F.count("*").alias("n")), "firsts")
+    # Of equal texts only that with the smallest doc_id is looked at; the others go as a whole.
+    unique = distinct_texts(texts.where(F.octet_length("text") >= length), firsts)
+    runs = materialise(recurring_runs(unique, spec, recurring(unique, spec, False)).drop("looped"), "runs")
+    release(spark)
     contents = runs.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("doc", "key", "first", "last")).alias("r"))
     contents = materialise(contents.select("anchor", "content", "n", "r.*"), "contents")
-    kinds = materialise(contents.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("n").alias("rows")).where("rows > 1"), "kinds")
-    # Of equal texts only that with the smallest doc_id is looked at; the others go as a whole.
-    own = runs.join(firsts, "key").where("doc = first_doc").distinct().join(kinds.select("anchor", "kinds"), "anchor")
-    own = materialise(own, "own")
-    open_ = contents.join(kinds.where("kinds > 1").select("anchor", "kinds"), "anchor")
-    taking = own.select("key").union(open_.select("key")).distinct()
-    taking = materialise(texts.select("text", "key").join(taking, "key", "left_semi").dropDuplicates(["key"]), "taking")
+    release(spark)
+    kinds = materialise(contents.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"), "kinds")
+    open_ = contents.join(kinds, "anchor")
     listed = open_.groupBy("key").agg(F.collect_list(F.struct("anchor", "content", "doc", "first", "last")).alias("runs"))
-    parts = pieces(taking.join(listed, "key"), length).join(kinds.select("anchor", "kinds"), "anchor")
-    parts = materialise(parts, "pieces")
+    parts = materialise(pieces(unique.join(listed, "key"), length), "pieces")
+    release(spark)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    heavy = parts.join(kinds.where(F.col("kinds") > shard_contents).select("anchor"), "anchor", "left_semi")
+    light = parts.join(kinds.where(F.col("kinds") <= shard_contents).select("anchor"), "anchor", "left_semi")
+    if kinds.where(F.col("kinds") > shard_contents).isEmpty():
+        light, heavy = parts, None
     least = (
-        parts.where(F.col("kinds") <= shard_contents)
-        .select("anchor", "content", "doc", "piece", F.pmod(F.col("anchor"), F.lit(shards)).alias("shard"))
+        light.withColumn("shard", F.pmod(F.col("anchor"), F.lit(shards)))
         .groupBy("shard")
         .applyInPandas(lambda pdf: least_docs(pdf, length), "anchor long, content long, least array<long>")
     )
-    heavy = parts.where(F.col("kinds") > shard_contents).select("anchor", "content", "doc", "piece")
-    if not heavy.isEmpty():
+    if heavy is not None:
         least = least.unionByName(windows_by_hash(heavy, length))
-    least = materialise(least, "least")
-    whole = own.where("kinds = 1").join(contents.select("anchor", "content", F.col("doc").alias("low")), ["anchor", "content"])
-    whole = whole.where("low < doc").select("key", "first", "last")
-    at = F.filter(F.transform("least", lambda low, i: F.when(low < F.col("doc"), F.col("first") + i)), lambda x: x.isNotNull())
-    some = own.where("kinds > 1").join(least, ["anchor", "content"]).select("key", F.explode(at).alias("first"))
-    spans = whole.unionByName(some.select("key", "first", F.col("first").alias("last"))).groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    alone = contents.where("n > 1").join(kinds.select("anchor"), "anchor", "left_anti")
+    verdicts = least.unionByName(alone.select("anchor", "content", F.array("doc").alias("least")))
+    verdicts = materialise(verdicts, "verdicts")
+    release(spark)
+    # One least doc stands for all windows of a run.
+    windows = F.transform(F.sequence(F.lit(0), F.col("last") - F.col("first")), lambda i: F.when(F.get("least", F.when(F.size("least") > 1, i).otherwise(0).cast("int")) < F.col("doc"), F.col("first") + i))
+    starts = F.filter(windows, lambda x: x.isNotNull())
+    spans = runs.join(verdicts, ["anchor", "content"]).select("key", starts.alias("starts")).where(F.size("starts") > 0)
+    spans = spans.groupBy("key").agg(F.flatten(F.collect_list("starts")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text, key, found in zip(batch.column(0).cast(pa.binary()).to_pylist(), *(c.to_pylist() for c in batch.columns[1:]), strict=True):
-                gone = covered(np.array([s["first"] for s in found]), np.array([s["last"] + length for s in found]), len(text))
+                gone = covered(np.array(found), np.array(found) + length, len(text))
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 n_spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                 out.append((key, int(gone.sum()), n_spans, hashlib.sha256(kept).hexdigest()))
@@ -152,12 +173,12 @@ def remove_seen(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_c
             arrays = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, ["key", "cut", "cut_spans", "cut_sha256"])
 
-    done = taking.join(spans, "key").select("text", "key", "spans").mapInArrow(cut, "key long, cut long, cut_spans long, cut_sha256 string")
+    done = unique.join(spans, "key").select("text", "key", "spans").mapInArrow(cut, "key long, cut long, cut_spans long, cut_sha256 string")
     done = materialise(done, "cut")
     rows = docs.select("doc_id", doc.alias("doc"), F.xxhash64(body).alias("key"), F.octet_length(body).cast("long").alias("n_bytes"), F.sha2(body, 256).alias("sha"))
     again = (F.col("doc") > F.col("first_doc")) & (F.col("n_bytes") >= length)
     return (
-        rows.join(firsts, "key")
+        rows.join(firsts.drop("n"), "key")
         .join(done, "key", "left")
         .select(
             "doc_id",
