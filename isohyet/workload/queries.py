@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from functools import partial
 
@@ -13,8 +14,10 @@ from ..functions.prepare import spatial_tile
 from ..operators import extract, quality, stats
 from ..operators.baseline import THRESHOLDS, baseline_percentiles, threshold_summary, wet_share
 from ..operators.spells import first_to_last
-from ..operators.spi import spi, spi_quality
+from ..operators.spi import monthly_precipitation, rolling_months, spi, spi_quality
 from ..plans.compute import compute_indices
+from ..sources.tables import write_series_store
+from ..streaming.incremental import ingest
 from .derived import PREFIX, cells, daily
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -583,11 +586,42 @@ def standardised_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT cell_id, CAST(month_start AS VARCHAR) AS month_start, round(pr, 6) AS pr, round(CASE WHEN count(pr) OVER w = 3 THEN sum(pr) OVER w END, 6) AS x FROM m WINDOW w AS (PARTITION BY cell_id ORDER BY month_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)",
 )
 def rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.spi import monthly_precipitation, rolling_months
-
     return rolling_months(monthly_precipitation(daily(spark, sf_dir)), 3)
 
 
+# --- incremental years and storage ----------------------------------------------------------------------------------------------
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    shared = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+_YEARLY = f"SELECT cell_id, year, {r6({'prcptot': _R_DOUBLE['prcptot']})}, {big({'wetdays': _R_COUNT['wetdays']})} FROM daily GROUP BY cell_id, year"
+
+
+@query("incremental_ingest", _YEARLY)
+def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days arrive in two drops that split a year; the second recomputes only the years that it touches."""
+    base = scratch(spark, "ingest")
+    days = daily(spark, sf_dir).select("cell_id", "date", "pr")
+    for name, part in (("a", days.where("date < '1998-05-01'")), ("b", days.where("date >= '1998-05-01'"))):
+        part.write.parquet(f"{base}/in/{name}")
+        run = ingest(
+            spark, f"{base}/in/*", days.schema, f"{base}/archive", f"{base}/results", f"{base}/progress",
+            lambda d: compute_indices(d, names=["prcptot", "wetdays"], max_missing=None),
+        )
+        run.awaitTermination()
+    return spark.read.parquet(f"{base}/results").select("cell_id", "year", "prcptot", "wetdays")
+
+
+@query("series_store", _YEARLY)
+def series_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "series")
+    write_series_store(indices(("prcptot", "wetdays"), spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
 # --- data quality ---------------------------------------------------------------------------------------------------------------
 
 _NULL_YEAR = "CAST(NULL AS BIGINT) AS year"
