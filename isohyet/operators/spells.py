@@ -19,7 +19,9 @@ def spells(days: DataFrame, conditions: Mapping[str, Column], keys: Sequence[str
     condition ends a run, and so does the end of the key's period.
     """
     names = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in conditions.items()]), lambda x: x.isNotNull())
-    true_days = days.select(*keys, "day_no", "doy", F.explode(names).alias("cond"))
+    # Dealt by the keys once, before days multiply by condition: the window and
+    # both aggregates above it then need no shuffle of their own.
+    true_days = days.repartition(*keys).select(*keys, "day_no", "doy", F.explode(names).alias("cond"))
     order = Window.partitionBy(*keys, "cond").orderBy("day_no")
     islands = true_days.withColumn("island", F.col("day_no") - F.row_number().over(order))
     return islands.groupBy(*keys, "cond", "island").agg(F.min("doy").alias("first_doy"), F.count("*").alias("run")).drop("island")

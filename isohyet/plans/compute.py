@@ -73,8 +73,6 @@ def compute_indices(
     variables = sorted({v for i in chosen for v in i.inputs})
     days = nan_to_null(with_dates(daily.select("cell_id", "date", *variables)))
     used = sorted({t for i in chosen for t in i.thresholds})
-    if used:
-        days = with_thresholds(days, baseline.select("cell_id", "doy", *used))
     if freq == "YS":
         keys = ["cell_id", "year"]
         expected = F.dayofyear(F.make_date(F.col("year"), F.lit(12), F.lit(31)))
@@ -83,7 +81,9 @@ def compute_indices(
         days = days.withColumn("period", F.trunc("date", _UNIT[freq]))
         expected = F.datediff(F.add_months("period", _MONTHS[freq]), "period")
     gated = sorted({v for i in chosen if i.gated for v in i.inputs if v != "lat"}) if max_missing is not None else []
-    plain = days
+    # Only the branches that compare with thresholds pay for the join to them.
+    joined = with_thresholds(days, baseline.select("cell_id", "doy", *used)) if used else days
+    plain = joined if any(i.thresholds for i in chosen if i.spell is None) else days
     if any(i.change is not None for i in chosen):
         plain = plain.withColumns({f"__d_{i.name}": i.change() for i in chosen if i.change is not None})
         plain = plain.withColumns({f"__c_{i.name}": day_change(f"__d_{i.name}", keys) for i in chosen if i.change is not None})
@@ -102,7 +102,8 @@ def compute_indices(
     out = plain.groupBy(*keys).agg(F.count("*").alias("__n"), *aggs)
     runs = [i for i in chosen if i.spell is not None]
     if runs:
-        stats = spell_statistics(days, {f"__v_{i.name}": (i.name, *i.spell[1:]) for i in runs}, {i.name: i.spell[0]() for i in runs}, keys)
+        source = joined if any(i.thresholds for i in runs) else days
+        stats = spell_statistics(source, {f"__v_{i.name}": (i.name, *i.spell[1:]) for i in runs}, {i.name: i.spell[0]() for i in runs}, keys)
         out = out.join(stats, keys, "left").fillna(0, [f"__v_{i.name}" for i in runs])
     spans = [i for i in chosen if i.season is not None]
     if spans:
