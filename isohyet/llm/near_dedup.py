@@ -22,11 +22,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, materialise, table
+from .common import arrow_batches, materialise, release, table
 from .components import components
 
-MISS = 1e-6
-BATCH = 64
+#: Probability that bands miss a link at the threshold, and that the posterior bounds do.
+MISS = 1e-5
+BATCH = 32
 LEAST_ROWS = 7
 #: Similarity of unrelated texts, and how many of them may share a bucket with a document by chance.
 CHANCE, CHANCE_PAIRS = 0.07, 0.5
@@ -41,6 +42,11 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
+def word_id(words: list[bytes]) -> int | None:
+    """A 64-bit id of a word sequence; equal sequences are one node."""
+    return int.from_bytes(blake2b(b" ".join(words), digest_size=8).digest(), "little", signed=True) if words else None
+
+
 def shingle_set(words: list[bytes], k: int) -> set:
     """Distinct k-word shingles; of fewer words, the whole sequence as one."""
     if len(words) < k:
@@ -83,11 +89,11 @@ def multipliers(n: int, seed: int = 42) -> np.ndarray:
 
 
 def minhash(hashes: np.ndarray, by: np.ndarray) -> np.ndarray:
-    """The upper halves of the smallest products, one for each multiplier."""
+    """The upper 16 bits of the smallest products, one for each multiplier."""
     low = np.full(len(by), np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(hashes), CHUNK):
         np.minimum(low, (hashes[i : i + CHUNK, None] * by).min(axis=0), out=low)
-    return (low >> np.uint64(32)).astype(np.uint32)
+    return (low >> np.uint64(48)).astype(np.uint16)
 
 
 def least_matches(n: int, threshold: float, miss: float) -> int:
@@ -103,24 +109,24 @@ def least_matches(n: int, threshold: float, miss: float) -> int:
 
 
 def signatures(docs: DataFrame, k: int, size: int) -> DataFrame:
-    """``docs(doc_id, text)`` to doc_id, n_shingles, node, sig; node and sig are null without words."""
+    """``docs(doc_id, text)`` to doc_id, n_shingles, id, sig; id, a hash of the words, and sig are null without words."""
     doc_id = docs.schema["doc_id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = multipliers(size)
         for batch in batches:
-            sizes, nodes, sigs = [], [], []
+            sizes, ids, sigs = [], [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 words = words_of(text)
                 hashes = shingle_hashes(words, k)
                 sizes.append(len(hashes))
-                nodes.append(blake2b(b" ".join(words), digest_size=16).digest() if words else None)
+                ids.append(word_id(words))
                 sigs.append(minhash(hashes, by).tobytes() if words else None)
-            arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(sigs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "node", "sig"])
+            arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(sigs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "id", "sig"])
 
     arrow_batches(docs.sparkSession, 500)
-    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {doc_id}, n_shingles long, node binary, sig binary")
+    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {doc_id}, n_shingles long, id long, sig binary")
 
 
 def band_matrix(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -138,7 +144,7 @@ def band_keys(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = band_matrix(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(len(batch), -1), bands, rows)
+            key = band_matrix(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(len(batch), -1), bands, rows)
             yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), bands))], ["key", "id"])
 
     return nodes.select("id", "sig").mapInArrow(split, "key long, id long")
@@ -237,7 +243,7 @@ def verified_links(active: DataFrame, verifier: Verifier, block: int = BLOCK) ->
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for (_, low, high), g in pdf.groupby(["cluster", "low", "high"]):
-            sig = np.frombuffer(b"".join(g["sig"]), np.uint32).reshape(len(g), -1)
+            sig = np.frombuffer(b"".join(g["sig"]), np.uint16).reshape(len(g), -1)
             side = g["block"].to_numpy()
             left, right = np.flatnonzero(side == low), np.flatnonzero(side == high)
             out += verifier.links(g["id"].to_numpy(), sig, g["text"].tolist(), left, right)
@@ -246,22 +252,28 @@ def verified_links(active: DataFrame, verifier: Verifier, block: int = BLOCK) ->
     return pieces.withColumn("group", group).groupBy("group").applyInPandas(work, "a long, b long")
 
 
-def linked_components(docs: DataFrame, nodes: DataFrame, k: int, percent: int, miss: float, bands: int, rows: int) -> DataFrame:
-    """``nodes(id, rep, node, sig)`` to (node, label) for nodes that link with another; node is the id."""
-    keys = band_keys(nodes, bands, rows)
-    buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("a")).where("n > 1").select("key", "a")
+def linked_components(docs: DataFrame, signed: DataFrame, k: int, percent: int, miss: float, bands: int, rows: int) -> DataFrame:
+    """(node, label) for nodes of ``signed(doc_id, id, sig)`` that link with another; node is the id."""
+    keys = band_keys(signed.where("id is not null"), bands, rows)
+    buckets = keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("key", "a")
+    buckets = materialise(buckets, "buckets")
+    release(docs.sparkSession)
     shared = keys.join(buckets, "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()
     clusters = components(materialise(shared, "shared")).withColumnsRenamed({"node": "id", "label": "cluster"})
-    # A node finds its text by its doc_id; where rows repeat a doc_id, by its words too.
+    release(docs.sparkSession)
+    # One row of each node, whose text is found by its doc_id and, where rows
+    # repeat a doc_id, by its words.
+    members = signed.join(clusters, "id").groupBy("id", "cluster").agg(F.min(F.struct("doc_id", "sig")).alias("r"))
+    members = materialise(members.select("id", "cluster", "r.doc_id", "r.sig"), "members").withColumnRenamed("doc_id", "rep")
     texts = docs.select("doc_id", "text").where("text is not null")
-    wanted = nodes.join(clusters, "id")
-    active = wanted.join(texts, wanted["rep"].eqNullSafe(texts["doc_id"])).select("id", "cluster", "node", "sig", "text")
+    active = members.join(texts, members["rep"].eqNullSafe(texts["doc_id"])).select("id", "cluster", "sig", "text")
 
     @F.pandas_udf("boolean")
-    def is_text_of(node: pd.Series, text: pd.Series) -> pd.Series:
-        return pd.Series([blake2b(b" ".join(words_of(t.encode())), digest_size=16).digest() == n for n, t in zip(node, text, strict=True)], dtype=bool)
+    def is_text_of(ids: pd.Series, text: pd.Series) -> pd.Series:
+        return pd.Series([word_id(words_of(t.encode())) == n for n, t in zip(ids, text, strict=True)], dtype=bool)
 
-    active = materialise(active.where(is_text_of("node", "text")).drop("node"), "active").dropDuplicates(["id"])
+    active = materialise(active.where(is_text_of("id", "text")), "active").dropDuplicates(["id"])
+    release(docs.sparkSession)
     return components(materialise(verified_links(active, Verifier(k, percent, miss, bands, rows)), "links"))
 
 
@@ -276,20 +288,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     has none; then component_id is null and kept is true. An empty table gives
     an empty result; other columns are ignored. Bands, and the posterior bounds,
     miss a link at exactly the threshold with a probability of about ``miss``.
+    Texts are told apart by 64-bit hashes of their words.
     """
     bands, rows = banding(docs.count(), percent, miss)
     signed = materialise(signatures(docs, k, -(-bands * rows // BATCH) * BATCH), "signed")
-    nodes = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
-    nodes = materialise(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
-    labels = linked_components(docs, nodes, k, percent, miss, bands, rows)
-    named = nodes.select("id", "node", "rep").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    labels = linked_components(docs, signed, k, percent, miss, bands, rows)
+    narrow = signed.select("doc_id", "n_shingles", "id")
+    reps = narrow.where("id is not null").groupBy("id").agg(F.min("doc_id").alias("rep"))
+    named = reps.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
     named = materialise(named, "named")
     roots = named.groupBy("label").agg(F.min("rep").alias("root"), F.count("*").alias("n")).where("n > 1").select("label", "root")
-    named = named.join(roots, "label", "left").select("node", F.coalesce("root", "rep").alias("root"))
-    narrow = signed.select("doc_id", "n_shingles", "node")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("root"))
+    named = named.join(roots, "label", "left").select("id", F.coalesce("root", "rep").alias("root"))
+    component = F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("root"))
     return (
-        narrow.join(named, "node", "left")
+        narrow.join(named, "id", "left")
         .withColumn("component_id", component)
         .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
     )
