@@ -1,5 +1,6 @@
 """The registered corpus queries and their SQL."""
 
+from . import oracles
 from .decontamination import op5_decontamination
 from .exact_dedup import OP3_SQL, op3_exact_dedup
 from .language_id import op9_language_id
@@ -24,4 +25,11 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
 }
 
-ORACLES = {"op3_exact_dedup": OP3_SQL, "op4_warc": OP4_SQL}
+ORACLES = {
+    "op2_near_dedup": oracles.OP2,
+    "op3_exact_dedup": OP3_SQL,
+    "op4_warc": OP4_SQL,
+    "op5_decontamination": oracles.OP5,
+    "op7_suffix_array": oracles.OP7,
+    "op8_substring_dedup": oracles.OP8,
+}
