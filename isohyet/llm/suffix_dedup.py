@@ -27,6 +27,8 @@ from .suffix_array import permuted_prefixes, suffix_array
 LENGTH, GRAM = 50, 20
 #: Anchors with more contents than this go by window hashes, spread over all tasks, instead of to one shard.
 SHARD_CONTENTS = 20_000
+#: About the bytes of a shard; sorting takes some hundred times as much memory.
+SHARD_BYTES = 1 << 19
 NO_ID = (1 << 63) - 1
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
@@ -139,13 +141,13 @@ def remove_seen(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_c
     listed = open_.groupBy("key").agg(F.collect_list(F.struct("anchor", "content", "doc", "first", "last")).alias("runs"))
     parts = materialise(pieces(unique.join(listed, "key"), length), "pieces")
     release(spark)
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(1, (parts.agg(F.sum(F.octet_length("piece"))).first()[0] or 0) // SHARD_BYTES)
     heavy = parts.join(kinds.where(F.col("kinds") > shard_contents).select("anchor"), "anchor", "left_semi")
     light = parts.join(kinds.where(F.col("kinds") <= shard_contents).select("anchor"), "anchor", "left_semi")
     if kinds.where(F.col("kinds") > shard_contents).isEmpty():
         light, heavy = parts, None
     least = (
-        light.withColumn("shard", F.pmod(F.col("anchor"), F.lit(shards)))
+        light.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
         .groupBy("shard")
         .applyInPandas(lambda pdf: least_docs(pdf, length), "anchor long, content long, least array<long>")
     )
