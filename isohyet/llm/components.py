@@ -11,19 +11,29 @@ from .common import materialise
 def components(links: DataFrame) -> DataFrame:
     """``links(a, b)`` to (node, label), label being the smallest node of the component.
 
-    Each round takes the smallest label among a node's neighbours and then the
-    label of that label, so that long chains shorten by half. Nodes without
-    links are not listed.
+    Each round hooks a node to its smallest neighbour and that neighbour's own,
+    and contracts the links to the ends' new labels. Contracted links that
+    coincide or close on themselves go, so every round has far fewer than the
+    one before. Nodes without links are not listed.
     """
-    edges = links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct()
-    edges = materialise(edges, "edges")
-    labels = materialise(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
+    edges = materialise(contracted(links, "a", "b"), "edges")
+    labels = None
     while True:
-        near = edges.join(labels, edges["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
-        step = labels.join(near, labels["node"] == near["a"]).select("node", F.col("label").alias("before"), F.least("label", "near").alias("label"))
-        top = step.select(F.col("node").alias("_n"), F.col("label").alias("_l"))
-        step = step.join(top, step["label"] == top["_n"], "left").select("node", "before", F.coalesce(F.least("label", "_l"), "label").alias("label"))
-        step = materialise(step, "labels")
-        labels = step.select("node", "label")
-        if step.where("before <> label").isEmpty():
+        both = edges.select("a", "b").union(edges.select("b", "a"))
+        hook = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("to"))
+        next_ = hook.select(F.col("node").alias("to"), F.col("to").alias("root"))
+        roots = materialise(hook.join(next_, "to").select("node", "root"), "roots")
+        if labels is None:
+            labels = roots.withColumnRenamed("root", "label")
+        else:
+            moved = roots.withColumnRenamed("node", "label")
+            labels = materialise(labels.join(moved, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "labels")
+        a, b = roots.select(F.col("node").alias("a"), F.col("root").alias("x")), roots.select(F.col("node").alias("b"), F.col("root").alias("y"))
+        edges = materialise(contracted(edges.join(a, "a").join(b, "b"), "x", "y"), "edges")
+        if edges.isEmpty():
             return labels
+
+
+def contracted(links: DataFrame, a: str, b: str) -> DataFrame:
+    """Distinct links, smaller end first, without loops."""
+    return links.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
