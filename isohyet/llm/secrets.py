@@ -3,9 +3,10 @@
 A worklist of layers starts with the text itself. Each layer is scanned, then
 unwrapped: URL escapes, Unicode escapes and character references decode the
 whole layer; each base64 run decodes, with decompression, to a layer of its
-own. A layer that was seen before is not entered again, so cycles end and the
-list runs until a fixpoint. Every character of a layer knows the stretch of the
-original text that it came from.
+own. A layer whose text was seen before at the same stretch of the original is
+not entered again, so cycles end and the list runs until a fixpoint; the same
+text at another place is a layer of its own. Every character of a layer knows
+the stretch of the original text that it came from.
 """
 
 from __future__ import annotations
@@ -180,14 +181,14 @@ def find(text: str | None, limit: int = MAX_LAYER_BYTES) -> list[tuple[str, int,
     if not text:
         return []
     found: dict[tuple[str, int, int], tuple[str, str]] = {}
-    work, seen = deque([Layer(text, None, None, "")]), {text}
+    work, seen = deque([Layer(text, None, None, "")]), {(text, 0, len(text))}
     while work:
         layer = work.popleft()
         for kind, start, end in scan(layer.text):
             found.setdefault((kind, *layer.span(start, end)), (layer.text[start:end], layer.path))
         for inner in unwrap(layer, limit):
-            if inner.text and inner.text not in seen:
-                seen.add(inner.text)
+            if inner.text and (place := (inner.text, *inner.span(0, len(inner.text)))) not in seen:
+                seen.add(place)
                 work.append(inner)
     return [(*k, *v) for k, v in sorted(found.items(), key=lambda x: (x[0][1], KINDS.index(x[0][0]), x[0][2]))]
 

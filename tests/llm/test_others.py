@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import io
 import random
+import re
 import urllib.parse
 import zlib
 
@@ -157,6 +158,24 @@ def test_secret_layers():
     assert secrets.find("%25" * 50) == [] and secrets.find(None) == [] and secrets.find("") == []
 
 
+def test_secret_layers_that_repeat():
+    secret = "password=hunter2secret"
+    b64 = base64.b64encode(secret.encode()).decode()
+    zipped = base64.b64encode(gzip.compress(secret.encode(), mtime=0)).decode()
+    double = base64.b64encode(urllib.parse.quote(b64).encode()).decode()
+    for blob in (b64, zipped, double):
+        text = f"é {blob} and {blob} %2B {blob}"
+        spans = [x[1:3] for x in secrets.find(text) if x[0] == "assign" and x[3] == secret]
+        places = [m.start() for m in re.finditer(re.escape(blob), text)]
+        assert len(spans) == len(places) == 3
+        assert all(p <= start < end <= p + len(blob) for p, (start, end) in zip(places, spans, strict=True))
+    # Twice within one outer layer, which itself stands twice.
+    outer = base64.b64encode(f"{b64}\n{b64}".encode()).decode()
+    spans = [x[1:3] for x in secrets.find(f"{outer} {outer}") if x[3] == secret]
+    assert len(set(spans)) == len(spans) == 4
+    assert [b <= len(outer) for _, b in spans] == [True, True, False, False]
+
+
 def test_secret_table(spark):
     df = frame(spark, [(1, "token: abcdef1"), (2, None), (None, ""), (1, "token: abcdef1")])
     got = secrets.find_secrets(df).collect()
