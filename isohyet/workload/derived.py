@@ -9,9 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FIRST, LAST = 1995, 2000
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -31,13 +28,14 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """cell_id, date, lat, lon, region, tas, tasmax, tasmin, pr, tdew, vpdmax, vpdmin for 1995 to 2000."""
+    """cell_id, date, lat, lon, region, tas, tasmax, tasmin, pr, tdew, vpdmax, vpdmin for the years of the ship dates."""
     items = read(spark, sf_dir, "lineitem")
     obs = items.groupBy(F.col("l_suppkey").cast("long").alias("cell_id"), F.to_date("l_shipdate").alias("date")).agg(
         F.sum(F.round(F.col("l_quantity") * F.col("l_discount") * 100).cast("long")).alias("p"), F.sum(F.col("l_quantity").cast("long")).alias("q")
     )
-    every_day = F.explode(F.sequence(F.lit(f"{FIRST}-01-01").cast("date"), F.lit(f"{LAST}-12-31").cast("date")))
-    d = cells(spark, sf_dir).withColumn("date", every_day).join(obs, ["cell_id", "date"], "left")
+    years = items.agg(F.year(F.min("l_shipdate")).alias("first"), F.year(F.max("l_shipdate")).alias("last"))
+    every_day = F.explode(F.expr("sequence(make_date(first, 1, 1), make_date(last, 12, 31))"))
+    d = cells(spark, sf_dir).crossJoin(F.broadcast(years)).withColumn("date", every_day).drop("first", "last").join(obs, ["cell_id", "date"], "left")
     d = d.withColumns({"day_no": F.datediff("date", F.lit("1970-01-01").cast("date")).cast("long"), "doy": F.dayofyear("date").cast("long")})
     d = d.withColumn("pm", F.expr("(coalesce(p, 0) * 3 + day_no * 37 + (day_no % 89) * (day_no % 83) + cell_id * 11) % 100"))
     d = d.withColumn("base", F.expr("24 - (abs(doy - 200) * 40) div 180 - lat_idx % 12 + (coalesce(q, 25) + (day_no % 29) * 7 + cell_id * 3) % 17 - 8"))
@@ -54,7 +52,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: The same view for SQL: CTEs cells and daily (with year, doy, day_no, month).
+#: The view for SQL, for 1995 to 2000 only: CTEs cells and daily (with year, doy, day_no, month).
 PREFIX = """
 WITH cells AS (
   SELECT CAST(s_suppkey AS BIGINT) AS cell_id, CAST((s_suppkey - 1) // 5 AS INT) AS lat_idx, CAST((s_suppkey - 1) % 5 AS INT) AS lon_idx,

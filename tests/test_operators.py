@@ -13,6 +13,8 @@ from isohyet.operators.spi import spi, spi_quality
 from isohyet.plans.compute import compute_indices
 from isohyet.sources import tables
 from isohyet.streaming.incremental import ingest
+from isohyet.workload.derived import daily
+from isohyet.workload.queries import QUERIES
 
 
 def test_quantile_types(spark):
@@ -201,3 +203,15 @@ def test_incremental_ingest(spark, tmp_path):
     add(series(spark, start=date(2021, 1, 1), pr=[5, 7]), "b")  # a correction and a new day
     assert go() == {2020: (2.0, 1), 2021: (12.0, 2)}
     assert go() == {2020: (2.0, 1), 2021: (12.0, 2)}
+
+
+def test_daily_view_has_every_ship_date(spark, tmp_path):
+    shipped = [(1, date(1993, 5, 4)), (2, date(1999, 6, 1)), (1, date(2002, 3, 9))]
+    spark.createDataFrame([(i, 1) for i in (1, 2, 3)], "s_suppkey long, s_nationkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(1, 0)], "n_nationkey long, n_regionkey long").write.parquet(f"{tmp_path}/nation.parquet")
+    items = spark.createDataFrame([(c, d, 40.0, 0.05) for c, d in shipped], "l_suppkey long, l_shipdate date, l_quantity double, l_discount double")
+    items.write.parquet(f"{tmp_path}/lineitem.parquet")
+    days = daily(spark, str(tmp_path)).groupBy(F.year("date").alias("year")).agg(F.count("*").alias("n"), F.count_distinct("cell_id").alias("cells"))
+    assert {r["year"]: (r["n"], r["cells"]) for r in days.collect()} == {y: (3 * (366 if y % 4 == 0 else 365), 3) for y in range(1993, 2003)}
+    got = {r["year"]: (r["status"], r["metric"]) for r in QUERIES["quality_grid_consistency"](spark, str(tmp_path)).collect()}
+    assert got == {y: ("FAIL", 4.0) if y == 1999 else ("PASS", 3.0) for y in range(1993, 2003)}
