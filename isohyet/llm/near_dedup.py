@@ -5,14 +5,15 @@ values put nodes in buckets, and nodes that buckets connect form a cluster. Each
 cluster goes through in blocks: within a block the pairs that share a bucket are
 compared signature batch by signature batch, and a pair is dropped as soon as
 the posterior probability that its similarity reaches the threshold falls below
-the miss probability. Survivors are verified on their full shingle sets. Pairs
+a bound, which all looks together take from one miss probability. Survivors are verified on their full shingle sets. Pairs
 never become rows; a block returns the links that connect its nodes.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
 from hashlib import blake2b
 
 import numpy as np
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import arrow_batches, materialise, release, table
 from .components import components
 
-#: Probability that bands miss a link at the threshold, and that the posterior bounds do.
-MISS = 1e-5
+#: Probability that bands miss a link at the threshold, and that the posterior bounds of all looks together do.
+MISS = 1e-6
 BATCH = 32
 LEAST_ROWS = 7
 #: Similarity of unrelated texts, and how many of them may share a bucket with a document by chance.
@@ -100,12 +101,29 @@ def least_matches(n: int, threshold: float, miss: float) -> int:
     """The fewest matches among n values for which P(similarity >= threshold), from a uniform prior, is at least ``miss``."""
     x = (np.arange(200_000) + 0.5) / 200_000
     log_x, log_y = np.log(x), np.log1p(-x)
-    for m in range(n + 1):
+
+    def enough(m: int) -> bool:
         density = m * log_x + (n - m) * log_y
         density = np.exp(density - density.max())
-        if density[x >= threshold].sum() >= miss * density.sum():
-            return m
-    return n
+        return density[x >= threshold].sum() >= miss * density.sum()
+
+    return min(bisect_left(range(n + 1), True, key=enough), n)
+
+
+def fewer(n: int, m: int, p: float) -> float:
+    """P(fewer than m matches among n independent values that match with probability p)."""
+    log_n = math.lgamma(n + 1)
+    return sum(math.exp(log_n - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)) for k in range(m))
+
+
+def needed(steps: Sequence[int], threshold: float, miss: float) -> list[int]:
+    """The matches that each look asks for, so that all looks together lose a pair at the threshold with a probability of at most ``miss``."""
+    bound = miss / len(steps)
+    while True:
+        need = [least_matches(n, threshold, bound) for n in steps]
+        if sum(fewer(n, m, threshold) for n, m in zip(steps, need, strict=True)) <= miss:
+            return need
+        bound /= 2
 
 
 def signatures(docs: DataFrame, k: int, size: int) -> DataFrame:
@@ -156,7 +174,7 @@ class Verifier:
     def __init__(self, k: int, percent: int, miss: float, bands: int, rows: int):
         self.k, self.percent, self.bands, self.rows = k, percent, bands, rows
         self.steps = range(BATCH, -(-bands * rows // BATCH) * BATCH + 1, BATCH)
-        self.need = [least_matches(n, percent / 100, miss) for n in self.steps]
+        self.need = needed(self.steps, percent / 100, miss)
 
     def survivors(self, sig: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs that share a bucket and that no posterior bound rules out."""
@@ -286,8 +304,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     words has no shingles and links with nothing. Repeated rows share a
     component. A null doc_id never names a component unless the whole component
     has none; then component_id is null and kept is true. An empty table gives
-    an empty result; other columns are ignored. Bands, and the posterior bounds,
-    miss a link at exactly the threshold with a probability of about ``miss``.
+    an empty result; other columns are ignored. Bands, and the posterior bounds
+    of all looks together, each miss a link at exactly the threshold with a
+    probability of at most ``miss``, as far as MinHash values are independent.
     Texts are told apart by 64-bit hashes of their words.
     """
     bands, rows = banding(docs.count(), percent, miss)

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from isohyet.llm.components import components
 from isohyet.llm.exact_dedup import directory, exact_duplicates
-from isohyet.llm.near_dedup import banding, least_matches, near_duplicates, shingle_set, words_of
+from isohyet.llm.near_dedup import MISS, Verifier, banding, least_matches, near_duplicates, shingle_set, words_of
 from isohyet.llm.substring_dedup import remove_repeats
 from isohyet.llm.suffix_array import permuted_prefixes, suffix_array
 from isohyet.llm.suffix_dedup import EMPTY_SHA, remove_seen
@@ -94,6 +95,18 @@ def test_posterior_bounds():
         assert (1 - 0.8**rows) ** bands <= 1.0001e-5 and n * bands * 0.07**rows <= 0.5
 
 
+def test_all_looks_share_one_miss_probability():
+    for n in (100, 10**6):
+        bands, rows = banding(n, 80)
+        assert (1 - 0.8**rows) ** bands <= 1.0001e-6
+        v = Verifier(5, 80, MISS, bands, rows)
+        lost = 0.0
+        for look, need in zip(v.steps, v.need, strict=True):
+            assert 0 < need < 0.8 * look
+            lost += sum(math.comb(look, k) * 4**k for k in range(need)) / 5**look
+        assert lost <= 1.0001e-6
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(100, 90), (90, 100), (7, 7)], "a long, b long")
     got = {r["node"]: r["label"] for r in components(links).collect()}
