@@ -52,7 +52,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: The view for SQL, for 1995 to 2000 only: CTEs cells and daily (with year, doy, day_no, month).
+#: The same view for SQL: CTEs cells and daily (with year, doy, day_no, month).
 PREFIX = """
 WITH cells AS (
   SELECT CAST(s_suppkey AS BIGINT) AS cell_id, CAST((s_suppkey - 1) // 5 AS INT) AS lat_idx, CAST((s_suppkey - 1) % 5 AS INT) AS lon_idx,
@@ -62,7 +62,8 @@ obs AS (
   SELECT CAST(l_suppkey AS BIGINT) AS cell_id, CAST(l_shipdate AS DATE) AS date,
          sum(CAST(round(l_quantity * l_discount * 100) AS BIGINT)) AS p, sum(CAST(l_quantity AS BIGINT)) AS q
   FROM lineitem GROUP BY 1, 2),
-calendar AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2000-12-31', INTERVAL 1 DAY)) AS DATE) AS date),
+years AS (SELECT year(min(l_shipdate)) AS first, year(max(l_shipdate)) AS last FROM lineitem),
+calendar AS (SELECT CAST(unnest(generate_series(make_date(first, 1, 1), make_date(last, 12, 31), INTERVAL 1 DAY)) AS DATE) AS date FROM years),
 raw0 AS (
   SELECT c.*, k.date, o.p, o.q, CAST(date_diff('day', DATE '1970-01-01', k.date) AS BIGINT) AS day_no, dayofyear(k.date) AS doy,
          CAST(year(k.date) AS BIGINT) AS year, CAST(month(k.date) AS BIGINT) AS month

@@ -322,8 +322,13 @@ def wet(spark: SparkSession, sf_dir: str) -> DataFrame:
     "moisture_conversions",
     ", h AS (SELECT cell_id, year, tas, vpdmax / 200 + 0.001 AS hus, 40 + vpdmin * 50 AS hurs FROM daily WHERE tas IS NOT NULL)"
     ", e AS (SELECT *, hus * 1013.25 / (0.622 + 0.378 * hus) AS e, 17.27 * tas / (237.7 + tas) + ln(hurs / 100) AS g FROM h) "
-    "SELECT cell_id, year, round(avg(243.5 * ln(e / 6.112) / (17.67 - ln(e / 6.112))), 6) AS dewpoint_hus, "
-    "round(avg(greatest(0.0, least(100.0, 100 * e / (6.112 * exp(17.67 * tas / (tas + 243.5)))))), 6) AS rh_hus, round(avg(237.7 * g / (17.27 - g)), 6) AS dewpoint_rh FROM e GROUP BY cell_id, year",
+    + "SELECT cell_id, year, "
+    + r6({
+        "dewpoint_hus": "avg(243.5 * ln(e / 6.112) / (17.67 - ln(e / 6.112)))",
+        "rh_hus": "avg(greatest(0.0, least(100.0, 100 * e / (6.112 * exp(17.67 * tas / (tas + 243.5))))))",
+        "dewpoint_rh": "avg(237.7 * g / (17.27 - g))",
+    })
+    + " FROM e GROUP BY cell_id, year",
 )
 def moisture_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = daily(spark, sf_dir).where("tas is not null")
@@ -662,7 +667,8 @@ def quality_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     "quality_years",
     ", y AS (SELECT DISTINCT year FROM daily WHERE year NOT IN (1997, 1998)), w AS (SELECT unnest(range(1994, 2001)) AS year) "
     "SELECT 'year_missing' AS \"check\", CAST(NULL AS VARCHAR) AS variable, CAST(year AS BIGINT) AS year, 'FAIL' AS status, 1.0::DOUBLE AS metric, 'missing' AS message FROM w WHERE year NOT IN (SELECT year FROM y) "
-    "UNION ALL SELECT 'year_gap', NULL, year, 'WARNING', CAST(nx - year - 1 AS DOUBLE), 'gap before ' || nx FROM (SELECT year, lead(year) OVER (ORDER BY year) AS nx FROM y) WHERE nx - year > 1",
+    "UNION ALL SELECT 'year_gap', NULL, year, 'WARNING', CAST(nx - year - 1 AS DOUBLE), 'gap before ' || nx FROM (SELECT year, lead(year) OVER (ORDER BY year) AS nx FROM y) WHERE nx - year > 1 "
+    "UNION ALL SELECT 'year_extra', NULL, year, 'WARNING', 1.0::DOUBLE, 'unexpected' FROM y WHERE year NOT IN (SELECT year FROM w)",
 )
 def quality_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     years = daily(spark, sf_dir).select(F.year("date").alias("year")).where("year not in (1997, 1998)").distinct()
@@ -732,8 +738,11 @@ def quality_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "quality_grid_consistency",
-    ", p AS (SELECT year, count(DISTINCT cell_id) AS n FROM daily WHERE NOT (year = 1999 AND cell_id % 2 = 0) GROUP BY year) "
-    "SELECT 'grid_consistency' AS \"check\", CAST(NULL AS VARCHAR) AS variable, year, CASE WHEN year = 1999 THEN 'FAIL' ELSE 'PASS' END AS status, CAST(n AS DOUBLE) AS metric, '' AS message FROM p",
+    ", r AS (SELECT year, cell_id, lat, lon FROM daily UNION ALL SELECT year, -cell_id, lat, lon FROM daily WHERE year = 1999 AND cell_id % 2 = 0), "
+    "p AS (SELECT year, count(DISTINCT cell_id) AS n, min(lat) AS a, max(lat) AS b, min(lon) AS c, max(lon) AS d FROM r GROUP BY year), "
+    "f AS (SELECT arg_min(p, year) AS z FROM p) "
+    "SELECT 'grid_consistency' AS \"check\", CAST(NULL AS VARCHAR) AS variable, year, "
+    "CASE WHEN n <> z.n OR greatest(abs(a - z.a), abs(b - z.b), abs(c - z.c), abs(d - z.d)) > 0.01 THEN 'FAIL' ELSE 'PASS' END AS status, CAST(n AS DOUBLE) AS metric, '' AS message FROM p, f",
 )
 def quality_grid_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = daily(spark, sf_dir).select(F.year("date").alias("year"), "cell_id", "lat", "lon")
