@@ -9,8 +9,9 @@ fixed size, with which a second pass lists the runs that remain.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches
+from .common import materialise
 
 #: The filter's size does not grow with the corpus; when it fills up, more runs go on to the exact steps.
 FILTER_BITS = 26
@@ -28,13 +29,19 @@ BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
+#: Bytes of text whose anchors one task of the first pass holds.
+PART_BYTES = 64 << 20
+
+
 @dataclass(frozen=True)
 class Spec:
-    """What a window is: its length and gram, and how a text turns into symbols (64-bit values)."""
+    """What a window is: its length and gram, the units of a text, their symbols (64-bit values), and the bytes of a stretch."""
 
     length: int
     gram: int
-    symbols: Callable[[bytes], np.ndarray]
+    units: Callable[[bytes], Sequence]
+    symbols: Callable[[Sequence], np.ndarray]
+    piece: Callable[[Sequence, int, int], bytes]
 
     @property
     def width(self) -> int:
@@ -114,14 +121,15 @@ def recurring(texts: DataFrame, spec: Spec, within_text: bool) -> np.ndarray:
     very many texts have arrives at most twice from each.
     """
     spark = texts.sparkSession
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // PART_BYTES)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
             found = []
             for text in batch.column(0).cast(pa.binary()).to_pylist():
-                hashed = Hashed(spec.symbols(text or b""), powers)
+                hashed = Hashed(spec.symbols(spec.units(text or b"")), powers)
                 anchors, _, _ = runs(hashed, spec)
                 found.append(np.concatenate((anchors, anchors[looped(hashed, spec, anchors)])) if within_text else np.unique(anchors))
             values, counts = np.unique(np.concatenate(found), return_counts=True)
@@ -140,8 +148,8 @@ def recurring(texts: DataFrame, spec: Spec, within_text: bool) -> np.ndarray:
         bits = np.unique(np.concatenate([(values >> np.uint64(s)) & np.uint64((1 << FILTER_BITS) - 1) for s in _SHIFTS]))
         return pd.DataFrame({"bit": bits.astype(np.int64) + 1})
 
-    arrow_batches(spark, 2000)
-    return bit_filter(texts.select("text").mapInArrow(emit, "part int, anchors binary").groupBy("part").applyInPandas(repeated, "bit long"))
+    bits = texts.select("text").mapInArrow(emit, "part int, anchors binary").groupBy("part").applyInPandas(repeated, "bit long")
+    return bit_filter(materialise(bits, "bits", 2000))
 
 
 def bit_filter(bits: DataFrame) -> np.ndarray:
@@ -167,32 +175,41 @@ def passing(anchors: np.ndarray, bloom: np.ndarray) -> np.ndarray:
     return ok
 
 
-def recurring_runs(texts: DataFrame, spec: Spec, bloom: np.ndarray) -> DataFrame:
-    """``texts(text, <keys>)`` to one row per run whose anchor passes the filter: keys, anchor, content, first, last, looped.
+def digests(pieces: Sequence[bytes]) -> np.ndarray:
+    """A 128-bit cryptographic digest of each piece, as two columns of integers."""
+    return np.frombuffer(b"".join(blake2b(x, digest_size=16).digest() for x in pieces), np.int64).reshape(-1, 2)
+
+
+def recurring_runs(texts: DataFrame, spec: Spec, bloom: np.ndarray, within_text: bool) -> DataFrame:
+    """``texts(text, <keys>)`` to one row per run whose anchor passes the filter: keys, anchor, c1, c2, first, last, looped.
 
-    content is the hash of all symbols that the run's windows cover.
+    c1 and c2 are the digest of all that the run's windows cover; looped, which
+    only ``within_text`` looks for, says that the anchor occurs again in the text.
     """
     held = texts.sparkSession.sparkContext.broadcast(bloom)
     keys = [c for c in texts.columns if c != "text"]
     types = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in keys)
+    names = [*keys, "anchor", "c1", "c2", "first", "last", "looped"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, bits = Powers(), held.value
         for batch in batches:
             row, out = [], []
             for i, text in enumerate(batch.column(0).cast(pa.binary()).to_pylist()):
-                hashed = Hashed(spec.symbols(text or b""), powers)
+                units = spec.units(text or b"")
+                hashed = Hashed(spec.symbols(units), powers)
                 anchors, first, last = runs(hashed, spec)
                 ok = passing(anchors, bits)
                 anchors, first, last = anchors[ok], first[ok], last[ok]
+                content = digests([spec.piece(units, a, b) for a, b in zip(first.tolist(), (last + spec.length).tolist(), strict=True)])
+                again = looped(hashed, spec, anchors) if within_text and len(anchors) else np.zeros(len(anchors), bool)
                 row.append(np.full(len(anchors), i))
-                out.append((anchors.view(np.int64), hashed.stretch(first, last + spec.length).view(np.int64), first, last, looped(hashed, spec, anchors)))
+                out.append((anchors.view(np.int64), content[:, 0], content[:, 1], first.astype(np.int32), last.astype(np.int32), again))
             at = pa.array(np.concatenate(row).astype(np.int64))
             found = [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(j + 1).take(at) for j in range(len(keys))] + found, [*keys, "anchor", "content", "first", "last", "looped"])
+            yield pa.RecordBatch.from_arrays([batch.column(j + 1).take(at) for j in range(len(keys))] + found, names)
 
-    arrow_batches(texts.sparkSession, 1000)
-    return texts.select("text", *keys).mapInArrow(emit, f"{types}, anchor long, content long, first long, last long, looped boolean")
+    return texts.select("text", *keys).mapInArrow(emit, f"{types}, anchor long, c1 long, c2 long, first int, last int, looped boolean")
 
 
 def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:

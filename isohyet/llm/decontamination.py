@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, materialise, table
+from .common import materialise, table
 from .near_dedup import shingle_hashes, shingle_set
 
 WIDTH, PERCENT, DEPTH, MISS = 5, 80, 32, 1e-6
@@ -102,7 +102,6 @@ def probe(docs: DataFrame, bloom: np.ndarray, width: int) -> DataFrame:
             arrays = [batch.column(0).take(pa.array(keep, pa.int64())), pa.array(texts, pa.binary()), pa.array(hits, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "words", "hits"])
 
-    arrow_batches(docs.sparkSession, 500)
     return docs.select("doc_id", "text").mapInArrow(test, f"doc_id {doc_id}, words binary, hits array<long>")
 
 
@@ -120,7 +119,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
     items = materialise(items, "items")
     sketches = materialise(item_sketches(items, percent, width), "sketches")
     candidates = materialise(
-        probe(docs, probe_filter(sketches), width).withColumn("row", F.monotonically_increasing_id()), "probed"
+        probe(docs, probe_filter(sketches), width).withColumn("row", F.monotonically_increasing_id()), "probed", 500
     )
     index = sketches.select("item", "need", F.explode("sketch").alias("h"))
     pairs = (

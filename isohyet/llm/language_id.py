@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, table
+from .common import table
 
 PROFILE_SIZE = 300
 SAMPLE_PER_LANG = 2000
@@ -114,9 +114,8 @@ class Classifier:
         return self.langs[best], float(1 - distance[best] / (self.size * len(grams)))
 
 
-def predictor(spark: SparkSession, profiles: dict[str, list[int]], size: int = PROFILE_SIZE):
+def predictor(profiles: dict[str, list[int]], size: int = PROFILE_SIZE):
     """A column function ``text -> struct(lang_pred, score)``."""
-    arrow_batches(spark, 1000)
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -144,7 +143,7 @@ def identify_languages(docs: DataFrame, profiles: dict[str, list[int]] | None =
     """
     if profiles is None:
         profiles = fit_profiles(docs.where(~held_out(F.col("doc_id"))))
-    predict = predictor(docs.sparkSession, profiles)
+    predict = predictor(profiles)
     return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), predict("text").alias("_p")).select(
         "doc_id", "held_out", "_p.lang_pred", "_p.score"
     )
@@ -154,7 +153,7 @@ def keep_identified(docs: DataFrame, min_score: float = 0.2, profiles: dict[str,
     """The rows of ``docs``, all columns, whose language is determined with at least ``min_score``."""
     if profiles is None:
         profiles = fit_profiles(docs.where(~held_out(F.col("doc_id"))))
-    predict = predictor(docs.sparkSession, profiles)
+    predict = predictor(profiles)
     columns = docs.columns
     return (
         docs.withColumn("__lang", predict("text"))

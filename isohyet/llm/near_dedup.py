@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, materialise, release, table
+from .common import materialise, table
 from .components import components
 
 #: Probability that bands miss a link at the threshold, and that the posterior bounds of all looks together do.
@@ -143,7 +143,6 @@ def signatures(docs: DataFrame, k: int, size: int) -> DataFrame:
             arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(sigs, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "id", "sig"])
 
-    arrow_batches(docs.sparkSession, 500)
     return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {doc_id}, n_shingles long, id long, sig binary")
 
 
@@ -275,10 +274,8 @@ def linked_components(docs: DataFrame, signed: DataFrame, k: int, percent: int,
     keys = band_keys(signed.where("id is not null"), bands, rows)
     buckets = keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("key", "a")
     buckets = materialise(buckets, "buckets")
-    release(docs.sparkSession)
     shared = keys.join(buckets, "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()
     clusters = components(materialise(shared, "shared")).withColumnsRenamed({"node": "id", "label": "cluster"})
-    release(docs.sparkSession)
     # One row of each node, whose text is found by its doc_id and, where rows
     # repeat a doc_id, by its words.
     members = signed.join(clusters, "id").groupBy("id", "cluster").agg(F.min(F.struct("doc_id", "sig")).alias("r"))
@@ -291,7 +288,6 @@ def linked_components(docs: DataFrame, signed: DataFrame, k: int, percent: int,
         return pd.Series([word_id(words_of(t.encode())) == n for n, t in zip(ids, text, strict=True)], dtype=bool)
 
     active = materialise(active.where(is_text_of("id", "text")), "active").dropDuplicates(["id"])
-    release(docs.sparkSession)
     return components(materialise(verified_links(active, Verifier(k, percent, miss, bands, rows)), "links"))
 
 
@@ -310,7 +306,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     Texts are told apart by 64-bit hashes of their words.
     """
     bands, rows = banding(docs.count(), percent, miss)
-    signed = materialise(signatures(docs, k, -(-bands * rows // BATCH) * BATCH), "signed")
+    signed = materialise(signatures(docs, k, -(-bands * rows // BATCH) * BATCH), "signed", 500)
     labels = linked_components(docs, signed, k, percent, miss, bands, rows)
     narrow = signed.select("doc_id", "n_shingles", "id")
     reps = narrow.where("id is not null").groupBy("id").agg(F.min("doc_id").alias("rep"))

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, table
+from .common import table
 
 KINDS = ("assign", "access", "hex")
 MAX_LAYER_BYTES = 64 << 20
@@ -193,10 +193,8 @@ def find(text: str | None, limit: int = MAX_LAYER_BYTES) -> list[tuple[str, int,
     return [(*k, *v) for k, v in sorted(found.items(), key=lambda x: (x[0][1], KINDS.index(x[0][0]), x[0][2]))]
 
 
-def secret_spans(spark: SparkSession, limit: int = MAX_LAYER_BYTES):
+def secret_spans(limit: int = MAX_LAYER_BYTES):
     """A column function ``text -> array<struct(kind, start, end, value, layer)>``."""
-    arrow_batches(spark, 1000)
-
     @F.pandas_udf(SPAN)
     def spans(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
@@ -213,7 +211,7 @@ def find_secrets(docs: DataFrame, limit: int = MAX_LAYER_BYTES) -> DataFrame:
     result; other columns are ignored. A compressed layer is read up to
     ``limit`` bytes, against decompression bombs.
     """
-    return docs.select("doc_id", secret_spans(docs.sparkSession, limit)("text").alias("spans"))
+    return docs.select("doc_id", secret_spans(limit)("text").alias("spans"))
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,15 +1,12 @@
 """Substring deduplication: seed and extend over words.
 
-Seeds are winnowed anchors that occur again (``anchors``). Documents are joined
-on their seeds, and every match is extended to both sides as far as it goes:
-
-* Runs with equal content are matches that reach over the whole run. They are
-  found by grouping on the content, however many documents share it.
-* Where runs share a seed and differ in content, the extension ends inside the
-  run. Each way of placing a window of the threshold length around the seed is
-  compared with the other runs of that seed, by grouping on the window.
-
-The union of all windows that match are the maximal repeats over the threshold.
+Seeds are winnowed anchors that occur again (``anchors``). Runs of windows with
+one content match as a whole (``repeats``). Runs that share a seed and differ in
+content are joined on it, and the match is extended from the seed both ways, a
+word at a time and for all runs of the seed at once: places that agree so far
+form a class, and each further word splits it. A window matches where another
+place is in its class to the left and to the right. Neighbouring windows that
+match join to maximal repeats; those over the threshold length are removed.
 """
 
 from __future__ import annotations
@@ -18,111 +15,126 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import Hashed, Powers, Spec, covered, recurring, recurring_runs
-from .common import SPACE, arrow_batches, materialise, table, word_count
+from .anchors import HASH_BITS, Hashed, Powers, Spec, covered
+from .common import SPACE, materialise, table, word_count
+from .repeats import SHARD_CONTENTS, distinct_texts, matched_spans, stretches
 
 LENGTH, GRAM = 35, 14
+SHARD_BYTES = 1 << 22
+EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
-def word_symbols(text: bytes) -> np.ndarray:
-    words = text.split()
+def word_symbols(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def text_key(text: str) -> Column:
-    return F.xxhash64(text)
-
+def word_spec(length: int, gram: int) -> Spec:
+    return Spec(length, gram, bytes.split, word_symbols, lambda words, a, b: b" ".join(words[a:b]))
+
+
+def refined(classes: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """Classes split by the given symbols, numbered afresh."""
+    return np.unique(classes * (symbols.max(initial=0) + 1) + symbols, return_inverse=True)[1]
+
+
+def extended(shard: pd.DataFrame, spec: Spec) -> pd.DataFrame:
+    """The windows of a shard's pieces that another place has too: key, doc, first, last."""
+    length, gram, reach = spec.length, spec.gram, spec.length - spec.gram
+    shard = shard.drop_duplicates(["key", "doc", "anchor", "first"])
+    split = [spec.units(bytes(x)) for x in shard["piece"]]
+    sizes = np.array([len(x) for x in split])
+    start = np.cumsum(sizes) - sizes
+    words = [w for x in split for w in x]
+    number = pd.factorize(np.array(words, object))[0].astype(np.int64)
+    # Places of the seeds.
+    hashes = np.zeros(len(words), np.uint64)
+    grams = Hashed(word_symbols(words), Powers()).grams(gram) & np.uint64((1 << HASH_BITS) - 1)
+    hashes[: len(grams)] = grams
+    piece = np.repeat(np.arange(len(split)), sizes)
+    left_in, right_in = np.arange(len(words)) - start[piece], (start + sizes)[piece] - np.arange(len(words))
+    seed = np.flatnonzero((hashes == shard["anchor"].to_numpy().view(np.uint64)[piece]) & (right_in >= gram))
+    lefts, rights = left_in[seed], right_in[seed] - gram
+    # Words past an end differ from all others.
+    beyond = len(words) + np.arange(len(seed))
+    at = lambda p, inside: np.where(inside, number[np.clip(p, 0, len(number) - 1)], beyond)
+    here = np.unique(shard["anchor"].to_numpy()[piece[seed]], return_inverse=True)[1]
+    for i in range(gram):
+        here = refined(here, number[seed + i])
+    right = [here]
+    for i in range(reach):
+        right.append(refined(right[-1], at(seed + gram + i, rights > i)))
+    gone, left = np.zeros(len(words), bool), np.zeros(len(seed), np.int64)
+    for o in range(reach + 1):
+        # Windows that start o words before their seed.
+        fits = np.flatnonzero((lefts >= o) & (rights >= reach - o))
+        _, pair, count = np.unique(left[fits] * (len(seed) + 1) + right[reach - o][fits], return_inverse=True, return_counts=True)
+        gone[(seed[fits] - o)[count[pair] > 1]] = True
+        left = refined(left, at(seed - o - 1, lefts > o))
+    first, last = stretches(gone, start)
+    p = piece[first]
+    origin = shard["first"].to_numpy()[p] - start[p]
+    return pd.DataFrame({"key": shard["key"].to_numpy()[p], "doc": shard["doc"].to_numpy()[p], "first": first + origin, "last": last + origin})
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_contents: int = SHARD_CONTENTS) -> DataFrame:
+    """One row per row of ``docs(doc_id, text)``: doc_id, n_words, n_removed, kept_sha256, kept_text.
 
-def window_rows(listed: DataFrame, spec: Spec) -> DataFrame:
-    """``listed(text, key, runs)`` to the windows of its runs: key, anchor, window (a hash), at."""
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
-        for batch in batches:
-            keys, anchors, windows, places = [], [], [], []
-            for text, key, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                hashed = Hashed(spec.symbols(text.encode()), powers)
-                for r in found:
-                    at = np.arange(r["first"], r["last"] + 1)
-                    windows.append(hashed.stretch(at, at + spec.length).view(np.int64))
-                    keys.append(np.full(len(at), key))
-                    anchors.append(np.full(len(at), r["anchor"]))
-                    places.append(at)
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, anchors, windows, places)], ["key", "anchor", "window", "at"])
-
-    arrow_batches(listed.sparkSession, 200)
-    return listed.select("text", "key", "runs").mapInArrow(emit, "key long, anchor long, window long, at long")
-
-
-def repeated_words(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """One row per distinct text of ``docs(text)`` that has a repeat: key, n_removed, kept_sha256, kept_text.
-
-    key is the 64-bit hash of the text.
+    Removes each word that is covered by a window of ``length`` words that also
+    starts anywhere else, in the same document or another. Words stand between
+    ASCII white space and are compared unchanged; windows are judged on the
+    input. kept_text has the kept words joined by one space, kept_sha256 is its
+    digest; kept_text is null where no word is removed. A null or empty text
+    has no words. Repeated rows repeat each other. An empty table gives an empty
+    result; other columns are ignored. Equal texts are told by SHA-256, equal
+    runs by a 128-bit cryptographic digest, windows of different runs by their words.
     """
-    spec = Spec(length, gram, word_symbols)
-    texts = docs.where("text is not null").select("text", text_key("text").alias("key"))
-    runs = materialise(recurring_runs(texts, spec, recurring(texts, spec, True)), "runs")
-    # Whole runs that occur again.
-    contents = runs.groupBy("anchor", "content").agg(
-        F.count("*").alias("n"), F.min(F.struct("key", "first", "last")).alias("r"), F.max("looped").alias("looped")
-    )
-    contents = contents.select("anchor", "content", "n", "r.*", "looped")
-    contents = materialise(contents, "contents")
-    seeds = contents.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    whole = runs.join(contents.where("n > 1").select("anchor", "content"), ["anchor", "content"], "left_semi").select("key", "first", "last").distinct()
-    whole = materialise(whole, "whole")
-    # Contents that share a seed with others, or have it twice: one run of each stands for all.
-    mixed = contents.join(seeds.where("kinds > 1").select("anchor"), "anchor", "left_semi")
-    open_ = materialise(mixed.unionByName(contents.where("looped and n = 1")).distinct(), "open")
-    # The texts of all documents that take part, once.
-    keys = whole.select("key").union(open_.select("key")).distinct()
-    taking = materialise(texts.join(keys, "key", "left_semi").dropDuplicates(["key"]), "taking")
-    listed = open_.groupBy("key").agg(F.collect_list(F.struct("anchor", "first", "last")).alias("runs"))
-    windows = window_rows(taking.join(listed, "key"), spec).distinct()
-    windows = materialise(windows, "windows")
-    again = windows.groupBy("anchor", "window").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "window")
-    partial = windows.join(again, ["anchor", "window"], "left_semi").select("key", F.col("at").alias("first"), F.col("at").alias("last"))
-    spans = whole.unionByName(partial).groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    spec = word_spec(length, gram)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    plain = F.trim(F.regexp_replace(text, SPACE, " "))
+    # Two hashes of the SHA-256 name a text; of texts with equal words one stays.
+    hashed = docs.select("doc_id", plain.alias("text"), F.sha2(plain, 256).alias("_whole")).withColumn("digest", F.unhex("_whole"))
+    hashed = hashed.withColumns({"key": F.xxhash64("digest"), "doc": F.xxhash64("digest", F.lit(1))})
+    firsts = materialise(hashed.groupBy("digest").agg(F.min("doc").alias("first_doc"), F.count("*").alias("n")), "firsts")
+    unique = distinct_texts(hashed.select("text", "digest", "key", "doc"), firsts)
+    spans = matched_spans(unique, spec, True, lambda doc, low, n: n > 1, lambda pdf: extended(pdf, spec), SHARD_BYTES, shard_contents)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, key, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for text, key, doc, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = text.encode().split()
                 gone = covered(np.array([s["first"] for s in found]), np.array([s["last"] + length for s in found]), len(words))
                 kept = b" ".join(w for w, g in zip(words, gone, strict=True) if not g)
-                out.append((key, int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode()))
-            arrays = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["key", "n_removed", "kept_sha256", "kept_text"])
-
-    joined = taking.join(spans, "key").select("text", "key", "spans")
-    return joined.mapInArrow(cut, "key long, n_removed long, kept_sha256 string, kept_text string")
-
+                out.append((key, doc, int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode()))
+            arrays = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "doc", "cut", "cut_sha256", "cut_text"])
+
+    joined = unique.join(spans, ["key", "doc"]).select("text", "key", "doc", "spans")
+    found = materialise(joined.mapInArrow(cut, "key long, doc long, cut long, cut_sha256 string, cut_text string"), "cut", 1000)
+    narrow = hashed.select("doc_id", "key", "doc", "digest", "_whole", word_count(F.col("text")).alias("n_words"))
+    copied = (F.col("n") > 1) & (F.col("n_words") >= length)
+    return (
+        narrow.join(firsts.where("n > 1").select("digest", "n"), "digest", "left")
+        .join(found, ["key", "doc"], "left")
+        .select(
+            "doc_id",
+            "n_words",
+            F.when(copied, F.col("n_words")).otherwise(F.coalesce("cut", F.lit(0))).cast("long").alias("n_removed"),
+            F.when(copied, EMPTY_SHA).otherwise(F.coalesce("cut_sha256", "_whole")).alias("kept_sha256"),
+            F.when(copied, "").otherwise(F.col("cut_text")).alias("kept_text"),
+        )
+    )
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """One row per row of ``docs(doc_id, text)``: doc_id, n_words, n_removed, kept_sha256.
 
-    Removes each word that is covered by a window of ``length`` words that also
-    starts anywhere else, in the same document or another. Words stand between
-    ASCII white space and are compared unchanged; windows are judged on the
-    input. kept_sha256 is the digest of the kept words joined by one space. A
-    null or empty text has no words. Repeated rows repeat each other. An empty
-    table gives an empty result; other columns are ignored. Words, windows and
-    texts are told apart by 64-bit hashes.
-    """
-    found = materialise(repeated_words(docs, length, gram).select("key", "n_removed", "kept_sha256"), "cut")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    plain = F.trim(F.regexp_replace(text, SPACE, " "))
-    narrow = docs.select("doc_id", text_key("text").alias("key"), word_count(F.col("text")).alias("n_words"), F.sha2(plain, 256).alias("_whole"))
-    return narrow.join(found, "key", "left").select(
-        "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("kept_sha256", "_whole").alias("kept_sha256")
-    )
+def remove_repeats(docs: DataFrame, **how: int) -> DataFrame:
+    """The figures of ``without_repeats`` alone."""
+    return without_repeats(docs, **how).drop("kept_text")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

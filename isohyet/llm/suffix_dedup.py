@@ -1,12 +1,12 @@
 """Suffix-array deduplication of byte windows.
 
 A window of 50 bytes is removed where it also starts in a document with a
-smaller doc_id. Windows that can be equal share a winnowed anchor (``anchors``),
-so an anchor's runs form one shard's text. Runs of one content are decided by
-their smallest doc_id alone. Where runs with different contents share an anchor,
-one run of each content goes to the shard of the anchor; the shard sorts its
-suffixes by induced sorting, computes permuted common prefixes, and gives each
-window the smallest doc_id of its stretch of equal neighbours.
+smaller doc_id. Windows that can be equal share a winnowed anchor (``anchors``).
+Runs of windows with one content are decided by their smallest doc_id
+(``repeats``). Where runs with different contents share an anchor, one run of
+each goes to the shard of the anchor; the shard sorts its suffixes by induced
+sorting, computes permuted common prefixes, and gives each window the smallest
+doc_id of its stretch of equal neighbours.
 """
 
 from __future__ import annotations
@@ -20,13 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import BASE, Hashed, Powers, Spec, bit_filter, covered, key_bits, mixed, passing, recurring, recurring_runs
-from .common import arrow_batches, materialise, release, table
+from .anchors import BASE, Spec, covered, mixed
+from .common import materialise, ordered_ids, table
+from .repeats import SHARD_CONTENTS, distinct_texts, matched_spans, stretches
 from .suffix_array import permuted_prefixes, suffix_array
 
 LENGTH, GRAM = 50, 20
-#: Anchors with more contents than this go by window hashes, spread over all tasks, instead of to one shard.
-SHARD_CONTENTS = 20_000
 #: About the bytes of a shard; sorting takes some hundred times as much memory.
 SHARD_BYTES = 1 << 19
 NO_ID = (1 << 63) - 1
@@ -37,81 +36,36 @@ def byte_symbols(text: bytes) -> np.ndarray:
     return mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))[np.frombuffer(text, np.uint8)]
 
 
-def pieces(listed: DataFrame, length: int) -> DataFrame:
-    """``listed(text, runs)`` to the bytes of its runs: anchor, content, doc, piece."""
+def byte_spec(length: int, gram: int) -> Spec:
+    return Spec(length, gram, bytes, byte_symbols, lambda text, a, b: text[a:b])
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, runs in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                out += [(r["anchor"], r["content"], r["doc"], text[r["first"] : r["last"] + length]) for r in runs]
-            if out:
-                arrays = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, ["anchor", "content", "doc", "piece"])
-
-    arrow_batches(listed.sparkSession, 200)
-    return listed.select("text", "runs").mapInArrow(emit, "anchor long, content long, doc long, piece binary")
 
-
-def least_docs(shard: pd.DataFrame, length: int) -> pd.DataFrame:
-    """For each piece of a shard, the smallest doc of each of its windows, from the shard's suffix array."""
-    sizes = shard["piece"].map(len).to_numpy()
-    text = np.frombuffer(b"\0".join(shard["piece"]), np.uint8)
+def seen_windows(shard: pd.DataFrame, length: int) -> pd.DataFrame:
+    """The windows of a shard's pieces that a smaller doc has, from the shard's suffix array: key, doc, first, last."""
+    one = shard.drop_duplicates(["c1", "c2"])
+    sizes = one["piece"].map(len).to_numpy()
+    text = np.frombuffer(b"\0".join(one["piece"]), np.uint8)
     start = np.cumsum(sizes + 1) - sizes - 1
     # A window is valid where it ends within its piece.
     n_windows = sizes - length + 1
-    first = np.repeat(start, n_windows)
-    at = first + np.arange(len(first)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
+    head_of = np.cumsum(n_windows) - n_windows
+    within = np.arange(n_windows.sum()) - np.repeat(head_of, n_windows)
+    at = np.repeat(start, n_windows) + within
     doc = np.full(len(text), NO_ID)
-    doc[at] = np.repeat(shard["doc"].to_numpy(), n_windows)
+    doc[at] = np.repeat(one["doc"].to_numpy(), n_windows)
     sa = suffix_array(text)
     joins = permuted_prefixes(text, sa, length)[sa] >= length
     # A window over a piece's end never starts a stretch with a valid one unless its text is the same, so it is cut out.
-    valid = np.zeros(len(text), bool)
-    valid[at] = True
     head = np.flatnonzero(~joins)
-    least = np.repeat(np.minimum.reduceat(np.where(valid[sa], doc[sa], NO_ID), head), np.diff(np.append(head, len(sa))))
+    least = np.repeat(np.minimum.reduceat(doc[sa], head), np.diff(np.append(head, len(sa))))
     found = np.empty(len(text), np.int64)
     found[sa] = least
-    return pd.DataFrame(
-        {"anchor": shard["anchor"], "content": shard["content"], "least": [found[s : s + k] for s, k in zip(start, n_windows, strict=True)]}
-    )
-
-
-def windows_by_hash(parts: DataFrame, length: int) -> DataFrame:
-    """The same as ``least_docs`` for anchors of very many contents, by grouping on window hashes."""
-    spec = Spec(length, GRAM, byte_symbols)
-
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        powers = Powers()
-        for batch in batches:
-            for anchor, content, doc, piece in batch.itertuples(index=False):
-                at = np.arange(len(piece) - length + 1)
-                window = Hashed(spec.symbols(bytes(piece)), powers).stretch(at, at + length).view(np.int64)
-                yield pd.DataFrame({"anchor": anchor, "content": content, "doc": doc, "at": at, "window": window})
-
-    rows = materialise(parts.mapInPandas(emit, "anchor long, content long, doc long, at long, window long"), "windows")
-    low = rows.groupBy("anchor", "window").agg(F.min("doc").alias("low"))
-    both = rows.join(low, ["anchor", "window"]).groupBy("anchor", "content").agg(F.sort_array(F.collect_list(F.struct("at", "low"))).alias("w"))
-    return both.select("anchor", "content", F.transform("w", lambda x: x["low"]).alias("least"))
-
-
-def distinct_texts(texts: DataFrame, firsts: DataFrame) -> DataFrame:
-    """``texts(text, key, doc)`` with one row per key, that of the smallest doc.
-
-    Only the texts that have copies are grouped. A filter of fixed size over
-    their keys tells them from the others, which stay where they are read.
-    """
-    held = texts.sparkSession.sparkContext.broadcast(bit_filter(key_bits(firsts.where("n > 1").select("key"))))
-
-    @F.pandas_udf("boolean")
-    def may_repeat(keys: pd.Series) -> pd.Series:
-        return pd.Series(passing(keys.to_numpy().view(np.uint64), held.value))
-
-    arrow_batches(texts.sparkSession, 1000)
-    marked = texts.withColumn("copied", may_repeat("key"))
-    first = marked.where("copied").groupBy("key").agg(F.min(F.struct("doc", "text")).alias("r")).select("r.text", "key", "r.doc")
-    return marked.where("not copied").drop("copied").unionByName(materialise(first, "copied"))
+    first, last = stretches(found[at] < doc[at], head_of)
+    piece = np.searchsorted(head_of, first, "right") - 1
+    spans = pd.DataFrame({"c1": one["c1"].to_numpy()[piece], "c2": one["c2"].to_numpy()[piece], "a": within[first], "b": within[last]})
+    # Rows with the same content and doc have the same verdict.
+    rows = shard[["key", "doc", "c1", "c2", "first"]].merge(spans, on=["c1", "c2"])
+    return pd.DataFrame({"key": rows["key"], "doc": rows["doc"], "first": rows["first"] + rows["a"], "last": rows["first"] + rows["b"]})
 
 
 def remove_seen(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_contents: int = SHARD_CONTENTS) -> DataFrame:
@@ -119,69 +73,42 @@ def remove_seen(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_c
 
     Removes each byte of the UTF-8 text that is covered by a string of
     ``length`` bytes that also starts in a document with a smaller doc_id, as
-    judged on the input. A null text is empty. A null doc_id counts as larger
-    than all others; equal doc_ids never remove each other's bytes. An empty
-    table gives an empty result; other columns are ignored. Texts and anchors
-    are told apart by 64-bit hashes, windows by their bytes.
+    judged on the input. A null text is empty. doc_id is of any type that has an
+    order. A null doc_id counts as larger than all others; equal doc_ids never
+    remove each other's bytes. An empty table gives an empty result; other
+    columns are ignored. Equal texts are told by SHA-256, equal runs by a
+    128-bit cryptographic digest, windows of different runs by their bytes.
     """
-    spark, spec = docs.sparkSession, Spec(length, gram, byte_symbols)
+    spec = byte_spec(length, gram)
     body = F.coalesce(F.col("text"), F.lit(""))
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    texts = docs.select(body.alias("text"), F.xxhash64(body).alias("key"), doc.alias("doc"))
-    firsts = materialise(texts.groupBy("key").agg(F.min("doc").alias("first_doc"), F.count("*").alias("n")), "firsts")
+    docs = ordered_ids(docs.select("doc_id", "text"))
+    texts = docs.select(body.alias("text"), F.unhex(F.sha2(body, 256)).alias("digest"), F.coalesce("doc", F.lit(NO_ID)).alias("doc"))
+    texts = texts.withColumn("key", F.xxhash64("digest"))
+    firsts = materialise(texts.groupBy("digest").agg(F.min("doc").alias("first_doc"), F.count("*").alias("n")), "firsts")
     # Of equal texts only that with the smallest doc_id is looked at; the others go as a whole.
     unique = distinct_texts(texts.where(F.octet_length("text") >= length), firsts)
-    runs = materialise(recurring_runs(unique, spec, recurring(unique, spec, False)).drop("looped"), "runs")
-    release(spark)
-    contents = runs.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("doc", "key", "first", "last")).alias("r"))
-    contents = materialise(contents.select("anchor", "content", "n", "r.*"), "contents")
-    release(spark)
-    kinds = materialise(contents.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"), "kinds")
-    open_ = contents.join(kinds, "anchor")
-    listed = open_.groupBy("key").agg(F.collect_list(F.struct("anchor", "content", "doc", "first", "last")).alias("runs"))
-    parts = materialise(pieces(unique.join(listed, "key"), length), "pieces")
-    release(spark)
-    shards = max(1, (parts.agg(F.sum(F.octet_length("piece"))).first()[0] or 0) // SHARD_BYTES)
-    heavy = parts.join(kinds.where(F.col("kinds") > shard_contents).select("anchor"), "anchor", "left_semi")
-    light = parts.join(kinds.where(F.col("kinds") <= shard_contents).select("anchor"), "anchor", "left_semi")
-    if kinds.where(F.col("kinds") > shard_contents).isEmpty():
-        light, heavy = parts, None
-    least = (
-        light.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-        .groupBy("shard")
-        .applyInPandas(lambda pdf: least_docs(pdf, length), "anchor long, content long, least array<long>")
-    )
-    if heavy is not None:
-        least = least.unionByName(windows_by_hash(heavy, length))
-    alone = contents.where("n > 1").join(kinds.select("anchor"), "anchor", "left_anti")
-    verdicts = least.unionByName(alone.select("anchor", "content", F.array("doc").alias("least")))
-    verdicts = materialise(verdicts, "verdicts")
-    release(spark)
-    # One least doc stands for all windows of a run.
-    windows = F.transform(F.sequence(F.lit(0), F.col("last") - F.col("first")), lambda i: F.when(F.get("least", F.when(F.size("least") > 1, i).otherwise(0).cast("int")) < F.col("doc"), F.col("first") + i))
-    starts = F.filter(windows, lambda x: x.isNotNull())
-    spans = runs.join(verdicts, ["anchor", "content"]).select("key", starts.alias("starts")).where(F.size("starts") > 0)
-    spans = spans.groupBy("key").agg(F.flatten(F.collect_list("starts")).alias("spans"))
+    spans = matched_spans(unique, spec, False, lambda doc, low, n: doc > low, lambda pdf: seen_windows(pdf, length), SHARD_BYTES, shard_contents)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, key, found in zip(batch.column(0).cast(pa.binary()).to_pylist(), *(c.to_pylist() for c in batch.columns[1:]), strict=True):
-                gone = covered(np.array(found), np.array(found) + length, len(text))
+            for text, key, doc, found in zip(batch.column(0).cast(pa.binary()).to_pylist(), *(c.to_pylist() for c in batch.columns[1:]), strict=True):
+                gone = covered(np.array([s["first"] for s in found]), np.array([s["last"] + length for s in found]), len(text))
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 n_spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                out.append((key, int(gone.sum()), n_spans, hashlib.sha256(kept).hexdigest()))
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+                out.append((key, doc, int(gone.sum()), n_spans, hashlib.sha256(kept).hexdigest()))
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
             arrays = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["key", "cut", "cut_spans", "cut_sha256"])
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "doc", "cut", "cut_spans", "cut_sha256"])
 
-    done = unique.join(spans, "key").select("text", "key", "spans").mapInArrow(cut, "key long, cut long, cut_spans long, cut_sha256 string")
-    done = materialise(done, "cut")
-    rows = docs.select("doc_id", doc.alias("doc"), F.xxhash64(body).alias("key"), F.octet_length(body).cast("long").alias("n_bytes"), F.sha2(body, 256).alias("sha"))
+    done = unique.join(spans, ["key", "doc"]).select("text", "key", "doc", "spans").mapInArrow(cut, "key long, doc long, cut long, cut_spans long, cut_sha256 string")
+    done = materialise(done, "cut", 1000)
+    rows = docs.select("doc_id", F.coalesce("doc", F.lit(NO_ID)).alias("doc"), F.sha2(body, 256).alias("sha"), F.octet_length(body).cast("long").alias("n_bytes"))
+    rows = rows.withColumn("digest", F.unhex("sha")).withColumn("key", F.xxhash64("digest"))
     again = (F.col("doc") > F.col("first_doc")) & (F.col("n_bytes") >= length)
     return (
-        rows.join(firsts.drop("n"), "key")
-        .join(done, "key", "left")
+        rows.join(firsts.drop("n"), "digest")
+        .join(done, ["key", "doc"], "left")
         .select(
             "doc_id",
             "n_bytes",

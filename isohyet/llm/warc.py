@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, fresh_path, materialise, table
+from .common import fresh_path, materialise, table
 
 REVISIT_BYTES = 1000
 FILE_BYTES = 1 << 30
@@ -167,7 +167,6 @@ def write_archives(pages: DataFrame, base: str, file_bytes: int = FILE_BYTES) ->
         close()
         yield pd.DataFrame(done, columns=["path", "records"])
 
-    arrow_batches(pages.sparkSession, 500)
     rows = pages.select(F.col("page_id").cast("string"), "url", "body", "record_type", F.col("refers_to").cast("string"))
     return rows.mapInPandas(write, "path string, records long")
 
@@ -205,7 +204,7 @@ def round_trip(pages: DataFrame, base: str, min_bytes: int = REVISIT_BYTES) -> D
     Null html is an empty payload; a null url is an empty target. An empty
     table writes no file and gives no record. Other columns are ignored.
     """
-    manifest = materialise(write_archives(mark_revisits(pages, min_bytes), base), "manifest")
+    manifest = materialise(write_archives(mark_revisits(pages, min_bytes), base), "manifest", 500)
     files = manifest.repartition(max(1, manifest.count()), F.col("path"))
     return read_archives(files, base, keep_payload=False)
 

@@ -1,17 +1,18 @@
 import hashlib
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from fixtures import corpus, frame, key_of, ordered
+from fixtures import corpus, frame, key_of, ordered, words
 from pyspark.sql import functions as F
 
 from isohyet.llm.components import components
 from isohyet.llm.exact_dedup import directory, exact_duplicates
 from isohyet.llm.near_dedup import MISS, Verifier, banding, least_matches, near_duplicates, shingle_set, words_of
-from isohyet.llm.substring_dedup import remove_repeats
+from isohyet.llm.substring_dedup import remove_repeats, without_repeats
 from isohyet.llm.suffix_array import permuted_prefixes, suffix_array
 from isohyet.llm.suffix_dedup import EMPTY_SHA, remove_seen
 
@@ -131,6 +132,23 @@ def test_repeated_words(spark):
     assert ordered(remove_repeats(frame(spark)).collect()) == expected_words(corpus(), 35)
 
 
+def test_repeated_words_where_anchors_are_split(spark):
+    assert ordered(remove_repeats(frame(spark), shard_contents=0).collect()) == expected_words(corpus(), 35)
+
+
+def test_matches_are_extended_both_ways(spark):
+    # The same 40 words in changing company, one overlap short of the threshold, and a repeat inside one text.
+    rnd = random.Random(9)
+    some = lambda n: words(rnd, n, 100_000)
+    shared, short = some(40), some(34)
+    rows = [(i, " ".join([*some(rnd.randrange(50)), *shared[: 40 - i % 6], *some(rnd.randrange(50))])) for i in range(12)]
+    rows += [(20 + i, " ".join([*some(9), *short, *some(9)])) for i in range(3)] + [(30, " ".join(shared[2:37] * 3 + some(5)))]
+    got = without_repeats(frame(spark, rows)).collect()
+    assert ordered(tuple(r)[:4] for r in got) == expected_words(rows, 35)
+    texts = {r["doc_id"]: r["kept_text"] for r in got}
+    assert texts[20] is None and len(texts[0].split()) == len(rows[0][1].split()) - 40
+
+
 def test_repeated_words_of_nothing(spark):
     assert remove_repeats(frame(spark, [])).collect() == []
 
@@ -158,6 +176,12 @@ def test_seen_bytes(spark, shard_contents):
     assert ordered(remove_seen(frame(spark), shard_contents=shard_contents).collect()) == expected_bytes(corpus(), 50)
 
 
+def test_seen_bytes_of_ids_that_are_no_numbers(spark):
+    rows = [(d, t) for d, t in corpus() if d is not None and d < 60]
+    got = remove_seen(frame(spark, rows).withColumn("doc_id", F.format_string("d%03d", "doc_id"))).collect()
+    assert ordered((int(r[0][1:]), *r[1:]) for r in got) == expected_bytes(rows, 50)
+
+
 def test_seen_bytes_of_nothing(spark):
     assert remove_seen(frame(spark, [])).collect() == []
     assert tuple(remove_seen(frame(spark, [(1, None)])).first()) == (1, 0, 0, 0, EMPTY_SHA)
