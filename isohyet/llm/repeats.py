@@ -22,8 +22,9 @@ from .anchors import Spec, bit_filter, digests, key_bits, passing, recurring, re
 from .common import discard, materialise
 
 SHARD_CONTENTS = 8192
+#: Anchors are judged a slice at a time, which bounds the shuffle files that are there at once.
+SLICES = 4
 _KEYS = ["key", "doc"]
-_CONTENT = ["anchor", "c1", "c2"]
 
 
 def distinct_texts(texts: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -81,6 +82,24 @@ def single_windows(listed: DataFrame, spec: Spec) -> DataFrame:
     return listed.select("text", *_KEYS, "runs").mapInArrow(emit, "key long, doc long, at int, c1 long, c2 long")
 
 
+def judged_runs(runs: DataFrame, repeats: Callable[[Column, Column, Column], Column]) -> DataFrame:
+    """The runs that go as a whole (whole), and those that stand for their content in the shards (mixed).
+
+    Contents are mixed where others share their anchor. Of the runs that stay so
+    far, those of the first doc that has a content stand for it.
+    """
+    contents = runs.groupBy("c1", "c2").agg(F.min("anchor").alias("anchor"), F.min("doc").alias("low"), F.count("*").alias("n"), F.max("looped").alias("looped"))
+    contents = materialise(contents, "contents")
+    kinds = contents.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    several = contents.join(kinds, "anchor", "left").withColumn("mixed", F.col("kinds").isNotNull() | F.col("looped")).where("n > 1 or mixed")
+    joined = runs.drop("looped", "anchor").join(several.select("c1", "c2", "anchor", "low", "n", "kinds", "mixed"), ["c1", "c2"])
+    judged = joined.withColumns({"whole": repeats(F.col("doc"), F.col("low"), F.col("n")), "mixed": F.col("mixed") & (F.col("doc") == F.col("low"))})
+    judged = judged.where("whole or mixed").select("key", "doc", "anchor", "c1", "c2", "first", "last", "n", F.coalesce("kinds", F.lit(1)).alias("kinds"), "whole", "mixed")
+    judged = materialise(judged, "judged")
+    discard(contents)
+    return judged
+
+
 def matched_spans(
     unique: DataFrame,
     spec: Spec,
@@ -96,17 +115,12 @@ def matched_spans(
     ``low`` being the smallest doc among them. ``decide`` gets a shard
     (``pieces``) and returns key, doc, first, last of the windows that match.
     """
-    runs = materialise(recurring_runs(unique, spec, recurring(unique, spec, within_text), within_text), "runs", 1000)
-    contents = runs.groupBy(*_CONTENT).agg(F.min("doc").alias("low"), F.count("*").alias("n"), F.max("looped").alias("looped"))
-    contents = materialise(contents, "contents")
-    kinds = contents.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    mixed = (F.col("kinds") > 1) | F.col("looped")
-    several = contents.join(kinds, "anchor", "left").withColumn("kinds", F.coalesce("kinds", F.lit(1))).where((F.col("n") > 1) | mixed)
-    whole, kept = repeats(F.col("doc"), F.col("low"), F.col("n")), [*_KEYS, *_CONTENT, "first", "last", "n", "kinds"]
-    judged = runs.drop("looped").join(several, _CONTENT).withColumn("whole", whole)
-    # A run that stays so far stands for its content in the shards if it is of the first doc that has it.
-    judged = materialise(judged.where(F.col("whole") | (mixed & (F.col("doc") == F.col("low")))).withColumn("mixed", mixed & (F.col("doc") == F.col("low"))).select(*kept, "whole", "mixed"), "judged")
-    discard(runs, contents)
+    runs = materialise(recurring_runs(unique, spec, recurring(unique, spec, within_text), within_text), "runs", 500)
+    judged = None
+    for i in range(SLICES):
+        part = judged_runs(runs.where(F.pmod("anchor", F.lit(SLICES)) == i), repeats)
+        judged = part if judged is None else judged.unionByName(part)
+    discard(runs)
     run = F.struct("anchor", "c1", "c2", "n", "first", "last")
 
     def listed(rows: DataFrame) -> DataFrame:

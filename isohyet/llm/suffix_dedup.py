@@ -25,7 +25,7 @@ from .common import materialise, ordered_ids, table
 from .repeats import SHARD_CONTENTS, distinct_texts, matched_spans, stretches
 from .suffix_array import permuted_prefixes, suffix_array
 
-LENGTH, GRAM = 50, 20
+LENGTH, GRAM = 50, 28
 #: About the bytes of a shard; sorting takes some hundred times as much memory.
 SHARD_BYTES = 1 << 19
 NO_ID = (1 << 63) - 1
