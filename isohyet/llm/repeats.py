@@ -94,7 +94,9 @@ def judged_runs(runs: DataFrame, repeats: Callable[[Column, Column, Column], Col
     several = contents.join(kinds, "anchor", "left").withColumn("mixed", F.col("kinds").isNotNull() | F.col("looped")).where("n > 1 or mixed")
     joined = runs.drop("looped", "anchor").join(several.select("c1", "c2", "anchor", "low", "n", "kinds", "mixed"), ["c1", "c2"])
     judged = joined.withColumns({"whole": repeats(F.col("doc"), F.col("low"), F.col("n")), "mixed": F.col("mixed") & (F.col("doc") == F.col("low"))})
-    judged = judged.where("whole or mixed").select("key", "doc", "anchor", "c1", "c2", "first", "last", "n", F.coalesce("kinds", F.lit(1)).alias("kinds"), "whole", "mixed")
+    # Only what goes on to the shards needs its content.
+    content = [F.when(F.col("mixed"), F.col(c)).alias(c) for c in ("anchor", "c1", "c2", "n")]
+    judged = judged.where("whole or mixed").select("key", "doc", *content, "first", "last", F.coalesce("kinds", F.lit(1)).alias("kinds"), "whole", "mixed")
     judged = materialise(judged, "judged")
     discard(contents)
     return judged
