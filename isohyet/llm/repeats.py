@@ -11,6 +11,7 @@ lands in one task.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,6 +28,17 @@ SLICES = 4
 _KEYS = ["key", "doc"]
 
 
+def maybe_in(keys: DataFrame, column: Column) -> Column:
+    """Whether ``column`` may be one of ``keys(key)``, by a filter of fixed size: it is always true of those that are."""
+    held = keys.sparkSession.sparkContext.broadcast(bit_filter(key_bits(keys)))
+
+    @F.pandas_udf("boolean")
+    def found(values: pd.Series) -> pd.Series:
+        return pd.Series(passing(values.to_numpy().view(np.uint64), held.value))
+
+    return found(column)
+
+
 def distinct_texts(texts: DataFrame, firsts: DataFrame) -> DataFrame:
     """``texts(text, digest, key, doc)`` with one row per digest, that of the smallest doc.
 
@@ -34,13 +46,7 @@ def distinct_texts(texts: DataFrame, firsts: DataFrame) -> DataFrame:
     their keys tells them from the others, which stay where they are read.
     """
     copied = firsts.where("n > 1")
-    held = texts.sparkSession.sparkContext.broadcast(bit_filter(key_bits(copied.select(F.xxhash64("digest").alias("key")))))
-
-    @F.pandas_udf("boolean")
-    def may_repeat(keys: pd.Series) -> pd.Series:
-        return pd.Series(passing(keys.to_numpy().view(np.uint64), held.value))
-
-    marked = texts.withColumn("copied", may_repeat(F.xxhash64("digest")))
+    marked = texts.withColumn("copied", maybe_in(copied.select(F.xxhash64("digest").alias("key")), F.xxhash64("digest")))
     # The row to stay is named by its digest and doc, so that texts are not carried through an aggregate.
     first = marked.where("copied").join(firsts.select(F.col("digest").alias("_d"), F.col("first_doc").alias("_f")), (F.col("digest") == F.col("_d")) & (F.col("doc") == F.col("_f")))
     first = materialise(first.dropDuplicates(["digest"]).select("text", *_KEYS), "copied", 1000)
@@ -111,28 +117,28 @@ def matched_spans(
     shard_bytes: int,
     shard_contents: int = SHARD_CONTENTS,
 ) -> DataFrame:
-    """Per text of ``unique(text, key, doc)`` with a match: key, doc, spans, the first and last windows of matching stretches.
+    """The texts of ``unique(text, key, doc)`` with a match, and their spans, the first and last windows of matching stretches.
 
     ``repeats(doc, low, n)`` says whether a stretch goes that n places have,
     ``low`` being the smallest doc among them. ``decide`` gets a shard
     (``pieces``) and returns key, doc, first, last of the windows that match.
     """
     runs = materialise(recurring_runs(unique, spec, recurring(unique, spec, within_text), within_text), "runs", 500)
-    judged = None
-    for i in range(SLICES):
-        part = judged_runs(runs.where(F.pmod("anchor", F.lit(SLICES)) == i), repeats)
-        judged = part if judged is None else judged.unionByName(part)
+    slices = [judged_runs(runs.where(F.pmod("anchor", F.lit(SLICES)) == i), repeats) for i in range(SLICES)]
     discard(runs)
+    judged = reduce(DataFrame.unionByName, slices)
     run = F.struct("anchor", "c1", "c2", "n", "first", "last")
 
     def listed(rows: DataFrame) -> DataFrame:
-        return unique.join(rows.groupBy(*_KEYS).agg(F.collect_list(run).alias("runs")), _KEYS)
+        lists = materialise(rows.groupBy(*_KEYS).agg(F.collect_list(run).alias("runs")), "listed")
+        return unique.where(maybe_in(lists.select("key"), F.col("key"))).join(lists, _KEYS)
 
     light = judged.where(F.col("mixed") & (F.col("kinds") <= shard_contents))
     parts = materialise(pieces(listed(light), spec), "pieces", 1000)
     shards = max(1, (parts.agg(F.sum(F.octet_length("piece"))).first()[0] or 0) // shard_bytes)
     decided = parts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInPandas(decide, "key long, doc long, first int, last int")
-    spans = [judged.where("whole").select(*_KEYS, "first", "last"), materialise(decided, "decided")]
+    decided = materialise(decided, "decided")
+    spans = [judged.where("whole").select(*_KEYS, "first", "last"), decided]
     discard(parts)
     heavy = judged.where(F.col("mixed") & (F.col("kinds") > shard_contents))
     if not heavy.isEmpty():
@@ -141,10 +147,10 @@ def matched_spans(
         found = windows.join(group, ["c1", "c2"]).where(repeats(F.col("doc"), F.col("low"), F.col("n")))
         spans.append(materialise(found.select(*_KEYS, F.col("at").alias("first"), F.col("at").alias("last")), "heavy"))
         discard(windows)
-    union = spans[0]
-    for more in spans[1:]:
-        union = union.unionByName(more)
-    return union.groupBy(*_KEYS).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    spans = reduce(DataFrame.unionByName, spans).groupBy(*_KEYS).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    spans = materialise(spans, "spans")
+    discard(*slices, decided)
+    return unique.where(maybe_in(spans.select("key"), F.col("key"))).join(spans, _KEYS)
 
 
 def stretches(gone: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -115,7 +115,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
             arrays = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, ["key", "doc", "cut", "cut_sha256", "cut_text"])
 
-    joined = unique.join(spans, ["key", "doc"]).select("text", "key", "doc", "spans")
+    joined = spans.select("text", "key", "doc", "spans")
     found = materialise(joined.mapInArrow(cut, "key long, doc long, cut long, cut_sha256 string, cut_text string"), "cut", 1000)
     narrow = hashed.select("doc_id", "key", "doc", "digest", "_whole", word_count(F.col("text")).alias("n_words"))
     copied = (F.col("n") > 1) & (F.col("n_words") >= length)

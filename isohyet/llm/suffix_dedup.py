@@ -101,7 +101,7 @@ def remove_seen(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_c
             arrays = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, ["key", "doc", "cut", "cut_spans", "cut_sha256"])
 
-    done = unique.join(spans, ["key", "doc"]).select("text", "key", "doc", "spans").mapInArrow(cut, "key long, doc long, cut long, cut_spans long, cut_sha256 string")
+    done = spans.select("text", "key", "doc", "spans").mapInArrow(cut, "key long, doc long, cut long, cut_spans long, cut_sha256 string")
     done = materialise(done, "cut", 1000)
     rows = docs.select("doc_id", F.coalesce("doc", F.lit(NO_ID)).alias("doc"), F.sha2(body, 256).alias("sha"), F.octet_length(body).cast("long").alias("n_bytes"))
     rows = rows.withColumn("digest", F.unhex("sha")).withColumn("key", F.xxhash64("digest"))
