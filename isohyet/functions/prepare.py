@@ -14,7 +14,14 @@ from pyspark.sql import functions as F
 #: Raw names of the input tables.
 RENAMES = {"tmean": "tas", "tmax": "tasmax", "tmin": "tasmin", "ppt": "pr", "tdmean": "tdew"}
 UNITS = {"tas": "degC", "tasmax": "degC", "tasmin": "degC", "pr": "mm d-1", "tdew": "degC", "vpdmax": "kPa", "vpdmin": "kPa"}
-UNIT_ALIASES = {"celsius": "degC", "C": "degC", "deg_C": "degC", "degrees_celsius": "degC", "mm": "mm/day"}
+UNIT_ALIASES = {"celsius": "degC", "C": "degC", "deg_C": "degC", "degrees_celsius": "degC", "mm": "mm/day", "millimeter": "mm/day", "millimeters": "mm/day"}
+#: Names of temperature variables begin with one of these, or hold one of the others.
+TEMPERATURE_PREFIXES = ("tas", "tg_", "tx_", "tn_", "temp")
+TEMPERATURE_INDICES = (
+    "frost_days", "ice_days", "summer_days", "hot_days", "tropical_nights", "heating_degree_days", "cooling_degree_days",
+    "growing_degree_days", "consecutive_frost_days", "warm_nights", "very_hot_days", "cold_spell", "warm_spell",
+    "freezing_degree_days", "extreme_temperature_range", "daily_temperature_range",
+)
 ALTERNATES = {
     "tas": ("tas", "tmean"),
     "tasmax": ("tasmax", "tmax"),
@@ -90,9 +97,14 @@ def wet_day(pr: Column, threshold: float = 1.0) -> Column:
     return F.when(pr >= threshold, pr)
 
 
+def is_temperature(name: str) -> bool:
+    low = name.lower()
+    return low.startswith(TEMPERATURE_PREFIXES) or any(x in low for x in TEMPERATURE_INDICES)
+
+
 def kelvin_to_celsius(df: DataFrame, limit: float = 200.0) -> DataFrame:
     """Converts temperature-named columns whose mean is above ``limit``."""
-    names = [c for c, t in df.dtypes if t in ("double", "float") and any(k in c.lower() for k in ("temp", "tas", "tx_", "tn_", "tg_", "tmean", "tmax", "tmin"))]
+    names = [c for c, t in df.dtypes if t in ("double", "float") and is_temperature(c)]
     if not names:
         return df
     means = df.agg(*[F.avg(c).alias(c) for c in names]).first()

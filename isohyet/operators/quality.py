@@ -8,10 +8,13 @@ results of different checks form one table.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import inf
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..plans.catalog import CATALOG
+
 #: Physical ranges.
 VALUE_RANGES = {
     "tg_mean": (-50, 50),
@@ -36,8 +39,8 @@ VALUE_RANGES = {
     "dry_days": (0, 365),
     "humid_days": (0, 365),
 }
-#: Indices that can be zero nearly everywhere.
-MOSTLY_ZERO = ("ice_days", "tropical_nights", "heat_wave_frequency", "cold_spell_frequency", "r20mm", "freezing_degree_days")
+#: Indices that can be zero nearly everywhere.
+MOSTLY_ZERO = ("frost_days", "ice_days", "tropical_nights", "r99p", "r95p", "heat_wave_frequency")
 MIN_LONG = -(2**63)
 
 
@@ -80,12 +83,28 @@ def completeness(spark: SparkSession, found: Sequence[str], expected: Sequence[s
     return gone.unionByName(extra).unionByName(done)
 
 
+def physical_limits() -> dict[str, tuple[float, float]]:
+    """What a catalog index can be at most, by its unit: temperatures, temperature ranges, day counts, water."""
+    out = {}
+    for name, index in CATALOG.items():
+        if index.unit == "degC" and index.group in ("temperature", "humidity"):
+            out[name] = (0, inf) if {"tasmax", "tasmin"} <= set(index.inputs) else (-60, 60)
+        elif index.unit == "1" and (index.dtype == "int" or index.spell or index.season):
+            out[name] = (0, 366)
+        elif index.unit.startswith("mm") or index.unit == "K days":
+            out[name] = (0, inf)
+    return out
+
+
+def _limits(ranges: Mapping[str, tuple[float, float]]) -> tuple[Column, Column]:
+    """The bounds of a row's variable; null where none are known."""
+    return tuple(F.element_at(F.create_map(*[F.lit(x) for k, v in ranges.items() for x in (k, float(v[i]))]), F.col("variable")) for i in (0, 1))
+
+
 def value_checks(long: DataFrame, ranges: Mapping[str, tuple[float, float]] | None = None, mostly_zero: Sequence[str] = MOSTLY_ZERO) -> DataFrame:
     """Coverage, value range, constancy, six-sigma extremes, zeros and shape of each variable, in one aggregate."""
     s = _per_variable(long)
-    limits = {**VALUE_RANGES, **(ranges or {})}
-    low = F.element_at(F.create_map(*[F.lit(x) for k, v in limits.items() for x in (k, float(v[0]))]), F.col("variable"))
-    high = F.element_at(F.create_map(*[F.lit(x) for k, v in limits.items() for x in (k, float(v[1]))]), F.col("variable"))
+    low, high = _limits({**physical_limits(), **VALUE_RANGES, **(ranges or {})})
     missing = 1 - F.col("there") / F.col("n")
     far = F.try_divide(F.greatest(F.abs(F.col("low") - F.col("mean")), F.abs(F.col("high") - F.col("mean"))), F.col("std"))
     zero = F.try_divide(F.col("zeros"), F.col("there"))
@@ -187,8 +206,9 @@ def grid_checks(cells: DataFrame, n_lat: int, n_lon: int, lat: tuple[float, floa
 
 def axis_order(axis: DataFrame, position: str, value: str) -> DataFrame:
     """Whether ``value`` rises with ``position`` throughout, or falls: for a stored coordinate or time axis."""
-    d = axis.withColumn("d", F.when(F.col(value) > F.lag(value).over(Window.orderBy(position)), 1).when(F.col(value) < F.lag(value).over(Window.orderBy(position)), -1).otherwise(0))
-    s = d.where(F.col(position) > F.lit(0)).agg(F.count_if(F.col("d") <= 0).alias("down"), F.count_if(F.col("d") >= 0).alias("up"))
+    w = Window.orderBy(position)  # lines of an axis only
+    before = axis.select(F.col(value).alias("x"), F.lag(value).over(w).alias("last"), F.row_number().over(w).alias("n")).where("n > 1")
+    s = before.agg(F.count_if(F.coalesce(F.col("x") <= F.col("last"), F.lit(True))).alias("down"), F.count_if(F.coalesce(F.col("x") >= F.col("last"), F.lit(True))).alias("up"))
     return s.select(*result("axis_order", level((F.col("down") > 0) & (F.col("up") > 0)), F.least("down", "up"), "", F.lit(value)))
 
 
@@ -220,19 +240,10 @@ def overall_coverage(long: DataFrame) -> DataFrame:
 
 
 def physical_validity(long: DataFrame) -> DataFrame:
-    """Ranges by what a variable's name says it is: temperature, day count, precipitation, temperature range."""
+    """Ranges by what the catalog says of a variable (``physical_limits``); one that it does not know passes."""
     s = long.groupBy("variable").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    name = F.col("variable")
-    is_range, is_temp = name.contains("temperature_range"), name.rlike("temperature|temp|tas|tmean")
-    is_days = name.rlike("frost_days|ice_days|summer_days|hot_days|tropical_nights|consecutive_dry_days|consecutive_wet_days")
-    is_rain = name.rlike("precipitation|prcp|pr")
-    bad = (
-        (is_temp & ((F.col("low") < -60) | (F.col("high") > 60)))
-        | (is_days & ((F.col("low") < 0) | (F.col("high") > 366)))
-        | (is_rain & (F.col("low") < 0))
-        | (is_range & (F.col("low") < 0))
-    )
-    return s.select(*result("physical_validity", level(bad), F.col("low"), "", name))
+    least, most = _limits(physical_limits())
+    return s.select(*result("physical_validity", level((F.col("low") < least) | (F.col("high") > most)), F.col("low"), "", F.col("variable")))
 
 
 def index_counts(found: Mapping[str, int], expected: Mapping[str, int], spark: SparkSession) -> DataFrame:

@@ -88,11 +88,15 @@ def monthly_climatology(daily: DataFrame, variable: str) -> DataFrame:
     return per_cell.groupBy("month").agg(F.avg("m").alias(variable))
 
 
-def correlations(df: DataFrame, variables: Sequence[str], limit: int = 20) -> DataFrame:
-    """Pairwise-complete correlations of the first ``limit`` variables in one pass: a, b, corr."""
-    names = list(variables)[:limit]
+def correlations(df: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """Pairwise-complete correlations of all variables in one pass: a, b, corr; null where one does not vary."""
+    names = list(variables)
     pairs = [*combinations(names, 2), *((n, n) for n in names)]
-    both = lambda a, b: F.corr(*(F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.col(x).cast("double")) for x in (a, b)))
+
+    def both(a: str, b: str) -> Column:
+        x, y = (F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.col(v).cast("double")) for v in (a, b))
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
     one = df.agg(*[both(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{i}`").alias("corr")) for i, (a, b) in enumerate(pairs)]
     upper = one.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
@@ -142,7 +146,3 @@ def point_statistics(daily: DataFrame) -> DataFrame:
     )
 
 
-def decade(year: Column) -> Column:
-    return F.floor(year / 10) * 10
-
-

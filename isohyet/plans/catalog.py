@@ -51,13 +51,6 @@ def total(value: Callable[[], Column]) -> Callable[[], Column]:
     return lambda: F.coalesce(F.sum(value()), F.lit(0.0))
 
 
-def _both(*names: str) -> Column:
-    out = c(names[0]).isNotNull()
-    for n in names[1:]:
-        out &= c(n).isNotNull()
-    return out
-
-
 def _temperature() -> list[Index]:
     def index(name, inputs, unit="1", **how):
         return Index(name, "temperature", inputs if isinstance(inputs, tuple) else (inputs,), unit, **how)

@@ -65,9 +65,12 @@ def read_baseline(
 
 
 def write_by_year(df: DataFrame, path: str) -> None:
-    """Replaces the years that ``df`` has and leaves the others; running it again gives the same table."""
+    """Replaces the years that ``df`` has and leaves the others; running it again gives the same table.
+
+    Rows are dealt by year, and Spark splits years that are too large for a task.
+    """
     (
-        df.repartition("year")
+        df.hint("rebalance", "year")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year")
@@ -86,8 +89,10 @@ def append_year(df: DataFrame, path: str) -> None:
     write_by_year(df, path)
 
 
-def write_extraction(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+def write_extraction(df: DataFrame, path: str, order: Sequence[str] = ("saleid", "parcelid", "year")) -> None:
+    """Extracted values as CSV, in the order of those of the ``order`` columns that are there, over all files."""
+    there = [c for c in order if c in df.columns]
+    (df.orderBy(*there) if there else df).write.mode("overwrite").csv(path, header=True)
 
 
 def write_report(df: DataFrame, path: str, kind: str = "json") -> None:

@@ -13,13 +13,15 @@ from ..sources.tables import write_by_year
 
 
 def ingest(
-    spark: SparkSession, incoming: str, schema: T.StructType, archive: str, results: str, checkpoint: str, compute: Callable[[DataFrame], DataFrame]
+    spark: SparkSession, incoming: str, schema: T.StructType, archive: str, results: str, checkpoint: str, compute: Callable[[DataFrame], DataFrame], reach: int = 1
 ) -> StreamingQuery:
     """Starts a run over all new files under ``incoming`` and returns the query.
 
     A batch adds its rows to ``archive`` (partitioned by year and batch), finds
     the years it touched, computes their results from the archive alone, and
-    replaces these years in ``results``. A batch that runs again replaces its own
+    replaces these years in ``results``. ``reach`` is how many years back a
+    result of ``compute`` looks: so many years before are read too, and so many
+    after are computed again. A batch that runs again replaces its own
     rows, so the outcome is the same; of rows for one cell and day, the latest
     batch wins. ``compute`` takes daily rows and returns rows with year.
     """
@@ -30,10 +32,12 @@ def ingest(
         if not touched:
             return
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "batch").parquet(archive)
-        history = spark.read.schema(rows.schema).parquet(archive).where(F.col("year").isin(touched))
+        stale = {y + k for y in touched for k in range(reach + 1)}
+        needed = {y - k for y in stale for k in range(reach + 1)}
+        history = spark.read.schema(rows.schema).parquet(archive).where(F.col("year").isin(sorted(needed)))
         values = [c for c in batch.columns if c not in ("cell_id", "date")]
         latest = history.groupBy("cell_id", "date").agg(F.max_by(F.struct(*values), "batch").alias("v")).select("cell_id", "date", "v.*")
-        write_by_year(compute(latest), results)
+        write_by_year(compute(latest).where(F.col("year").isin(sorted(stale))), results)
 
     stream = spark.readStream.schema(schema).parquet(incoming)
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -215,3 +215,55 @@ def test_daily_view_has_every_ship_date(spark, tmp_path):
     assert {r["year"]: (r["n"], r["cells"]) for r in days.collect()} == {y: (3 * (366 if y % 4 == 0 else 365), 3) for y in range(1993, 2003)}
     got = {r["year"]: (r["status"], r["metric"]) for r in QUERIES["quality_grid_consistency"](spark, str(tmp_path)).collect()}
     assert got == {y: ("FAIL", 4.0) if y == 1999 else ("PASS", 3.0) for y in range(1993, 2003)}
+
+
+def test_ingest_reaches_over_new_year(spark, tmp_path):
+    schema = "cell_id long, date date, pr double"
+    rain = {date(2000, 12, 28) + timedelta(days=i): 10.0 for i in range(8)}
+    days = [(1, date(2000, 1, 1) + timedelta(days=i), rain.get(date(2000, 1, 1) + timedelta(days=i), 0.0)) for i in range(731)]
+    results = str(tmp_path / "results")
+    compute = lambda d: compute_indices(d, names=["max_7day_pr_intensity"], max_missing=None)
+    for name, keep in (("a", lambda d: d.year == 2001), ("b", lambda d: d.year == 2000)):
+        frame = spark.createDataFrame([r for r in days if keep(r[1])], schema)
+        frame.write.parquet(str(tmp_path / "in" / name))
+        ingest(spark, f"{tmp_path}/in/*", frame.schema, str(tmp_path / "archive"), results, str(tmp_path / "cp"), compute).awaitTermination()
+    assert {r["year"]: r["max_7day_pr_intensity"] for r in spark.read.parquet(results).collect()} == {2000: 40.0, 2001: 70.0}
+
+
+def test_axis_order_from_any_position(spark):
+    def status(values, first):
+        rows = [(first + i, x) for i, x in enumerate(values)]
+        return quality.axis_order(spark.createDataFrame(rows, "i int, x double"), "i", "x").first()["status"]
+
+    assert [status([1.0, 2.0, 3.0], 1), status([3.0, 2.0, 1.0], -5), status([1.0], 4)] == ["PASS"] * 3
+    assert [status([1.0, 2.0, 2.0, 1.0], 1), status([1.0, None, 3.0], 0), status([2.0, 1.0, 3.0], -1)] == ["FAIL"] * 3
+
+
+def test_physical_validity_knows_units(spark):
+    rows = [("temperature_seasonality", 300.0), ("last_spring_frost", -1.0), ("tg_mean", 61.0), ("r10mm", 400.0), ("prcptot", -1.0), ("daily_temperature_range", -0.5), ("tn_min", -20.0)]
+    got = {r["variable"]: r["status"] for r in quality.physical_validity(spark.createDataFrame(rows, "variable string, value double")).collect()}
+    assert {k for k, v in got.items() if v == "FAIL"} == {"tg_mean", "r10mm", "prcptot", "daily_temperature_range", "last_spring_frost"}
+
+
+def test_zero_exceptions_units_and_kelvin(spark):
+    rows = [(v, 0.0) for v in ("frost_days", "r95p", "r20mm")]
+    got = {r["variable"]: r["status"] for r in quality.value_checks(spark.createDataFrame(rows, "variable string, value double")).where("check = 'zeros'").collect()}
+    assert got == {"frost_days": "WARNING", "r95p": "WARNING", "r20mm": "FAIL"}
+    assert {prepare.standard_unit(u) for u in ("mm", "millimeter", "millimeters")} == {"mm/day"}
+    assert prepare.is_temperature("TX_max") and prepare.is_temperature("the_frost_days_sum") and not prepare.is_temperature("vpdmax") and not prepare.is_temperature("dewpoint_temp")
+    df = spark.createDataFrame([(300.0, 300.0)], "tx_max double, dewpoint_mean double")
+    assert prepare.kelvin_to_celsius(df).first().asDict() == {"tx_max": pytest.approx(26.85), "dewpoint_mean": 300.0}
+
+
+def test_extraction_is_sorted(spark, tmp_path):
+    rows = [(s, p, y, 1.0) for s in (2, 1) for p in (9, 8) for y in (2001, 2000)]
+    df = spark.createDataFrame(rows, "saleid long, parcelid long, year int, v double").repartition(3)
+    tables.write_extraction(df, str(tmp_path / "out"))
+    lines = [x for f in sorted((tmp_path / "out").glob("part-*")) for x in f.read_text().splitlines() if not x.startswith("saleid")]
+    assert lines == [f"{s},{p},{y},1.0" for s, p, y, _ in sorted(rows)]
+
+
+def test_correlations_of_many_variables(spark):
+    names = [f"v{i}" for i in range(23)]
+    df = spark.createDataFrame([tuple(float((i * k) % 7) for i in range(1, 24)) for k in range(9)], ", ".join(f"{n} double" for n in names))
+    assert stats.correlations(df, names).count() == 23 * 23
