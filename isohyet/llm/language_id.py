@@ -155,9 +155,12 @@ def keep_identified(docs: DataFrame, min_score: float = 0.2, profiles: dict[str,
         profiles = fit_profiles(docs.where(~held_out(F.col("doc_id"))))
     predict = predictor(profiles)
     columns = docs.columns
+    name = "lang"
+    while name in columns:
+        name = f"_{name}"
     return (
-        docs.withColumn("__lang", predict("text"))
-        .where((F.col("__lang.lang_pred") != UNDETERMINED) & (F.col("__lang.score") >= min_score))
+        docs.withColumn(name, predict("text"))
+        .where((F.col(f"{name}.lang_pred") != UNDETERMINED) & (F.col(f"{name}.score") >= min_score))
         .select(*[F.col(f"`{c}`") for c in columns])
     )
 

@@ -18,30 +18,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, table, word_count
+from .common import materialise, ranked, table, word_count
 
 MAX_STEPS = 60
 TOLERANCE = 1e-7
 BUCKET_ROWS = 4096
+RANGE_SIZES = 256
 
 
 def cyclic_weights(sources: DataFrame, weights: Sequence[float]) -> DataFrame:
-    """``sources(source, ...)`` with weight: the given weights over the sources by code point, null last, repeating.
-
-    Ranks come from a range partitioning and the row counts of its partitions,
-    so no task sorts all sources.
-    """
-    placed = sources.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("_part", F.spark_partition_id())
-    placed = materialise(placed, "sources")
-    before, total = [], 0
-    for r in sorted(placed.groupBy("_part").agg(F.count("*").alias("n")).collect()):  # a number for each partition
-        before += [F.lit(r["_part"]), F.lit(total)]
-        total += r["n"]
-    if not before:
-        return placed.drop("_part").withColumn("weight", F.lit(1.0))
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy(F.col("source").asc_nulls_last())) - 1 + F.create_map(*before)[F.col("_part")]
+    """``sources(source, ...)`` with weight: the given weights over the sources by code point, null last, repeating."""
+    placed = ranked(sources, "source", "_rank")
+    rank = F.col("_rank")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(rank, F.lit(len(weights))) + 1).cast("int"))
-    return placed.withColumn("weight", weight).drop("_part")
+    return placed.withColumn("weight", weight).drop("_rank")
 
 
 def share_targets(sources: DataFrame, total_share: float = 1.5, cap: float = 2.0) -> DataFrame:
@@ -122,25 +112,45 @@ def whole_copies(groups: DataFrame, cap: float = 2.0) -> DataFrame:
 
     Goes from the longest size of a source to the shortest and carries the
     words that rounding left over into the next size, so the last remainder is
-    about a word. A source has no more sizes than its longest document has words.
+    about a word. Sizes are dealt in ranges of ``RANGE_SIZES``, each of which
+    starts without a carry; what a range leaves over is then carried from range
+    to range and settled by the shortest size of each.
     """
-    state = F.struct(F.lit(0.0).alias("carry"), F.array().cast("array<bigint>").alias("copies"))
+    keys = groups.select("source", "size", "n", "rate")
+    place = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("size"))) - 1
+    ranges = keys.withColumn("range", F.floor(place / RANGE_SIZES)).groupBy("source", "range")
+    ranges = ranges.agg(F.sort_array(F.collect_list(F.struct("size", "n", "rate")), asc=False).alias("sizes"))
+
+    def most(g: Column) -> Column:
+        return F.floor(g["n"] * F.lit(float(cap)))
 
     def step(acc: Column, g: Column) -> Column:
         ideal = g["n"] * g["rate"] + F.try_divide(acc["carry"], g["size"])
-        taken = F.coalesce(F.greatest(F.lit(0), F.least(F.floor(g["n"] * F.lit(float(cap))), F.round(ideal).cast("long"))), g["n"])
+        taken = F.coalesce(F.greatest(F.lit(0), F.least(most(g), F.round(ideal).cast("long"))), g["n"])
         return F.struct(
             F.coalesce((ideal - taken) * g["size"], acc["carry"]).alias("carry"),
             F.concat(acc["copies"], F.array(taken)).alias("copies"),
         )
 
-    sizes = F.sort_array(F.collect_list(F.struct("size", "n", "rate")), asc=False)
-    folded = groups.groupBy("source").agg(sizes.alias("sizes")).select(
-        "source", F.explode(F.arrays_zip("sizes", F.aggregate("sizes", state, step, lambda s: s["copies"]).alias("copies"))).alias("g")
-    )
-    folded = folded.select(F.col("source").alias("_s"), F.col("g.sizes.size").alias("_z"), F.col("g.copies").alias("group_copies"))
+    def settle(acc: Column, r: Column) -> Column:
+        carry = acc["carry"] + r["carry"]
+        moved = F.greatest(-r["taken"], F.least(most(r) - r["taken"], F.round(F.try_divide(carry, r["size"])).cast("long")))
+        moved = F.coalesce(moved, F.lit(0).cast("long"))
+        return F.struct((carry - moved * r["size"]).alias("carry"), F.concat(acc["copies"], F.array(moved)).alias("copies"))
+
+    start = F.struct(F.lit(0.0).alias("carry"), F.array().cast("array<bigint>").alias("copies"))
+    folded = materialise(ranges.withColumn("f", F.aggregate("sizes", start, step)).select("source", "range", "sizes", "f.*"), "folded")
+    end = F.element_at("sizes", -1)
+    summary = F.struct("range", end["size"].alias("size"), end["n"].alias("n"), F.element_at("copies", -1).alias("taken"), "carry")
+    settled = folded.groupBy("source").agg(F.sort_array(F.collect_list(summary)).alias("ranges"))  # a row for each range
+    moved = F.explode(F.arrays_zip("ranges", F.aggregate("ranges", start, settle, lambda x: x["copies"]).alias("moved")))
+    settled = settled.select(F.col("source").alias("_s"), moved.alias("m")).select("_s", F.col("m.ranges.range").alias("_r"), "m.moved")
+    both = folded.join(settled, F.col("source").eqNullSafe(F.col("_s")) & (F.col("range") == F.col("_r")))
+    copies = F.concat(F.slice("copies", F.lit(1), F.size("copies") - 1), F.array(F.element_at("copies", -1) + F.col("moved")))
+    both = both.select("source", F.explode(F.arrays_zip("sizes", copies.alias("copies"))).alias("g"))
+    both = both.select(F.col("source").alias("_s"), F.col("g.sizes.size").alias("_z"), F.col("g.copies").alias("group_copies"))
     same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z"))
-    return groups.join(folded, same).drop("_s", "_z")
+    return groups.join(both, same).drop("_s", "_z")
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), total_share: float = 1.5, cap: float = 2.0) -> DataFrame:

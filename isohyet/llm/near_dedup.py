@@ -43,9 +43,12 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def word_id(words: list[bytes]) -> int | None:
-    """A 64-bit id of a word sequence; equal sequences are one node."""
-    return int.from_bytes(blake2b(b" ".join(words), digest_size=8).digest(), "little", signed=True) if words else None
+def word_ids(words: list[bytes]) -> tuple[int | None, int | None]:
+    """The halves of a 128-bit cryptographic digest of a word sequence; equal sequences are one node."""
+    if not words:
+        return None, None
+    digest = blake2b(b" ".join(words), digest_size=16).digest()
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
 def shingle_set(words: list[bytes], k: int) -> set:
@@ -127,23 +130,34 @@ def needed(steps: Sequence[int], threshold: float, miss: float) -> list[int]:
 
 
 def signatures(docs: DataFrame, k: int, size: int) -> DataFrame:
-    """``docs(doc_id, text)`` to doc_id, n_shingles, id, sig; id, a hash of the words, and sig are null without words."""
+    """``docs(doc_id, text)`` to doc_id, n_shingles, id, check, sig; id and check, a digest of the words, and sig are null without words."""
     doc_id = docs.schema["doc_id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = multipliers(size)
         for batch in batches:
-            sizes, ids, sigs = [], [], []
+            sizes, ids, checks, sigs = [], [], [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 words = words_of(text)
                 hashes = shingle_hashes(words, k)
                 sizes.append(len(hashes))
-                ids.append(word_id(words))
+                for column, half in zip((ids, checks), word_ids(words), strict=True):
+                    column.append(half)
                 sigs.append(minhash(hashes, by).tobytes() if words else None)
-            arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(sigs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "id", "sig"])
+            arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(checks, pa.int64()), pa.array(sigs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "id", "check", "sig"])
+
+    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {doc_id}, n_shingles long, id long, check long, sig binary")
+
 
-    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {doc_id}, n_shingles long, id long, sig binary")
+def told_apart(signed: DataFrame) -> DataFrame:
+    """``signed`` with a new id where one stands for different words, as the digest's second half shows."""
+    several = signed.where("id is not null").groupBy("id").agg(F.min("check").alias("a"), F.max("check").alias("z")).where("a <> z").select(F.col("id").alias("_shared"))
+    several = materialise(several, "shared_ids")
+    if several.isEmpty():
+        return signed
+    marked = signed.join(several, F.col("id") == F.col("_shared"), "left")
+    return marked.withColumn("id", F.when(F.col("_shared").isNotNull(), F.xxhash64("id", "check")).otherwise(F.col("id"))).drop("_shared")
 
 
 def band_matrix(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -278,16 +292,16 @@ def linked_components(docs: DataFrame, signed: DataFrame, k: int, percent: int,
     clusters = components(materialise(shared, "shared")).withColumnsRenamed({"node": "id", "label": "cluster"})
     # One row of each node, whose text is found by its doc_id and, where rows
     # repeat a doc_id, by its words.
-    members = signed.join(clusters, "id").groupBy("id", "cluster").agg(F.min(F.struct("doc_id", "sig")).alias("r"))
-    members = materialise(members.select("id", "cluster", "r.doc_id", "r.sig"), "members").withColumnRenamed("doc_id", "rep")
+    members = signed.join(clusters, "id").groupBy("id", "cluster").agg(F.min(F.struct("doc_id", "check", "sig")).alias("r"))
+    members = materialise(members.select("id", "cluster", "r.doc_id", "r.check", "r.sig"), "members").withColumnRenamed("doc_id", "rep")
     texts = docs.select("doc_id", "text").where("text is not null")
-    active = members.join(texts, members["rep"].eqNullSafe(texts["doc_id"])).select("id", "cluster", "sig", "text")
+    active = members.join(texts, members["rep"].eqNullSafe(texts["doc_id"])).select("id", "check", "cluster", "sig", "text")
 
     @F.pandas_udf("boolean")
-    def is_text_of(ids: pd.Series, text: pd.Series) -> pd.Series:
-        return pd.Series([word_id(words_of(t.encode())) == n for n, t in zip(ids, text, strict=True)], dtype=bool)
+    def is_text_of(checks: pd.Series, text: pd.Series) -> pd.Series:
+        return pd.Series([word_ids(words_of(t.encode()))[1] == n for n, t in zip(checks, text, strict=True)], dtype=bool)
 
-    active = materialise(active.where(is_text_of("id", "text")), "active").dropDuplicates(["id"])
+    active = materialise(active.where(is_text_of("check", "text")).drop("check"), "active").dropDuplicates(["id"])
     return components(materialise(verified_links(active, Verifier(k, percent, miss, bands, rows)), "links"))
 
 
@@ -303,10 +317,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     an empty result; other columns are ignored. Bands, and the posterior bounds
     of all looks together, each miss a link at exactly the threshold with a
     probability of at most ``miss``, as far as MinHash values are independent.
-    Texts are told apart by 64-bit hashes of their words.
+    Texts of equal words are told by a 128-bit cryptographic digest.
     """
     bands, rows = banding(docs.count(), percent, miss)
     signed = materialise(signatures(docs, k, -(-bands * rows // BATCH) * BATCH), "signed", 500)
+    signed = told_apart(signed)
     labels = linked_components(docs, signed, k, percent, miss, bands, rows)
     narrow = signed.select("doc_id", "n_shingles", "id")
     reps = narrow.where("id is not null").groupBy("id").agg(F.min("doc_id").alias("rep"))

@@ -18,6 +18,7 @@ import html
 import lzma
 import re
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,7 +30,10 @@ from pyspark.sql import functions as F
 from .common import table
 
 KINDS = ("assign", "access", "hex")
-MAX_LAYER_BYTES = 64 << 20
+#: A decompressed layer is scanned in pieces of so many bytes, which overlap by so many.
+MAX_LAYER_BYTES, OVERLAP = 64 << 20, 1 << 16
+#: Memory that a compressed layer may ask of its decoder.
+MEMORY = 256 << 20
 SPAN = "array<struct<kind:string,start:int,end:int,value:string,layer:string>>"
 
 ASSIGN = re.compile(
@@ -51,8 +55,8 @@ class Layer:
     """Decoded text; starts and ends give each character's stretch of the original, None for the original itself."""
 
     text: str
-    starts: list[int] | None
-    ends: list[int] | None
+    starts: array | None
+    ends: array | None
     path: str
 
     def span(self, start: int, end: int) -> tuple[int, int]:
@@ -68,27 +72,37 @@ def scan(text: str) -> Iterator[tuple[str, int, int]]:
     yield from (("hex", *m.span()) for m in HEX.finditer(text))
 
 
+def _text(data: bytes) -> str:
+    """UTF-8, or UTF-16 where every other byte is zero, or else a character for each byte."""
+    try:
+        text = data.decode("utf-8")
+        if "\0" not in text:
+            return text
+    except UnicodeDecodeError:
+        pass
+    for first, codec in ((1, "utf-16-le"), (0, "utf-16-be")):
+        if len(data) > 3 and len(data) % 2 == 0 and not any(data[first::2]):
+            return data.decode(codec)
+    return data.decode("latin-1")
+
+
 def _percent(run: str) -> str:
-    return bytes.fromhex(run.replace("%", "")).decode("utf-8")
+    return _text(bytes.fromhex(run.replace("%", "")))
 
 
 def _escape(run: str) -> str:
     if run[0] == "&":
         return html.unescape(run)
     if run[1] == "x":
-        data = bytes.fromhex(run.replace("\\x", ""))
-        try:
-            return data.decode("utf-8")
-        except UnicodeDecodeError:
-            return data.decode("latin-1")
+        return _text(bytes.fromhex(run.replace("\\x", "")))
     if run[1] == "U" or run[2] == "{":
         return chr(int(run[2:].strip("{}"), 16))
-    return bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be")
+    return bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be", "replace")
 
 
 def _replaced(layer: Layer, pattern: re.Pattern, decode, name: str) -> Layer | None:
     """The layer with every match of ``pattern`` decoded; None if there is none."""
-    parts, starts, ends, at = [], [], [], 0
+    parts, starts, ends, at = [], array("i"), array("i"), 0
 
     def plain(end: int) -> None:
         parts.append(layer.text[at:end])
@@ -103,8 +117,8 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode, name: str) -> Layer | N
         plain(m.start())
         start, end = layer.span(*m.span())
         parts.append(decoded)
-        starts.extend([start] * len(decoded))
-        ends.extend([end] * len(decoded))
+        starts.extend(array("i", [start]) * len(decoded))
+        ends.extend(array("i", [end]) * len(decoded))
         at = m.end()
     if not at:
         return None
@@ -112,55 +126,77 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode, name: str) -> Layer | N
     return Layer("".join(parts), starts, ends, f"{layer.path}>{name}".lstrip(">"))
 
 
-def _inflate(data: bytes, limit: int) -> tuple[bytes, str]:
-    """Decompressed bytes and the codec, or the data and ``""``."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, limit), "gzip"
-        if data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-            return zlib.decompressobj().decompress(data, limit), "zlib"
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, limit), "bz2"
-        if data[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor(memlimit=limit).decompress(data, limit), "xz"
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        pass
-    return data, ""
+def _stream(data: bytes):
+    """A fresh decompressor for the data by its first bytes, and the codec; ``(None, "")`` if it is not compressed."""
+    if data[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31), "gzip"
+    if data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
+        return zlib.decompressobj(), "zlib"
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor(), "bz2"
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor(memlimit=MEMORY), "xz"
+    return None, ""
+
+
+def _inflated(data: bytes, limit: int) -> Iterator[bytes]:
+    """The content of all members of compressed data, in pieces of up to ``limit`` bytes; ends where the data is damaged."""
+    while data:
+        stream, codec = _stream(data)
+        if stream is None:
+            return
+        try:
+            rest = data
+            while not stream.eof:
+                piece = stream.decompress(rest, limit)
+                rest = stream.unconsumed_tail if codec in ("gzip", "zlib") else b""
+                if piece:
+                    yield piece
+                elif not rest:
+                    return
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+            return
+        data = stream.unused_data
+
+
+def _opened(data: bytes, limit: int, path: str = "") -> Iterator[tuple[bytes, str]]:
+    """The data, or where it is compressed, its content through all codecs: pieces that overlap, and the codecs."""
+    _, codec = _stream(data)
+    held, any_piece = b"", False
+    for piece in _inflated(data, limit) if codec else ():
+        any_piece = True
+        yield from _opened(held + piece, limit, f"{path}>{codec}")
+        held = (held + piece)[-OVERLAP:]
+    if not any_piece:
+        yield data, path
 
 
 def _decoded_runs(layer: Layer, limit: int) -> Iterator[Layer]:
     for m in BASE64.finditer(layer.text):
         run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
         if len(run) % 4 == 1:
-            continue
+            run = run[:-1]
         try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
+            whole = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
-        path, codec = "base64", "-"
-        while codec:
-            data, codec = _inflate(data, limit)
-            path += f">{codec}" if codec else ""
-        try:
-            text = data.decode("utf-8")
-        except UnicodeDecodeError:
-            continue
-        if sum(c.isprintable() or c in "\t\n\r" for c in text) < 0.9 * len(text):
-            continue
-        start, path_in = m.start(), f"{layer.path}>{path}".lstrip(">")
-        if path == "base64":
-            # Byte i comes from the base64 digits that hold its bits.
-            starts, ends, byte = [], [], 0
-            for c in text:
-                size = len(c.encode("utf-8"))
-                a, b = layer.span(start + byte * 8 // 6, start + -(-(byte + size) * 8 // 6))
-                starts.append(a)
-                ends.append(b)
-                byte += size
-        else:
-            a, b = layer.span(*m.span())
-            starts, ends = [a] * len(text), [b] * len(text)
-        yield Layer(text, starts, ends, path_in)
+        start = m.start()
+        for data, codecs in _opened(whole, limit):
+            text, path = _text(data), f"{layer.path}>base64{codecs}".lstrip(">")
+            if codecs or len(text) * 2 == len(data):
+                a, b = layer.span(*m.span())
+                starts, ends = array("i", [a]) * len(text), array("i", [b]) * len(text)
+            else:
+                # Byte i comes from the base64 digits that hold its bits.
+                starts, ends, byte = array("i"), array("i"), 0
+                utf8 = len(text) != len(data)
+                for c in text:
+                    size = len(c.encode("utf-8")) if utf8 else 1
+                    a, b = layer.span(start + byte * 8 // 6, start + -(-(byte + size) * 8 // 6))
+                    starts.append(a)
+                    ends.append(b)
+                    byte += size
+            yield Layer(text, starts, ends, path)
 
 
 def unwrap(layer: Layer, limit: int) -> Iterator[Layer]:
@@ -208,8 +244,9 @@ def find_secrets(docs: DataFrame, limit: int = MAX_LAYER_BYTES) -> DataFrame:
 
     Positions are code points, end exclusive. A null or empty text has no
     spans. Repeated rows give repeated rows; an empty table gives an empty
-    result; other columns are ignored. A compressed layer is read up to
-    ``limit`` bytes, against decompression bombs.
+    result; other columns are ignored. A compressed layer is read in pieces of
+    ``limit`` bytes, against decompression bombs; a secret longer than their
+    overlap can be cut.
     """
     return docs.select("doc_id", secret_spans(limit)("text").alias("spans"))
 

@@ -8,6 +8,7 @@ payload digests.
 from __future__ import annotations
 
 import base64
+import binascii
 import hashlib
 import uuid
 import zlib
@@ -34,6 +35,20 @@ def sha1_label(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def bare_digest(label: str | None) -> str | None:
+    """The hexadecimal form of a SHA-1 label; null where it is none."""
+    try:
+        return base64.b32decode(label[5:]).hex() if label and label.startswith("sha1:") else None
+    except binascii.Error:
+        return None
+
+
+def record_id(page_id: str | None, payload: bytes) -> str:
+    """A record's id, by which revisits refer to it: the same for the same page and payload."""
+    name = uuid.uuid4() if page_id is None else uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id} {hashlib.sha1(payload).hexdigest()}")
+    return f"<urn:uuid:{name}>"
+
+
 def record(kind: str, record_id: str, uri: str, payload: bytes, extra: dict[str, str]) -> bytes:
     """One record as a gzip member. A revisit keeps the HTTP head and leaves out the payload."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
@@ -62,7 +77,10 @@ def members(stream: BinaryIO, piece: int = PIECE) -> Iterator[tuple[int, bytes]]
         while not inflate.eof:
             if not rest:
                 raise ValueError(f"the gzip member at {offset} is cut off")
-            content += inflate.decompress(rest)
+            try:
+                content += inflate.decompress(rest)
+            except zlib.error as damage:
+                raise ValueError(f"no gzip member at {offset}") from damage
             used += len(rest) - len(inflate.unused_data)
             rest = inflate.unused_data if inflate.eof else stream.read(piece)
         yield offset, bytes(content)
@@ -70,12 +88,27 @@ def members(stream: BinaryIO, piece: int = PIECE) -> Iterator[tuple[int, bytes]]
         rest = rest or stream.read(piece)
 
 
+def readable(stream: BinaryIO) -> Iterator[tuple[int, bytes | None]]:
+    """The members of a stream up to damage, and then None at its offset."""
+    found, offset = members(stream), 0
+    while True:
+        try:
+            offset, content = next(found)
+        except StopIteration:
+            return
+        except ValueError:
+            yield offset, None
+            return
+        yield offset, content
+
+
 def parse(content: bytes) -> dict:
     """The fields of a record; valid is False where a length or digest does not hold."""
     head, _, body = content.partition(b"\r\n\r\n")
     version, *lines = head.decode("utf-8", "replace").split("\r\n")
     fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-    length = int(fields.get("content-length", -1))
+    stated = fields.get("content-length", "")
+    length = int(stated) if stated.isascii() and stated.isdigit() else -1
     block = body[: max(0, length)]
     valid = version.startswith("WARC/") and len(block) == length and body[length:] == b"\r\n\r\n"
     http, payload = {}, block
@@ -97,7 +130,7 @@ def parse(content: bytes) -> dict:
         "refers_to": fields.get("x-refers-to-page"),
         "content_length": length,
         "payload_length": declared if kind == "revisit" else len(payload),
-        "payload_digest": base64.b32decode(label[5:]).hex() if label and label.startswith("sha1:") else None,
+        "payload_digest": bare_digest(label),
         "payload": payload,
         "valid": bool(valid),
     }
@@ -159,9 +192,9 @@ def write_archives(pages: DataFrame, base: str, file_bytes: int = FILE_BYTES) ->
                     out = store.open_output_stream(path, compression=None)
                 extra = {} if page_id is None else {"X-Page-ID": page_id}
                 if kind == "revisit":
-                    extra |= {"WARC-Profile": PROFILE, "X-Refers-To-Page": refers}
+                    extra |= {"WARC-Profile": PROFILE, "WARC-Refers-To": record_id(refers, bytes(body)), "X-Refers-To-Page": refers}
                 uri = (url or "").replace("\r", "%0D").replace("\n", "%0A")
-                data = record(kind, f"<urn:uuid:{uuid.uuid4()}>", uri, bytes(body), extra)
+                data = record(kind, record_id(page_id, bytes(body)), uri, bytes(body), extra)
                 out.write(data)
                 size, count = size + len(data), count + 1
         close()
@@ -172,7 +205,11 @@ def write_archives(pages: DataFrame, base: str, file_bytes: int = FILE_BYTES) ->
 
 
 def read_archives(paths: DataFrame, base: str, keep_payload: bool = True) -> DataFrame:
-    """The records of the archives in ``paths(path)``, one task per group of files, in file order."""
+    """The records of the archives in ``paths(path)``, one task per group of files, in file order.
+
+    A file is read up to where its compression breaks; a row with no fields but
+    path, offset and valid, which is False, stands for the rest.
+    """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -183,12 +220,12 @@ def read_archives(paths: DataFrame, base: str, keep_payload: bool = True) -> Dat
             for path in batch["path"]:
                 rows, size = [], 0
                 with store.open_input_stream(path, compression=None) as stream:
-                    for offset, content in members(stream):
-                        row = parse(content)
+                    for offset, content in readable(stream):
+                        row = parse(content) if content is not None else parse(b"") | {"payload": None}
                         if not keep_payload:
                             row["payload"] = None
                         rows.append({"path": path, "offset": offset, **row})
-                        size += len(row["payload"] or b"") + 500
+                        size += len(row.get("payload") or b"") + 500
                         if size >= 8 << 20:
                             yield pd.DataFrame(rows, columns=names)
                             rows, size = [], 0

@@ -249,3 +249,59 @@ def test_pipeline(spark, tmp_path):
     assert ids["near_dedup"] - ids["decontamination"] == {2002}
     assert ids["mixing"] == ids["decontamination"]
     assert ordered(corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "taken").collect()) == ordered(df.select("doc_id", "taken").collect())
+
+
+def test_mixing_of_many_sizes(spark):
+    from isohyet.llm import mixing
+
+    n = 30_000
+    groups = spark.range(1, n).select(F.lit("a").alias("source"), F.col("id").alias("size"), F.lit(3).cast("long").alias("n"), (0.3 + F.pmod("id", F.lit(7)) / 10).alias("rate"))
+    got = mixing.whole_copies(groups).agg(F.sum(F.col("size") * F.col("group_copies")), F.sum(F.col("size") * F.col("n") * F.col("rate")), F.max("group_copies"), F.count("*")).first()
+    assert abs(got[0] - got[1]) <= 100 and got[2] <= 6 and got[3] == n - 1
+
+
+def test_warc_headers_that_are_damaged(tmp_path, spark):
+    good = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nok\r\n\r\n"
+    assert warc.parse(good)["valid"]
+    bad = (good.replace(b": 2", b": x"), good.replace(b": 2", b": -1"), good.replace(b"Content-Length: 2\r\n", b""), good.replace(b"WARC-Type", b"WARC-Payload-Digest: sha1:!!\r\nWARC-Type"), b"", b"\xff\xfe")
+    assert [warc.parse(x)["valid"] for x in bad] == [False] * len(bad)
+    path = tmp_path / "damaged.warc.gz"
+    path.write_bytes(warc.record("response", "<urn:x>", "u", b"abc", {}) + b"no gzip at all")
+    rows = warc.read_archives(spark.createDataFrame([(str(path),)], "path string"), f"file://{tmp_path}").collect()
+    assert sorted((r["valid"], r["payload"]) for r in rows) == [(False, None), (True, bytearray(b"abc"))]
+
+
+def test_secrets_in_odd_layers():
+    import bz2
+    import gzip
+    import lzma
+
+    secret = "password=hunter2secret"
+    blob = lambda data: base64.b64encode(data).decode()
+    texts = {
+        "url, a byte that is no UTF-8": "%ff" + "".join(f"%{b:02x}" for b in secret.encode()),
+        "base64 of UTF-16": blob(secret.encode("utf-16-le")),
+        "base64 after a binary prefix": blob(b"\x80\xfe\x00\x91" * 3 + b"  " + secret.encode()),
+        "two gzip members": blob(gzip.compress(b"nothing here ") + gzip.compress(secret.encode())),
+        "bz2": blob(bz2.compress(secret.encode())),
+        "xz in gzip": blob(gzip.compress(lzma.compress(secret.encode()))),
+    }
+    for name, text in texts.items():
+        assert any(f[3].startswith(secret) for f in secrets.find(f"see {text} there")), name
+    # Pieces of a long layer overlap, so that a secret over an edge is seen, and multi-byte characters do not lose a piece.
+    data = ("é" * 70_001 + " " + secret + " ").encode() * 3
+    assert {f[3] for f in secrets.find(blob(gzip.compress(data)), limit=70_001)} == {secret}
+
+
+def test_secrets_in_a_long_text():
+    text = "word " * 400_000 + "%70assword=hunter2secret" + " x" * 1000
+    found = secrets.find(text)
+    assert [(f[0], f[1], f[2]) for f in found] == [("assign", 2_000_000, 2_000_024)]
+
+
+def test_language_stage_keeps_columns_that_clash(spark):
+    from isohyet.llm.language_id import keep_identified
+
+    docs = spark.createDataFrame([(i, "some words of a plain text", "en", i) for i in range(20)], "doc_id long, text string, lang string, _lang int")
+    kept = keep_identified(docs)
+    assert kept.columns == docs.columns and sorted(r["_lang"] for r in kept.collect()) == list(range(20))
