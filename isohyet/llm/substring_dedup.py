@@ -96,9 +96,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     """
     spec = word_spec(length, gram)
     text = F.coalesce(F.col("text"), F.lit(""))
-    plain = F.trim(F.regexp_replace(text, SPACE, " "))
-    # Two hashes of the SHA-256 name a text; of texts with equal words one stays.
-    hashed = docs.select("doc_id", plain.alias("text"), F.sha2(plain, 256).alias("_whole")).withColumn("digest", F.unhex("_whole"))
+    # Two hashes of the SHA-256 name a text; of equal texts one stays.
+    hashed = docs.select("doc_id", text.alias("text"), F.unhex(F.sha2(text, 256)).alias("digest"))
     hashed = hashed.withColumns({"key": F.xxhash64("digest"), "doc": F.xxhash64("digest", F.lit(1))})
     firsts = materialise(hashed.groupBy("digest").agg(F.min("doc").alias("first_doc"), F.count("*").alias("n")), "firsts")
     unique = distinct_texts(hashed.select("text", "digest", "key", "doc"), firsts)
@@ -117,7 +116,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
 
     joined = spans.select("text", "key", "doc", "spans")
     found = materialise(joined.mapInArrow(cut, "key long, doc long, cut long, cut_sha256 string, cut_text string"), "cut", 1000)
-    narrow = hashed.select("doc_id", "key", "doc", "digest", "_whole", word_count(F.col("text")).alias("n_words"))
+    plain = F.trim(F.regexp_replace("text", SPACE, " "))
+    narrow = hashed.select("doc_id", "key", "doc", "digest", F.sha2(plain, 256).alias("_whole"), word_count(F.col("text")).alias("n_words"))
     copied = (F.col("n") > 1) & (F.col("n_words") >= length)
     return (
         narrow.join(firsts.where("n > 1").select("digest", "n"), "digest", "left")
