@@ -2,13 +2,17 @@
 
 Native DataFrame operations only. The index is a table of distinct keys (a
 64-bit hash of the normalised text) in buckets. A directory over the leading
-bits of the keys doubles until no bucket is overfull; each bucket is a key range
-that one owner task reads. Rows of one key form a chain: they are compared byte
-for byte with the chain's head, and rows that differ start the next chain.
+bits of the keys doubles as long as a bucket is overfull, so a bucket is a key
+range of bounded size. The rows of repeated keys go to the task that owns their
+bucket, which compares their bytes: rows of one key with equal bytes are a link
+of the key's chain, and the owner decides which row of a link stays. A hot key
+is cut into slices with owners of their own, whose few results are compared
+once more.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,9 +20,10 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, fresh_path, materialise, table
 
-BUCKET_KEYS = 1 << 20
-MAX_DEPTH = 16
-ROWS_PER_SALT = 256
+#: What a bucket holds: its repeated texts, and the entry of each key.
+BUCKET_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
+ENTRY_BYTES = 64
 
 
 def normalised(text: Column) -> Column:
@@ -26,77 +31,71 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, "")
 
 
-def directory(keys: DataFrame, bucket_keys: int = BUCKET_KEYS, max_depth: int = MAX_DEPTH) -> DataFrame:
+def depth_for(total: int, capacity: int) -> int:
+    """Leading bits of a cell: two doublings more than evenly spread keys need."""
+    return min(40, math.ceil(math.log2(max(total / capacity, 1))) + 2)
+
+
+def directory(keys: DataFrame, bucket_keys: int, max_depth: int, weight: Column | None = None) -> DataFrame:
     """The directory over ``keys(key)``: columns cell, depth, bucket.
 
-    A cell is one of the 2^max_depth leading-bit patterns, so the directory has
-    a fixed greatest size. It starts as one bucket (depth 0); each round doubles
-    it by splitting every overfull bucket on the next bit. At ``max_depth`` a
-    bucket stays overfull and its owner task reads a longer range.
+    A cell is a pattern of ``max_depth`` leading bits. Doubling splits every
+    bucket that holds more than ``bucket_keys`` (keys, or units of ``weight``)
+    on its next bit, so a cell's depth is the first at which its bucket fits;
+    the totals of all depths come from one aggregation. Only a key range that
+    ``max_depth`` bits do not tell apart stays overfull.
     """
-    cells = materialise(
-        keys.groupBy(F.shiftrightunsigned("key", 64 - max_depth).cast("int").alias("cell")).agg(F.count("*").alias("n")), "cells"
-    ).withColumn("depth", F.lit(0))
-    for depth in range(max_depth):
-        prefix = F.shiftright("cell", max_depth - depth)
-        full = cells.where(F.col("depth") == depth).groupBy(prefix.alias("prefix")).agg(F.sum("n").alias("total"))
-        full = full.where(F.col("total") > bucket_keys).select("prefix").collect()  # at most 2^depth numbers
-        if not full:
-            break
-        split = prefix.isin([r["prefix"] for r in full]) & (F.col("depth") == depth)
-        cells = cells.withColumn("depth", F.when(split, depth + 1).otherwise(F.col("depth")))
-    bucket = F.col("cell") - F.pmod("cell", F.pow(F.lit(2), max_depth - F.col("depth")))
-    return cells.select("cell", "depth", bucket.cast("int").alias("bucket"))
-
-
-def build_index(entries: DataFrame, bucket_keys: int = BUCKET_KEYS, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """The index of ``entries(doc_id, key)`` on shared files, one key range per owner task: key, n, head, bucket."""
+    weight = F.lit(1) if weight is None else weight
+    cell = F.shiftrightunsigned("key", 64 - max_depth).cast("long")
+    cells = materialise(keys.groupBy(cell.alias("cell")).agg(F.sum(weight).alias("held")), "cells")
+    levels = cells.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(max_depth))))
+    levels = levels.withColumn("bucket", F.expr(f"shiftleft(shiftright(cell, {max_depth} - depth), {max_depth} - depth)"))
+    totals = levels.groupBy("depth", "bucket").agg(F.sum("held").alias("total"))
+    fits = totals.where((F.col("total") <= bucket_keys) | (F.col("depth") == max_depth)).select("depth", "bucket")
+    owned = levels.join(fits, ["depth", "bucket"]).groupBy("cell").agg(F.min(F.struct("depth", "bucket")).alias("d"))
+    return owned.select("cell", "d.depth", "d.bucket")
+
+
+def build_index(entries: DataFrame, bucket_bytes: int = BUCKET_BYTES, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """The index of ``entries(key, n_bytes)`` on shared files, ordered by key range: bucket, key, n, slices."""
     spark = entries.sparkSession
-    keys = materialise(entries.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("head")), "keys")
-    cells = directory(keys, bucket_keys, max_depth)
-    owned = keys.withColumn("cell", F.shiftrightunsigned("key", 64 - max_depth).cast("int")).join(
-        F.broadcast(cells), "cell"  # at most 2^max_depth rows
-    )
+    keys = materialise(entries.groupBy("key").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("n_bytes")), "keys")
+    held = F.when(F.col("n") > 1, F.least("n_bytes", F.lit(slice_bytes))).otherwise(0) + ENTRY_BYTES
+    depth = depth_for(keys.agg(F.sum(held)).first()[0] or 0, bucket_bytes)
+    cells = materialise(directory(keys, bucket_bytes, depth, held), "directory")
+    slices = F.when(F.col("n") > 1, F.least("n", F.ceil(F.col("n_bytes") / slice_bytes))).otherwise(1)
+    owned = keys.withColumn("cell", F.shiftrightunsigned("key", 64 - depth).cast("long")).join(cells, "cell")
     path = fresh_path(spark, "index")
-    owned.select("key", "n", "head", "bucket").repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key").write.parquet(path)
-    return spark.read.parquet(path)
+    owned = owned.select("bucket", "key", "n", F.greatest(slices, F.lit(1)).cast("long").alias("slices"))
+    owned.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key").write.parquet(path)
+    return spark.read.schema(owned.schema).parquet(path)
 
 
-def chains(docs: DataFrame, index: DataFrame, key: Callable[[Column], Column]) -> DataFrame | None:
-    """Rows whose bytes differ from their key's head, with a chain of their own: key, digest, doc_id, chain.
+def decided(docs: DataFrame, index: DataFrame, key: Callable[[Column], Column]) -> DataFrame:
+    """The links of more than one row, by the owners of their buckets: key, digest, keep, group_size.
 
-    None where no key has two different texts. Heads are copied once for every
-    ``ROWS_PER_SALT`` rows of their key, so that no task gets a whole hot group.
+    Rows get to the owner of their bucket, or of their key's slice, in one
+    shuffle and are grouped there by their bytes. Links of a sliced key meet
+    again, one row for each slice, and are compared in the same way.
     """
-    repeated = index.where("n > 1").select("key", "head", F.ceil(F.col("n") / ROWS_PER_SALT).cast("int").alias("salts"))
-    text = docs.select("doc_id", normalised(F.col("text")).alias("body")).withColumn("key", key(F.col("body")))
-    rows = materialise(
-        text.join(repeated, "key").select(
-            "key", "doc_id", "body", "head", "salts", F.pmod(F.xxhash64("doc_id", "body"), "salts").cast("int").alias("salt")
-        ),
-        "repeated",
+    row = F.monotonically_increasing_id()  # spreads rows over slices, even those equal in every column
+    text = docs.select("doc_id", F.col("text"), normalised(F.col("text")).alias("body"), row.alias("row")).withColumn("key", key(F.col("body")))
+    best = F.struct((-F.coalesce(F.length("text"), F.lit(0)).cast("long")).alias("rank"), F.col("doc_id").isNull().alias("no_id"), "doc_id")
+    rows = text.join(index.where("n > 1"), "key").select(
+        "bucket", F.pmod(F.xxhash64("row"), "slices").alias("slice"), "slices", "key", "body", best.alias("best")
     )
-    found, chain = None, 0
-    while True:
-        # Of rows that share the head's doc_id and key, the smallest text is the head.
-        heads = rows.where(F.col("doc_id").eqNullSafe(F.col("head"))).groupBy("key", "salts").agg(F.min("body").alias("head_body"))
-        heads = heads.select("key", "head_body", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-        differ = rows.join(heads, ["key", "salt"]).where("body != head_body").select("key", "doc_id", "body")
-        differ = materialise(differ, "differ")
-        if differ.isEmpty():
-            return found
-        chain += 1
-        marked = differ.select("key", F.sha2("body", 256).alias("digest"), "doc_id", F.lit(chain).alias("chain")).distinct()
-        # A row's last chain is where its bytes agree with the head's; grouping also matches null ids.
-        found = marked if found is None else found.unionByName(marked).groupBy("key", "digest", "doc_id").agg(F.max("chain").alias("chain"))
-        found = materialise(found, "chains")
-        size = differ.groupBy("key").agg(F.min("doc_id").alias("head"), F.ceil(F.count("*") / ROWS_PER_SALT).cast("int").alias("salts"))
-        rows = materialise(
-            differ.join(size, "key").withColumn("salt", F.pmod(F.xxhash64("doc_id", "body"), "salts").cast("int")), "chained"
-        )
-
-
-def exact_duplicates(docs: DataFrame, key: Callable[[Column], Column] = F.xxhash64, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+    links = rows.repartition("bucket", "slice").groupBy("bucket", "slice", "slices", "key", "body")
+    links = links.agg(F.min("best").alias("best"), F.count("*").alias("n"))
+    links = links.select("bucket", "slices", "key", F.when(F.col("slices") > 1, F.col("body")).alias("body"), F.sha2("body", 256).alias("digest"), "best", "n")
+    links = materialise(links, "links")
+    sliced = links.where("slices > 1").groupBy("bucket", "key", "body").agg(F.min("digest").alias("digest"), F.min("best").alias("best"), F.sum("n").alias("n"))
+    whole = links.where("slices = 1").select("key", "digest", "best", "n").unionByName(sliced.select("key", "digest", "best", "n"))
+    return whole.where("n > 1").select("key", "digest", F.col("best.doc_id").alias("keep"), F.col("n").alias("group_size"))
+
+
+def exact_duplicates(
+    docs: DataFrame, key: Callable[[Column], Column] = F.xxhash64, bucket_bytes: int = BUCKET_BYTES, slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, keep_id, group_size, kept, text_sha256, n_chars.
 
     Texts are equal when they are identical without ASCII white space; a null
@@ -104,23 +103,16 @@ def exact_duplicates(docs: DataFrame, key: Callable[[Column], Column] = F.xxhash
     then the smallest doc_id stays. Rows that repeat a doc_id count separately
     in group_size and share its decision. A null doc_id stays only where all
     rows of its group have none; keep_id is then null. An empty table gives an
-    empty result. Other columns are ignored.
+    empty result. Other columns are ignored. A row looks its link up by key and
+    the SHA-256 of its text.
     """
     body = normalised(F.col("text"))
     entries = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), body.alias("body"))
-    entries = materialise(entries.select("doc_id", "n_chars", key(F.col("body")).alias("key"), F.sha2("body", 256).alias("digest")), "entries")
-    index = build_index(entries, bucket_keys)
-    split = chains(docs, index, key)
-    if split is None:
-        entries = entries.withColumn("chain", F.lit(0))
-    else:
-        split = split.withColumnsRenamed({"key": "_k", "digest": "_d", "doc_id": "_i", "chain": "_c"})
-        same = (F.col("key") == F.col("_k")) & (F.col("digest") == F.col("_d")) & F.col("doc_id").eqNullSafe(F.col("_i"))
-        entries = entries.join(split, same, "left").withColumn("chain", F.coalesce("_c", F.lit(0)))
-    best = F.struct((-F.col("n_chars")).alias("rank"), F.col("doc_id").isNull().alias("no_id"), "doc_id")
-    groups = entries.groupBy("key", "chain").agg(F.min(best).alias("best"), F.count("*").alias("group_size"))
-    groups = groups.where("group_size > 1").select("key", "chain", F.col("best.doc_id").alias("keep"), "group_size", F.lit(True).alias("grouped"))
-    return entries.join(groups, ["key", "chain"], "left").select(
+    entries = entries.select("doc_id", "n_chars", F.octet_length("body").cast("long").alias("n_bytes"), key(F.col("body")).alias("key"), F.sha2("body", 256).alias("digest"))
+    entries = materialise(entries, "entries")
+    groups = decided(docs, build_index(entries, bucket_bytes, slice_bytes), key)
+    groups = materialise(groups.withColumn("grouped", F.lit(True)), "groups")
+    return entries.join(groups, ["key", "digest"], "left").select(
         "doc_id",
         F.when(F.col("grouped"), F.col("keep")).otherwise(F.col("doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),

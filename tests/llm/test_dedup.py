@@ -43,6 +43,12 @@ def test_exact_duplicates(spark, key):
     assert ordered(got) == expected_exact(rows)
 
 
+def test_exact_duplicates_over_many_buckets_and_slices(spark):
+    rows = corpus() + [(None, "a hot text " * 20)] * 40 + [(i, "a hot  text " * 20) for i in range(900, 960)]
+    got = exact_duplicates(frame(spark, rows), bucket_bytes=2000, slice_bytes=1000).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
+    assert ordered(got) == expected_exact(rows)
+
+
 def test_exact_duplicates_of_nothing(spark):
     assert exact_duplicates(frame(spark, [])).collect() == []
 
