@@ -1,8 +1,8 @@
 """URL filters: explicit host and path rules, and rules mined from labels.
 
 Spark's FP-growth mines combinations of URL tokens that go with a bad label.
-Rules that pass the support, confidence and lift thresholds form an inverted
-index from token to rule; a URL is blocked where it has every token of a rule.
+Rules that pass the support and confidence thresholds form an inverted index
+from token to rule; a URL is blocked where it has every item of a rule.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from .common import materialise, table
 
-BAD = "label=bad"
 HOST = "^.*?://([^/?#]*)"
 PATH = "^.*?://[^/?#]*([^?#]*)"
 
@@ -64,50 +63,79 @@ def tokens(url: Column) -> Column:
 
 
 def mine_rules(
-    labelled: DataFrame,
-    min_support: float = 0.002,
-    min_rows: int = 25,
-    min_confidence: float = 0.6,
-    min_lift: float = 2.0,
-    max_tokens: int = 3,
+    labelled: DataFrame, min_rows: int = 25, min_confidence: float = 0.6, min_gain: float = 0.5, max_tokens: int = 3
 ) -> DataFrame:
-    """Rules ``(rule_id, antecedent, confidence, lift, support)`` whose consequent is the bad label.
-
-    ``labelled`` has url and bad (boolean); rows with a null label are not
-    learned from. A rule needs a support of ``min_support`` and of ``min_rows``
-    bad rows, so that chance does not make rules of a few rows; it is pruned
-    where a more general rule has at least its confidence. Support bounds the
-    number of frequent token sets. With fewer bad rows there are no rules.
+    """Rules ``(rule_id, antecedent, confidence, lift, support, tokens)`` whose consequent is the bad label.
+
+    ``labelled`` has url and bad (boolean); rows with a null label or url are
+    not learned from. A rule needs ``min_rows`` bad rows, a number that is the
+    same at every size of the table, so that chance does not make rules of a few
+    rows; ``min_confidence``; and a share of rows that are not bad that is
+    smaller than the table's by ``min_gain``. It has at most ``max_tokens``
+    items and is pruned where a more general rule has at least its confidence.
+
+    FP-growth gets the bad rows and only what can matter after pruning: no item
+    that every row has, and none that only bad rows have, which is a rule by
+    itself. Tokens that stand in the same rows are one item; ``tokens`` lists
+    them by item, and any of them stands for it. So a long URL that repeats does
+    not multiply its token sets.
     """
-    known = labelled.where("bad is not null").select(tokens(F.col("url")).alias("items"), "bad")
-    baskets = known.select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(BAD)))).otherwise(F.col("items")).alias("items"))
-    empty = "rule_id string, antecedent array<string>, confidence double, lift double, support double"
-    n = known.agg(F.count("*").alias("all"), F.count_if("bad").alias("bad")).first()
-    if n["bad"] < min_rows:
-        return labelled.sparkSession.createDataFrame([], empty)
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_rows / n["all"]), minConfidence=min_confidence).fit(baskets)
-    found = (
-        model.associationRules.where(F.array_contains("consequent", BAD) & (F.size("antecedent") <= max_tokens) & (F.col("lift") >= min_lift))
-        .select(F.array_sort("antecedent").alias("antecedent"), "confidence", "lift", "support")
-        .withColumn("rule_id", F.array_join("antecedent", " "))
+    spark = labelled.sparkSession
+    schema = "rule_id string, antecedent array<string>, confidence double, lift double, support double, tokens array<struct<item:string,tokens:array<string>>>"
+    urls = labelled.where("bad is not null and url is not null").groupBy("url").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad"))
+    urls = materialise(urls.withColumn("token", tokens(F.col("url"))), "labelled_urls")
+    total = urls.agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad")).first()
+    if (total["n_bad"] or 0) < min_rows:
+        return spark.createDataFrame([], schema)
+    base = total["n_bad"] / total["n"]
+    least = max(min_confidence, 1 - (1 - base) * (1 - min_gain))
+    pairs = urls.withColumn("token", F.explode("token"))
+    same_rows = [F.bit_xor(F.xxhash64("url")).alias("h"), F.bit_xor(F.xxhash64("url", F.lit(1))).alias("h2"), F.count("*").alias("c")]
+    stats = pairs.groupBy("token").agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad"), *same_rows)
+    stats = stats.where((F.col("n_bad") >= min_rows) & (F.col("n") < total["n"]))
+    items = stats.groupBy("n", "n_bad", "h", "h2", "c").agg(F.array_sort(F.collect_list("token")).alias("tokens"))  # tokens of one url
+    items = materialise(items.select(F.element_at("tokens", 1).alias("item"), "tokens", "n", "n_bad"), "items")
+    sure = items.where("n_bad = n").select(F.array("item").alias("antecedent"), F.col("n_bad").alias("freq"), "n")
+    mixed = items.where("n_bad < n").select("item", F.explode("tokens").alias("token"))
+    baskets = materialise(pairs.join(mixed, "token").groupBy("url", "n", "n_bad").agg(F.array_sort(F.collect_set("item")).alias("items")), "baskets")
+    bad = baskets.where("n_bad > 0").select("items", F.explode(F.sequence(F.lit(1), F.col("n_bad"))))
+    rows = bad.count()
+    found = sure
+    if rows >= min_rows:
+        sets = FPGrowth(itemsCol="items", minSupport=(min_rows - 0.5) / rows).fit(bad).freqItemsets
+        sets = sets.where(F.size("items") <= max_tokens).select(F.array_sort("items").alias("antecedent"), "freq")
+        sets = materialise(sets, "sets")
+        # All rows with a set are looked up by its rarest item.
+        rare = sets.select("antecedent", "freq", F.explode("antecedent").alias("item")).join(items.select("item", "n"), "item")
+        rare = rare.groupBy("antecedent", "freq").agg(F.min(F.struct("n", "item"))["item"].alias("item"))
+        held = baskets.select("items", "n", F.explode("items").alias("item")).join(rare, "item").where(F.size(F.array_except("antecedent", "items")) == 0)
+        found = held.groupBy("antecedent", "freq").agg(F.sum("n").alias("n")).select("antecedent", "freq", "n").unionByName(sure)
+    confidence = F.col("freq") / F.col("n")
+    found = found.where(confidence >= least).select(
+        F.array_join("antecedent", " ").alias("rule_id"), "antecedent", confidence.alias("confidence"), (confidence / base).alias("lift"), (F.col("freq") / total["n"]).alias("support")
     )
     found = materialise(found, "rules")
     general = found.select(F.col("antecedent").alias("_a"), F.col("confidence").alias("_c"), F.explode("antecedent").alias("_t"))
     narrow = found.select("rule_id", "antecedent", "confidence", F.explode("antecedent").alias("_t"))
     wider = (F.size("_a") < F.size("antecedent")) & (F.size(F.array_except("_a", "antecedent")) == 0) & (F.col("_c") >= F.col("confidence"))
     pruned = narrow.join(general, "_t").where(wider).select("rule_id").distinct()
-    return found.join(pruned, "rule_id", "left_anti").select("rule_id", "antecedent", "confidence", "lift", "support")
+    named = found.select("rule_id", F.explode("antecedent").alias("item")).join(items.select("item", "tokens"), "item")
+    named = named.groupBy("rule_id").agg(F.collect_list(F.struct("item", "tokens")).alias("tokens"))  # at most max_tokens items
+    return found.join(pruned, "rule_id", "left_anti").join(named, "rule_id").select("rule_id", "antecedent", "confidence", "lift", "support", "tokens")
 
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """The distinct urls, of ``urls(url)``, that match a rule: url, n_rules, top_rule (the most confident)."""
-    index = rules.select("rule_id", "confidence", F.size("antecedent").alias("need"), F.explode("antecedent").alias("token"))
+    """The distinct urls, of ``urls(url)``, that match a rule: url, n_rules, top_rule (the most confident, then the first by name)."""
+    index = rules.select("rule_id", "confidence", F.size("tokens").alias("need"), F.explode("tokens").alias("t"))
+    index = index.select("rule_id", "confidence", "need", "t.item", F.explode("t.tokens").alias("token"))
     hits = (
         urls.where("url is not null")
         .select("url")
         .distinct()
         .select("url", F.explode(tokens(F.col("url"))).alias("token"))
         .join(index, "token")
+        .select("url", "rule_id", "need", "confidence", "item")
+        .distinct()
         .groupBy("url", "rule_id", "need", "confidence")
         .agg(F.count("*").alias("have"))
         .where("have = need")

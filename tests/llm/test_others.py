@@ -228,6 +228,34 @@ def test_url_rules_from_labels(spark):
     assert wrong.count() == 0 and got.where("mined_rule is not null").count() == 100
 
 
+def test_mined_rules_against_brute_force(spark):
+    from itertools import combinations
+
+    rows = [(f"http://h{i % 5}.net/{'abc'[i % 3]}/{'xy'[i % 2]}{'' if i % 7 else '/deep'}", i % 5 == 0 and i % 3 == 1 or i % 11 == 0) for i in range(900)]
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    sets = [(frozenset(r["t"]), r["bad"]) for r in df.select(url_filter.tokens(F.col("url")).alias("t"), "bad").collect()]
+    n_bad = sum(b for _, b in sets)
+    least = max(0.6, 1 - (1 - n_bad / len(sets)) / 2)
+    names, good = sorted(set().union(*(t for t, _ in sets))), {}
+    for size in (1, 2, 3):
+        for a in combinations(names, size):
+            hit = [b for t, b in sets if t.issuperset(a)]
+            if sum(hit) >= 25 and sum(hit) / len(hit) >= least and not any(g < set(a) and c >= sum(hit) / len(hit) for g, c in good.items()):
+                good[frozenset(a)] = sum(hit) / len(hit)
+    judged = {r["url"] for r in url_filter.matched(df, url_filter.mine_rules(df)).collect()}
+    assert good and judged == {u for (u, _), (t, _) in zip(rows, sets, strict=True) if any(t >= g for g in good)}
+
+
+def test_a_long_url_that_repeats_is_one_rule_item(spark):
+    long = "http://long.net/" + "/".join(f"{a}{b}x" for a in "abcdefgh" for b in "abcde") + "?" + "&".join(f"q{a}=1" for a in "abcdefgh")
+    rows = [(long, i % 10 > 0) for i in range(10_000)] + [(f"http://other.net/{i}", False) for i in range(500)] + [(None, True), ("", None)]
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    rules = url_filter.mine_rules(df)
+    assert rules.count() == 0  # bad rows are the rule here, not the exception
+    rules = url_filter.mine_rules(df, min_gain=0.0)
+    assert [len(r["antecedent"]) for r in rules.collect()] == [1] and url_filter.matched(df, rules).count() == 1
+
+
 def test_pipeline(spark, tmp_path):
     rows = [(1000 + i, t) for i, t, _ in languages()]
     docs = frame(spark, [*corpus(), *rows, (2000, rows[0][1]), (2001, rows[1][1] + " more"), (2002, "und 77 " + " ".join(f"q{j}x" for j in range(30)))])
