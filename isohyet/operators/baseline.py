@@ -27,11 +27,15 @@ THRESHOLDS = {
 def quantile(values: Column, p: float, kind: int = 8) -> Column:
     """A Hyndman-Fan quantile (7 or 8) of a sorted array without nulls; null for an empty one."""
     n = F.size(values)
-    h = (n + 1.0 / 3) * p + 1.0 / 3 if kind == 8 else (n - 1) * p + 1.0
-    h = F.least(F.greatest(h, F.lit(1.0)), n.cast("double"))
-    low = F.floor(h).cast("int")
-    a, b = F.element_at(values, low), F.element_at(values, F.least(low + 1, n))
-    return F.when(n > 0, a + (h - low) * (b - a))
+    at = (n + 1.0 / 3) * p - 2.0 / 3 if kind == 8 else (n - 1) * F.lit(p)  # from 0
+    at = F.least(F.greatest(at, F.lit(0.0)), (n - 1).cast("double"))
+    low = F.floor(at).cast("int")
+    a, b = F.element_at(values, low + 1), F.element_at(values, F.least(low + 2, n))
+    return F.when(n > 0, a + (at - low) * (b - a))
+
+
+def _length(year: Column) -> Column:
+    return F.dayofyear(F.make_date(year, F.lit(12), F.lit(31)))
 
 
 def baseline_percentiles(
@@ -49,8 +53,8 @@ def baseline_percentiles(
     The pool of a day of year is all values within ``window`` // 2 days of it in
     all baseline years; precipitation pools wet days. Day 366 takes the mean of
     days 365 and 1. All thresholds come from one shuffle on cell_id: days are
-    copied to their neighbours, and grouped, within the cell's partition. Fewer
-    than ``min_years`` years is an error.
+    gathered by day of year, and these rows copied to their neighbours, within
+    the cell's partition. Fewer than ``min_years`` years is an error.
     """
     there = {n: t for n, t in thresholds.items() if t[0] in daily.columns}
     span = year_range(daily, first, last)
@@ -60,14 +64,15 @@ def baseline_percentiles(
     pools = {(v, wet): f"{v}_{'wet' if wet else 'all'}" for v, _, wet in there.values()}
     half = window // 2
     days = span.select("cell_id", "date", *[(wet_day(F.col(v), wet_threshold) if wet else F.col(v)).alias(name) for (v, wet), name in pools.items()])
-    near = days.repartition("cell_id").withColumn("shift", F.explode(F.sequence(F.lit(-half), F.lit(half))))
-    near = near.withColumn("doy", F.dayofyear(F.date_add("date", F.col("shift")))).where("doy <= 365")
-    pooled = near.groupBy("cell_id", "doy")
-    if quantile_type == 7:
-        out = pooled.agg(*[F.percentile(pools[v, wet], p).alias(n) for n, (v, p, wet) in there.items()])
-    else:
-        arrays = pooled.agg(*[F.array_sort(F.collect_list(c)).alias(c) for c in pools.values()])
-        out = arrays.select("cell_id", "doy", *[quantile(F.col(pools[v, wet]), p, quantile_type).alias(n) for n, (v, p, wet) in there.items()])
+    # A row holds the values that a day of year has in all years of one length; these few rows are copied, not the days.
+    day, year = F.dayofyear("date"), F.year("date")
+    held = days.repartition("cell_id").groupBy("cell_id", day.alias("day"), _length(year).alias("length"), F.when(day <= half, _length(year - 1)).alias("before"))
+    held = held.agg(*[F.collect_list(c).alias(c) for c in pools.values()])
+    near = held.withColumn("at", F.explode(F.transform(F.sequence(F.lit(-half), F.lit(half)), lambda shift: F.col("day") + shift)))
+    doy = F.when(F.col("at") < 1, F.col("at") + F.col("before")).when(F.col("at") > F.col("length"), F.col("at") - F.col("length")).otherwise(F.col("at"))
+    pooled = near.withColumn("doy", doy).where("doy <= 365").groupBy("cell_id", "doy")
+    arrays = pooled.agg(*[F.array_sort(F.flatten(F.collect_list(c))).alias(c) for c in pools.values()])
+    out = arrays.select("cell_id", "doy", *[quantile(F.col(pools[v, wet]), p, quantile_type).alias(n) for n, (v, p, wet) in there.items()])
     leap = out.where("doy in (1, 365)").groupBy("cell_id").agg(F.lit(366).alias("doy"), *[(F.sum(n) / F.count(n)).alias(n) for n in there])
     return out.unionByName(leap).withColumn("doy", F.col("doy").cast("smallint"))
 

@@ -50,12 +50,18 @@ def monthly_precipitation(daily: DataFrame, complete: bool = True) -> DataFrame:
     return sums.select("cell_id", "month_start", (F.when(F.col("n") == days, F.col("total")) if complete else F.col("total")).alias("pr"))
 
 
+def _rolled(n: int) -> Column:
+    w = Window.partitionBy("cell_id").orderBy("month_no").rangeBetween(-(n - 1), 0)
+    return F.when(F.count("pr").over(w) == n, F.sum("pr").over(w))
+
+
+def _numbered(monthly: DataFrame) -> DataFrame:
+    return monthly.withColumn("month_no", F.year("month_start") * 12 + F.month("month_start"))
+
+
 def rolling_months(monthly: DataFrame, n: int) -> DataFrame:
     """Sums over n consecutive months, null where a month is missing."""
-    index = F.year("month_start") * 12 + F.month("month_start")
-    w = Window.partitionBy("cell_id").orderBy("month_no").rangeBetween(-(n - 1), 0)
-    rolled = monthly.withColumn("month_no", index)
-    return rolled.withColumn("x", F.when(F.count("pr").over(w) == n, F.sum("pr").over(w))).drop("month_no")
+    return _numbered(monthly).withColumn("x", _rolled(n)).drop("month_no")
 
 
 def spi(daily: DataFrame, months: Sequence[int] = MONTHS, first: int = 1981, last: int = 2010, complete: bool = True) -> DataFrame:
@@ -64,29 +70,22 @@ def spi(daily: DataFrame, months: Sequence[int] = MONTHS, first: int = 1981, las
     Calibrates on the years first to last by calendar month, from sums that
     Spark gathers: counts, zeros, totals and totals of logarithms. The location
     is fixed at 0. Months with fewer than two wet calibration values are null.
+    All spans share one window by cell and one by cell and calendar month, which
+    is in the same partitioning.
     """
-    monthly = monthly_precipitation(daily, complete)
-    out = None
+    rolled = _numbered(monthly_precipitation(daily, complete)).withColumns({f"x{n}": _rolled(n) for n in months})
+    fit = Window.partitionBy("cell_id", F.month("month_start"))
+    calibrates = F.year("month_start").between(first, last)
+    sums = {}
     for n in months:
-        rolled = rolling_months(monthly, n).withColumn("month", F.month("month_start"))
-        span = F.year("month_start").between(first, last) & F.col("x").isNotNull()
-        fit = Window.partitionBy("cell_id", "month")
-
-        def gathered(value: Column) -> Column:
-            return F.sum(F.when(span, value)).over(fit)  # noqa: B023
-
-        fitted = rolled.withColumns(
-            {
-                "n": gathered(F.lit(1)),
-                "n_zero": gathered((F.col("x") <= 0).cast("int")),
-                "total": gathered(F.when(F.col("x") > 0, F.col("x"))),
-                "total_log": gathered(F.when(F.col("x") > 0, F.log("x"))),
-            }
-        )
-        name = f"spi_{n}month" if n > 0 else "spi"
-        one = fitted.select("cell_id", "month_start", standardise("x", "n", "n_zero", "total", "total_log").alias(name))
-        out = one if out is None else out.join(one, ["cell_id", "month_start"])
-    return out
+        x = F.when(calibrates, F.col(f"x{n}"))
+        wet = F.when(x > 0, x)
+        gathered = {"n": F.count(x), "zero": F.count_if(x <= 0), "total": F.sum(wet), "log": F.sum(F.log(wet))}
+        sums |= {f"{k}{n}": v.over(fit) for k, v in gathered.items()}
+    fitted = rolled.withColumns(sums)
+    return fitted.select(
+        "cell_id", "month_start", *[standardise(*(f"{k}{n}" for k in ("x", "n", "zero", "total", "log"))).alias(f"spi_{n}month") for n in months]
+    )
 
 
 def spi_quality(values: DataFrame) -> DataFrame:
