@@ -78,10 +78,12 @@ def decided(docs: DataFrame, index: DataFrame, key: Callable[[Column], Column])
     shuffle and are grouped there by their bytes. Links of a sliced key meet
     again, one row for each slice, and are compared in the same way.
     """
+    # A table of their own, whose true size the planner knows: texts that nothing repeats then need no shuffle.
+    repeated = materialise(index.where("n > 1").select("bucket", "key", "slices"), "repeated")
     row = F.monotonically_increasing_id()  # spreads rows over slices, even those equal in every column
     text = docs.select("doc_id", F.col("text"), normalised(F.col("text")).alias("body"), row.alias("row")).withColumn("key", key(F.col("body")))
     best = F.struct((-F.coalesce(F.length("text"), F.lit(0)).cast("long")).alias("rank"), F.col("doc_id").isNull().alias("no_id"), "doc_id")
-    rows = text.join(index.where("n > 1"), "key").select(
+    rows = text.join(repeated, "key").select(
         "bucket", F.pmod(F.xxhash64("row"), "slices").alias("slice"), "slices", "key", "body", best.alias("best")
     )
     links = rows.repartition("bucket", "slice").groupBy("bucket", "slice", "slices", "key", "body")
