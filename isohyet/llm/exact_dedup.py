@@ -24,6 +24,8 @@ from .common import SPACE, fresh_path, materialise, table
 BUCKET_BYTES = 16 << 20
 SLICE_BYTES = 8 << 20
 ENTRY_BYTES = 64
+#: Bits that stand for the repeated keys, 8 MB at most.
+FILTER_BITS = 1 << 26
 
 
 def normalised(text: Column) -> Column:
@@ -71,6 +73,21 @@ def build_index(entries: DataFrame, bucket_bytes: int = BUCKET_BYTES, slice_byte
     return spark.read.schema(owned.schema).parquet(path)
 
 
+def may_repeat(text: DataFrame, repeated: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of ``text(key, ...)`` whose key may be in ``repeated(key)``.
+
+    A bitmap of fixed size spares the others the shuffle; a full one lets more
+    rows through, which the join with the keys themselves then drops.
+    """
+    bit = F.pmod(F.xxhash64("key"), F.lit(bits)) + 1
+    bitmap = repeated.groupBy(F.bitmap_bucket_number(bit).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bitmap"))
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("bitmap", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(at, F.lit(8)))), F.lit(2)) == 1
+    near = text.withColumn("part", F.bitmap_bucket_number(bit)).join(F.broadcast(materialise(bitmap, "bitmap")), "part")  # bits / 8 bytes
+    return near.where(held).drop("part", "bitmap")
+
+
 def decided(docs: DataFrame, index: DataFrame, key: Callable[[Column], Column]) -> DataFrame:
     """The links of more than one row, by the owners of their buckets: key, digest, keep, group_size.
 
@@ -83,7 +100,7 @@ def decided(docs: DataFrame, index: DataFrame, key: Callable[[Column], Column])
     row = F.monotonically_increasing_id()  # spreads rows over slices, even those equal in every column
     text = docs.select("doc_id", F.col("text"), normalised(F.col("text")).alias("body"), row.alias("row")).withColumn("key", key(F.col("body")))
     best = F.struct((-F.coalesce(F.length("text"), F.lit(0)).cast("long")).alias("rank"), F.col("doc_id").isNull().alias("no_id"), "doc_id")
-    rows = text.join(repeated, "key").select(
+    rows = may_repeat(text, repeated).join(repeated, "key").select(
         "bucket", F.pmod(F.xxhash64("row"), "slices").alias("slice"), "slices", "key", "body", best.alias("best")
     )
     links = rows.repartition("bucket", "slice").groupBy("bucket", "slice", "slices", "key", "body")

@@ -10,7 +10,7 @@ from fixtures import corpus, frame, key_of, ordered, words
 from pyspark.sql import functions as F
 
 from isohyet.llm.components import components
-from isohyet.llm.exact_dedup import directory, exact_duplicates
+from isohyet.llm.exact_dedup import directory, exact_duplicates, may_repeat
 from isohyet.llm.near_dedup import MISS, Verifier, banding, least_matches, near_duplicates, shingle_set, words_of
 from isohyet.llm.substring_dedup import remove_repeats, without_repeats
 from isohyet.llm.suffix_array import permuted_prefixes, suffix_array
@@ -49,6 +49,13 @@ def test_exact_duplicates_over_many_buckets_and_slices(spark):
     assert ordered(got) == expected_exact(rows)
 
 
+def test_bitmap_of_repeated_keys(spark):
+    text, repeated = spark.range(20_000).select(F.col("id").alias("key")), spark.range(0, 20_000, 10).select(F.col("id").alias("key"))
+    for bits, most in ((1 << 20, 2200), (1 << 10, 20_000)):
+        got = {r["key"] for r in may_repeat(text, repeated, bits).collect()}
+        assert got.issuperset(range(0, 20_000, 10)) and len(got) <= most
+
+
 def test_exact_duplicates_of_nothing(spark):
     assert exact_duplicates(frame(spark, [])).collect() == []
 
