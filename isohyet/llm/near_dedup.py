@@ -1,12 +1,15 @@
 """Near-duplicate detection: MinHash bands and sequential Bayesian verification.
 
 Documents with the same words in the same order are one node. Bands of MinHash
-values put nodes in buckets, and nodes that buckets connect form a cluster. Each
-cluster goes through in blocks: within a block the pairs that share a bucket are
+values put nodes in buckets, and nodes that buckets connect form a cluster,
+which goes through in blocks: within a block the pairs that share a bucket are
 compared signature batch by signature batch, and a pair is dropped as soon as
 the posterior probability that its similarity reaches the threshold falls below
-a bound, which all looks together take from one miss probability. Survivors are verified on their full shingle sets. Pairs
-never become rows; a block returns the links that connect its nodes.
+a bound, which all looks together take from one miss probability. Survivors are
+verified on their full shingle sets. Pairs never become rows; a block returns
+the links that connect its nodes. A cluster of more nodes than a block holds is
+first linked within slices of its buckets, and then only pairs are compared that
+share a bucket and are in different components still.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, table
@@ -33,6 +36,8 @@ LEAST_ROWS = 7
 #: Similarity of unrelated texts, and how many of them may share a bucket with a document by chance.
 CHANCE, CHANCE_PAIRS = 0.07, 0.5
 BLOCK = 256
+#: Bands whose buckets link the nodes of large clusters first, and the nodes that a packed group has on average.
+ROUNDS, GROUP_ROWS = 4, 1024
 CHUNK = 1024
 COLUMNS = 1 << 14
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -256,31 +261,86 @@ class Verifier:
         return out
 
 
-def verified_links(active: DataFrame, verifier: Verifier, block: int = BLOCK) -> DataFrame:
-    """``active(id, cluster, sig, text)`` to links (a, b).
+def verified_links(pieces: DataFrame, verifier: Verifier, groups: int | None = None) -> DataFrame:
+    """``pieces(id, sig, text, piece, block, low, high)`` to links (a, b).
 
-    A cluster of up to ``block`` nodes is one block. A larger one is dealt into
-    blocks, and every pair of blocks is a piece of work of its own. Pieces are
-    packed by hash into groups for pandas.
+    A piece of work is (piece, low, high) and compares its nodes of block low
+    with those of block high, which may be the same. Pieces are packed by hash
+    into ``groups`` groups for pandas, or each is a group of its own.
     """
-    parts = 4 * int(active.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sizes = active.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    placed = active.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    pieces = placed.select("id", "cluster", "sig", "text", "block", low.alias("low"), high.alias("high"))
-    group = F.when(F.col("high") == 0, F.pmod(F.xxhash64("cluster"), F.lit(parts))).otherwise(F.xxhash64("cluster", "low", "high"))
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for (_, low, high), g in pdf.groupby(["cluster", "low", "high"]):
+        for (_, low, high), g in pdf.groupby(["piece", "low", "high"]):
             sig = np.frombuffer(b"".join(g["sig"]), np.uint16).reshape(len(g), -1)
             side = g["block"].to_numpy()
             left, right = np.flatnonzero(side == low), np.flatnonzero(side == high)
             out += verifier.links(g["id"].to_numpy(), sig, g["text"].tolist(), left, right)
         return pd.DataFrame(out, columns=["a", "b"])
 
-    return pieces.withColumn("group", group).groupBy("group").applyInPandas(work, "a long, b long")
+    at = F.xxhash64("piece", "low", "high")
+    group = F.pmod(at, F.lit(groups)) if groups else at
+    return pieces.select("id", "sig", "text", "piece", "block", "low", "high", group.alias("group")).groupBy("group").applyInPandas(work, "a long, b long")
+
+
+def packed(rows: int, spark: SparkSession) -> int:
+    """Groups for pieces of ``rows`` nodes altogether; a group's share does not grow with the data."""
+    return max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // GROUP_ROWS))
+
+
+def alone(nodes: DataFrame, piece: Column, block: Column | None = None) -> DataFrame:
+    """Pieces that compare a block with itself."""
+    block = F.lit(0) if block is None else block.cast("int")
+    return nodes.select("id", "sig", "text", piece.alias("piece"), block.alias("block"), block.alias("low"), block.alias("high"))
+
+
+def bucket_pieces(large: DataFrame, bands: int, rows: int) -> DataFrame:
+    """Pieces of the nodes that share a bucket of one of ``ROUNDS`` bands, a bucket of many nodes in slices of about ``BLOCK``.
+
+    Slices are drawn anew for each band. So near copies without number link
+    within slices, and slices link by the nodes they share with those of
+    other bands; each node is moved ``ROUNDS`` times at most.
+    """
+    chosen = [r * bands // ROUNDS for r in range(ROUNDS)]
+
+    @F.pandas_udf("array<long>")
+    def buckets(sig: pd.Series) -> pd.Series:
+        key = band_matrix(np.frombuffer(b"".join(sig), np.uint16).reshape(len(sig), -1), bands, rows)
+        return pd.Series(list(np.ascontiguousarray(key[:, chosen]).view(np.int64)))
+
+    placed = materialise(large.select("id", F.explode(buckets("sig")).alias("key")), "placed")
+    counts = placed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    slices = F.ceil(F.col("n") / BLOCK)
+    placed = placed.join(counts, "key").select("id", "key", F.pmod(F.xxhash64("id", "key"), slices).alias("slice"))
+    return alone(placed.join(large, "id"), F.col("key"), F.col("slice"))
+
+
+def cross_pieces(large: DataFrame, labels: DataFrame, bands: int, rows: int) -> DataFrame:
+    """Pieces with every pair of nodes that shares a bucket and that ``labels(node, label)`` leaves in different components.
+
+    Only buckets with nodes of several components count; they connect nodes
+    to clusters. Blocks of a cluster's largest component meet the blocks of all
+    others, not each other.
+    """
+    tied = large.select("id", "sig").join(labels.withColumnRenamed("node", "id"), "id", "left")
+    tied = materialise(tied.select("id", "sig", F.coalesce("label", "id").alias("comp")), "tied")
+    keys = band_keys(tied, bands, rows)
+    known = keys.join(tied.select("id", "comp"), "id")
+    open_ = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("id").alias("a")).where("lo < hi").select("key", "a")
+    edges = keys.join(materialise(open_, "open"), "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()
+    clusters = components(materialise(edges, "shared")).select(F.col("node").alias("id"), F.col("label").alias("piece"))
+    nodes = materialise(clusters.join(tied.select("id", "comp"), "id"), "open_nodes")
+    sizes = nodes.groupBy("piece", "comp").agg(F.count("*").alias("n")).groupBy("piece")
+    sizes = sizes.agg(F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.max("n").alias("n"), F.sum("n").alias("total"))
+    sizes = sizes.select(
+        "piece", "largest", F.ceil((F.col("total") - F.col("n")) / BLOCK).cast("int").alias("few"), F.ceil(F.col("n") / BLOCK).cast("int").alias("many")
+    )
+    inside = F.col("comp") == F.col("largest")
+    own = F.when(inside, F.col("few") + F.pmod(F.xxhash64("id"), "many")).otherwise(F.pmod(F.xxhash64("id"), "few")).cast("int")
+    last = F.when(inside, F.col("few") - 1).otherwise(F.col("few") + F.col("many") - 1)
+    placed = nodes.join(sizes, "piece").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    placed = placed.select("id", "piece", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    return placed.join(large.select("id", "sig", "text"), "id")
 
 
 def linked_components(docs: DataFrame, signed: DataFrame, k: int, percent: int, miss: float, bands: int, rows: int) -> DataFrame:
@@ -301,8 +361,18 @@ def linked_components(docs: DataFrame, signed: DataFrame, k: int, percent: int,
     def is_text_of(checks: pd.Series, text: pd.Series) -> pd.Series:
         return pd.Series([word_ids(words_of(t.encode()))[1] == n for n, t in zip(checks, text, strict=True)], dtype=bool)
 
-    active = materialise(active.where(is_text_of("check", "text")).drop("check"), "active").dropDuplicates(["id"])
-    return components(materialise(verified_links(active, Verifier(k, percent, miss, bands, rows)), "links"))
+    active = materialise(active.where(is_text_of("check", "text")).drop("check"), "active")
+    spark, verifier = docs.sparkSession, Verifier(k, percent, miss, bands, rows)
+    sizes = materialise(active.groupBy("cluster").agg(F.count_distinct("id").alias("members")), "sizes")
+    sized = active.dropDuplicates(["id"]).join(sizes, "cluster")
+    groups = packed(active.count(), spark)
+    links = materialise(verified_links(alone(sized.where(F.col("members") <= BLOCK), F.col("cluster")), verifier, groups), "links")
+    large = materialise(sized.where(F.col("members") > BLOCK).select("id", "sig", "text"), "large")
+    if large.isEmpty():
+        return components(links)
+    near = materialise(verified_links(bucket_pieces(large, bands, rows), verifier, groups), "links")
+    far = materialise(verified_links(cross_pieces(large, components(near), bands, rows), verifier), "links")
+    return components(materialise(links.unionByName(near).unionByName(far), "links"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from fixtures import corpus, frame, key_of, ordered, words
 from pyspark.sql import functions as F
 
+from isohyet.llm import near_dedup
 from isohyet.llm.components import components
 from isohyet.llm.exact_dedup import directory, exact_duplicates, may_repeat
 from isohyet.llm.near_dedup import MISS, Verifier, banding, least_matches, near_duplicates, shingle_set, words_of
@@ -97,6 +98,30 @@ def test_near_duplicates(spark, k):
     assert ordered(near_duplicates(frame(spark, rows), k).collect()) == expected_near(rows, k, 80)
 
 
+def test_large_clusters_move_texts_in_proportion(spark, monkeypatch):
+    """A chain of near copies, a group of copies of one text, and others: right links, and few moves of a text."""
+    rnd = random.Random(8)
+    moved = []
+    plain = near_dedup.verified_links
+
+    def counted(pieces, *rest):
+        moved.append(pieces.count())
+        return plain(pieces, *rest)
+
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "verified_links", counted)
+    chain, rows = [f"c{i}" for i in range(60)], []
+    for i in range(160):
+        chain[rnd.randrange(60)] = f"n{i}"
+        rows.append((1000 + i, " ".join(chain)))
+    base = [f"h{i}" for i in range(80)]
+    rows += [(2000 + i, " ".join([*base, f"t{i}"])) for i in range(160)]
+    rows += [(i, " ".join(f"r{rnd.randrange(300)}" for _ in range(40))) for i in range(60)]
+    rnd.shuffle(rows)
+    assert ordered(near_duplicates(frame(spark, rows)).collect()) == expected_near(rows, 5, 80)
+    assert len(moved) == 3 and sum(moved) <= (near_dedup.ROUNDS + 6) * len(rows)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_duplicates(frame(spark, [])).collect() == []
     assert ordered(near_duplicates(frame(spark, [(1, None), (2, "")])).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
