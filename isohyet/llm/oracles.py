@@ -61,3 +61,27 @@ k AS (
   FROM g GROUP BY doc_id)
 SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256 FROM w LEFT JOIN k USING (doc_id)
 """
+
+# CRC-32 of a UTF-8 string column f, byte by byte from a table made by the rule.
+_CRC_TABLE = "(SELECT list(x ORDER BY b) AS t FROM (SELECT b, list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS x FROM (SELECT unnest(range(256)) AS b)))"
+_CRC = "xor(4294967295, list_reduce(list_transform(range(octet_length(encode({0}))), lambda i: ('0x' || substr(hex(encode({0})), 2 * i + 1, 2))::BIGINT), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT))"
+
+OP13 = f"""
+WITH w AS (
+  SELECT 'd' AS tab, doc_id AS id, list_filter(regexp_split_to_array({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS ws FROM documents
+  UNION ALL SELECT 'b', NULL, list_filter(regexp_split_to_array({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') FROM benchmark),
+f AS (
+  SELECT tab, id, unnest(list_concat(ws, CASE WHEN len(ws) < 2 THEN [] ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END)) AS f FROM w),
+n AS (SELECT tab, id, f, count(*) AS n FROM f GROUP BY ALL),
+c AS (SELECT f, {_CRC.format("f")} % 10000 AS bucket FROM (SELECT DISTINCT f FROM n), {_CRC_TABLE}),
+s AS (SELECT bucket, sum(n) FILTER (tab = 'd') AS s, sum(n) FILTER (tab = 'b') AS t FROM n JOIN c USING (f) GROUP BY bucket),
+a AS (SELECT coalesce(sum(s), 0)::BIGINT AS s, coalesce(sum(t), 0)::BIGINT AS t FROM s),
+g AS (SELECT bucket, floor(1000 * ln((coalesce(s.t, 0)::BIGINT + 1) * (a.s + 10000)::DOUBLE / ((coalesce(s.s, 0)::BIGINT + 1) * (a.t + 10000))))::BIGINT AS gain FROM s, a),
+x AS (SELECT id, sum(n)::BIGINT AS n_features, floor(sum(n * gain) / sum(n))::BIGINT AS weight FROM n JOIN c USING (f) JOIN g USING (bucket) WHERE tab = 'd' GROUP BY id),
+y AS (
+  SELECT id, len(ws) >= 20 AS able, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || id), 1, 8))::BIGINT + 0.5) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM w LEFT JOIN x USING (id) WHERE tab = 'd'),
+z AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, id) AS r, count(*) OVER (PARTITION BY able) * 25 // 100 AS k FROM y)
+SELECT id AS doc_id, n_features, weight, score, CASE WHEN able AND r <= k THEN r END AS rank FROM z
+"""

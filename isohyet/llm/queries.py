@@ -6,6 +6,7 @@ from .exact_dedup import OP3_SQL, op3_exact_dedup
 from .language_id import op9_language_id
 from .mixing import op1_mixing
 from .near_dedup import op2_near_dedup
+from .resampling import op13_resampling
 from .secrets import op6_secrets
 from .substring_dedup import op8_substring_dedup
 from .suffix_dedup import op7_suffix_array
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
+    "op13_resampling": op13_resampling,
 }
 
 ORACLES = {
@@ -32,4 +34,5 @@ ORACLES = {
     "op5_decontamination": oracles.OP5,
     "op7_suffix_array": oracles.OP7,
     "op8_substring_dedup": oracles.OP8,
+    "op13_resampling": oracles.OP13,
 }
