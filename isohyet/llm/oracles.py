@@ -85,3 +85,24 @@ y AS (
 z AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, id) AS r, count(*) OVER (PARTITION BY able) * 25 // 100 AS k FROM y)
 SELECT id AS doc_id, n_features, weight, score, CASE WHEN able AND r <= k THEN r END AS rank FROM z
 """
+
+OP12 = f"""
+WITH RECURSIVE r AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+q AS (SELECT doc_id || ':' || run AS f, run, count(*) AS n FROM r WHERE length(run) >= 7 GROUP BY ALL),
+h AS (SELECT run, n, {_CRC.format("f")} AS h FROM q, {_CRC_TABLE}),
+e AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM e WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+v AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+c AS (SELECT word, n, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS other, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM v),
+p AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM c a JOIN c b ON a.other = b.other AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM c JOIN w ON c.less = w.word
+  UNION SELECT w.word, c.word, c.n FROM c JOIN w ON c.less = w.word),
+k AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place, count(*) OVER (PARTITION BY word) AS n_near FROM p),
+f AS (
+  SELECT w.word, w.n, coalesce(k.n_near, 0) AS n_near, CASE WHEN k.other_n >= 10 * w.n THEN k.other END AS form, CASE WHEN k.other_n >= 10 * w.n THEN k.other_n END AS form_n
+  FROM w LEFT JOIN k ON w.word = k.word AND k.place = 1),
+t AS (SELECT word, word AS spot, 0 AS steps FROM f UNION ALL SELECT t.word, f.form, t.steps + 1 FROM t JOIN f ON t.spot = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, form, t.root, n, n_near, form_n FROM f JOIN (SELECT word, arg_max(spot, steps) AS root FROM t GROUP BY word) t USING (word)
+"""

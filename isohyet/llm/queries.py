@@ -8,6 +8,7 @@ from .mixing import op1_mixing
 from .near_dedup import op2_near_dedup
 from .resampling import op13_resampling
 from .secrets import op6_secrets
+from .spelling import op12_spelling
 from .substring_dedup import op8_substring_dedup
 from .suffix_dedup import op7_suffix_array
 from .url_filter import op10_url_filter
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
+    "op12_spelling": op12_spelling,
     "op13_resampling": op13_resampling,
 }
 
@@ -34,5 +36,6 @@ ORACLES = {
     "op5_decontamination": oracles.OP5,
     "op7_suffix_array": oracles.OP7,
     "op8_substring_dedup": oracles.OP8,
+    "op12_spelling": oracles.OP12,
     "op13_resampling": oracles.OP13,
 }
