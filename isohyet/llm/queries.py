@@ -6,6 +6,7 @@ from .exact_dedup import OP3_SQL, op3_exact_dedup
 from .language_id import op9_language_id
 from .mixing import op1_mixing
 from .near_dedup import op2_near_dedup
+from .personal_data import op11_personal_data
 from .resampling import op13_resampling
 from .secrets import op6_secrets
 from .spelling import op12_spelling
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
+    "op11_personal_data": op11_personal_data,
     "op12_spelling": op12_spelling,
     "op13_resampling": op13_resampling,
 }
