@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.catalog import CATALOG
+from .quantiles import with_quantiles
 
 #: Physical ranges.
 VALUE_RANGES = {
@@ -61,14 +62,12 @@ def level(fail: Column, warn: Column | None = None) -> Column:
     return (out if warn is None else out.when(warn, "WARNING")).otherwise("PASS")
 
 
-
-
 def _per_variable(long: DataFrame) -> DataFrame:
-    return long.groupBy("variable").agg(
+    out = long.groupBy("variable").agg(
         F.count("*").alias("n"), F.count("value").alias("there"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
         F.min("value").alias("low"), F.max("value").alias("high"), F.count_if(F.col("value") == 0).alias("zeros"),
-        F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
     )
+    return with_quantiles(out, long, ["variable"], (0.25, 0.5, 0.75), "q")
 
 
 def completeness(spark: SparkSession, found: Sequence[str], expected: Sequence[str], extra_limit: int = 5) -> DataFrame:
@@ -102,7 +101,7 @@ def _limits(ranges: Mapping[str, tuple[float, float]]) -> tuple[Column, Column]:
 
 
 def value_checks(long: DataFrame, ranges: Mapping[str, tuple[float, float]] | None = None, mostly_zero: Sequence[str] = MOSTLY_ZERO) -> DataFrame:
-    """Coverage, value range, constancy, six-sigma extremes, zeros and shape of each variable, in one aggregate."""
+    """Coverage, value range, constancy, six-sigma extremes, zeros and shape of each variable."""
     s = _per_variable(long)
     low, high = _limits({**physical_limits(), **VALUE_RANGES, **(ranges or {})})
     missing = 1 - F.col("there") / F.col("n")

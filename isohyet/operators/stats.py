@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.special import t_two_sided
+from .quantiles import with_quantiles
 
 
 def to_long(df: DataFrame, variables: Sequence[str], keys: Sequence[str] = ("year",)) -> DataFrame:
@@ -55,11 +56,11 @@ def trends(long: DataFrame, by: Sequence[str] = ("region", "variable"), span_yea
 
 def describe(long: DataFrame, by: Sequence[str] = ("variable",)) -> DataFrame:
     """Counts, moments (population deviation) and linear-interpolated quantiles of ``value``."""
-    q = F.percentile("value", F.array(*[F.lit(x) for x in (0.05, 0.25, 0.5, 0.75, 0.95)]))
     out = long.groupBy(*by).agg(
         F.count("value").alias("count"), (F.count("*") - F.count("value")).alias("missing"), F.count("*").alias("__n"), F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"), q.alias("__q"),
+        F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
     )
+    out = with_quantiles(out, long, by, (0.05, 0.25, 0.5, 0.75, 0.95))
     names = ("q05", "q25", "median", "q75", "q95")
     return out.select(
         *by, "count", "missing", (100 * F.col("missing") / F.col("__n")).alias("missing_percent"), "mean", "std", "min", "max",
@@ -111,8 +112,8 @@ def histogram(long: DataFrame, bins: int = 30, by: Sequence[str] = ("variable",)
 
 
 def box_plot(long: DataFrame, by: Sequence[str] = ("region", "variable")) -> DataFrame:
-    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = long.groupBy(*by).agg(q.alias("q"), F.avg("value").alias("mean"))
+    """Quartiles and mean of each group."""
+    out = with_quantiles(long.groupBy(*by).agg(F.avg("value").alias("mean")), long, by, (0.25, 0.5, 0.75), "q")
     return out.select(*by, F.col("q")[0].alias("q25"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q75"), "mean")
 
 
