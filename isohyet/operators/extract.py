@@ -8,23 +8,70 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Axes of up to so many lines go to every task; longer ones are joined.
+MAX_LINES = 100_000
+
+
 def axis(cells: DataFrame, name: str) -> DataFrame:
-    """A grid axis: its coordinates in order with the next one."""
-    w = Window.orderBy(name)  # one row per grid line
-    return cells.select(name).distinct().withColumn("next", F.lead(name).over(w))
+    """A grid axis: each line with the next one, null for the last.
 
+    Where cells have the axis's index (``lat_idx`` for ``lat``), lines meet the
+    next by it; otherwise distinct lines are put in order, of which a grid has as
+    many as the root of its cells.
+    """
+    index = f"{name}_idx"
+    if index not in cells.columns:
+        lines = cells.select(F.col(name).alias("line")).where("line is not null").distinct()
+        return lines.withColumn("next", F.lead("line").over(Window.orderBy("line")))
+    lines = cells.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("line")).agg(F.first(index).alias("i"))
+    # An index may fall along the axis, so the nearest larger line is on either side.
+    beside = lines.select(F.col("line").alias("other"), F.explode(F.array(F.col("i") - 1, F.col("i") + 1)).alias("i"))
+    return lines.join(beside, "i", "left").groupBy("line").agg(F.min(F.when(F.col("other") > F.col("line"), F.col("other"))).alias("next"))
+
+
+class Axis:
+    """The intervals of a grid axis, and how values find theirs.
+
+    The axis's extent is cut into as many equal stretches as it has lines. An
+    interval stands in every stretch that it touches, so all of them are at most
+    two rows a line, and a value meets the few intervals of its stretch by an equi
+    join. Lines may lie at any distances.
+    """
 
-def _lower(points: DataFrame, cells: DataFrame, coord: str, value: str) -> DataFrame:
-    """Adds to points the axis interval that holds them: <coord>_lo, <coord>_hi. Points off the axis get nulls."""
-    steps = [(r[coord], r["next"]) for r in axis(cells, coord).collect()]  # grid lines only
-    lines = sorted(s[0] for s in steps)
-    arr = F.array(*[F.lit(float(x)) for x in lines])
-    # Number of lines at or below the point: the array is sorted.
-    below = F.size(F.filter(arr, lambda x: x <= F.col(value)))
-    inside = (F.col(value) >= lines[0]) & (F.col(value) <= lines[-1])
-    lo = F.greatest(F.least(below, F.lit(max(1, len(lines) - 1))), F.lit(1))
-    hi = F.least(lo + 1, F.lit(len(lines)))
-    return points.withColumns({f"{coord}_lo": F.when(inside, F.element_at(arr, lo)), f"{coord}_hi": F.when(inside, F.element_at(arr, hi))})
+    def __init__(self, cells: DataFrame, name: str) -> None:
+        lines = axis(cells, name)
+        # Three numbers, not the lines.
+        self.first, self.last, self.n = lines.agg(F.min("line"), F.max("line"), F.count("line")).first()
+        self.name = name
+        if not self.n:
+            return
+        closed = F.col("next") == F.lit(self.last)
+        # The last line is no interval of its own, unless it is the only one.
+        of = lines.where(F.col("next").isNotNull() | F.lit(self.n == 1)).select(F.col("line").alias(f"{name}_lo"), F.coalesce("next", "line").alias(f"{name}_hi"), F.coalesce(closed, F.lit(True)).alias("_closed"))
+        stretches = F.sequence(self._stretch(F.col(f"{name}_lo")), self._stretch(F.col(f"{name}_hi")))
+        self.intervals = of.withColumn("_stretch", F.explode(stretches))
+        if self.n <= MAX_LINES:
+            self.intervals = F.broadcast(self.intervals)
+
+    def _stretch(self, value: Column) -> Column:
+        share = (value - F.lit(self.first)) / F.lit((self.last - self.first) or 1.0)
+        return F.least(F.floor(share * self.n), F.lit(self.n - 1)).cast("long")
+
+    def place(self, points: DataFrame, value: Column, clip: bool = False) -> DataFrame:
+        """``points`` with the interval that holds ``value``, <name>_lo and <name>_hi; nulls off the axis, for null and for NaN.
+
+        With ``clip``, values past an end take the end, <name>_at being the value then.
+        """
+        name = self.name
+        if not self.n:
+            nothing = F.lit(None).cast("double")
+            return points.withColumns({c: nothing for c in ([f"{name}_at"] if clip else []) + [f"{name}_lo", f"{name}_hi"]})
+        at = F.when(value.isNotNull() & ~F.isnan(value), F.least(F.greatest(value, F.lit(self.first)), F.lit(self.last)) if clip else value)
+        held = points.withColumn(f"{name}_at", at)
+        inside = (F.col(f"{name}_at") >= F.col(f"{name}_lo")) & ((F.col(f"{name}_at") < F.col(f"{name}_hi")) | F.col("_closed") & (F.col(f"{name}_at") == F.col(f"{name}_hi")))
+        inside &= F.when(F.col(f"{name}_at").between(self.first, self.last), self._stretch(F.col(f"{name}_at"))) == F.col("_stretch")
+        out = held.join(self.intervals, inside, "left").drop("_closed", "_stretch")
+        return out if clip else out.drop(f"{name}_at")
 
 
 def extract_bilinear(points: DataFrame, annual: DataFrame, cells: DataFrame, indices: Sequence[str], lat: str = "lat", lon: str = "lon") -> DataFrame:
@@ -35,7 +82,7 @@ def extract_bilinear(points: DataFrame, annual: DataFrame, cells: DataFrame, ind
     with a missing corner of non-zero weight, gives nulls. All years of the
     results appear for every point.
     """
-    placed = _lower(_lower(points, cells, "lat", lat), cells, "lon", lon)
+    placed = Axis(cells, "lon").place(Axis(cells, "lat").place(points, F.col(lat)), F.col(lon))
 
     def share(coord: str, value: str) -> Column:
         width = F.col(f"{coord}_hi") - F.col(f"{coord}_lo")
@@ -57,24 +104,19 @@ def extract_bilinear(points: DataFrame, annual: DataFrame, cells: DataFrame, ind
     return points.join(F.broadcast(years)).join(values, ["point_id", "year"], "left").select(*points.columns, "year", *indices)  # a row per year of the record
 
 
-def _line(lines: Sequence[float], value: Column, method: str) -> Column:
-    arr = F.array(*[F.lit(float(x)) for x in lines])
-    if method == "ceil":
-        return F.coalesce(F.array_min(F.filter(arr, lambda x: x >= value)), F.lit(float(lines[-1])))
-    if method == "nearest":
-        return F.array_min(F.transform(arr, lambda x: F.struct(F.abs(x - value).alias("d"), x.alias("x"))))["x"]
-    raise ValueError("method must be ceil or nearest")
-
-
 def extract_axis(points: DataFrame, annual: DataFrame, cells: DataFrame, indices: Sequence[str], method: str = "ceil", lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Values of one cell per point: ``ceil`` takes the first grid line at or above each coordinate, ``nearest`` the closest.
 
     Points past the last line take the last one; years without a value are absent.
     """
+    if method not in ("ceil", "nearest"):
+        raise ValueError("method must be ceil or nearest")
     out = points
-    for coord, value in (("lat", F.col(lat)), ("lon", F.col(lon))):
-        lines = sorted(r[0] for r in cells.select(coord).distinct().collect())  # grid lines only
-        out = out.withColumn(f"__{coord}", F.when(value.isNotNull(), _line(lines, value, method)))
+    for coord, value in (("lat", lat), ("lon", lon)):
+        out = Axis(cells, coord).place(out, F.col(value), clip=True)
+        at, low, high = (F.col(f"{coord}_{x}") for x in ("at", "lo", "hi"))
+        takes_low = at <= low if method == "ceil" else at - low <= high - at
+        out = out.withColumn(f"__{coord}", F.when(takes_low, low).otherwise(high)).drop(f"{coord}_at", f"{coord}_lo", f"{coord}_hi")
     cell = cells.select("cell_id", F.col("lat").alias("__lat"), F.col("lon").alias("__lon"))
     return out.join(cell, ["__lat", "__lon"]).join(annual.select("cell_id", "year", *indices), "cell_id").select(*points.columns, "cell_id", "year", *indices)
 
