@@ -34,8 +34,9 @@ SELECT doc_id, item_id, item_shingles, found, found / item_shingles AS containme
 
 OP7 = """
 WITH x AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
-p AS (SELECT doc_id, h, n, unnest(range(n)) AS i FROM x),
-w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS byte, CASE WHEN i + 50 <= n THEN md5_number(substr(h, 2 * i + 1, 100)) END AS win FROM p),
+b AS (SELECT doc_id, n, b, substr(h, 1024 * b + 1, 1122) AS h FROM (SELECT doc_id, h, n, unnest(range((n + 511) // 512)) AS b FROM x)),
+p AS (SELECT doc_id, h, n, b, unnest(range(least(512, n - 512 * b))) AS j FROM b),
+w AS (SELECT doc_id, 512 * b + j AS i, substr(h, 2 * j + 1, 2) AS byte, CASE WHEN 512 * b + j + 50 <= n THEN md5_number(substr(h, 2 * j + 1, 100)) END AS win FROM p),
 m AS (SELECT win, min(doc_id) AS low FROM w WHERE win IS NOT NULL GROUP BY win),
 g AS (
   SELECT w.doc_id, w.i, w.byte, coalesce(max(CASE WHEN m.low < w.doc_id THEN 1 ELSE 0 END) OVER (PARTITION BY w.doc_id ORDER BY w.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone

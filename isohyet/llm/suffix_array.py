@@ -22,6 +22,17 @@ def _types(t: np.ndarray) -> np.ndarray:
     return out
 
 
+def _along_runs(bucket: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """A bucket's suffixes, and those that begin before them in the same run of one character: all by one character, then by two, and so on."""
+    before = bucket - run[bucket]
+    total = int(before.sum())
+    if not total:
+        return bucket
+    upto = np.cumsum(before)
+    back = np.arange(1, total + 1) - np.repeat(upto - before, before)
+    return np.concatenate((bucket, (np.repeat(bucket, before) - back)[np.argsort(back, kind="stable")]))
+
+
 def _induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, sigma: int) -> np.ndarray:
     """The suffix array that the given order of leftmost-smaller suffixes induces."""
     size_l = np.bincount(t[~small], minlength=sigma)
@@ -42,27 +53,26 @@ def _induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, sigma: int) -> np
         out[edge[c] + nth if step > 0 else edge[c] - 1 - nth] = pre[order]
         edge += step * count
 
+    begins = np.append(True, t[1:] != t[:-1])
+    run = np.maximum.accumulate(np.where(begins, np.arange(len(t)), 0))  # where the run of one character that holds a place begins
     for c in range(sigma):
-        at = from_l[c]
-        while at < head[c]:
-            now, at = large[at : head[c]], head[c]
+        now = _along_runs(large[from_l[c] : head[c]], run)
+        head[c] = from_l[c] + len(now)
+        large[from_l[c] : head[c]] = now
+        for now in (now, by_char[from_m[c] : from_m[c + 1]]):
             pre = now[now > 0] - 1
-            scatter(pre[~small[pre]], large, head, 1)
-        now = by_char[from_m[c] : from_m[c + 1]]
-        if len(now):
-            pre = now[now > 0] - 1
-            scatter(pre[~small[pre]], large, head, 1)
+            pre = pre[~small[pre]]
+            scatter(pre[t[pre] != c], large, head, 1)
     less[0] = len(t) - 1  # the sentinel
     for c in range(sigma - 1, -1, -1):
-        at = from_s[c + 1]
-        while at > tail[c]:
-            now, at = less[tail[c] : at][::-1], tail[c]
-            pre = now[now > 0] - 1
-            scatter(pre[small[pre]], less, tail, -1)
-        now = large[from_l[c] : from_l[c + 1]][::-1]
-        if len(now):
+        end = from_s[c + 1]
+        now = _along_runs(less[tail[c] : end][::-1], run)
+        tail[c] = end - len(now)
+        less[tail[c] : end] = now[::-1]
+        for now in (now, large[from_l[c] : from_l[c + 1]][::-1]):
             pre = now[now > 0] - 1
-            scatter(pre[small[pre]], less, tail, -1)
+            pre = pre[small[pre]]
+            scatter(pre[t[pre] != c], less, tail, -1)
     out = np.empty(len(t), np.int64)
     start = from_l[:-1] + from_s[:-1]
     out[np.arange(len(large)) + np.repeat(from_s[:-1], size_l)] = large
@@ -101,12 +111,13 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     a, b = order[:-1], order[1:]
     size = end[b] - b
     same = size == end[a] - a
-    longest = int(size.max(initial=0))
-    for step in range(longest + 1):
-        live = np.flatnonzero(same & (size >= step))
-        if not len(live):
-            break
-        same[live] = t[a[live] + step] == t[b[live] + step]
+    # The substrings overlap by a character, so all that are compared are about as long as the text.
+    pairs = np.flatnonzero(same)
+    length = size[pairs] + 1
+    step = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+    equal = t[np.repeat(a[pairs], length) + step] == t[np.repeat(b[pairs], length) + step]
+    if len(pairs):
+        same[pairs] = np.logical_and.reduceat(equal, np.cumsum(length) - length)
     # The last bytes' types need no look: both substrings end where one begins.
     rank = np.append(0, np.cumsum(~same))
     if rank[-1] + 1 < len(lms):

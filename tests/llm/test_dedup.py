@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -243,3 +244,17 @@ def test_suffix_arrays():
 
 def test_row_keys_sort_nulls():
     assert key_of((None, 1)) < key_of((0, 1))
+
+
+def test_suffix_arrays_of_runs_and_periods():
+    """Runs of one character and short periods take no round per byte."""
+    rng = random.Random(4)
+    texts = [b"a" * n for n in (0, 1, 2, 199)] + [b"ab" * 90, b"abcdefg" * 40, b"a" * 50 + b"b" + b"a" * 50, b"b" * 30 + b"a" * 30 + b"c" * 30]
+    texts += [b"".join(bytes([rng.choice(b"ab\x00\xff")]) * rng.randint(1, 30) for _ in range(rng.randint(1, 9))) for _ in range(200)]
+    for text in texts:
+        assert suffix_array(np.frombuffer(text, np.uint8)).tolist() == sorted(range(len(text)), key=lambda i: text[i:]), text
+    began = time.process_time()
+    for text in (b"a" * 2_000_000, b"abcdefg" * 300_000, (b"a" * 1_000_000 + b"b") * 2):
+        array = suffix_array(np.frombuffer(text, np.uint8))
+        assert len(array) == len(text) and len(np.unique(array)) == len(text)
+    assert time.process_time() - began < 60
