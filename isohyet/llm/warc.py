@@ -8,8 +8,8 @@ payload digests.
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
+import urllib.parse
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from .common import fresh_path, materialise, table
 
 REVISIT_BYTES = 1000
+#: Digits of a stated length; a longer one is damage.
+MAX_DIGITS = 15
 FILE_BYTES = 1 << 30
 PIECE = 1 << 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -39,10 +41,20 @@ def bare_digest(label: str | None) -> str | None:
     """The hexadecimal form of a SHA-1 label; null where it is none."""
     try:
         return base64.b32decode(label[5:]).hex() if label and label.startswith("sha1:") else None
-    except binascii.Error:
+    except ValueError:
         return None
 
 
+def _number(stated: str | None) -> int | None:
+    """A length as headers state it; None for anything but a few ASCII digits."""
+    return int(stated) if stated and stated.isascii() and stated.isdigit() and len(stated) <= MAX_DIGITS else None
+
+
+def _named(value: str | None) -> str | None:
+    """A field written by ``record``, without its escapes."""
+    return None if value is None else urllib.parse.unquote(value)
+
+
 def record_id(page_id: str | None, payload: bytes) -> str:
     """A record's id, by which revisits refer to it: the same for the same page and payload."""
     name = uuid.uuid4() if page_id is None else uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id} {hashlib.sha1(payload).hexdigest()}")
@@ -107,8 +119,8 @@ def parse(content: bytes) -> dict:
     head, _, body = content.partition(b"\r\n\r\n")
     version, *lines = head.decode("utf-8", "replace").split("\r\n")
     fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-    stated = fields.get("content-length", "")
-    length = int(stated) if stated.isascii() and stated.isdigit() else -1
+    length = _number(fields.get("content-length"))
+    length = -1 if length is None else length
     block = body[: max(0, length)]
     valid = version.startswith("WARC/") and len(block) == length and body[length:] == b"\r\n\r\n"
     http, payload = {}, block
@@ -120,16 +132,19 @@ def parse(content: bytes) -> dict:
     label, kind = fields.get("warc-payload-digest"), fields.get("warc-type")
     if label and kind != "revisit":
         valid &= label == sha1_label(payload)
-    declared = int(http["content-length"]) if http.get("content-length", "").isdigit() else len(payload)
+    declared = len(payload)
+    if "content-length" in http:
+        declared = _number(http["content-length"])
+        valid &= declared is not None
     return {
         "record_id": fields.get("warc-record-id"),
         "type": kind,
         "target_uri": fields.get("warc-target-uri"),
         "date": fields.get("warc-date"),
-        "page_id": fields.get("x-page-id"),
-        "refers_to": fields.get("x-refers-to-page"),
+        "page_id": _named(fields.get("x-page-id")),
+        "refers_to": _named(fields.get("x-refers-to-page")),
         "content_length": length,
-        "payload_length": declared if kind == "revisit" else len(payload),
+        "payload_length": declared if kind == "revisit" and declared is not None else len(payload),
         "payload_digest": bare_digest(label),
         "payload": payload,
         "valid": bool(valid),
@@ -190,9 +205,9 @@ def write_archives(pages: DataFrame, base: str, file_bytes: int = FILE_BYTES) ->
                     close()
                     path, size, count = f"{root}/{uuid.uuid4().hex}.warc.gz", 0, 0
                     out = store.open_output_stream(path, compression=None)
-                extra = {} if page_id is None else {"X-Page-ID": page_id}
+                extra = {} if page_id is None else {"X-Page-ID": urllib.parse.quote(page_id, safe="")}
                 if kind == "revisit":
-                    extra |= {"WARC-Profile": PROFILE, "WARC-Refers-To": record_id(refers, bytes(body)), "X-Refers-To-Page": refers}
+                    extra |= {"WARC-Profile": PROFILE, "WARC-Refers-To": record_id(refers, bytes(body)), "X-Refers-To-Page": urllib.parse.quote(refers, safe="")}
                 uri = (url or "").replace("\r", "%0D").replace("\n", "%0A")
                 data = record(kind, record_id(page_id, bytes(body)), uri, bytes(body), extra)
                 out.write(data)
