@@ -2,8 +2,8 @@
 
 A worklist of layers starts with the text itself. Each layer is scanned, then
 unwrapped: URL escapes, Unicode escapes and character references decode the
-whole layer; each base64 run decodes, with decompression, to a layer of its
-own. A layer whose text was seen before at the same stretch of the original is
+whole layer; each base64 run, and each stretch of escaped bytes that is
+compressed, decodes with decompression to a layer of its own. A layer whose text was seen before at the same stretch of the original is
 not entered again, so cycles end and the list runs until a fixpoint; the same
 text at another place is a layer of its own. Every character of a layer knows
 the stretch of the original text that it came from.
@@ -22,6 +22,8 @@ from array import array
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
+from urllib.parse import unquote_to_bytes
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +50,15 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|amp|quot|apos|lt|gt|colon|equals);")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+\r?\n[\x20\t]*+)+[A-Za-z0-9+/_-]++={0,2}")
+#: Bytes in a URL, and in a string literal.
+QUOTED = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~+/-])+")
+LITERAL = re.compile(r"(?:\\(?:x[0-9A-Fa-f]{2}|[nrt'\"\\])|[\x20!#-&(-\[\]-~])+")
+QUOTED_BYTE, LITERAL_BYTE = re.compile(r"%..|."), re.compile(r"\\(?:x..|.)|.")
+SLASHED = re.compile(r"\\(?:x([0-9A-Fa-f]{2})|(.))")
+#: How compressed data begins; ``HEAD`` bytes tell.
+MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]1AY|\xfd7zXZ\x00")
+HEAD = 6
 
 
 @dataclass
@@ -139,64 +150,185 @@ def _stream(data: bytes):
     return None, ""
 
 
-def _inflated(data: bytes, limit: int) -> Iterator[bytes]:
-    """The content of all members of compressed data, in pieces of up to ``limit`` bytes; ends where the data is damaged."""
-    while data:
-        stream, codec = _stream(data)
+def _inflated(pieces: Iterator[bytes], limit: int) -> Iterator[bytes]:
+    """The content of all members of compressed data that comes in pieces, in pieces of up to ``limit`` bytes; ends where the data is damaged."""
+    rest = b""
+    while True:
+        while len(rest) < HEAD and (more := next(pieces, b"")):
+            rest += more
+        stream, codec = _stream(rest)
         if stream is None:
             return
         try:
-            rest = data
             while not stream.eof:
                 piece = stream.decompress(rest, limit)
                 rest = stream.unconsumed_tail if codec in ("gzip", "zlib") else b""
                 if piece:
                     yield piece
-                elif not rest:
+                elif not rest and not stream.eof and not (rest := next(pieces, b"")):
                     return
         except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
             return
-        data = stream.unused_data
+        rest = stream.unused_data
 
 
-def _opened(data: bytes, limit: int, path: str = "") -> Iterator[tuple[bytes, str]]:
-    """The data, or where it is compressed, its content through all codecs: pieces that overlap, and the codecs."""
-    _, codec = _stream(data)
-    held, any_piece = b"", False
-    for piece in _inflated(data, limit) if codec else ():
-        any_piece = True
-        yield from _opened(held + piece, limit, f"{path}>{codec}")
+def _opened(pieces: Iterator[bytes], limit: int, path: str = "") -> Iterator[tuple[bytes, str]]:
+    """Data that comes in pieces, or where it is compressed, its content through all codecs: pieces that overlap, and the codecs.
+
+    Every codec has one decoder, which the one around it feeds, so a nested stream
+    is read to its end whatever the size of the pieces.
+    """
+    first = b""
+    while len(first) < HEAD and (more := next(pieces, b"")):
+        first += more
+    if codec := _stream(first)[1]:
+        read = [first]
+
+        def noted() -> Iterator[bytes]:
+            yield first
+            for piece in pieces:
+                if read and sum(map(len, read)) <= limit:
+                    read.append(piece)
+                yield piece
+
+        inner = _inflated(noted(), limit)
+        content = next(inner, None)
+        if content is not None:
+            read.clear()
+            yield from _opened(chain((content,), inner), limit, f"{path}>{codec}")
+            return
+        pieces = chain(read[1:], pieces)  # it only looked compressed
+    held = b""
+    for piece in chain((first,), pieces):
+        yield held + piece, path
         held = (held + piece)[-OVERLAP:]
-    if not any_piece:
-        yield data, path
+
+
+def _raw_deflate(data: bytes, limit: int) -> Iterator[bytes]:
+    """The content of deflate data without a header, in pieces; none unless all of the data is that."""
+    trial, rest = zlib.decompressobj(-15), data
+    try:
+        while not trial.eof:
+            piece = trial.decompress(rest, limit)
+            rest = trial.unconsumed_tail
+            if not piece and not rest and not trial.eof:
+                return
+    except zlib.error:
+        return
+    if trial.unused_data:
+        return
+    stream, rest = zlib.decompressobj(-15), data
+    while not stream.eof:
+        yield stream.decompress(rest, limit)
+        rest = stream.unconsumed_tail
+
+
+def _binary(data: bytes, limit: int) -> Iterator[tuple[bytes, str, int, int]]:
+    """The contents of what is compressed from a magic number in the data on, the codecs, and where it begins and ends."""
+    for m in MAGIC.finditer(data):
+        end = None
+        for piece, codecs in _opened(iter((data[m.start() :],)), limit):
+            if codecs:
+                end = end or m.start() + _extent(data[m.start() :], limit)
+                yield piece, codecs, m.start(), end
+
+
+def _extent(data: bytes, limit: int) -> int:
+    """The length of the compressed members that data begins with; all of it where they are cut off or damaged."""
+    rest = data
+    while (stream := _stream(rest)[0]) is not None:
+        try:
+            while not stream.eof:
+                piece = stream.decompress(rest, limit)
+                rest = getattr(stream, "unconsumed_tail", b"")
+                if not piece and not rest and not stream.eof:
+                    return len(data)
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+            return len(data)
+        rest = stream.unused_data
+    return len(data) - len(rest)
+
+
+def _whole(layer: Layer, start: int, end: int, data: bytes, name: str) -> Layer:
+    """A layer every character of which comes from the stretch start to end."""
+    text = _text(data)
+    a, b = layer.span(start, end)
+    return Layer(text, array("i", [a]) * len(text), array("i", [b]) * len(text), f"{layer.path}>{name}".lstrip(">"))
+
+
+def _escaped_bytes(layer: Layer, limit: int) -> Iterator[Layer]:
+    """Contents of compressed bytes that stand in a text as URL or string escapes."""
+    for pattern, mark, decode, byte, name in ((QUOTED, "%", unquote_to_bytes, QUOTED_BYTE, "url"), (LITERAL, "\\x", _literal, LITERAL_BYTE, "unicode")):
+        for m in pattern.finditer(layer.text) if mark in layer.text else ():
+            data = decode(m[0]) if mark in m[0] else b""
+            if MAGIC.search(data):
+                at = array("i", (m.start() + b.start() for b in byte.finditer(m[0])))
+                at.append(m.end())
+                for piece, codecs, start, end in _binary(data, limit):
+                    yield _whole(layer, at[start], at[end], piece, name + codecs)
+
+
+def _literal(run: str) -> bytes:
+    """The bytes of a string literal's inside."""
+    plain = {"n": "\n", "r": "\r", "t": "\t"}
+    return SLASHED.sub(lambda m: chr(int(m[1], 16)) if m[1] else plain.get(m[2], m[2]), run).encode("latin-1")
 
 
 def _decoded_runs(layer: Layer, limit: int) -> Iterator[Layer]:
+    """Layers of base64 runs: of a run, of a run wrapped over lines, and where a run begins with other characters, of its other phases."""
     for m in BASE64.finditer(layer.text):
-        run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+        yield from _decoded_base64(layer, m[0], m.start(), None, limit)
+    for m in WRAPPED.finditer(layer.text) if "\n" in layer.text else ():
+        at = [i for i, c in enumerate(m[0]) if c not in "\r\n\t "]
+        yield from _decoded_base64(layer, "".join(m[0][i] for i in at), m.start(), at, limit)
+
+
+def _decoded_base64(layer: Layer, found: str, start: int, at: list[int] | None, limit: int) -> Iterator[Layer]:
+    """``at`` are the places of the digits from ``start``, where they do not follow one another."""
+    digits = found.rstrip("=").replace("-", "+").replace("_", "/")
+    length = len(found) if at is None else at[-1] + 1
+
+    def place(i: int) -> int:
+        return start + (i if at is None else at[min(i, len(at) - 1)])
+
+    for phase in range(4):
+        run = digits[phase:]
         if len(run) % 4 == 1:
             run = run[:-1]
         try:
             whole = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
-        start = m.start()
-        for data, codecs in _opened(whole, limit):
-            text, path = _text(data), f"{layer.path}>base64{codecs}".lstrip(">")
-            if codecs or len(text) * 2 == len(data):
-                a, b = layer.span(*m.span())
-                starts, ends = array("i", [a]) * len(text), array("i", [b]) * len(text)
-            else:
-                # Byte i comes from the base64 digits that hold its bits.
-                starts, ends, byte = array("i"), array("i"), 0
-                utf8 = len(text) != len(data)
-                for c in text:
-                    size = len(c.encode("utf-8")) if utf8 else 1
-                    a, b = layer.span(start + byte * 8 // 6, start + -(-(byte + size) * 8 // 6))
-                    starts.append(a)
-                    ends.append(b)
-                    byte += size
+        compressed = _stream(whole)[1]
+        clean = not compressed and _is_text(whole)
+        for data, codecs, first, last in _binary(whole, limit) if not clean and MAGIC.search(whole) else ():
+            yield _whole(layer, place(phase + first * 8 // 6), place(phase + -(-last * 8 // 6) - 1) + 1, data, "base64" + codecs)
+        if not clean and not phase:
+            for data in _raw_deflate(whole, limit):
+                yield _whole(layer, start, start + length, data, "base64>deflate")
+        text, path = _text(whole), f"{layer.path}>base64".lstrip(">")
+        if not compressed and len(text) * 2 == len(whole):
+            yield _whole(layer, start, start + length, whole, "base64")
+        elif not compressed:
+            # Byte i comes from the base64 digits that hold its bits.
+            starts, ends, byte = array("i"), array("i"), 0
+            utf8 = len(text) != len(whole)
+            for c in text:
+                size = len(c.encode("utf-8")) if utf8 else 1
+                a, b = layer.span(place(phase + byte * 8 // 6), place(phase + -(-(byte + size) * 8 // 6) - 1) + 1)
+                starts.append(a)
+                ends.append(b)
+                byte += size
             yield Layer(text, starts, ends, path)
+        if clean:
+            return
+
+
+def _is_text(data: bytes) -> bool:
+    try:
+        return "\0" not in data.decode("utf-8")
+    except UnicodeDecodeError:
+        return False
 
 
 def unwrap(layer: Layer, limit: int) -> Iterator[Layer]:
@@ -204,6 +336,7 @@ def unwrap(layer: Layer, limit: int) -> Iterator[Layer]:
         yield found
     if ("\\" in layer.text or "&" in layer.text) and (found := _replaced(layer, ESCAPE, _escape, "unicode")):
         yield found
+    yield from _escaped_bytes(layer, limit)
     yield from _decoded_runs(layer, limit)
 
 

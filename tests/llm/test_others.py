@@ -333,3 +333,78 @@ def test_language_stage_keeps_columns_that_clash(spark):
     docs = spark.createDataFrame([(i, "some words of a plain text", "en", i) for i in range(20)], "doc_id long, text string, lang string, _lang int")
     kept = keep_identified(docs)
     assert kept.columns == docs.columns and sorted(r["_lang"] for r in kept.collect()) == list(range(20))
+
+
+@pytest.mark.parametrize("header", ["HTTP/1.1 200 OK\r\nContent-Length: \u00b2", "HTTP/1.1 200 OK\r\nContent-Length: " + "1" * 5000, "HTTP/1.1 200 OK\r\nContent-Length: -3"])
+def test_warc_http_lengths_that_are_damaged(header):
+    block = header.encode("latin-1") + b"\r\n\r\nbody"
+    head = f"WARC/1.1\r\nWARC-Type: revisit\r\nContent-Type: application/http\r\nContent-Length: {len(block)}\r\n\r\n".encode()
+    assert warc.parse(head + block + b"\r\n\r\n")["valid"] is False
+
+
+def test_warc_fields_that_are_damaged():
+    good = "WARC/1.1\r\nWARC-Type: response\r\n{}\r\n\r\nok\r\n\r\n"
+    assert warc.parse(good.format("Content-Length: 2").encode())["valid"]
+    for fields in ("Content-Length: " + "2" * 5000, "Content-Length: 2\r\nWARC-Payload-Digest: sha1:\u00e9", "Content-Length: \u0662"):
+        assert warc.parse(good.format(fields).encode())["valid"] is False
+
+
+def test_warc_page_ids_of_any_text(tmp_path, spark):
+    names = ["a\r\nContent-Length: 0", " spaced ", "100%41", "\u00e9: x", ""]
+    pages = spark.createDataFrame([(n, "u", "same " * 400) for n in names], "page_id string, url string, html string")
+    rows = warc.round_trip(pages, f"file://{tmp_path}/a").collect()
+    assert sorted(r["page_id"] for r in rows) == sorted(names) and all(r["valid"] for r in rows)
+    assert {r["refers_to"] for r in rows} == {None, max(names)}
+
+
+def test_secrets_in_layers_of_bytes():
+    import gzip
+
+    secret = "password=hunter2secret"
+    packed = gzip.compress((" " + secret + " ").encode())
+    blob = lambda data: base64.b64encode(data).decode()
+    deflated = zlib.compressobj(9, zlib.DEFLATED, -15)
+    raw = deflated.compress(f"a note with {secret} in it".encode()) + deflated.flush()
+    wide = blob(gzip.compress(bytes(random.Random(1).randrange(256) for _ in range(300)) + b" " + secret.encode()))
+    texts = {
+        "gzip in URL escapes": "".join(f"%{b:02x}" for b in packed),
+        "gzip quoted as a URL quotes": urllib.parse.quote_from_bytes(packed),
+        "gzip in string escapes": "".join(f"\\x{b:02x}" for b in packed),
+        "gzip as a literal": repr(packed)[2:-1],
+        "base64 wrapped at 76 columns": "\n".join(wide[i : i + 76] for i in range(0, len(wide), 76)),
+        "wrapped with CRLF and indents": "\r\n  ".join(wide[i : i + 64] for i in range(0, len(wide), 64)),
+        "text wrapped": "\n".join(blob(b"words before it and " + secret.encode() + b" and after it")[i : i + 24] for i in range(0, 84, 24)),
+        "raw deflate": blob(raw),
+        "after a path of one to four": [f"http://h/{'abcd'[:n]}/{blob(b'the ' + secret.encode())}" for n in (1, 2, 3, 4)],
+        "gzip after a path": [f"http://h/{'abcd'[:n]}/{blob(packed)}" for n in (1, 2, 3, 4)],
+    }
+    for name, many in texts.items():
+        for text in many if isinstance(many, list) else [many]:
+            found = [f for f in secrets.find(f"see {text} there") if f[3].startswith(secret)]
+            assert found and all(4 <= f[1] < f[2] <= 4 + len(text) for f in found), name
+
+
+def test_wrapped_digits_map_to_their_places():
+    secret = "password=hunter2secret"
+    coded = base64.b64encode(b"0" * 30 + b" " + secret.encode() + b" " + b"1" * 30).decode()
+    text = "key\n" + "\n".join(coded[i : i + 20] for i in range(0, len(coded), 20))
+    kind, start, end, value, layer = next(f for f in secrets.find(text) if f[3] == secret)
+    part = text[start:end].replace("\n", "")
+    assert part in coded and abs(coded.index(part) - 31 * 4 // 3) <= 1 and len(part) <= len(secret) * 4 // 3 + 4
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 5000, 777])
+def test_nested_streams_of_any_size(limit):
+    import bz2
+    import gzip
+    import lzma
+
+    rng = random.Random(7)
+    filler = bytes(rng.randrange(97, 123) if i % 7 else 32 for i in range(60_000))
+    data = filler + b" password=hunter2secret "
+    for layers in ([gzip.compress], [gzip.compress, gzip.compress], [lzma.compress, gzip.compress], [gzip.compress, bz2.compress, zlib.compress], [bz2.compress, bz2.compress]):
+        packed = data
+        for pack in layers:
+            packed = pack(packed)
+        found = secrets.find(base64.b64encode(packed).decode(), limit)
+        assert [f[3] for f in found] == ["password=hunter2secret"], (layers, limit)
