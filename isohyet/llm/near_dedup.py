@@ -175,15 +175,16 @@ def band_matrix(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
-def band_keys(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``nodes(id, sig)`` to (key, id), one row per band."""
+def band_keys(nodes: DataFrame, bands: int, rows: int, carried: Sequence[str] = ()) -> DataFrame:
+    """``nodes(id, sig)`` to (key, id), one row per band, with the ``carried`` columns, which are long."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key = band_matrix(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(len(batch), -1), bands, rows)
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), bands))], ["key", "id"])
+            others = [pa.array(np.repeat(batch.column(i).to_numpy(), bands)) for i in (0, *range(2, batch.num_columns))]
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), *others], ["key", "id", *carried])
 
-    return nodes.select("id", "sig").mapInArrow(split, "key long, id long")
+    return nodes.select("id", "sig", *carried).mapInArrow(split, ", ".join(f"{c} long" for c in ("key", "id", *carried)))
 
 
 class Verifier:
@@ -324,9 +325,8 @@ def cross_pieces(large: DataFrame, labels: DataFrame, bands: int, rows: int) ->
     """
     tied = large.select("id", "sig").join(labels.withColumnRenamed("node", "id"), "id", "left")
     tied = materialise(tied.select("id", "sig", F.coalesce("label", "id").alias("comp")), "tied")
-    keys = band_keys(tied, bands, rows)
-    known = keys.join(tied.select("id", "comp"), "id")
-    open_ = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("id").alias("a")).where("lo < hi").select("key", "a")
+    keys = band_keys(tied, bands, rows, ["comp"])
+    open_ = keys.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("id").alias("a")).where("lo < hi").select("key", "a")
     edges = keys.join(materialise(open_, "open"), "key").where("a <> id").select("a", F.col("id").alias("b")).distinct()
     clusters = components(materialise(edges, "shared")).select(F.col("node").alias("id"), F.col("label").alias("piece"))
     nodes = materialise(clusters.join(tied.select("id", "comp"), "id"), "open_nodes")
