@@ -4,42 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.special import digamma, gamma_cdf, normal_quantile, trigamma
+from ..functions.distributions import LARGE_SHAPE, gamma_cdf, gamma_shape, gamma_tail, let, normal_quantile
 
 MONTHS = (1, 3, 6, 12, 24)
 BOUND = 8.21
 
 
-def gamma_shape(log_gap: np.ndarray) -> np.ndarray:
-    """Maximum-likelihood shape from ln(mean) - mean(ln): Thom's start, then Newton steps."""
-    gap = np.maximum(np.asarray(log_gap, float), 1e-12)
-    shape = (1 + np.sqrt(1 + 4 * gap / 3)) / (4 * gap)
-    for _ in range(20):
-        step = (np.log(shape) - digamma(shape) - gap) / (1 / shape - trigamma(shape))
-        shape = np.where(shape - step > 0, shape - step, shape / 2)
-    return shape
-
-
-@F.pandas_udf(T.DoubleType())
-def standardise(x: pd.Series, n: pd.Series, n_zero: pd.Series, total: pd.Series, total_log: pd.Series) -> pd.Series:
-    """The normal quantile of x under a zero-inflated gamma with the given calibration sums."""
-    x, n, n_zero, total, total_log = (v.to_numpy(float) for v in (x, n, n_zero, total, total_log))
-    wet = n - n_zero
-    with np.errstate(all="ignore"):
-        mean = total / wet
-        shape = gamma_shape(np.log(mean) - total_log / wet)
-        dry = n_zero / n
-        p = dry + (1 - dry) * gamma_cdf(np.nan_to_num(x * shape / mean, nan=-1.0), shape)
-        z = np.clip(normal_quantile(p), -BOUND, BOUND)
-    out = pd.Series(z)
-    out[~((wet >= 2) & np.isfinite(x) & np.isfinite(p))] = None
-    return out
+def standardised(x: Column, n: Column, n_zero: Column, total: Column, total_log: Column) -> Column:
+    """The normal quantile of x under a zero-inflated gamma with the given calibration sums; null with fewer than two wet values."""
+
+    def of(v: Column) -> Column:
+        wet = (v["n"] - v["zero"]).cast("double")
+        mean, dry = v["total"] / wet, v["zero"] / v["n"]
+        shape = gamma_shape(F.log(mean) - v["log"] / wet)
+
+        def quantile(s: Column) -> Column:
+            # Far above the mean, one less the probability has lost its digits; the tail has them.
+            above = (s["u"] > s["k"] + 2 * F.sqrt(s["k"]) + 2) & (s["k"] <= LARGE_SHAPE)
+            tail = -normal_quantile((1 - dry) * gamma_tail(s["u"], s["k"]))
+            return F.when(above, tail).otherwise(normal_quantile(dry + (1 - dry) * gamma_cdf(s["u"], s["k"])))
+
+        z = let(shape, lambda k: let(F.struct(k.alias("k"), (v["x"] * k / mean).alias("u")), quantile))
+        return F.greatest(F.least(z, F.lit(BOUND)), F.lit(-BOUND))
+
+    fields = F.struct(x.alias("x"), n.alias("n"), n_zero.alias("zero"), total.alias("total"), total_log.alias("log"))
+    return F.when((n - n_zero >= 2) & x.isNotNull(), let(fields, of))
 
 
 def monthly_precipitation(daily: DataFrame, complete: bool = True) -> DataFrame:
@@ -84,7 +76,7 @@ def spi(daily: DataFrame, months: Sequence[int] = MONTHS, first: int = 1981, las
         sums |= {f"{k}{n}": v.over(fit) for k, v in gathered.items()}
     fitted = rolled.withColumns(sums)
     return fitted.select(
-        "cell_id", "month_start", *[standardise(*(f"{k}{n}" for k in ("x", "n", "zero", "total", "log"))).alias(f"spi_{n}month") for n in months]
+        "cell_id", "month_start", *[standardised(*(F.col(f"{k}{n}") for k in ("x", "n", "zero", "total", "log"))).alias(f"spi_{n}month") for n in months]
     )
 
 

@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.special import t_two_sided
+from ..functions.distributions import t_two_sided
 from .quantiles import with_quantiles
 
 
@@ -25,15 +23,11 @@ def regional_means(df: DataFrame, variables: Sequence[str]) -> DataFrame:
     return df.groupBy("region", "year").agg(*[F.avg(v).alias(v) for v in variables])
 
 
-@F.pandas_udf(T.DoubleType())
-def p_value(r2: pd.Series, n: pd.Series) -> pd.Series:
-    """Two-sided p of a slope, from R squared and the number of points."""
-    out = pd.Series(float("nan"), index=r2.index)
-    ok = (n > 2) & r2.notna()
-    dof = n[ok].to_numpy(float) - 2
-    r = r2[ok].to_numpy(float).clip(0, 1 - 1e-15)
-    out[ok] = t_two_sided((r / (1 - r) * dof) ** 0.5, dof)
-    return out.where(ok, None)
+def p_value(r2: Column, n: Column) -> Column:
+    """Two-sided p of a slope, from R squared and the number of points; null below three points."""
+    dof = n.cast("double") - 2
+    r = F.least(F.greatest(r2, F.lit(0.0)), F.lit(1 - 1e-15))
+    return F.when((n > 2) & r2.isNotNull(), t_two_sided(F.sqrt(r / (1 - r) * dof), dof))
 
 
 def trends(long: DataFrame, by: Sequence[str] = ("region", "variable"), span_years: int = 43) -> DataFrame:
@@ -44,7 +38,7 @@ def trends(long: DataFrame, by: Sequence[str] = ("region", "variable"), span_yea
     )
     p = F.col("p_value")
     stars = F.when(p.isNull(), "ns").when(p < 0.001, "***").when(p < 0.01, "**").when(p < 0.05, "*").otherwise("ns")
-    return fit.withColumn("p_value", p_value("r2", F.col("n").cast("double"))).withColumns(
+    return fit.withColumn("p_value", p_value(F.col("r2"), F.col("n"))).withColumns(
         {
             "significance": stars,
             "direction": F.when(F.col("slope") > 0, "increasing").when(F.col("slope") < 0, "decreasing").otherwise("flat"),

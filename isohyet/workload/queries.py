@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import thermo
+from ..functions.distributions import CENTRE, FAR, NEAR
 from ..functions.prepare import spatial_tile
 from ..operators import extract, quality, stats
 from ..operators.baseline import THRESHOLDS, baseline_percentiles, threshold_summary, wet_share
@@ -506,7 +507,24 @@ def regional_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("region", "variable", "n", *[F.round(x, 4).alias(x) for x in ("slope", "r2", "per_decade")])
 
 
-@query("trend_significance")
+def _two_sided(t: str, dof: str) -> str:
+    """Student's t for a whole number of degrees of freedom, as a finite sum of cosines (Abramowitz and Stegun 26.7.3, 26.7.4)."""
+    angle = f"atan({t} / sqrt({dof}))"
+    # The state of the fold is the term and the sum so far.
+    steps = f"list_reduce(list_transform(range(CASE WHEN {dof} % 2 = 1 THEN 3 ELSE 2 END, {dof} + 1, 2), lambda k: {{'f': (k - 1)::DOUBLE / k, 't': 0.0::DOUBLE, 's': 0.0::DOUBLE}}), "
+    fold = steps + f"lambda a, b: {{'f': b.f, 't': a.t * b.f * cos({angle}) * cos({angle}), 's': a.s + a.t}}, {{'f': 0.0::DOUBLE, 't': CASE WHEN {dof} % 2 = 1 THEN cos({angle}) ELSE 1.0 END::DOUBLE, 's': 0.0::DOUBLE}}).s"
+    return f"(1 - CASE WHEN {dof} % 2 = 1 THEN 2 / pi() * ({angle} + sin({angle}) * coalesce({fold}, 0)) ELSE sin({angle}) * {fold} END)"
+
+
+@query(
+    "trend_significance",
+    _REGIONAL + ", f AS (SELECT region, variable, count(value) AS n, regr_slope(value, year) AS slope, regr_intercept(value, year) AS intercept, regr_r2(value, year) AS r2 FROM m GROUP BY region, variable)"
+    ", t AS (SELECT *, sqrt(least(greatest(r2, 0), 1 - 1e-15) / (1 - least(greatest(r2, 0), 1 - 1e-15)) * (n - 2)) AS t FROM f)"
+    f", p AS (SELECT *, CASE WHEN n > 2 AND r2 IS NOT NULL THEN {_two_sided('t', '(n - 2)')} END AS p FROM t)"
+    " SELECT CAST(region AS BIGINT) AS region, variable, n, round(slope + 1e-9, 6) AS slope, round(intercept + 1e-9, 6) AS intercept, round(r2 + 1e-9, 6) AS r2, round(p + 1e-9, 6) AS p_value, "
+    "CASE WHEN p IS NULL THEN 'ns' WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE 'ns' END AS significance, "
+    "CASE WHEN slope > 0 THEN 'increasing' WHEN slope < 0 THEN 'decreasing' ELSE 'flat' END AS direction, round(slope * 10 + 1e-9, 6) AS per_decade, round(slope * 43 + 1e-9, 6) AS total_change FROM p",
+)
 def trend_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.trends(regional_long(spark, sf_dir))
 
@@ -588,12 +606,80 @@ def extraction_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- standardised precipitation -------------------------------------------------------------------------------------------------
 
 
-@query("spi")
+def _psi(k: str) -> str:
+    """Digamma by its series at k + 20."""
+    back = " + ".join(f"1 / ({k} + {i})" for i in range(20))
+    y = f"({k} + 20)"
+    return f"(ln{y} - 1 / (2 * {y}) - 1 / (12 * {y} * {y}) + 1 / (120 * pow({y}, 4)) - 1 / (252 * pow({y}, 6)) - ({back}))"
+
+
+def _poly(coefficients: Sequence[float], r: str) -> str:
+    out = repr(coefficients[-1])
+    for c in reversed(coefficients[:-1]):
+        out = f"({out} * {r} + {c!r})"
+    return f"({out})"
+
+
+def _ratio(table: Sequence[Sequence[float]], r: str) -> str:
+    return f"{_poly(table[0], r)} / {_poly(table[1], r)}"
+
+
+def _spi_sql(months: Sequence[int]) -> str:
+    """Standardised precipitation in SQL: the shape by halving its logarithm's range, the distribution by its series with log gamma."""
+    rolled = ", ".join(f"CASE WHEN count(pr) OVER w{n} = {n} THEN sum(pr) OVER w{n} END AS x{n}" for n in months)
+    windows = ", ".join(f"w{n} AS (PARTITION BY cell_id ORDER BY month_start ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" for n in months)
+    spans = " UNION ALL ".join(f"SELECT cell_id, month_start, {n} AS span, x{n} AS x FROM rolled" for n in months)
+    half = f"CASE WHEN ln(exp((lo + hi) / 2)) - {_psi('exp((lo + hi) / 2)')} > gap THEN"
+    halved = f"lambda a, b: {{'lo': {half.replace('lo', 'a.lo').replace('hi', 'a.hi')} (a.lo + a.hi) / 2 ELSE a.lo END, 'hi': {half.replace('lo', 'a.lo').replace('hi', 'a.hi')} a.hi ELSE (a.lo + a.hi) / 2 END}}"
+    root = "(3 * sqrt(a) * (cbrt(u / a) - 1 + 1 / (9 * a)))"
+    series = "list_sum(list_transform(range((60 + greatest(0, u - a) + 12 * sqrt(greatest(a, u)))::BIGINT), lambda i: exp(-u + (a + i) * ln(u) - lgamma(a + i + 1))))"
+    by, b = "(-nx.i * (nx.i - nx.a))", "(nx.u + 1 - nx.a + 2 * nx.i)"
+    c, e = f"({b} + {by} / st.c)", f"(1 / ({by} * st.e + {b}))"
+    item = "{{'i': {i}, 'a': a, 'u': u, 'c': {c}, 'e': {e}, 'h': {h}}}"
+    fraction = (
+        f"list_reduce(list_transform(range(1, (61 + 4 * sqrt(a))::BIGINT), lambda i: {item.format(i='i::DOUBLE', c='0.0::DOUBLE', e='0.0::DOUBLE', h='0.0::DOUBLE')}), "
+        f"lambda st, nx: {{'i': nx.i, 'a': nx.a, 'u': nx.u, 'c': {c}, 'e': {e}, 'h': st.h * {c} * {e}}}, {item.format(i='0.0::DOUBLE', c='1e300::DOUBLE', e='1 / (u + 1 - a)', h='1 / (u + 1 - a)')}).h"
+    )
+    tail = f"CASE WHEN u > a + 2 * sqrt(a) + 2 AND a <= 100000 THEN (1 - zero / n) * exp(a * ln(u) - u - lgamma(a)) * {fraction} END"
+    near, far = _ratio(NEAR, "(r - 1.6)"), _ratio(FAR, "(r - 5)")
+    centre = f"(p - 0.5) * {_ratio(CENTRE, '(0.180625 - (p - 0.5) * (p - 0.5))')}"
+    return f"""
+, months AS (SELECT cell_id, CAST(date_trunc('month', date) AS DATE) AS month_start, CASE WHEN count(pr) = count(*) THEN sum(pr) END AS pr FROM daily GROUP BY 1, 2)
+, rolled AS (SELECT *, {rolled} FROM months WINDOW {windows})
+, spans AS ({spans})
+, c AS (SELECT *, CASE WHEN year(month_start) BETWEEN 1995 AND 2000 THEN x END AS k FROM spans)
+, s AS (SELECT *, count(k) OVER w AS n, count(*) FILTER (k <= 0) OVER w AS zero, sum(CASE WHEN k > 0 THEN k END) OVER w AS total, sum(CASE WHEN k > 0 THEN ln(k) END) OVER w AS logs
+  FROM c WINDOW w AS (PARTITION BY span, cell_id, month(month_start)))
+, g AS (SELECT *, total / (n - zero) AS mean, greatest(ln(total / (n - zero)) - logs / (n - zero), 1e-12) AS gap FROM s WHERE n - zero >= 2)
+, fit AS (SELECT DISTINCT span, cell_id, month(month_start) AS m, gap FROM g)
+, h AS (SELECT span, cell_id, m, CASE WHEN gap < 1e-9 THEN (1 + sqrt(1 + 4 * gap / 3)) / (4 * gap) ELSE
+    exp(list_reduce(list_transform(range(70), lambda i: {{'lo': 0.0::DOUBLE, 'hi': 0.0::DOUBLE}}), {halved}, {{'lo': -12.0::DOUBLE, 'hi': 24.0::DOUBLE}}).lo) END AS a FROM fit)
+, u AS (SELECT g.*, h.a, g.x * h.a / g.mean AS u FROM g JOIN h ON g.span = h.span AND g.cell_id = h.cell_id AND month(g.month_start) = h.m WHERE x IS NOT NULL)
+, d AS (SELECT *, {tail} AS q, CASE WHEN u <= 0 THEN 0 WHEN a > 100000 THEN NULL ELSE least({series}, 1) END AS f FROM u)
+, p AS (SELECT span, cell_id, month_start, q IS NOT NULL AS above, coalesce(q, greatest(least(zero / n + (1 - zero / n) * f, 1 - 1e-16), 1e-300)) AS p, CASE WHEN a > 100000 AND u > 0 THEN {root} END AS wide FROM d)
+, r AS (SELECT *, sqrt(-ln(CASE WHEN p < 0.5 THEN p ELSE 1 - p END)) AS r FROM p)
+, z AS (SELECT span, cell_id, month_start, greatest(least((CASE WHEN above THEN -1 ELSE 1 END) * CASE WHEN wide IS NOT NULL THEN wide WHEN abs(p - 0.5) <= 0.425 THEN {centre} ELSE sign(p - 0.5) * CASE WHEN r <= 5 THEN {near} ELSE {far} END END, 8.21), -8.21) AS z FROM r)
+"""
+
+
+_SPI_MONTHS = (1, 3, 6, 12, 24)
+
+
+@query(
+    "spi",
+    _spi_sql(_SPI_MONTHS) + "SELECT m.cell_id, CAST(m.month_start AS VARCHAR) AS month_start, " + ", ".join(f"round(max(z) FILTER (span = {n}) + 1e-9, 6) AS spi_{n}month" for n in _SPI_MONTHS)
+    + " FROM months m LEFT JOIN z ON z.cell_id = m.cell_id AND z.month_start = m.month_start GROUP BY ALL",
+)
 def standardised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spi(daily(spark, sf_dir), first=1995, last=2000)
 
 
-@query("spi_quality")
+@query(
+    "spi_quality",
+    _spi_sql((1, 3)) + ", v AS (SELECT 'spi_' || k.span || 'month' AS variable, z FROM spans k LEFT JOIN z ON z.cell_id = k.cell_id AND z.month_start = k.month_start AND z.span = k.span)"
+    ", q AS (SELECT variable, avg((z IS NULL)::INT) AS missing, avg((abs(z) > 5)::INT) AS extreme FROM v GROUP BY variable) "
+    "SELECT variable, round(missing + 1e-9, 6) AS missing, round(extreme + 1e-9, 6) AS extreme, CASE WHEN missing > 0.1 OR extreme > 0.01 THEN 'WARNING' ELSE 'PASS' END AS status FROM q",
+)
 def standardised_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spi_quality(spi(daily(spark, sf_dir), (1, 3), 1995, 2000))
 

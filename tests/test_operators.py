@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from weather import one, series
 
-from isohyet.functions import prepare, special, thermo
+from isohyet.functions import prepare, thermo
 from isohyet.operators import extract, quality, stats
 from isohyet.operators.baseline import baseline_percentiles, quantile, with_thresholds
 from isohyet.operators.spi import spi, spi_quality
@@ -62,15 +62,6 @@ def test_thermo(spark):
     assert row["pet"] == 0 and row["capped"] == 100
 
 
-def test_special_functions():
-    assert special.log_gamma(np.array([5.0]))[0] == pytest.approx(math.lgamma(5))
-    assert special.gamma_cdf(np.array([1.0, 10.0]), np.array([1.0, 1.0])) == pytest.approx([1 - math.exp(-1), 1 - math.exp(-10)])
-    x = np.array([-8.0, -3.0, -0.5, 0.0, 1.96, 5.0])
-    assert special.normal_quantile(special.normal_cdf(x)) == pytest.approx(x, abs=1e-6)
-    assert special.t_two_sided(np.array([2.228, 12.706]), np.array([10.0, 1.0])) == pytest.approx([0.05, 0.05], abs=1e-4)
-    assert special.digamma(np.array([1.0]))[0] == pytest.approx(-0.5772156649)
-
-
 def test_spi_is_standard(spark):
     rng = np.random.default_rng(3)
     days = (date(2009, 12, 31) - date(1980, 1, 1)).days + 1
