@@ -1,4 +1,8 @@
-"""Runs of days: spells, seasons, rolling sums, day-to-day change."""
+"""Runs of days: spells, seasons, rolling sums, day-to-day change.
+
+Spells and seasons read a key's days once, as a string with a character per day,
+in which runs are matches of a pattern.
+"""
 
 from __future__ import annotations
 
@@ -10,36 +14,48 @@ from pyspark.sql import functions as F
 YEARLY = ("cell_id", "year")
 
 
-def spells(days: DataFrame, conditions: Mapping[str, Column], keys: Sequence[str] = YEARLY) -> DataFrame:
-    """Runs of consecutive days: keys, cond, first_doy, run.
+def masks(days: DataFrame, conditions: Mapping[str, Column], keys: Sequence[str] = YEARLY) -> DataFrame:
+    """One row per key: the keys, first_doy, and for each condition a string with a character per day.
 
-    ``days`` has the keys, day_no and doy, once per day. All conditions share
-    one pass: a true day gives a row per condition, and the difference of day
-    number and row number is constant within a run. A missing day or a null
-    condition ends a run, and so does the end of the key's period.
+    ``days`` has the keys, day_no and doy, once per day. A day is ``1`` where the
+    condition holds, ``0`` where it does not, and ``-`` where it is unknown or the
+    day is missing. Strings begin with the key's first day, which is first_doy.
+    Days are dealt and ordered once for all conditions, and do not multiply by them.
     """
-    names = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in conditions.items()]), lambda x: x.isNotNull())
-    # Dealt by the keys once, before days multiply by condition: the window and
-    # both aggregates above it then need no shuffle of their own.
-    true_days = days.repartition(*keys).select(*keys, "day_no", "doy", F.explode(names).alias("cond"))
-    order = Window.partitionBy(*keys, "cond").orderBy("day_no")
-    islands = true_days.withColumn("island", F.col("day_no") - F.row_number().over(order))
-    return islands.groupBy(*keys, "cond", "island").agg(F.min("doy").alias("first_doy"), F.count("*").alias("run")).drop("island")
+    names = list(conditions)
+    code = F.concat(*[F.when(conditions[n], "1").when(~conditions[n], "0").otherwise("-") for n in names])
+    held = days.select(*keys, "doy", F.struct(F.col("day_no").alias("day"), code.alias("code")).alias("__d")).repartition(*keys)
+    lists = held.groupBy(*keys).agg(F.min("doy").alias("first_doy"), F.array_sort(F.collect_list("__d")).alias("__d"))
+
+    def of(i: int) -> Column:
+        def shown(d: Column, at: Column) -> Column:
+            gap = F.when(at > 0, d["day"] - F.get(F.col("__d"), at - 1)["day"] - 1).otherwise(0)
+            mark = F.substring(d["code"], i + 1, 1)
+            return F.when(gap > 0, F.concat(F.repeat(F.lit("-"), gap.cast("int")), mark)).otherwise(mark)
+
+        return F.array_join(F.transform("__d", shown), "")
+
+    return lists.select(*keys, "first_doy", *[of(i).alias(n) for i, n in enumerate(names)])
 
 
 def spell_statistics(days: DataFrame, wanted: Mapping[str, tuple[str, str, int]], conditions: Mapping[str, Column], keys: Sequence[str] = YEARLY) -> DataFrame:
     """One row per key: for each wanted name, a statistic (condition, kind, least run length).
 
     Kinds: longest (days of the longest run), count (number of runs), total
-    (days in runs). Keys without any true day are absent; to them 0 applies.
+    (days in runs). A missing day, an unknown condition and the end of the key's
+    period end a run.
     """
-    runs = spells(days, conditions, keys)
+    shown = masks(days, {f"__m_{n}": c for n, c in conditions.items()}, keys)
 
     def one(cond: str, kind: str, least: int) -> Column:
-        run = F.when((F.col("cond") == cond) & (F.col("run") >= least), F.col("run"))
-        return {"longest": F.coalesce(F.max(run), F.lit(0)), "count": F.count(run), "total": F.coalesce(F.sum(run), F.lit(0))}[kind]
+        mask, run = F.col(f"__m_{cond}"), f"1{{{least},}}"
+        if kind == "count":
+            return F.regexp_count(mask, F.lit(run))
+        if kind == "total":
+            return F.length(mask) - F.length(F.regexp_replace(mask, run, ""))
+        return F.coalesce(F.array_max(F.transform(F.regexp_extract_all(mask, F.lit(f"({run})"), F.lit(1)), F.length)), F.lit(0))
 
-    return runs.groupBy(*keys).agg(*[one(*spec).cast("int").alias(name) for name, spec in wanted.items()])
+    return shown.select(*keys, *[one(*spec).cast("int").alias(name) for name, spec in wanted.items()])
 
 
 def seasons(days: DataFrame, wanted: Mapping[str, tuple[Column, int, str | None]], keys: Sequence[str] = YEARLY) -> DataFrame:
@@ -49,35 +65,26 @@ def seasons(days: DataFrame, wanted: Mapping[str, tuple[Column, int, str | None]
     The season starts on the first day of the first run of true days of at least
     the length, and ends on the first day after it of such a run of false days.
     With a mid date the ending run counts from that date on. Without an end the
-    season runs to the last day of its year; without a start the length is 0.
+    season runs to the last day of its year; without a start the length is 0, and
+    the end is that of the first such run of false days. A key whose condition is
+    never known for a day has no row.
     """
-    conditions = {}
-    for name, (cond, _, _) in wanted.items():
-        conditions |= {f"+{name}": cond, f"-{name}": ~cond}
-    runs = spells(days, conditions, keys)
-    runs = runs.withColumns({"name": F.substring("cond", 2, 100), "in_season": F.col("cond").startswith("+")})
+    shown = masks(days, {f"__m_{n}": c for n, (c, _, _) in wanted.items()}, keys)
     dec31 = F.dayofyear(F.make_date(F.col("year"), F.lit(12), F.lit(31)))
 
-    def by_name(value: int) -> Column:
-        return F.element_at(F.create_map(*[F.lit(x) for n, w in wanted.items() for x in (n, w[value])]), F.col("name"))
-
-    mids = {n: w[2] for n, w in wanted.items() if w[2]}
-    mid = F.lit(1)
-    for n, md in mids.items():
-        month, day = map(int, md.split("-"))
-        mid = F.when(F.col("name") == n, F.dayofyear(F.make_date(F.col("year"), F.lit(month), F.lit(day)))).otherwise(mid)
-    clipped = F.greatest("first_doy", mid)
-    ends = ~F.col("in_season") & (F.col("first_doy") + F.col("run") - clipped >= F.col("least"))
-    found = (
-        runs.withColumn("least", by_name(1))
-        .groupBy(*keys, "name")
-        .agg(F.min(F.when(F.col("in_season") & (F.col("run") >= F.col("least")), F.col("first_doy"))).alias("start"), F.collect_list(F.when(ends, clipped)).alias("stops"))
-    )
-    found = found.withColumn("end", F.array_min(F.filter("stops", lambda x: x > F.col("start"))))
-    length = F.when(F.col("start").isNull(), 0).otherwise(F.coalesce("end", dec31 + 1) - F.col("start"))
-    # A year that never leaves the season has no end; a year without a season can still have an ending run.
-    end = F.when(F.col("start").isNull(), F.array_min("stops")).otherwise(F.col("end"))
-    return found.select(*keys, "name", "start", end.alias("end"), length.cast("int").alias("length"))
+    def one(name: str, least: int, mid: str | None) -> Column:
+        mask, first = F.col(f"__m_{name}"), F.col("first_doy")
+        begin = F.regexp_instr(mask, F.lit(f"1{{{least},}}"))  # from 1; 0 where there is none
+        month, day = map(int, (mid or "01-01").split("-"))
+        after = F.greatest(begin + 1, F.dayofyear(F.make_date(F.col("year"), F.lit(month), F.lit(day))) - first + 1, F.lit(1))
+        stop = F.regexp_instr(F.substring(mask, after, F.length(mask)), F.lit(f"0{{{least},}}"))
+        start = F.when(begin > 0, begin + first - 1)
+        end = F.when(stop > 0, stop + after - 1 + first - 1)
+        length = F.when(begin == 0, 0).otherwise(F.coalesce(end, dec31 + 1) - start)
+        return F.struct(F.lit(name).alias("name"), start.cast("int").alias("start"), end.cast("int").alias("end"), length.cast("int").alias("length"), F.regexp_like(mask, F.lit("[01]")).alias("known"))
+
+    found = shown.select(*keys, F.explode(F.array(*[one(n, least, mid) for n, (_, least, mid) in wanted.items()])).alias("s")).where("s.known")
+    return found.select(*keys, "s.name", "s.start", "s.end", "s.length")
 
 
 def first_to_last(days: DataFrame, cond: Column, keys: Sequence[str] = YEARLY) -> DataFrame:
