@@ -47,6 +47,7 @@ def baseline_percentiles(
     min_years: int = 10,
     quantile_type: int = 8,
     wet_threshold: float = 1.0,
+    by_cell: bool = False,
 ) -> DataFrame:
     """Thresholds by cell_id and doy, 1 to 366, from ``daily(cell_id, date, <variables>)``.
 
@@ -54,7 +55,8 @@ def baseline_percentiles(
     all baseline years; precipitation pools wet days. Day 366 takes the mean of
     days 365 and 1. All thresholds come from one shuffle on cell_id: days are
     gathered by day of year, and these rows copied to their neighbours, within
-    the cell's partition. Fewer than ``min_years`` years is an error.
+    the cell's partition. Fewer than ``min_years`` years is an error. ``by_cell``
+    says that ``daily`` is a table in buckets by cell, which needs no shuffle.
     """
     there = {n: t for n, t in thresholds.items() if t[0] in daily.columns}
     span = year_range(daily, first, last)
@@ -66,7 +68,7 @@ def baseline_percentiles(
     days = span.select("cell_id", "date", *[(wet_day(F.col(v), wet_threshold) if wet else F.col(v)).alias(name) for (v, wet), name in pools.items()])
     # A row holds the values that a day of year has in all years of one length; these few rows are copied, not the days.
     day, year = F.dayofyear("date"), F.year("date")
-    held = days.repartition("cell_id").groupBy("cell_id", day.alias("day"), _length(year).alias("length"), F.when(day <= half, _length(year - 1)).alias("before"))
+    held = (days if by_cell else days.repartition("cell_id")).groupBy("cell_id", day.alias("day"), _length(year).alias("length"), F.when(day <= half, _length(year - 1)).alias("before"))
     held = held.agg(*[F.collect_list(c).alias(c) for c in pools.values()])
     near = held.withColumn("at", F.explode(F.transform(F.sequence(F.lit(-half), F.lit(half)), lambda shift: F.col("day") + shift)))
     doy = F.when(F.col("at") < 1, F.col("at") + F.col("before")).when(F.col("at") > F.col("length"), F.col("at") - F.col("length")).otherwise(F.col("at"))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import read_series
+
 
 #: Axes of up to so many lines go to every task; longer ones are joined.
 MAX_LINES = 100_000
@@ -74,14 +76,8 @@ class Axis:
         return out if clip else out.drop(f"{name}_at")
 
 
-def extract_bilinear(points: DataFrame, annual: DataFrame, cells: DataFrame, indices: Sequence[str], lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Bilinear values at points for every year: the columns of points, year, and the indices.
-
-    ``points`` has a unique ``point_id`` and coordinates; ``cells(cell_id, lat,
-    lon)`` is a regular or irregular rectilinear grid. A point off the grid, or
-    with a missing corner of non-zero weight, gives nulls. All years of the
-    results appear for every point.
-    """
+def corner_cells(points: DataFrame, cells: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """The cells around each point of the grid, with their weights above 0: point_id, cell_id (null where the grid lacks it), weight."""
     placed = Axis(cells, "lon").place(Axis(cells, "lat").place(points, F.col(lat)), F.col(lon))
 
     def share(coord: str, value: str) -> Column:
@@ -96,7 +92,18 @@ def extract_bilinear(points: DataFrame, annual: DataFrame, cells: DataFrame, ind
         ]
     )
     corner = placed.where("lat_lo is not null and lon_lo is not null").select("point_id", F.explode(corners).alias("k")).select("point_id", "k.*").where("weight > 0")
-    with_cell = corner.join(cells.select("cell_id", "lat", "lon"), ["lat", "lon"], "left").select("point_id", "cell_id", "weight")
+    return corner.join(cells.select("cell_id", "lat", "lon"), ["lat", "lon"], "left").select("point_id", "cell_id", "weight")
+
+
+def extract_bilinear(points: DataFrame, annual: DataFrame, cells: DataFrame, indices: Sequence[str], lat: str = "lat", lon: str = "lon") -> DataFrame:
+    """Bilinear values at points for every year: the columns of points, year, and the indices.
+
+    ``points`` has a unique ``point_id`` and coordinates; ``cells(cell_id, lat,
+    lon)`` is a regular or irregular rectilinear grid. A point off the grid, or
+    with a missing corner of non-zero weight, gives nulls. All years of the
+    results appear for every point.
+    """
+    with_cell = corner_cells(points, cells, lat, lon)
     need = with_cell.groupBy("point_id").agg(F.count("*").alias("need"))
     years = annual.select("year").distinct()
     sums = [F.when(F.count(i) == F.first("need"), F.sum(F.col(i) * F.col("weight"))).alias(i) for i in indices]
@@ -104,6 +111,20 @@ def extract_bilinear(points: DataFrame, annual: DataFrame, cells: DataFrame, ind
     return points.join(F.broadcast(years)).join(values, ["point_id", "year"], "left").select(*points.columns, "year", *indices)  # a row per year of the record
 
 
+def extract_series(
+    spark: SparkSession, points: DataFrame, path: str, cells: DataFrame, indices: Sequence[str], first: int | None = None, last: int | None = None, lat: str = "lat", lon: str = "lon"
+) -> DataFrame:
+    """``extract_bilinear`` from a series store: of the store, only the partitions of the cells around the points are read.
+
+    ``first`` and ``last`` bound the years; a year that the store lacks is absent.
+    """
+    around = corner_cells(points, cells, lat, lon).where("cell_id is not null").select("cell_id").distinct()
+    annual = read_series(spark, path, around)
+    for bound, keep in ((first, F.col("year") >= F.lit(first)), (last, F.col("year") <= F.lit(last))):
+        annual = annual if bound is None else annual.where(keep)
+    return extract_bilinear(points, annual, cells, indices, lat, lon)
+
+
 def extract_axis(points: DataFrame, annual: DataFrame, cells: DataFrame, indices: Sequence[str], method: str = "ceil", lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Values of one cell per point: ``ceil`` takes the first grid line at or above each coordinate, ``nearest`` the closest.
 

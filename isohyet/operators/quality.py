@@ -7,10 +7,10 @@ results of different checks form one table.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from math import inf
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.catalog import CATALOG
@@ -102,9 +102,13 @@ def _limits(ranges: Mapping[str, tuple[float, float]]) -> tuple[Column, Column]:
 
 def value_checks(long: DataFrame, ranges: Mapping[str, tuple[float, float]] | None = None, mostly_zero: Sequence[str] = MOSTLY_ZERO) -> DataFrame:
     """Coverage, value range, constancy, six-sigma extremes, zeros and shape of each variable."""
-    s = _per_variable(long)
+    return _judged(_per_variable(long), ranges, mostly_zero)
+
+
+def _judged(s: DataFrame, ranges: Mapping[str, tuple[float, float]] | None = None, mostly_zero: Sequence[str] = MOSTLY_ZERO) -> DataFrame:
+    """The checks of ``value_checks`` on a row of numbers for each variable."""
     low, high = _limits({**physical_limits(), **VALUE_RANGES, **(ranges or {})})
-    missing = 1 - F.col("there") / F.col("n")
+    missing = F.coalesce(1 - F.try_divide(F.col("there"), F.col("n")), F.lit(0.0))
     far = F.try_divide(F.greatest(F.abs(F.col("low") - F.col("mean")), F.abs(F.col("high") - F.col("mean"))), F.col("std"))
     zero = F.try_divide(F.col("zeros"), F.col("there"))
     skew = F.try_divide(F.abs(F.col("mean") - F.col("q")[1]), F.col("std"))
@@ -264,6 +268,38 @@ def rollup(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count("*").alias("n"))
 
 
+def observed_write(
+    df: DataFrame,
+    variables: Sequence[str],
+    write: Callable[[DataFrame], None],
+    ranges: Mapping[str, tuple[float, float]] | None = None,
+    stop_on: str | None = "FAIL",
+) -> DataFrame:
+    """Writes wide ``df`` by ``write`` and checks what was written, in the same pass.
+
+    The numbers that the checks need are gathered by the tasks that write, so
+    there is no second scan. Returns the results of coverage, range, constancy,
+    extremes and zeros, a few rows for each variable, or raises if one has the status
+    ``stop_on``; the table is there then, for a look. ``write`` must run one job
+    over the whole of what it is given. No variables or no rows give coverage 0 of 0,
+    which passes.
+    """
+    seen = Observation()
+    of = lambda v: F.col(v).cast("double")
+    facts = {
+        "there": lambda v: F.count(v), "mean": lambda v: F.avg(of(v)), "std": lambda v: F.stddev_pop(of(v)), "low": lambda v: F.min(of(v)), "high": lambda v: F.max(of(v)),
+        "zeros": lambda v: F.count_if(of(v) == 0),
+    }
+    numbers = [f(v).alias(f"{k}_{i}") for i, v in enumerate(variables) for k, f in facts.items()]
+    write(df.observe(seen, F.count(F.lit(1)).alias("n"), *numbers))
+    got = seen.get
+    spark = df.sparkSession
+    rows = [(v, got["n"], *(got[f"{k}_{i}"] for k in facts), None) for i, v in enumerate(variables)]
+    summary = spark.createDataFrame(rows, "variable string, n long, there long, mean double, std double, low double, high double, zeros long, q array<double>")
+    results = _judged(summary, ranges).where(~F.col("check").isin("skew", "spread"))  # these need quantiles
+    return assert_quality(results, stop_on) if stop_on else results
+
+
 def assert_quality(results: DataFrame, stop_on: str = "FAIL") -> DataFrame:
     """Returns the results, or raises with a few of them if any has the status ``stop_on``."""
     bad = results.where(F.col("status") == stop_on)

@@ -20,11 +20,12 @@ def masks(days: DataFrame, conditions: Mapping[str, Column], keys: Sequence[str]
     ``days`` has the keys, day_no and doy, once per day. A day is ``1`` where the
     condition holds, ``0`` where it does not, and ``-`` where it is unknown or the
     day is missing. Strings begin with the key's first day, which is first_doy.
-    Days are dealt and ordered once for all conditions, and do not multiply by them.
+    Days are gathered and ordered once for all conditions, and do not multiply by
+    them; where the table is dealt by cell already, they are not dealt again.
     """
     names = list(conditions)
     code = F.concat(*[F.when(conditions[n], "1").when(~conditions[n], "0").otherwise("-") for n in names])
-    held = days.select(*keys, "doy", F.struct(F.col("day_no").alias("day"), code.alias("code")).alias("__d")).repartition(*keys)
+    held = days.select(*keys, "doy", F.struct(F.col("day_no").alias("day"), code.alias("code")).alias("__d"))
     lists = held.groupBy(*keys).agg(F.min("doy").alias("first_doy"), F.array_sort(F.collect_list("__d")).alias("__d"))
 
     def of(i: int) -> Column:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,9 @@ BASELINE_COLUMNS = (
     "tx90p_threshold", "tx10p_threshold", "tn90p_threshold", "tn10p_threshold", "tas_25p_threshold", "tas_75p_threshold",
     "pr95p_threshold", "pr99p_threshold", "pr_25p_threshold", "pr_75p_threshold",
 )
+#: Cells in a partition of a series store.
+SERIES_BLOCK = 1024
+SERIES_PART = "cell_block"
 POINTS = T.StructType(
     [
         T.StructField("saleid", T.LongType()),
@@ -78,10 +82,54 @@ def write_by_year(df: DataFrame, path: str) -> None:
     )
 
 
-def write_series_store(df: DataFrame, path: str, overwrite: bool = False) -> None:
-    """All years of a cell side by side, for reading time series. An existing store is an error unless ``overwrite``."""
-    ordered = df.repartitionByRange("cell_id").sortWithinPartitions("cell_id", "year")
-    ordered.write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
+def write_series_store(df: DataFrame, path: str, overwrite: bool = False, block: int = SERIES_BLOCK) -> None:
+    """All years of a cell side by side, for reading time series. An existing store is an error unless ``overwrite``.
+
+    Every ``block`` neighbouring cell_ids are a partition, so a reader of some cells
+    opens their partitions only.
+    """
+    ordered = df.withColumn(SERIES_PART, F.floor(F.col("cell_id") / block)).repartitionByRange("cell_id").sortWithinPartitions("cell_id", "year")
+    ordered.write.mode("overwrite" if overwrite else "errorifexists").partitionBy(SERIES_PART).parquet(path)
+
+
+def read_series(spark: SparkSession, path: str, cells: DataFrame | None = None, block: int = SERIES_BLOCK) -> DataFrame:
+    """A series store; with ``cells(cell_id)``, the rows of these cells, from the partitions that hold them.
+
+    The partitions are named in the scan, so they are pruned whatever the planner
+    makes of the join; there are a block's fraction as many as cells.
+    """
+    store = spark.read.parquet(path)
+    if cells is None:
+        return store.drop(SERIES_PART)
+    wanted = cells.select(F.floor(F.col("cell_id") / block).alias("p")).distinct().where("p is not null").collect()
+    rows = store.where(F.col(SERIES_PART).isin([r["p"] for r in wanted])) if wanted else store.where("false")
+    return rows.join(cells.select("cell_id").distinct(), "cell_id", "left_semi").select(*[c for c in store.columns if c != SERIES_PART])
+
+
+def write_bucketed(df: DataFrame, table: str, buckets: int, path: str | None = None, order: Sequence[str] = ("date", "year", "doy")) -> None:
+    """Writes a catalog table in buckets by cell_id, sorted by cell and those of the ``order`` columns that it has; an older one is replaced.
+
+    Tables of as many buckets are co-located: inside ``colocated`` their joins on a
+    cell and aggregates and windows by cell run where the rows lie. Rows are dealt
+    by cell before, so a bucket is one file.
+    """
+    dealt = df.repartition(buckets, "cell_id").write.mode("overwrite").format("parquet").bucketBy(buckets, "cell_id")
+    dealt = dealt.sortBy("cell_id", *[c for c in order if c in df.columns])
+    (dealt.option("path", path) if path else dealt).saveAsTable(table)
+
+
+@contextmanager
+def colocated(spark: SparkSession) -> Iterator[None]:
+    """Plans made inside may join on cell and day where both sides are dealt by cell, instead of dealing both anew."""
+    wanted = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def append_year(df: DataFrame, path: str) -> None:
