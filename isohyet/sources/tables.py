@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,9 @@ BASELINE_COLUMNS = (
     "tx90p_threshold", "tx10p_threshold", "tn90p_threshold", "tn10p_threshold", "tas_25p_threshold", "tas_75p_threshold",
     "pr95p_threshold", "pr99p_threshold", "pr_25p_threshold", "pr_75p_threshold",
 )
+log = logging.getLogger(__name__)
+#: The metadata entry of a baseline's years.
+PERIOD = "baseline_period"
 #: Cells in a partition of a series store.
 SERIES_BLOCK = 1024
 SERIES_PART = "cell_block"
@@ -52,20 +57,52 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=True)
 
 
+def write_baseline(df: DataFrame, path: str, first: int, last: int) -> None:
+    """Thresholds by cell and day of year; the years that they come from stay with the column of days."""
+    df.withMetadata("doy", {PERIOD: f"{first}-{last}"}).write.mode("overwrite").parquet(path)
+
+
 def read_baseline(
-    spark: SparkSession, path: str, required: Sequence[str] = BASELINE_COLUMNS, optional: Sequence[str] = (), allow_missing: bool = False
+    spark: SparkSession,
+    path: str,
+    required: Sequence[str] = BASELINE_COLUMNS,
+    optional: Sequence[str] = (),
+    allow_missing: bool = False,
+    period: str | None = None,
+    strict: bool = False,
 ) -> tuple[DataFrame, list[str]]:
     """Thresholds by cell and day of year, and the names of those that are missing or all null.
 
-    A missing required column raises unless ``allow_missing``.
+    No table at ``path`` is a FileNotFoundError. A missing required column raises
+    unless ``allow_missing``; so does a table without cell_id or doy, or with days
+    outside 1 to 366. Another ``period`` than the one the table was written with
+    (``write_baseline``), or none, is a warning, and with ``strict`` an error.
     """
-    df = nan_to_null(spark.read.parquet(path))
+    try:
+        df = nan_to_null(spark.read.parquet(path))
+    except AnalysisException as absent:
+        if absent.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no baseline at {path}: compute it with baseline_percentiles first") from absent
+    keys = [c for c in ("cell_id", "doy") if c not in df.columns]
+    if keys:
+        raise ValueError(f"a baseline needs the columns {keys}")
     missing = [c for c in required if c not in df.columns]
     if missing and not allow_missing:
         raise ValueError(f"the baseline lacks {missing}")
+    if period is not None and (found := df.schema["doy"].metadata.get(PERIOD)) != period:
+        message = f"the baseline covers {found or 'unknown years'}, not {period}"
+        if strict:
+            raise ValueError(message)
+        log.warning(message)
     there = [c for c in (*required, *optional) if c in df.columns]
-    filled = df.agg(*[F.count(c).alias(c) for c in there]).first() if there else {}
-    return df.select("cell_id", "doy", *there), missing + [c for c in there if not filled[c]]
+    facts = df.agg(F.min("doy").alias("__low"), F.max("doy").alias("__high"), *[F.count(c).alias(c) for c in there]).first()
+    if facts["__low"] is not None and not (1 <= facts["__low"] and facts["__high"] <= 366):
+        raise ValueError(f"days of year run from {facts['__low']} to {facts['__high']}")
+    empty = [c for c in there if not facts[c]]
+    if empty:
+        log.warning("all values are missing in %s", empty)
+    return df.select("cell_id", "doy", *there), missing + empty
 
 
 def write_by_year(df: DataFrame, path: str) -> None:

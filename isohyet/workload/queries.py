@@ -17,7 +17,7 @@ from ..operators.baseline import THRESHOLDS, baseline_percentiles, threshold_sum
 from ..operators.spells import first_to_last
 from ..operators.spi import monthly_precipitation, rolling_months, spi, spi_quality
 from ..plans.compute import compute_indices
-from ..sources.tables import write_extraction, write_series_store
+from ..sources.tables import read_series, write_extraction, write_series_store
 from ..streaming.incremental import ingest
 from .derived import PREFIX, cells, daily
 
@@ -434,26 +434,52 @@ def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract_axis(points(spark, sf_dir), annual_values(spark, sf_dir), cells(spark, sf_dir), ["tg_mean"], "nearest", "plat", "plon")
 
 
-@query("align_nearest", "SELECT cell_id AS left_id, cell_id AS right_id FROM cells WHERE cell_id % 3 <> 0")
+@query(
+    "align_nearest",
+    ", moved AS (SELECT cell_id, lat + CASE WHEN cell_id % 3 = 0 THEN 0.02 ELSE 0.004 END AS lat, lon FROM cells) "
+    "SELECT a.cell_id AS left_id, b.cell_id AS right_id FROM cells a JOIN moved b ON abs(a.lat - b.lat) <= 0.01 AND abs(a.lon - b.lon) <= 0.01",
+)
 def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = cells(spark, sf_dir)
     moved = F.when(F.col("cell_id") % 3 == 0, 0.02).otherwise(0.004)
     return extract.align_nearest(c, c.withColumn("lat", F.col("lat") + moved), 25.0, -125.0, 0.125)
 
 
+# Two tables that miss days on either side, and cells of which one table has moved.
+_TWO = (
+    ", a AS (SELECT cell_id, date, lat, lon, tas FROM daily WHERE NOT (cell_id % 7 = 2 AND month = 3))"
+    ", b AS (SELECT cell_id, date, lat + CASE WHEN cell_id % 11 = 5 THEN 0.5 ELSE 0 END AS lat, lon, pr FROM daily WHERE tas IS NOT NULL) "
+)
+
+
+def two_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    d = daily(spark, sf_dir)
+    a = d.where(~((F.col("cell_id") % 7 == 2) & (F.month("date") == 3))).select("cell_id", "date", "lat", "lon", "tas")
+    moved = F.col("lat") + F.when(F.col("cell_id") % 11 == 5, 0.5).otherwise(0.0)
+    return a, d.where("tas is not null").select("cell_id", "date", moved.alias("lat"), "lon", "pr")
+
+
 @query(
     "misaligned_days",
-    "SELECT 'left' AS side, cell_id, CAST(date AS VARCHAR) AS date, 'missing on the right' AS problem FROM daily WHERE tas IS NULL",
+    _TWO + "SELECT 'left' AS side, cell_id, CAST(date AS VARCHAR) AS date, 'missing on the right' AS problem FROM a WHERE NOT EXISTS (FROM b WHERE b.cell_id = a.cell_id AND b.date = a.date) "
+    "UNION ALL SELECT 'right', cell_id, CAST(date AS VARCHAR), 'missing on the left' FROM b WHERE NOT EXISTS (FROM a WHERE a.cell_id = b.cell_id AND a.date = b.date) "
+    "UNION ALL SELECT DISTINCT 'both', a.cell_id, NULL, 'coordinates differ' FROM a JOIN b ON a.cell_id = b.cell_id AND (abs(a.lat - b.lat) > 1e-6 * abs(b.lat) OR abs(a.lon - b.lon) > 1e-6 * abs(b.lon))",
 )
 def misaligned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = daily(spark, sf_dir)
-    return extract.misaligned(d, d.where("tas is not null"))
+    return extract.misaligned(*two_tables(spark, sf_dir))
 
 
-@query("merge_daily", "SELECT cell_id, CAST(date AS VARCHAR) AS date, CASE WHEN tas IS NOT NULL THEN tas END AS tas, CASE WHEN pr >= 1 THEN pr END AS pr FROM daily WHERE tas IS NOT NULL OR pr >= 1")
+@query("merge_daily", _TWO + "SELECT coalesce(a.cell_id, b.cell_id) AS cell_id, CAST(coalesce(a.date, b.date) AS VARCHAR) AS date, tas, pr FROM a FULL JOIN b ON a.cell_id = b.cell_id AND a.date = b.date")
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = daily(spark, sf_dir)
-    return extract.merge_daily(d.where("tas is not null").select("cell_id", "date", "tas"), d.where("pr >= 1").select("cell_id", "date", "pr"), validate=False)
+    a, b = two_tables(spark, sf_dir)
+    return extract.merge_daily(a.drop("lat", "lon"), b.drop("lat", "lon"), validate=False)
+
+
+@query("merge_validated", ", a AS (SELECT cell_id, date, lat, tas FROM daily) SELECT cell_id, CAST(date AS VARCHAR) AS date, lat, lon, tas, pr FROM a JOIN (SELECT cell_id, date, lon, pr FROM daily) USING (cell_id, date)")
+def merged_after_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables that line up are merged with the check on."""
+    d = daily(spark, sf_dir).select("cell_id", "date", "lat", "lon", "tas", "pr")
+    return extract.merge_daily(d.drop("pr"), d.drop("tas"))
 
 
 @query(
@@ -730,7 +756,7 @@ def incremental_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def series_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "series")
     write_series_store(indices(("prcptot", "wetdays"), spark, sf_dir), path)
-    return spark.read.parquet(path)
+    return read_series(spark, path)
 
 
 # --- data quality ---------------------------------------------------------------------------------------------------------------
@@ -783,14 +809,17 @@ def quality_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "quality_anomalies",
-    _LONG + ", p AS (SELECT variable, year, count(value) / count(*) AS c, avg(CASE WHEN year = 1996 AND variable = 'prcptot' THEN value * 50 ELSE value END) AS m FROM long GROUP BY 1, 2)"
-    ", z AS (SELECT *, abs(m - avg(m) OVER v) / nullif(stddev_pop(m) OVER v, 0) AS mz FROM p WINDOW v AS (PARTITION BY variable)) "
-    "SELECT 'mean_anomaly' AS \"check\", variable, year, 'WARNING' AS status, round(mz, 4) AS metric, '' AS message FROM z WHERE mz > 2",
+    _LONG + ", o AS (SELECT variable, year, CASE WHEN year = 1996 AND variable = 'prcptot' THEN value * 50 WHEN NOT (year = 1999 AND variable = 'dry_days' AND cell_id % 2 = 0) THEN value END AS value FROM long)"
+    ", p AS (SELECT variable, year, count(value) / count(*) AS c, avg(value) AS m FROM o GROUP BY 1, 2)"
+    ", z AS (SELECT *, abs(m - avg(m) OVER v) / nullif(stddev_pop(m) OVER v, 0) AS mz, abs(c - avg(c) OVER v) / nullif(stddev_pop(c) OVER v, 0) AS cz FROM p WINDOW v AS (PARTITION BY variable)) "
+    "SELECT 'mean_anomaly' AS \"check\", variable, year, 'WARNING' AS status, round(mz, 4) AS metric, '' AS message FROM z WHERE mz > 2 "
+    "UNION ALL SELECT 'coverage_anomaly', variable, year, 'WARNING', round(cz, 4), '' FROM z WHERE cz > 2",
 )
 def quality_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    odd = (F.col("year") == 1996) & (F.col("variable") == "prcptot")
-    long = long_indices(spark, sf_dir).withColumn("value", F.when(odd, F.col("value") * 50).otherwise(F.col("value")))
-    return quality.yearly_anomalies(long, mean_z=2.0).withColumn("metric", F.round("metric", 4))
+    # The faults to be found: a year of far too much rain, and one without half of its values.
+    odd, gone = F.expr("year = 1996 and variable = 'prcptot'"), F.expr("year = 1999 and variable = 'dry_days' and cell_id % 2 = 0")
+    long = long_indices(spark, sf_dir).withColumn("value", F.when(odd, F.col("value") * 50).when(~gone, F.col("value")))
+    return quality.yearly_anomalies(long, coverage_z=2.0, mean_z=2.0).withColumn("metric", F.round("metric", 4))
 
 
 @query(
@@ -830,16 +859,18 @@ def quality_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "quality_grid",
-    ", g AS (" + " UNION ALL ".join(
-        f"SELECT '{c}' AS variable, count(x) AS n, min(x) AS lo, max(x) AS hi, stddev_pop(d) / nullif(avg(d), 0) AS u, {w} AS w, {a} AS a, {b} AS b FROM (SELECT x, x - lag(x) OVER (ORDER BY x) AS d FROM (SELECT DISTINCT {c} AS x FROM cells))"
+    ", holed AS (SELECT CASE WHEN cell_id % 13 <> 4 THEN lat END AS lat, lon FROM cells), g AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS variable, count(x) AS n, min(x) AS lo, max(x) AS hi, stddev_pop(d) / nullif(avg(d), 0) AS u, count(*) FILTER (x IS NULL) AS bad, {w} AS w, {a} AS a, {b} AS b FROM (SELECT x, x - lag(x) OVER (ORDER BY x NULLS FIRST) AS d FROM (SELECT DISTINCT {c} AS x FROM holed))"
         for c, w, a, b in (("lat", 20, 24, 50), ("lon", 5, -125, -66))
     ) + f"), s AS (SELECT 'grid_size' AS \"check\", variable, CASE WHEN abs(n - w) / w >= 0.05 THEN 'FAIL' WHEN n <> w THEN 'WARNING' ELSE 'PASS' END AS status, CAST(n AS DOUBLE) AS metric FROM g "
-    "UNION ALL SELECT 'grid_missing', variable, 'PASS', 0 FROM g UNION ALL SELECT 'grid_range', variable, CASE WHEN lo < a - 1 OR hi > b + 1 THEN 'FAIL' ELSE 'PASS' END, lo FROM g "
+    "UNION ALL SELECT 'grid_missing', variable, CASE WHEN bad > 0 THEN 'FAIL' ELSE 'PASS' END, bad FROM g UNION ALL SELECT 'grid_range', variable, CASE WHEN lo < a - 1 OR hi > b + 1 THEN 'FAIL' ELSE 'PASS' END, lo FROM g "
     "UNION ALL SELECT 'grid_spacing', variable, CASE WHEN u > 0.01 THEN 'WARNING' ELSE 'PASS' END, u FROM g) "
     f"SELECT \"check\", variable, {_NULL_YEAR}, status, round(metric, 6) AS metric, '' AS message FROM s",
 )
 def quality_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.grid_checks(cells(spark, sf_dir), 20, 5)
+    # The fault to be found: latitudes that are missing.
+    holed = cells(spark, sf_dir).withColumn("lat", F.when(F.col("cell_id") % 13 != 4, F.col("lat")))
+    return quality.grid_checks(holed, 20, 5)
 
 
 @query(

@@ -103,3 +103,30 @@ def test_gate_in_the_pass_that_writes(spark, tmp_path):
         observed_write(wide, variables, lambda df: df.write.parquet(str(tmp_path / "u")))
     nothing = observed_write(wide.where("false"), variables, lambda df: df.write.parquet(str(tmp_path / "v")), stop_on=None)
     assert {r["status"] for r in nothing.where("check = 'coverage'").collect()} == {"PASS"}
+
+
+def test_baseline_files(spark, tmp_path, caplog):
+    from isohyet.sources.tables import read_baseline, write_baseline
+
+    path = str(tmp_path / "baseline")
+    with pytest.raises(FileNotFoundError):
+        read_baseline(spark, path)
+    good = spark.createDataFrame([(1, 1, 2.0, None), (1, 366, float("nan"), None)], "cell_id long, doy int, tx90p_threshold double, tx10p_threshold double")
+    write_baseline(good, path, 1981, 2000)
+    df, missing = read_baseline(spark, path, ["tx90p_threshold"], ["tx10p_threshold", "other"], period="1981-2000")
+    assert missing == ["tx10p_threshold"] and df.columns == ["cell_id", "doy", "tx90p_threshold", "tx10p_threshold"]
+    assert sorted(r["tx90p_threshold"] is None for r in df.collect()) == [False, True]
+    caplog.clear()
+    read_baseline(spark, path, ["tx90p_threshold"], period="1991-2020")
+    assert "1981-2000" in caplog.text
+    with pytest.raises(ValueError, match="1991-2020"):
+        read_baseline(spark, path, ["tx90p_threshold"], period="1991-2020", strict=True)
+    with pytest.raises(ValueError, match="pr95p"):
+        read_baseline(spark, path, ["pr95p_threshold"])
+    assert read_baseline(spark, path, ["pr95p_threshold"], allow_missing=True)[1] == ["pr95p_threshold"]
+    write_baseline(good.withColumn("doy", F.col("doy") + 1), path, 1981, 2000)
+    with pytest.raises(ValueError, match="367"):
+        read_baseline(spark, path, ["tx90p_threshold"])
+    good.drop("cell_id").write.mode("overwrite").parquet(path)
+    with pytest.raises(ValueError, match="cell_id"):
+        read_baseline(spark, path, ["tx90p_threshold"])
