@@ -9,11 +9,14 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Shapes above this take the cube-root approximation of Wilson and Hilferty (1931), whose error in a normal quantile is below 1e-5 there.
-LARGE_SHAPE = 100_000.0
+#: Gamma distributions of a larger shape are integrated; below, series and continued fractions are short.
+LARGE_SHAPE = 60.0
+#: Places and weights of Gauss and Legendre's rule.
+NODES = [(float(x), float(w)) for x, w in zip(*np.polynomial.legendre.leggauss(40))]
 NEWTON_STEPS = 8
 BETA_TERMS = 200
 
@@ -82,47 +85,59 @@ def gamma_shape(log_gap: Column) -> Column:
     return let(F.when(log_gap.isNotNull(), F.greatest(log_gap, F.lit(1e-12))), solve)
 
 
-def _lower_gamma(shape: Column, x: Column) -> Column:
-    """The regularised lower incomplete gamma function by its series of positive terms; 1 far above the shape."""
-    far = x > shape + 40 * F.sqrt(shape) + 200
-    terms = F.when(far | shape.isNull() | x.isNull(), F.lit(1)).otherwise((30 + F.greatest(x - shape, F.lit(0.0)) + 9 * F.sqrt(F.greatest(shape, x))).cast("int"))
-    zero = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+def _integrated(shape: Column, x: Column, upper: bool) -> Column:
+    """A tail of the gamma distribution of a large shape, over the stretch from x on that holds all but 1e-16 of it."""
+
+    def over(v: Column) -> Column:
+        m, low, high = v["m"], v["low"], v["high"]
+        middle, half = (high + low) / 2 / m - 1, (high - low) / 2 / m
+        # One lambda for all places keeps the expression small, and so its planning short.
+        rule = F.array(*[F.struct(F.lit(node).alias("x"), F.lit(weight).alias("w")) for node, weight in NODES])
+        density = lambda w, n: let(w["at"] + w["half"] * n["x"], lambda d: n["w"] * F.exp(m * (F.log1p(d) - d)))
+        total = let(F.struct(middle.alias("at"), half.alias("half")), lambda w: F.aggregate(rule, F.lit(0.0), lambda acc, n: acc + density(w, n)))
+        stirling = 1 / (12 * m) - 1 / (360 * m * m * m)
+        return total * half * F.sqrt(m / (2 * math.pi)) * F.exp(-stirling)
+
+    def bounds(m: Column) -> Column:
+        wide = F.sqrt(m)
+        low = x if upper else F.greatest(F.least(m - 9 * wide, x - 6 * wide), F.lit(0.0))
+        high = F.greatest(m + 12 * wide, x + 7 * wide) if upper else x
+        return F.struct(m.alias("m"), low.alias("low"), high.alias("high"))
 
-    def add(acc: Column, n: Column) -> Column:
-        return let(acc["term"] * x / (shape + n), lambda t: F.struct(t.alias("term"), (acc["total"] + t).alias("total")))
+    return let(let(shape - 1, bounds), over)
 
-    total = F.aggregate(F.sequence(F.lit(1), terms), zero, add, lambda acc: acc["total"])
+
+def _series(shape: Column, x: Column) -> Column:
+    """The regularised lower incomplete gamma function by its series of positive terms, summed from the last on."""
+    far = x > shape + 40 * F.sqrt(shape) + 200
+    terms = F.when(far | shape.isNull() | x.isNull(), F.lit(1)).otherwise((30 + F.greatest(x - shape, F.lit(0.0)) + 9 * F.sqrt(F.greatest(shape, x))).cast("int"))
+    total = F.aggregate(F.sequence(terms, F.lit(1), F.lit(-1)), F.lit(1.0), lambda acc, n: 1 + x / (shape + n) * acc)
     front = F.exp(shape * F.log(x) - x - let(shape + 1, log_gamma))
     value = front * total
-    return F.when(x <= 0, F.lit(0.0)).when(far, F.lit(1.0)).when(value > 1, F.lit(1.0)).otherwise(value)
+    return F.when(far, F.lit(1.0)).when(value > 1, F.lit(1.0)).otherwise(value)
 
 
 def gamma_cdf(x: Column, shape: Column) -> Column:
     """P(X <= x) of a gamma distribution with scale 1; null if either is null."""
-    root = 3 * F.sqrt(shape) * (F.cbrt(x / shape) - 1 + 1 / (9 * shape))
-    large = shape > LARGE_SHAPE
-    # A large shape's value is the normal distribution's at the cube root, which is a gamma distribution of shape one half.
-    bound = F.struct(shape.alias("a"), x.alias("x"), F.when(large, root).otherwise(0.0).alias("z"))
-    of = lambda v: let(F.struct(F.when(large, 0.5).otherwise(v["a"]).alias("a"), F.when(large, v["z"] * v["z"] / 2).otherwise(v["x"]).alias("x")), lambda w: _lower_gamma(w["a"], w["x"]))
-    return let(bound, lambda v: let(of(v), lambda p: F.when(large, 0.5 + 0.5 * F.signum(v["z"]) * p).otherwise(p)))
+
+    def of(v: Column) -> Column:
+        x, a = v["x"], v["a"]
+        large = F.when(x > a, 1 - _integrated(a, x, True)).otherwise(_integrated(a, x, False))
+        return F.when(x <= 0, F.lit(0.0)).when(a > LARGE_SHAPE, large).otherwise(_series(a, x))
+
+    return let(F.struct(x.alias("x"), shape.alias("a")), of)
 
 
 def gamma_tail(x: Column, shape: Column) -> Column:
-    """P(X > x) of a gamma distribution with scale 1 for x well above the shape, by its continued fraction, to full relative precision."""
+    """P(X > x) of a gamma distribution with scale 1 for x well above the shape, to full relative precision."""
 
     def of(v: Column) -> Column:
         x, a = v["x"], v["a"]
-
-        def step(s: Column, i: Column) -> Column:
-            by, b = -i * (i - a), x + 1 - a + 2 * i
-            new = F.struct((b + by / s["c"]).alias("c"), (1 / (by * s["d"] + b)).alias("d"), s["h"].alias("h"))
-            return let(new, lambda t: F.struct(t["c"].alias("c"), t["d"].alias("d"), (t["h"] * t["c"] * t["d"]).alias("h")))
-
-        first = 1 / (x + 1 - a)
-        start = F.struct(F.lit(1e300).alias("c"), first.alias("d"), first.alias("h"))
+        # The continued fraction from its last term on.
         terms = F.when(x.isNotNull() & a.isNotNull(), (60 + 4 * F.sqrt(a)).cast("int")).otherwise(1)
-        fraction = F.aggregate(F.sequence(F.lit(1), terms), start, step, lambda s: s["h"])
-        return F.exp(a * F.log(x) - x - log_gamma(a)) * fraction
+        start = x + 2 * terms + 1 - a
+        below = F.aggregate(F.sequence(terms, F.lit(1), F.lit(-1)), start, lambda f, i: x + 2 * i - 1 - a - i * (i - a) / f)
+        return F.when(a > LARGE_SHAPE, _integrated(a, x, True)).otherwise(F.exp(a * F.log(x) - x - log_gamma(a)) / below)
 
     return let(F.struct(x.alias("x"), shape.alias("a")), of)
 

@@ -7,14 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.distributions import LARGE_SHAPE, gamma_cdf, gamma_shape, gamma_tail, let, normal_quantile
+from ..functions.distributions import gamma_cdf, gamma_shape, gamma_tail, let, normal_quantile
 
 MONTHS = (1, 3, 6, 12, 24)
 BOUND = 8.21
 
 
-def standardised(x: Column, n: Column, n_zero: Column, total: Column, total_log: Column) -> Column:
-    """The normal quantile of x under a zero-inflated gamma with the given calibration sums; null with fewer than two wet values."""
+def standardised(sums: Column) -> Column:
+    """The normal quantile of x under a zero-inflated gamma, from a struct of x and its calibration sums n, zero, total and log.
+
+    Null with fewer than two wet values.
+    """
 
     def of(v: Column) -> Column:
         wet = (v["n"] - v["zero"]).cast("double")
@@ -23,15 +26,14 @@ def standardised(x: Column, n: Column, n_zero: Column, total: Column, total_log:
 
         def quantile(s: Column) -> Column:
             # Far above the mean, one less the probability has lost its digits; the tail has them.
-            above = (s["u"] > s["k"] + 2 * F.sqrt(s["k"]) + 2) & (s["k"] <= LARGE_SHAPE)
+            above = s["u"] > s["k"] + 2 * F.sqrt(s["k"]) + 2
             tail = -normal_quantile((1 - dry) * gamma_tail(s["u"], s["k"]))
             return F.when(above, tail).otherwise(normal_quantile(dry + (1 - dry) * gamma_cdf(s["u"], s["k"])))
 
         z = let(shape, lambda k: let(F.struct(k.alias("k"), (v["x"] * k / mean).alias("u")), quantile))
         return F.greatest(F.least(z, F.lit(BOUND)), F.lit(-BOUND))
 
-    fields = F.struct(x.alias("x"), n.alias("n"), n_zero.alias("zero"), total.alias("total"), total_log.alias("log"))
-    return F.when((n - n_zero >= 2) & x.isNotNull(), let(fields, of))
+    return F.when((sums["n"] - sums["zero"] >= 2) & sums["x"].isNotNull(), of(sums))
 
 
 def monthly_precipitation(daily: DataFrame, complete: bool = True) -> DataFrame:
@@ -74,10 +76,10 @@ def spi(daily: DataFrame, months: Sequence[int] = MONTHS, first: int = 1981, las
         wet = F.when(x > 0, x)
         gathered = {"n": F.count(x), "zero": F.count_if(x <= 0), "total": F.sum(wet), "log": F.sum(F.log(wet))}
         sums |= {f"{k}{n}": v.over(fit) for k, v in gathered.items()}
-    fitted = rolled.withColumns(sums)
-    return fitted.select(
-        "cell_id", "month_start", *[standardised(*(F.col(f"{k}{n}") for k in ("x", "n", "zero", "total", "log"))).alias(f"spi_{n}month") for n in months]
-    )
+    # One expression for all spans, whose results are taken apart after.
+    spans = F.array(*[F.struct(*[F.col(f"{k}{n}").alias(k) for k in ("x", "n", "zero", "total", "log")]) for n in months])
+    fitted = rolled.withColumns(sums).select("cell_id", "month_start", F.transform(spans, standardised).alias("z"))
+    return fitted.select("cell_id", "month_start", *[F.col("z")[i].alias(f"spi_{n}month") for i, n in enumerate(months)])
 
 
 def spi_quality(values: DataFrame) -> DataFrame:

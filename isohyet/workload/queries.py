@@ -657,7 +657,6 @@ def _spi_sql(months: Sequence[int]) -> str:
     spans = " UNION ALL ".join(f"SELECT cell_id, month_start, {n} AS span, x{n} AS x FROM rolled" for n in months)
     half = f"CASE WHEN ln(exp((lo + hi) / 2)) - {_psi('exp((lo + hi) / 2)')} > gap THEN"
     halved = f"lambda a, b: {{'lo': {half.replace('lo', 'a.lo').replace('hi', 'a.hi')} (a.lo + a.hi) / 2 ELSE a.lo END, 'hi': {half.replace('lo', 'a.lo').replace('hi', 'a.hi')} a.hi ELSE (a.lo + a.hi) / 2 END}}"
-    root = "(3 * sqrt(a) * (cbrt(u / a) - 1 + 1 / (9 * a)))"
     series = "list_sum(list_transform(range((60 + greatest(0, u - a) + 12 * sqrt(greatest(a, u)))::BIGINT), lambda i: exp(-u + (a + i) * ln(u) - lgamma(a + i + 1))))"
     by, b = "(-nx.i * (nx.i - nx.a))", "(nx.u + 1 - nx.a + 2 * nx.i)"
     c, e = f"({b} + {by} / st.c)", f"(1 / ({by} * st.e + {b}))"
@@ -666,7 +665,7 @@ def _spi_sql(months: Sequence[int]) -> str:
         f"list_reduce(list_transform(range(1, (61 + 4 * sqrt(a))::BIGINT), lambda i: {item.format(i='i::DOUBLE', c='0.0::DOUBLE', e='0.0::DOUBLE', h='0.0::DOUBLE')}), "
         f"lambda st, nx: {{'i': nx.i, 'a': nx.a, 'u': nx.u, 'c': {c}, 'e': {e}, 'h': st.h * {c} * {e}}}, {item.format(i='0.0::DOUBLE', c='1e300::DOUBLE', e='1 / (u + 1 - a)', h='1 / (u + 1 - a)')}).h"
     )
-    tail = f"CASE WHEN u > a + 2 * sqrt(a) + 2 AND a <= 100000 THEN (1 - zero / n) * exp(a * ln(u) - u - lgamma(a)) * {fraction} END"
+    tail = f"CASE WHEN u > a + 2 * sqrt(a) + 2 THEN (1 - zero / n) * exp(a * ln(u) - u - lgamma(a)) * {fraction} END"
     near, far = _ratio(NEAR, "(r - 1.6)"), _ratio(FAR, "(r - 5)")
     centre = f"(p - 0.5) * {_ratio(CENTRE, '(0.180625 - (p - 0.5) * (p - 0.5))')}"
     return f"""
@@ -681,10 +680,10 @@ def _spi_sql(months: Sequence[int]) -> str:
 , h AS (SELECT span, cell_id, m, CASE WHEN gap < 1e-9 THEN (1 + sqrt(1 + 4 * gap / 3)) / (4 * gap) ELSE
     exp(list_reduce(list_transform(range(70), lambda i: {{'lo': 0.0::DOUBLE, 'hi': 0.0::DOUBLE}}), {halved}, {{'lo': -12.0::DOUBLE, 'hi': 24.0::DOUBLE}}).lo) END AS a FROM fit)
 , u AS (SELECT g.*, h.a, g.x * h.a / g.mean AS u FROM g JOIN h ON g.span = h.span AND g.cell_id = h.cell_id AND month(g.month_start) = h.m WHERE x IS NOT NULL)
-, d AS (SELECT *, {tail} AS q, CASE WHEN u <= 0 THEN 0 WHEN a > 100000 THEN NULL ELSE least({series}, 1) END AS f FROM u)
-, p AS (SELECT span, cell_id, month_start, q IS NOT NULL AS above, coalesce(q, greatest(least(zero / n + (1 - zero / n) * f, 1 - 1e-16), 1e-300)) AS p, CASE WHEN a > 100000 AND u > 0 THEN {root} END AS wide FROM d)
+, d AS (SELECT *, {tail} AS q, CASE WHEN u <= 0 THEN 0 ELSE least({series}, 1) END AS f FROM u)
+, p AS (SELECT span, cell_id, month_start, q IS NOT NULL AS above, coalesce(q, greatest(least(zero / n + (1 - zero / n) * f, 1 - 1e-16), 1e-300)) AS p FROM d)
 , r AS (SELECT *, sqrt(-ln(CASE WHEN p < 0.5 THEN p ELSE 1 - p END)) AS r FROM p)
-, z AS (SELECT span, cell_id, month_start, greatest(least((CASE WHEN above THEN -1 ELSE 1 END) * CASE WHEN wide IS NOT NULL THEN wide WHEN abs(p - 0.5) <= 0.425 THEN {centre} ELSE sign(p - 0.5) * CASE WHEN r <= 5 THEN {near} ELSE {far} END END, 8.21), -8.21) AS z FROM r)
+, z AS (SELECT span, cell_id, month_start, greatest(least((CASE WHEN above THEN -1 ELSE 1 END) * CASE WHEN abs(p - 0.5) <= 0.425 THEN {centre} ELSE sign(p - 0.5) * CASE WHEN r <= 5 THEN {near} ELSE {far} END END, 8.21), -8.21) AS z FROM r)
 """
 
 
