@@ -13,8 +13,10 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round hooks a node to its smallest neighbour and that neighbour's own,
     and contracts the links to the ends' new labels. Contracted links that
-    coincide or close on themselves go, so every round has far fewer than the
-    one before. Nodes without links are not listed.
+    coincide or close on themselves go, so with ids in no order, as digests are,
+    every round has far fewer than the one before. Ids that rise along a chain take
+    a round for every two links; give such nodes a hash for an id. Nodes without
+    links are not listed.
     """
     edges = materialise(contracted(links, "a", "b"), "edges")
     labels = None

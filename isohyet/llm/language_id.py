@@ -10,6 +10,7 @@ length.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -24,8 +25,10 @@ UNDETERMINED = "und"
 _SPACE = 32
 
 
+@cache
 def _letters() -> np.ndarray:
-    return np.fromiter((chr(c).isalpha() for c in range(0x30000)), bool, 0x30000)
+    """Whether each code point is a letter; made once in a worker."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
 def ngrams(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -408,3 +408,9 @@ def test_nested_streams_of_any_size(limit):
             packed = pack(packed)
         found = secrets.find(base64.b64encode(packed).decode(), limit)
         assert [f[3] for f in found] == ["password=hunter2secret"], (layers, limit)
+
+
+def test_letters_beyond_the_second_plane():
+    letters = language_id._letters()
+    assert len(letters) == 0x110000 and len(language_id.ngrams("\U00030000\U00030001", letters)[0])
+    assert not len(language_id.ngrams("\U0001f600 12", letters)[0])
