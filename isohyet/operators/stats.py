@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,18 +86,46 @@ def monthly_climatology(daily: DataFrame, variable: str) -> DataFrame:
 
 
 def correlations(df: DataFrame, variables: Sequence[str]) -> DataFrame:
-    """Pairwise-complete correlations of all variables in one pass: a, b, corr; null where one does not vary."""
-    names = list(variables)
-    pairs = [*combinations(names, 2), *((n, n) for n in names)]
-
-    def both(a: str, b: str) -> Column:
-        x, y = (F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.col(v).cast("double")) for v in (a, b))
-        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    """Pairwise-complete correlations of all variables: a, b, corr; null where one does not vary.
 
-    one = df.agg(*[both(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{i}`").alias("corr")) for i, (a, b) in enumerate(pairs)]
-    upper = one.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
-    return upper.unionByName(upper.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "corr"))
+    Every task multiplies the matrix of its rows with itself, a batch at a time:
+    values, their squares, and which are there. So a pair costs an entry of a
+    product and not an aggregate of its own, and a task gives a row per pair.
+    Values are taken from their means, which keeps the digits of large ones.
+    """
+    names = list(variables)
+    means = df.agg(*[F.avg(F.col(v).cast("double")).alias(f"{i}") for i, v in enumerate(names)]).first()
+    shift = np.array([x if x is not None and math.isfinite(x) else 0.0 for x in means], float)
+    upper = np.triu_indices(len(names))
+
+    def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        size = (len(names), len(names))
+        n, x, xx, xy = (np.zeros(size) for _ in range(4))
+        for batch in batches:
+            value = batch.to_numpy(float)
+            there = ~np.isnan(value)
+            value, there = np.where(there, value - shift, 0.0), there.astype(float)
+            n += there.T @ there
+            x += value.T @ there
+            xx += (value * value).T @ there
+            xy += value.T @ value
+        columns = {"i": upper[0], "j": upper[1], "n": n[upper], "x": x[upper], "y": x.T[upper], "xx": xx[upper], "yy": xx.T[upper], "xy": xy[upper]}
+        yield pd.DataFrame(columns)
+
+    sums = ("n", "x", "y", "xx", "yy", "xy")
+    parts = df.select(*[F.col(v).cast("double").alias(f"v{i}") for i, v in enumerate(names)]).mapInPandas(multiply, "i int, j int, " + ", ".join(f"{s} double" for s in sums))
+    s = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in sums])
+
+    def spread(square: str, total: str) -> Column:
+        """n squared times the variance; what rounding leaves of a constant counts as none."""
+        v = F.col("n") * F.col(square) - F.col(total) * F.col(total)
+        return F.when(v > 1e-12 * F.col("n") * F.col(square), v)
+
+    corr = (F.col("n") * F.col("xy") - F.col("x") * F.col("y")) / F.sqrt(spread("xx", "x") * spread("yy", "y"))
+    label = F.array(*[F.lit(v) for v in names])
+    both = F.array(F.struct(F.col("i").alias("p"), F.col("j").alias("q")), F.struct(F.col("j").alias("p"), F.col("i").alias("q")))
+    pairs = s.select(F.explode(F.when(F.col("i") == F.col("j"), F.slice(both, 1, 1)).otherwise(both)).alias("k"), corr.alias("corr"))
+    return pairs.select(F.get(label, F.col("k.p")).alias("a"), F.get(label, F.col("k.q")).alias("b"), "corr")
 
 
 def histogram(long: DataFrame, bins: int = 30, by: Sequence[str] = ("variable",)) -> DataFrame:

@@ -13,8 +13,14 @@ from ..plans.compute import compute_indices
 from ..sources import tables
 from .derived import PREFIX, cells, daily
 from .queries import (
+    _H_COUNT,
+    _H_DOUBLE,
     _JOINED,
     _LONG_VARS,
+    _R_COUNT,
+    _R_DOUBLE,
+    _T_COUNT,
+    _T_DOUBLE,
     _VALUES,
     _X_COUNT,
     ORACLES,
@@ -204,6 +210,22 @@ def own_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         del CATALOG["mild_days"]
 
 
+_MANY = {**_T_DOUBLE, **_T_COUNT, **_R_DOUBLE, **_R_COUNT, **_H_DOUBLE, **_H_COUNT}
+
+
+@query(
+    "catalog_correlations",
+    ", wide AS (SELECT cell_id, year, " + ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in _MANY.items()) + " FROM daily GROUP BY cell_id, year)"
+    f", long AS (UNPIVOT wide ON {', '.join(_MANY)} INTO NAME variable VALUE value) "
+    "SELECT a.variable AS a, b.variable AS b, CASE WHEN stddev_pop(a.value) > 1e-9 AND stddev_pop(b.value) > 1e-9 THEN round(corr(a.value, b.value) + 1e-9, 4) END AS corr "
+    "FROM long a JOIN long b USING (cell_id, year) GROUP BY 1, 2",
+)
+def catalog_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The correlation matrix of all plain indices of three groups."""
+    found = stats.correlations(indices(list(_MANY), spark, sf_dir), list(_MANY))
+    return found.withColumn("corr", F.round(F.col("corr") + 1e-9, 4))
+
+
 # --- quality --------------------------------------------------------------------------------------------------------------------
 
 

@@ -258,3 +258,22 @@ def test_correlations_of_many_variables(spark):
     names = [f"v{i}" for i in range(23)]
     df = spark.createDataFrame([tuple(float((i * k) % 7) for i in range(1, 24)) for k in range(9)], ", ".join(f"{n} double" for n in names))
     assert stats.correlations(df, names).count() == 23 * 23
+
+
+def test_correlations_against_numpy(spark):
+    """Eighty variables with holes, far from zero, one of them constant and one without values."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(400, 4))
+    x = 1e6 + base @ rng.normal(size=(4, 80)) + rng.normal(size=(400, 80))
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 3], x[:, 5] = 7.3, np.nan
+    names = [f"i{k}" for k in range(80)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in row) for row in x], ", ".join(f"{n} double" for n in names)).repartition(5)
+    got = {(r["a"], r["b"]): r["corr"] for r in stats.correlations(df, names).collect()}
+    assert len(got) == 6400 and got["i3", "i9"] is None and got["i5", "i5"] is None and got["i3", "i3"] is None
+    for a in (0, 7, 31, 79):
+        for b in (1, 7, 50):
+            both = ~np.isnan(x[:, a]) & ~np.isnan(x[:, b])
+            want = np.corrcoef(x[both, a], x[both, b])[0, 1]
+            assert got[names[a], names[b]] == pytest.approx(want, abs=1e-9) and got[names[b], names[a]] == got[names[a], names[b]]
+    assert all(v is None for v in (r["corr"] for r in stats.correlations(df.where("false"), names[:2]).collect()))
