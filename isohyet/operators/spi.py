@@ -13,27 +13,29 @@ MONTHS = (1, 3, 6, 12, 24)
 BOUND = 8.21
 
 
-def standardised(sums: Column) -> Column:
-    """The normal quantile of x under a zero-inflated gamma, from a struct of x and its calibration sums n, zero, total and log.
+def fitted(sums: Column) -> Column:
+    """A zero-inflated gamma distribution from a struct of its calibration sums n, zero, total and log: struct of dry, mean and shape.
 
     Null with fewer than two wet values.
     """
+    wet = (sums["n"] - sums["zero"]).cast("double")
+    mean = sums["total"] / wet
+    fit = F.struct((sums["zero"] / sums["n"]).alias("dry"), mean.alias("mean"), gamma_shape(F.log(mean) - sums["log"] / wet).alias("shape"))
+    return F.when(sums["n"] - sums["zero"] >= 2, fit)
 
-    def of(v: Column) -> Column:
-        wet = (v["n"] - v["zero"]).cast("double")
-        mean, dry = v["total"] / wet, v["zero"] / v["n"]
-        shape = gamma_shape(F.log(mean) - v["log"] / wet)
 
-        def quantile(s: Column) -> Column:
-            # Far above the mean, one less the probability has lost its digits; the tail has them.
-            above = s["u"] > s["k"] + 2 * F.sqrt(s["k"]) + 2
-            tail = -normal_quantile((1 - dry) * gamma_tail(s["u"], s["k"]))
-            return F.when(above, tail).otherwise(normal_quantile(dry + (1 - dry) * gamma_cdf(s["u"], s["k"])))
+def standardised(x: Column, fit: Column) -> Column:
+    """The normal quantile of x under ``fitted``; null where either is."""
 
-        z = let(shape, lambda k: let(F.struct(k.alias("k"), (v["x"] * k / mean).alias("u")), quantile))
-        return F.greatest(F.least(z, F.lit(BOUND)), F.lit(-BOUND))
+    def quantile(s: Column) -> Column:
+        dry, k, u = s["fit"]["dry"], s["fit"]["shape"], s["u"]
+        # Far above the mean, one less the probability has lost its digits; the tail has them.
+        above = u > k + 2 * F.sqrt(k) + 2
+        p = F.when(above, (1 - dry) * gamma_tail(u, k)).otherwise(dry + (1 - dry) * gamma_cdf(u, k))
+        return let(normal_quantile(p), lambda z: F.when(above, -z).otherwise(z))
 
-    return F.when((sums["n"] - sums["zero"] >= 2) & sums["x"].isNotNull(), of(sums))
+    z = let(F.struct(fit.alias("fit"), (x * fit["shape"] / fit["mean"]).alias("u")), quantile)
+    return F.when(x.isNotNull() & fit.isNotNull(), F.greatest(F.least(z, F.lit(BOUND)), F.lit(-BOUND)))
 
 
 def monthly_precipitation(daily: DataFrame, complete: bool = True) -> DataFrame:
@@ -64,22 +66,23 @@ def spi(daily: DataFrame, months: Sequence[int] = MONTHS, first: int = 1981, las
     Calibrates on the years first to last by calendar month, from sums that
     Spark gathers: counts, zeros, totals and totals of logarithms. The location
     is fixed at 0. Months with fewer than two wet calibration values are null.
-    All spans share one window by cell and one by cell and calendar month, which
-    is in the same partitioning.
+    All spans share one window by cell; in the same partitioning, a row for each
+    cell and calendar month holds its years, so a distribution is fitted once.
     """
     rolled = _numbered(monthly_precipitation(daily, complete)).withColumns({f"x{n}": _rolled(n) for n in months})
-    fit = Window.partitionBy("cell_id", F.month("month_start"))
     calibrates = F.year("month_start").between(first, last)
-    sums = {}
+    sums = []
     for n in months:
         x = F.when(calibrates, F.col(f"x{n}"))
         wet = F.when(x > 0, x)
         gathered = {"n": F.count(x), "zero": F.count_if(x <= 0), "total": F.sum(wet), "log": F.sum(F.log(wet))}
-        sums |= {f"{k}{n}": v.over(fit) for k, v in gathered.items()}
+        sums.append(F.struct(*[v.alias(k) for k, v in gathered.items()]))
+    year = F.struct("month_start", F.array(*[f"x{n}" for n in months]).alias("x"))
+    held = rolled.groupBy("cell_id", F.month("month_start").alias("month")).agg(F.collect_list(year).alias("years"), F.array(*sums).alias("sums"))
     # One expression for all spans, whose results are taken apart after.
-    spans = F.array(*[F.struct(*[F.col(f"{k}{n}").alias(k) for k in ("x", "n", "zero", "total", "log")]) for n in months])
-    fitted = rolled.withColumns(sums).select("cell_id", "month_start", F.transform(spans, standardised).alias("z"))
-    return fitted.select("cell_id", "month_start", *[F.col("z")[i].alias(f"spi_{n}month") for i, n in enumerate(months)])
+    one = held.select("cell_id", F.transform("sums", fitted).alias("fit"), "years").select("cell_id", "fit", F.explode("years").alias("y"))
+    z = one.select("cell_id", "y.month_start", F.zip_with("y.x", "fit", standardised).alias("z"))
+    return z.select("cell_id", "month_start", *[F.col("z")[i].alias(f"spi_{n}month") for i, n in enumerate(months)])
 
 
 def spi_quality(values: DataFrame) -> DataFrame:
