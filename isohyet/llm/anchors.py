@@ -31,6 +31,8 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 #: Bytes of text whose anchors one task of the first pass holds.
 PART_BYTES = 64 << 20
+#: Windows of a run; a longer one, of text with a short period, is cut.
+RUN_WINDOWS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -97,14 +99,24 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
 
 
+def cut_runs(names: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first and last positions of stretches of one name, which are at most ``most`` long."""
+    first = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
+    size = np.diff(np.append(first, len(names)))
+    cuts = (size - 1) // most + 1
+    nth = np.arange(int(cuts.sum())) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+    first = np.repeat(first, cuts) + nth * most
+    return first, np.append(first[1:], len(names)) - 1
+
+
 def runs(hashed: Hashed, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchors of a text's runs, and each run's first and last window."""
     grams = hashed.grams(spec.gram) & np.uint64((1 << HASH_BITS) - 1)
     if len(grams) < spec.width:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     low = sliding_min(grams, spec.width)
-    first = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
-    return low[first], first, np.append(first[1:], len(low)) - 1
+    first, last = cut_runs(low, RUN_WINDOWS)
+    return low[first], first, last
 
 
 def looped(hashed: Hashed, spec: Spec, anchors: np.ndarray) -> np.ndarray:
@@ -212,6 +224,39 @@ def recurring_runs(texts: DataFrame, spec: Spec, bloom: np.ndarray, within_text:
     return texts.select("text", *keys).mapInArrow(emit, f"{types}, anchor long, c1 long, c2 long, first int, last int, looped boolean")
 
 
+def deeper_runs(parts: DataFrame, spec: Spec, depth: int, most: int, within_text: bool) -> DataFrame:
+    """``parts(key, doc, anchor, first, piece)``, stretches of text, to runs of windows named by more than their anchor.
+
+    A window is named by the ``depth`` smallest hashes of its grams (all of them
+    at the most), so equal windows still share a name. Returns key, doc, anchor
+    (the name), seed (the gram all names of a stretch begin with), and c1, c2,
+    first, last, looped like ``recurring_runs``.
+    """
+    seed = "seed" if "seed" in parts.columns else "anchor"
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
+        for batch in batches:
+            for key, doc, gram, origin, piece in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                units = spec.units(piece)
+                grams = Hashed(spec.symbols(units), powers).grams(spec.gram) & np.uint64((1 << HASH_BITS) - 1)
+                least = np.sort(np.lib.stride_tricks.sliding_window_view(grams, spec.width), axis=1)[:, :depth]
+                names = np.zeros(len(least), np.uint64)
+                for column in least.T:
+                    names = mixed(names + column)
+                first, last = cut_runs(names, most)
+                content = digests([spec.piece(units, a, b + spec.length) for a, b in zip(first.tolist(), last.tolist(), strict=True)])
+                again = within_text and int((grams == np.uint64(gram)).sum()) > 1
+                n = len(first)
+                ids = [np.full(n, x, np.int64) for x in (key, doc)]
+                at = [(first + origin).astype(np.int32), (last + origin).astype(np.int32)]
+                arrays = [*ids, names[first].view(np.int64), np.full(n, gram, np.int64), content[:, 0], content[:, 1], *at, np.full(n, again)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["key", "doc", "anchor", "seed", "c1", "c2", "first", "last", "looped"])
+
+    types = "key long, doc long, anchor long, seed long, c1 long, c2 long, first int, last int, looped boolean"
+    return parts.select("key", "doc", seed, "first", "piece").mapInArrow(emit, types)
+
+
 def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     """Which of n positions lie in one of the stretches [start, end)."""
     edge = np.zeros(n + 1, np.int64)

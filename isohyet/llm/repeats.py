@@ -3,9 +3,11 @@
 Of equal texts one stays; the runs of its recurring anchors (``anchors``) are
 grouped by content. A run whose content decides it goes as a whole. Runs that
 share an anchor and differ in content meet in shards, which the caller decides
-window by window. An anchor with more contents than a shard holds has its runs
-cut into single windows; these are grouped like whole runs, so that no anchor
-lands in one task.
+window by window. An anchor with more contents than a shard holds is split: its
+windows are named by several of their smallest gram hashes instead of one, runs
+of one name are judged like those of an anchor, and so on until all grams of a
+window are its name. So no anchor lands in one task, and the caller decides all
+that differs.
 """
 
 from __future__ import annotations
@@ -19,10 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import Spec, bit_filter, digests, key_bits, passing, recurring, recurring_runs
+from .anchors import Spec, bit_filter, deeper_runs, key_bits, passing, recurring, recurring_runs
 from .common import discard, materialise
 
-SHARD_CONTENTS = 8192
+#: Contents of one anchor in a shard, and symbols for each of them.
+SHARD_CONTENTS, CONTENT_SYMBOLS = 8192, 128
+#: How anchors with more are split: gram hashes in a name, and windows in a run. The last has all grams of any window.
+DEPTHS = ((4, 1 << 12), (12, 1 << 8), (1 << 10, 1 << 6))
 #: Anchors are judged a slice at a time, which bounds the shuffle files that are there at once.
 SLICES = 4
 _KEYS = ["key", "doc"]
@@ -70,39 +75,30 @@ def pieces(listed: DataFrame, spec: Spec) -> DataFrame:
             take = pa.array(at)
             yield pa.RecordBatch.from_arrays([batch.column(1).take(take), batch.column(2).take(take), *columns.values(), pa.array(found, pa.binary())], ["key", "doc", *columns, "piece"])
 
-    return listed.select("text", *_KEYS, "runs").mapInArrow(emit, "key long, doc long, anchor long, c1 long, c2 long, n long, first int, last int, piece binary")
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in listed.schema["runs"].dataType.elementType.fields]
+    return listed.select("text", *_KEYS, "runs").mapInArrow(emit, ", ".join(["key long, doc long", *fields, "piece binary"]))
 
 
-def single_windows(listed: DataFrame, spec: Spec) -> DataFrame:
-    """``listed(text, key, doc, runs)`` to the windows of its runs: key, doc, at, and the window's digest c1, c2."""
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text, key, doc, runs in zip(batch.column(0).cast(pa.binary()).to_pylist(), *(c.to_pylist() for c in batch.columns[1:]), strict=True):
-                units = spec.units(text)
-                at = np.concatenate([np.arange(r["first"], r["last"] + 1) for r in runs])
-                found = digests([spec.piece(units, a, a + spec.length) for a in at.tolist()])
-                arrays = [np.full(len(at), key), np.full(len(at), doc), at.astype(np.int32), found[:, 0], found[:, 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], [*_KEYS, "at", "c1", "c2"])
-
-    return listed.select("text", *_KEYS, "runs").mapInArrow(emit, "key long, doc long, at int, c1 long, c2 long")
-
-
-def judged_runs(runs: DataFrame, repeats: Callable[[Column, Column, Column], Column]) -> DataFrame:
+def judged_runs(runs: DataFrame, repeats: Callable[[Column, Column, Column], Column], shard_contents: int | None) -> DataFrame:
     """The runs that go as a whole (whole), and those that stand for their content in the shards (mixed).
 
-    Contents are mixed where others share their anchor. Of the runs that stay so
+    Contents are mixed where others share their anchor, and heavy where these are
+    more than ``shard_contents`` or long (None: never). Of the runs that stay so
     far, those of the first doc that has a content stand for it.
     """
-    contents = runs.groupBy("c1", "c2").agg(F.min("anchor").alias("anchor"), F.min("doc").alias("low"), F.count("*").alias("n"), F.max("looped").alias("looped"))
+    symbols = F.max(F.col("last") - F.col("first"))
+    contents = runs.groupBy("c1", "c2").agg(F.min("anchor").alias("anchor"), F.min("doc").alias("low"), F.count("*").alias("n"), F.max("looped").alias("looped"), symbols.alias("symbols"))
     contents = materialise(contents, "contents")
-    kinds = contents.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    several = contents.join(kinds, "anchor", "left").withColumn("mixed", F.col("kinds").isNotNull() | F.col("looped")).where("n > 1 or mixed")
-    joined = runs.drop("looped", "anchor").join(several.select("c1", "c2", "anchor", "low", "n", "kinds", "mixed"), ["c1", "c2"])
+    kinds = contents.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("symbols").alias("symbols")).where("kinds > 1")
+    over = F.lit(False) if shard_contents is None else (F.col("kinds") > shard_contents) | (F.col("symbols") > CONTENT_SYMBOLS * shard_contents)
+    kinds = kinds.select("anchor", over.alias("heavy"))
+    several = contents.drop("symbols").join(kinds, "anchor", "left").withColumn("mixed", F.col("heavy").isNotNull() | F.col("looped")).where("n > 1 or mixed")
+    joined = runs.drop("looped", "anchor").join(several.select("c1", "c2", "anchor", "low", "n", "heavy", "mixed"), ["c1", "c2"])
     judged = joined.withColumns({"whole": repeats(F.col("doc"), F.col("low"), F.col("n")), "mixed": F.col("mixed") & (F.col("doc") == F.col("low"))})
     # Only what goes on to the shards needs its content.
-    content = [F.when(F.col("mixed"), F.col(c)).alias(c) for c in ("anchor", "c1", "c2", "n")]
-    judged = judged.where("whole or mixed").select("key", "doc", *content, "first", "last", F.coalesce("kinds", F.lit(1)).alias("kinds"), "whole", "mixed")
+    names = [c for c in ("anchor", "seed", "c1", "c2", "n") if c in joined.columns]
+    content = [F.when(F.col("mixed"), F.col(c)).alias(c) for c in names]
+    judged = judged.where("whole or mixed").select("key", "doc", *content, "first", "last", F.coalesce("heavy", F.lit(False)).alias("heavy"), "whole", "mixed")
     judged = materialise(judged, "judged")
     discard(contents)
     return judged
@@ -121,35 +117,39 @@ def matched_spans(
 
     ``repeats(doc, low, n)`` says whether a stretch goes that n places have,
     ``low`` being the smallest doc among them. ``decide`` gets a shard
-    (``pieces``) and returns key, doc, first, last of the windows that match.
+    (``pieces``) and returns key, doc, first, last of the windows that match; a
+    shard of split anchors has their gram as seed.
     """
     runs = materialise(recurring_runs(unique, spec, recurring(unique, spec, within_text), within_text), "runs", 500)
-    slices = [judged_runs(runs.where(F.pmod("anchor", F.lit(SLICES)) == i), repeats) for i in range(SLICES)]
+    tables = [judged_runs(runs.where(F.pmod("anchor", F.lit(SLICES)) == i), repeats, shard_contents) for i in range(SLICES)]
     discard(runs)
-    judged = reduce(DataFrame.unionByName, slices)
-    run = F.struct("anchor", "c1", "c2", "n", "first", "last")
+    judged, spans = reduce(DataFrame.unionByName, tables), []
 
-    def listed(rows: DataFrame) -> DataFrame:
+    def cut_out(rows: DataFrame) -> DataFrame:
+        run = F.struct(*[c for c in ("anchor", "seed", "c1", "c2", "n", "first", "last") if c in rows.columns])
         lists = materialise(rows.groupBy(*_KEYS).agg(F.collect_list(run).alias("runs")), "listed")
-        return unique.where(maybe_in(lists.select("key"), F.col("key"))).join(lists, _KEYS)
-
-    light = judged.where(F.col("mixed") & (F.col("kinds") <= shard_contents))
-    parts = materialise(pieces(listed(light), spec), "pieces", 1000)
-    shards = max(1, (parts.agg(F.sum(F.octet_length("piece"))).first()[0] or 0) // shard_bytes)
-    decided = parts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInPandas(decide, "key long, doc long, first int, last int")
-    decided = materialise(decided, "decided")
-    spans = [judged.where("whole").select(*_KEYS, "first", "last"), decided]
-    discard(parts)
-    heavy = judged.where(F.col("mixed") & (F.col("kinds") > shard_contents))
-    if not heavy.isEmpty():
-        windows = materialise(single_windows(listed(heavy), spec), "windows", 200)
-        group = windows.groupBy("c1", "c2").agg(F.min("doc").alias("low"), F.count("*").alias("n")).where("n > 1")
-        found = windows.join(group, ["c1", "c2"]).where(repeats(F.col("doc"), F.col("low"), F.col("n")))
-        spans.append(materialise(found.select(*_KEYS, F.col("at").alias("first"), F.col("at").alias("last")), "heavy"))
-        discard(windows)
+        listed = unique.where(maybe_in(lists.select("key"), F.col("key"))).join(lists, _KEYS)
+        return materialise(pieces(listed, spec), "pieces", 1000)
+
+    for i in range(len(DEPTHS) + 1):
+        parts = cut_out(judged.where("mixed and not heavy"))
+        shards = max(1, (parts.agg(F.sum(F.octet_length("piece"))).first()[0] or 0) // shard_bytes)
+        decided = parts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInPandas(decide, "key long, doc long, first int, last int")
+        tables.append(materialise(decided, "decided"))
+        discard(parts)
+        spans += [judged.where("whole").select(*_KEYS, "first", "last"), tables[-1]]
+        heavy = judged.where("mixed and heavy")
+        if heavy.isEmpty():
+            break
+        parts = cut_out(heavy)
+        runs = materialise(deeper_runs(parts, spec, *DEPTHS[i], within_text), "runs", 500)
+        discard(parts)
+        judged = judged_runs(runs, repeats, shard_contents if i + 1 < len(DEPTHS) else None)
+        tables.append(judged)
+        discard(runs)
     spans = reduce(DataFrame.unionByName, spans).groupBy(*_KEYS).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     spans = materialise(spans, "spans")
-    discard(*slices, decided)
+    discard(*tables)
     return unique.where(maybe_in(spans.select("key"), F.col("key"))).join(spans, _KEYS)
 
 

@@ -58,12 +58,13 @@ def extended(shard: pd.DataFrame, spec: Spec) -> pd.DataFrame:
     hashes[: len(grams)] = grams
     piece = np.repeat(np.arange(len(split)), sizes)
     left_in, right_in = np.arange(len(words)) - start[piece], (start + sizes)[piece] - np.arange(len(words))
-    seed = np.flatnonzero((hashes == shard["anchor"].to_numpy().view(np.uint64)[piece]) & (right_in >= gram))
+    anchor = shard.get("seed", shard["anchor"]).to_numpy()
+    seed = np.flatnonzero((hashes == anchor.view(np.uint64)[piece]) & (right_in >= gram))
     lefts, rights = left_in[seed], right_in[seed] - gram
     # Words past an end differ from all others.
     beyond = len(words) + np.arange(len(seed))
     at = lambda p, inside: np.where(inside, number[np.clip(p, 0, len(number) - 1)], beyond)
-    here = np.unique(shard["anchor"].to_numpy()[piece[seed]], return_inverse=True)[1]
+    here = np.unique(anchor[piece[seed]], return_inverse=True)[1]
     for i in range(gram):
         here = refined(here, number[seed + i])
     right = [here]

@@ -11,6 +11,7 @@ from fixtures import corpus, frame, key_of, ordered, words
 from pyspark.sql import functions as F
 
 from isohyet.llm import near_dedup
+from isohyet.llm.anchors import cut_runs
 from isohyet.llm.components import components
 from isohyet.llm.exact_dedup import directory, exact_duplicates, may_repeat
 from isohyet.llm.near_dedup import MISS, Verifier, banding, least_matches, near_duplicates, shingle_set, words_of
@@ -210,11 +211,41 @@ def expected_bytes(rows, length):
     return ordered(out)
 
 
-@pytest.mark.parametrize("shard_contents", [20_000, 0], ids=["shards", "hashes"])
+@pytest.mark.parametrize("shard_contents", [20_000, 0], ids=["shards", "split"])
 def test_seen_bytes(spark, shard_contents):
     assert ordered(remove_seen(frame(spark), shard_contents=shard_contents).collect()) == expected_bytes(corpus(), 50)
 
 
+def common_passages(letters, joint):
+    """One passage in changing company, with parts of it and parts of the company shared, and texts of short periods."""
+    rnd = random.Random(21)
+    some = lambda n: [rnd.choice(letters) for _ in range(n)]
+    passage, company = some(70), [some(60) for _ in range(6)]
+    rows = [(i, joint.join([*some(9), *rnd.choice(company)[rnd.randrange(40) :], *passage[rnd.randrange(30) :], *rnd.choice(company)[: rnd.randrange(60)], *some(9)])) for i in range(60)]
+    periods = [letters[:1], letters[:7], letters[3:6]]
+    return rows + [(100 + i, joint.join([*some(i % 4), *(periods[i % 3] * 60)[: 90 + 11 * (i % 5)], *some(i % 2)])) for i in range(30)]
+
+
+@pytest.mark.parametrize("shard_contents", [8192, 12, 0])
+def test_split_anchors_of_common_passages(spark, shard_contents):
+    rows = common_passages([chr(97 + i) for i in range(26)], "")
+    assert ordered(remove_seen(frame(spark, rows), shard_contents=shard_contents).collect()) == expected_bytes(rows, 50)
+    rows = common_passages([f"w{i}" for i in range(300)], " ")
+    assert ordered(remove_repeats(frame(spark, rows), shard_contents=shard_contents).collect()) == expected_words(rows, 35)
+
+
+@pytest.mark.parametrize("period", ["a", "abcdefg"])
+def test_seen_bytes_of_long_periods(spark, period):
+    # Runs are cut at fixed steps from where they begin, which differ here; a text of other bytes before and after.
+    rows = [(i, "x" * i + (period * 200_000)[: 150_000 + 40_000 * i] + f"tail {i}") for i in range(3)]
+    assert ordered(remove_seen(frame(spark, rows)).collect()) == expected_bytes(rows, 50)
+
+
+def test_runs_are_cut():
+    first, last = cut_runs(np.array([5] * 10 + [6] + [5] * 4, np.uint64), 4)
+    assert first.tolist() == [0, 4, 8, 10, 11] and last.tolist() == [3, 7, 9, 10, 14]
+
+
 def test_seen_bytes_of_ids_that_are_no_numbers(spark):
     rows = [(d, t) for d, t in corpus() if d is not None and d < 60]
     got = remove_seen(frame(spark, rows).withColumn("doc_id", F.format_string("d%03d", "doc_id"))).collect()
