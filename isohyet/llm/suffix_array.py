@@ -40,39 +40,43 @@ def _induce(t: np.ndarray, small: np.ndarray, lms: np.ndarray, sigma: int) -> np
     from_l, from_s = np.append(0, np.cumsum(size_l)), np.append(0, np.cumsum(size_s))
     large, less = np.empty(from_l[-1], np.int64), np.empty(from_s[-1], np.int64)
     chars = t[lms]
-    by_char = lms[np.argsort(chars.astype(np.uint16), kind="stable")]
+    by_char = lms[np.argsort(chars, kind="stable")]
     from_m = np.append(0, np.cumsum(np.bincount(chars, minlength=sigma)))
     head, tail = from_l[:-1].copy(), from_s[1:].copy()
-
-    def scatter(pre: np.ndarray, out: np.ndarray, edge: np.ndarray, step: int) -> None:
-        c = t[pre]
-        order = np.argsort(c.astype(np.uint16), kind="stable")  # 16 bits sort by radix
-        c = c[order]
+    begins = np.append(True, t[1:] != t[:-1])
+    run = np.maximum.accumulate(np.where(begins, np.arange(len(t)), 0))  # where the run of one character that holds a place begins
+    # The character of a place that induction reaches from the next one, else ``sigma``: within a run, _along_runs does. The last place stands for that before the first.
+    ends = np.append(begins[1:], False)
+    char_l = np.where(ends & ~small, t, np.uint16(sigma))
+    char_s = np.where(ends & small, t, np.uint16(sigma))
+
+    def scatter(now: np.ndarray, char: np.ndarray, out: np.ndarray, edge: np.ndarray, step: int) -> None:
+        c = char[now - 1]
+        live = np.flatnonzero(c != sigma)
+        if not len(live):
+            return
+        c = c[live]
+        order = np.argsort(c, kind="stable")  # 16 bits sort by radix
         count = np.bincount(c, minlength=sigma)
-        nth = np.arange(len(c)) - (np.cumsum(count) - count)[c]
-        out[edge[c] + nth if step > 0 else edge[c] - 1 - nth] = pre[order]
+        # Of one character, the first goes to the bucket's edge and the others follow.
+        at = (edge - (step < 0) - step * (np.cumsum(count) - count))[c[order]]
+        out[at + step * np.arange(len(c))] = now[live[order]] - 1
         edge += step * count
 
-    begins = np.append(True, t[1:] != t[:-1])
-    run = np.maximum.accumulate(np.where(begins, np.arange(len(t)), 0))  # where the run of one character that holds a place begins
-    for c in range(sigma):
+    for c in np.flatnonzero(size_l + np.diff(from_m)).tolist():
         now = _along_runs(large[from_l[c] : head[c]], run)
         head[c] = from_l[c] + len(now)
         large[from_l[c] : head[c]] = now
-        for now in (now, by_char[from_m[c] : from_m[c + 1]]):
-            pre = now[now > 0] - 1
-            pre = pre[~small[pre]]
-            scatter(pre[t[pre] != c], large, head, 1)
+        scatter(now, char_l, large, head, 1)
+        scatter(by_char[from_m[c] : from_m[c + 1]], char_l, large, head, 1)
     less[0] = len(t) - 1  # the sentinel
-    for c in range(sigma - 1, -1, -1):
+    for c in np.flatnonzero(size_s + size_l)[::-1].tolist():
         end = from_s[c + 1]
         now = _along_runs(less[tail[c] : end][::-1], run)
         tail[c] = end - len(now)
         less[tail[c] : end] = now[::-1]
-        for now in (now, large[from_l[c] : from_l[c + 1]][::-1]):
-            pre = now[now > 0] - 1
-            pre = pre[small[pre]]
-            scatter(pre[t[pre] != c], less, tail, -1)
+        scatter(now, char_s, less, tail, -1)
+        scatter(large[from_l[c] : from_l[c + 1]][::-1], char_s, less, tail, -1)
     out = np.empty(len(t), np.int64)
     start = from_l[:-1] + from_s[:-1]
     out[np.arange(len(large)) + np.repeat(from_s[:-1], size_l)] = large
@@ -87,7 +91,7 @@ def _sort_names(names: np.ndarray) -> np.ndarray:
         ahead = np.zeros(n, np.int64)
         ahead[: n - step] = rank[step:] + 1
         pair = rank * (n + 1) + ahead
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair)
         pair = pair[order]
         fresh = np.empty(n, np.int64)
         fresh[order] = np.append(0, np.cumsum(pair[1:] != pair[:-1]))
@@ -98,7 +102,7 @@ def _sort_names(names: np.ndarray) -> np.ndarray:
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """The suffix array of a byte array."""
-    t = np.append(text.astype(np.int64) + 1, 0)
+    t = np.append(text.astype(np.uint16) + 1, np.uint16(0))
     small = _types(t)
     is_lms = np.zeros(len(t), bool)
     is_lms[1:] = small[1:] & ~small[:-1]
