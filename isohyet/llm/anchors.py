@@ -229,8 +229,8 @@ def deeper_runs(parts: DataFrame, spec: Spec, depth: int, most: int, within_text
 
     A window is named by the ``depth`` smallest hashes of its grams (all of them
     at the most), so equal windows still share a name. Returns key, doc, anchor
-    (the name), seed (the gram all names of a stretch begin with), and c1, c2,
-    first, last, looped like ``recurring_runs``.
+    (the name), seed (the gram that all names of a stretch have), c1, c2, first,
+    last, looped like ``recurring_runs``, and the piece that a run covers.
     """
     seed = "seed" if "seed" in parts.columns else "anchor"
 
@@ -245,15 +245,17 @@ def deeper_runs(parts: DataFrame, spec: Spec, depth: int, most: int, within_text
                 for column in least.T:
                     names = mixed(names + column)
                 first, last = cut_runs(names, most)
-                content = digests([spec.piece(units, a, b + spec.length) for a, b in zip(first.tolist(), last.tolist(), strict=True)])
+                cut = [spec.piece(units, a, b + spec.length) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+                content = digests(cut)
                 again = within_text and int((grams == np.uint64(gram)).sum()) > 1
                 n = len(first)
                 ids = [np.full(n, x, np.int64) for x in (key, doc)]
                 at = [(first + origin).astype(np.int32), (last + origin).astype(np.int32)]
                 arrays = [*ids, names[first].view(np.int64), np.full(n, gram, np.int64), content[:, 0], content[:, 1], *at, np.full(n, again)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["key", "doc", "anchor", "seed", "c1", "c2", "first", "last", "looped"])
+                arrays = [*map(pa.array, arrays), pa.array(cut, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["key", "doc", "anchor", "seed", "c1", "c2", "first", "last", "looped", "piece"])
 
-    types = "key long, doc long, anchor long, seed long, c1 long, c2 long, first int, last int, looped boolean"
+    types = "key long, doc long, anchor long, seed long, c1 long, c2 long, first int, last int, looped boolean, piece binary"
     return parts.select("key", "doc", seed, "first", "piece").mapInArrow(emit, types)
 
 

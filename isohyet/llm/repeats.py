@@ -96,7 +96,7 @@ def judged_runs(runs: DataFrame, repeats: Callable[[Column, Column, Column], Col
     joined = runs.drop("looped", "anchor").join(several.select("c1", "c2", "anchor", "low", "n", "heavy", "mixed"), ["c1", "c2"])
     judged = joined.withColumns({"whole": repeats(F.col("doc"), F.col("low"), F.col("n")), "mixed": F.col("mixed") & (F.col("doc") == F.col("low"))})
     # Only what goes on to the shards needs its content.
-    names = [c for c in ("anchor", "seed", "c1", "c2", "n") if c in joined.columns]
+    names = [c for c in ("anchor", "seed", "c1", "c2", "n", "piece") if c in joined.columns]
     content = [F.when(F.col("mixed"), F.col(c)).alias(c) for c in names]
     judged = judged.where("whole or mixed").select("key", "doc", *content, "first", "last", F.coalesce("heavy", F.lit(False)).alias("heavy"), "whole", "mixed")
     judged = materialise(judged, "judged")
@@ -123,30 +123,27 @@ def matched_spans(
     runs = materialise(recurring_runs(unique, spec, recurring(unique, spec, within_text), within_text), "runs", 500)
     tables = [judged_runs(runs.where(F.pmod("anchor", F.lit(SLICES)) == i), repeats, shard_contents) for i in range(SLICES)]
     discard(runs)
-    judged, spans = reduce(DataFrame.unionByName, tables), []
-
-    def cut_out(rows: DataFrame) -> DataFrame:
-        run = F.struct(*[c for c in ("anchor", "seed", "c1", "c2", "n", "first", "last") if c in rows.columns])
-        lists = materialise(rows.groupBy(*_KEYS).agg(F.collect_list(run).alias("runs")), "listed")
-        listed = unique.where(maybe_in(lists.select("key"), F.col("key"))).join(lists, _KEYS)
-        return materialise(pieces(listed, spec), "pieces", 1000)
-
+    judged = reduce(DataFrame.unionByName, tables)
+    run = F.struct("anchor", "c1", "c2", "n", "first", "last", "heavy")
+    lists = materialise(judged.where("mixed").groupBy(*_KEYS).agg(F.collect_list(run).alias("runs")), "listed")
+    listed = unique.where(maybe_in(lists.select("key"), F.col("key"))).join(lists, _KEYS)
+    parts = materialise(pieces(listed, spec), "pieces", 1000)
+    tables.append(parts)
+    spans = [judged.where("whole").select(*_KEYS, "first", "last")]
     for i in range(len(DEPTHS) + 1):
-        parts = cut_out(judged.where("mixed and not heavy"))
-        shards = max(1, (parts.agg(F.sum(F.octet_length("piece"))).first()[0] or 0) // shard_bytes)
-        decided = parts.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInPandas(decide, "key long, doc long, first int, last int")
+        light, heavy = parts.where("not heavy"), parts.where("heavy")
+        shards = max(1, (light.agg(F.sum(F.octet_length("piece"))).first()[0] or 0) // shard_bytes)
+        decided = light.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInPandas(decide, "key long, doc long, first int, last int")
         tables.append(materialise(decided, "decided"))
-        discard(parts)
-        spans += [judged.where("whole").select(*_KEYS, "first", "last"), tables[-1]]
-        heavy = judged.where("mixed and heavy")
+        spans.append(tables[-1])
         if heavy.isEmpty():
             break
-        parts = cut_out(heavy)
-        runs = materialise(deeper_runs(parts, spec, *DEPTHS[i], within_text), "runs", 500)
-        discard(parts)
+        runs = materialise(deeper_runs(heavy, spec, *DEPTHS[i], within_text), "runs", 500)
         judged = judged_runs(runs, repeats, shard_contents if i + 1 < len(DEPTHS) else None)
-        tables.append(judged)
         discard(runs)
+        tables.append(judged)
+        spans.append(judged.where("whole").select(*_KEYS, "first", "last"))
+        parts = judged.where("mixed")
     spans = reduce(DataFrame.unionByName, spans).groupBy(*_KEYS).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     spans = materialise(spans, "spans")
     discard(*tables)
