@@ -169,16 +169,48 @@ def misaligned(a: DataFrame, b: DataFrame, rtol: float = 1e-6) -> DataFrame:
     """Where two daily tables do not line up: side, cell_id, date, problem.
 
     ``a`` and ``b`` have cell_id, date, lat, lon. Rows of one side only, and
-    cells whose coordinates differ by more than ``rtol``, are listed.
+    cells with coordinates that differ by more than ``rtol``, are listed. The days
+    of a cell and month are the bits of a number on either side, which are compared:
+    one pass over both tables, in which days are not joined, dealt or sorted.
     """
-    keys = ["cell_id", "date"]
-    only_a = a.select(*keys).distinct().join(b.select(*keys).distinct(), keys, "left_anti")
-    only_b = b.select(*keys).distinct().join(a.select(*keys).distinct(), keys, "left_anti")
-    where = lambda df, s: df.groupBy("cell_id").agg(F.first("lat").alias(f"lat_{s}"), F.first("lon").alias(f"lon_{s}"))
-    apart = lambda c: F.abs(F.col(f"{c}_a") - F.col(f"{c}_b")) > rtol * F.abs(F.col(f"{c}_b"))
-    moved = where(a, "a").join(where(b, "b"), "cell_id").where(apart("lat") | apart("lon"))
-    tag = lambda df, side, problem: df.select(F.lit(side).alias("side"), "cell_id", F.col("date") if "date" in df.columns else F.lit(None).cast("date").alias("date"), F.lit(problem).alias("problem"))
-    return tag(only_a, "left", "missing on the right").unionByName(tag(only_b, "right", "missing on the left")).unionByName(tag(moved, "both", "coordinates differ"))
+    sides, spots = ("a", "b"), [f"{c}_{s}" for c in ("lat", "lon") for s in "ab"]
+
+    def marked(df: DataFrame, side: str) -> DataFrame:
+        bit = F.expr("shiftleft(1, coalesce(dayofmonth(date), 0))")  # bit 0 stands for no date
+        mine = lambda c, of, kind: (c if of == side else F.lit(None).cast(kind))
+        return df.select(
+            "cell_id", F.trunc("date", "MONTH").alias("month"), *[mine(bit, s, "int").alias(s) for s in sides],
+            *[mine(F.col(c).cast("double"), s, "double").alias(f"{c}_{s}") for c in ("lat", "lon") for s in sides],
+        )
+
+    ends = [f(F.col(c)).alias(f"{c}_{k}") for c in spots for k, f in (("low", F.min), ("high", F.max))]
+    months = marked(a, "a").unionByName(marked(b, "b")).groupBy("cell_id", "month").agg(*[F.coalesce(F.bit_or(s), F.lit(0)).alias(s) for s in sides], *ends)
+    # A row without a cell or a date has no partner.
+    met = lambda s: F.when(F.col("cell_id").isNotNull(), F.col(s).bitwiseAND(F.lit(-2))).otherwise(0)
+    alone = lambda s, other: F.col(s).bitwiseAND(F.bitwise_not(met(other))).cast("long").alias(s)
+    gaps = F.struct("month", alone("a", "b"), alone("b", "a"))
+    ends = [f(F.col(f"{c}_{k}")).alias(f"{c}_{k}") for c in spots for k, f in (("low", F.min), ("high", F.max))]
+    found = months.groupBy("cell_id").agg(F.collect_list(F.when((gaps["a"] != 0) | (gaps["b"] != 0), gaps)).alias("gaps"), *ends)
+
+    def listed(side: str, label: str, problem: str) -> Column:
+        def days(m: Column) -> Column:
+            there = F.filter(F.sequence(F.lit(0), F.lit(31)), lambda d: F.getbit(m[side], d) == 1)
+            return F.transform(there, lambda d: F.struct(F.lit(label).alias("side"), F.when(d > 0, F.date_add(m["month"], d - 1)).alias("date"), F.lit(problem).alias("problem")))
+
+        return F.flatten(F.transform("gaps", days))
+
+    apart = F.lit(False)
+    for c in ("lat", "lon"):
+        for x in ("low", "high"):  # what two of many differ by most lies between their ends
+            for y in ("low", "high"):
+                one, two = F.col(f"{c}_a_{x}"), F.col(f"{c}_b_{y}")
+                apart |= F.coalesce(F.abs(one - two) > rtol * F.abs(two), F.lit(False))
+    moved = F.struct(F.lit("both").alias("side"), F.lit(None).cast("date").alias("date"), F.lit("coordinates differ").alias("problem"))
+    rows = F.concat(
+        listed("a", "left", "missing on the right"), listed("b", "right", "missing on the left"),
+        F.when(F.col("cell_id").isNotNull() & apart, F.array(moved)).otherwise(F.slice(F.array(moved), 1, 0)),
+    )
+    return found.select("cell_id", F.explode(rows).alias("r")).select("r.side", "cell_id", "r.date", "r.problem")
 
 
 def merge_daily(a: DataFrame, b: DataFrame, validate: bool = True) -> DataFrame:
