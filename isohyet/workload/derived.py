@@ -9,6 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Cells that a task unfolds into days.
+CELLS_OF_TASK = 512
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -27,15 +31,32 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tasks_by_cell(spark: SparkSession, sf_dir: str) -> int:
+    """How many tasks the days of all cells are dealt to."""
+    return max(spark.sparkContext.defaultParallelism, -(-read(spark, sf_dir, "supplier").count() // CELLS_OF_TASK))
+
+
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """cell_id, date, lat, lon, region, tas, tasmax, tasmin, pr, tdew, vpdmax, vpdmin for the years of the ship dates."""
-    items = read(spark, sf_dir, "lineitem")
-    obs = items.groupBy(F.col("l_suppkey").cast("long").alias("cell_id"), F.to_date("l_shipdate").alias("date")).agg(
-        F.sum(F.round(F.col("l_quantity") * F.col("l_discount") * 100).cast("long")).alias("p"), F.sum(F.col("l_quantity").cast("long")).alias("q")
-    )
+    """cell_id, date, lat, lon, region, tas, tasmax, tasmin, pr, tdew, vpdmax, vpdmin for the years of the ship dates.
+
+    Line items and suppliers are dealt by cell, and only then does a cell unfold
+    into its days, where it lies: the days themselves are never dealt or sorted,
+    and what groups them by cell finds them together. The number of tasks grows
+    with the cells, so that of a task's days does not.
+    """
+    items, grid, tasks = read(spark, sf_dir, "lineitem"), cells(spark, sf_dir), tasks_by_cell(spark, sf_dir)
+    sold = items.select(
+        F.col("l_suppkey").cast("long").alias("cell_id"), F.to_date("l_shipdate").alias("date"),
+        F.round(F.col("l_quantity") * F.col("l_discount") * 100).cast("long").alias("p"), F.col("l_quantity").cast("long").alias("q"),
+    ).where("cell_id is not null and date is not null").repartition(tasks, "cell_id")
+    obs = sold.groupBy("cell_id", "date").agg(F.sum("p").alias("p"), F.sum("q").alias("q")).groupBy("cell_id").agg(F.collect_list(F.struct("date", "p", "q")).alias("seen"))
     years = items.agg(F.year(F.min("l_shipdate")).alias("first"), F.year(F.max("l_shipdate")).alias("last"))
-    every_day = F.explode(F.expr("sequence(make_date(first, 1, 1), make_date(last, 12, 31))"))
-    d = cells(spark, sf_dir).crossJoin(F.broadcast(years)).withColumn("date", every_day).drop("first", "last").join(obs, ["cell_id", "date"], "left")
+    whole = grid.repartition(tasks, "cell_id").join(obs.hint("merge"), "cell_id", "left").crossJoin(F.broadcast(years))
+    whole = whole.withColumn("seen", F.coalesce("seen", F.expr("cast(array() as array<struct<date: date, p: bigint, q: bigint>>)")))
+    others = F.expr("array_except(sequence(make_date(first, 1, 1), make_date(last, 12, 31)), seen.date)")
+    none = F.lit(None).cast("long")
+    days = F.concat("seen", F.transform(others, lambda x: F.struct(x.alias("date"), none.alias("p"), none.alias("q"))))
+    d = whole.select(*grid.columns, F.explode(days).alias("of")).select(*grid.columns, "of.*")
     d = d.withColumns({"day_no": F.datediff("date", F.lit("1970-01-01").cast("date")).cast("long"), "doy": F.dayofyear("date").cast("long")})
     d = d.withColumn("pm", F.expr("(coalesce(p, 0) * 3 + day_no * 37 + (day_no % 89) * (day_no % 83) + cell_id * 11) % 100"))
     d = d.withColumn("base", F.expr("24 - (abs(doy - 200) * 40) div 180 - lat_idx % 12 + (coalesce(q, 25) + (day_no % 29) * 7 + cell_id * 3) % 17 - 8"))
