@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +36,14 @@ def quantile(values: Column, p: float, kind: int = 8) -> Column:
     return F.when(n > 0, a + (at - low) * (b - a))
 
 
-def _length(year: Column) -> Column:
-    return F.dayofyear(F.make_date(year, F.lit(12), F.lit(31)))
+def _pooled(values: np.ndarray, begin: np.ndarray, n: np.ndarray, p: float, kind: int) -> np.ndarray:
+    """``quantile`` of the stretches of ``values`` that begin at ``begin`` and have ``n`` sorted values each; NaN for an empty one."""
+    at = (n + 1.0 / 3) * p - 2.0 / 3 if kind == 8 else (n - 1) * p
+    at = np.minimum(np.maximum(at, 0.0), np.maximum(n - 1, 0))
+    low = np.floor(at).astype(int)
+    held = np.append(values, np.nan)  # an empty stretch may begin at the end
+    a, b = held[begin + low], held[begin + np.minimum(low + 1, np.maximum(n - 1, 0))]
+    return np.where(n > 0, a + (at - low) * (b - a), np.nan)
 
 
 def baseline_percentiles(
@@ -53,10 +61,10 @@ def baseline_percentiles(
 
     The pool of a day of year is all values within ``window`` // 2 days of it in
     all baseline years; precipitation pools wet days. Day 366 takes the mean of
-    days 365 and 1. All thresholds come from one shuffle on cell_id: days are
-    gathered by day of year, and these rows copied to their neighbours, within
-    the cell's partition. Fewer than ``min_years`` years is an error. ``by_cell``
-    says that ``daily`` is a table in buckets by cell, which needs no shuffle.
+    days 365 and 1. All thresholds come from one shuffle on cell_id, after which a
+    cell's baseline days are one group of NumPy arrays, whatever the number of cells.
+    Fewer than ``min_years`` years is an error. ``by_cell`` says that ``daily`` is
+    dealt by cell already, which needs no shuffle.
     """
     there = {n: t for n, t in thresholds.items() if t[0] in daily.columns}
     span = year_range(daily, first, last)
@@ -64,25 +72,48 @@ def baseline_percentiles(
     if years < min_years:
         raise ValueError(f"the baseline has {years} years; {min_years} are needed")
     pools = {(v, wet): f"{v}_{'wet' if wet else 'all'}" for v, _, wet in there.values()}
-    half = window // 2
-    days = span.select("cell_id", "date", *[(wet_day(F.col(v), wet_threshold) if wet else F.col(v)).alias(name) for (v, wet), name in pools.items()])
-    # A row holds the values that a day of year has in all years of one length; these few rows are copied, not the days.
-    day, year = F.dayofyear("date"), F.year("date")
-    held = (days if by_cell else days.repartition("cell_id")).groupBy("cell_id", day.alias("day"), _length(year).alias("length"), F.when(day <= half, _length(year - 1)).alias("before"))
-    held = held.agg(*[F.collect_list(c).alias(c) for c in pools.values()])
-    near = held.withColumn("at", F.explode(F.transform(F.sequence(F.lit(-half), F.lit(half)), lambda shift: F.col("day") + shift)))
-    doy = F.when(F.col("at") < 1, F.col("at") + F.col("before")).when(F.col("at") > F.col("length"), F.col("at") - F.col("length")).otherwise(F.col("at"))
-    pooled = near.withColumn("doy", doy).where("doy <= 365").groupBy("cell_id", "doy")
-    arrays = pooled.agg(*[F.array_sort(F.flatten(F.collect_list(c))).alias(c) for c in pools.values()])
-    out = arrays.select("cell_id", "doy", *[quantile(F.col(pools[v, wet]), p, quantile_type).alias(n) for n, (v, p, wet) in there.items()])
-    leap = out.where("doy in (1, 365)").groupBy("cell_id").agg(F.lit(366).alias("doy"), *[(F.sum(n) / F.count(n)).alias(n) for n in there])
-    return out.unionByName(leap).withColumn("doy", F.col("doy").cast("smallint"))
+    days = span.select("cell_id", F.unix_date("date").alias("day"), *[(wet_day(F.col(v), wet_threshold) if wet else F.col(v)).cast("double").alias(name) for (v, wet), name in pools.items()])
+    wanted = {n: (pools[v, wet], p) for n, (v, p, wet) in there.items()}
+    shifts = np.arange(-(window // 2), window // 2 + 1)
+
+    def of_cell(held: pa.Table) -> pa.Table:
+        near = (held["day"].to_numpy()[:, None] + shifts).ravel().astype("M8[D]")
+        doy = (near - near.astype("M8[Y]").astype("M8[D]")).astype(int) + 1
+        out, found = {}, np.flatnonzero(np.bincount(doy, minlength=367)[:366])
+        for pool in pools.values():
+            values = np.repeat(held[pool].to_numpy().astype(float), len(shifts))
+            known = ~np.isnan(values) & (doy <= 365)
+            order = np.lexsort((values[known], doy[known]))
+            n = np.bincount(doy[known], minlength=366)
+            begin, n = (np.cumsum(n) - n)[found], n[found]
+            out |= {name: _pooled(values[known][order], begin, n, p, quantile_type) for name, (of, p) in wanted.items() if of == pool}
+        edge = np.isin(found, (1, 365))
+        if edge.any():
+            found, sides = np.append(found, 366), {name: v[edge & ~np.isnan(v)] for name, v in out.items()}
+            out = {name: np.append(v, sides[name].mean() if len(sides[name]) else np.nan) for name, v in out.items()}
+        cell = held["cell_id"].slice(0, 1).combine_chunks().take(pa.array(np.zeros(len(found), "int64")))
+        return pa.table({"cell_id": cell, "doy": found.astype("int16")} | {n: pa.array(out[n], from_pandas=True) for n in there})
+
+    kind = dict(daily.dtypes)["cell_id"]
+    dealt = days if by_cell else days.repartition("cell_id")
+    return dealt.groupBy("cell_id").applyInArrow(of_cell, f"cell_id {kind}, doy smallint, " + ", ".join(f"{n} double" for n in there))
 
 
 def with_thresholds(daily: DataFrame, baseline: DataFrame) -> DataFrame:
-    """``daily`` with the thresholds of its cell and day of year; days without one get nulls."""
-    base = baseline.withColumn("doy", F.col("doy").cast("int"))
-    return daily.join(base, ["cell_id", "doy"], "left")
+    """``daily`` with the thresholds of its cell and day of year; days without one get nulls.
+
+    A cell's thresholds meet its days as arrays by day of year, one row for a cell,
+    which is what a task holds: days that are dealt by cell already stay where they
+    are, and are not sorted. A baseline has one row per cell and day of year.
+    """
+    names = [c for c in baseline.columns if c not in ("cell_id", "doy")]
+    rows = baseline.withColumn("doy", F.col("doy").cast("int")).where("doy between 1 and 366")
+    lists = rows.groupBy("cell_id").agg(F.sort_array(F.collect_list(F.struct("doy", *names))).alias("__l"))
+    every = F.sequence(F.lit(1), F.lit(366))
+    placed = F.when(F.col("__l.doy") == every, F.col("__l")).otherwise(F.transform(every, lambda d: F.get(F.filter("__l", lambda x: x["doy"] == d), F.lit(0))))
+    arrays = lists.select("cell_id", placed.alias("__l")).select("cell_id", *[F.col(f"__l.{n}").alias(f"__t_{n}") for n in names])
+    joined = daily.join(arrays.hint("shuffle_hash"), "cell_id", "left")
+    return joined.select(*daily.columns, *[F.get(f"__t_{n}", F.col("doy").cast("int") - 1).alias(n) for n in names])
 
 
 def wet_share(daily: DataFrame, threshold: float = 1.0) -> DataFrame:

@@ -25,8 +25,9 @@ def masks(days: DataFrame, conditions: Mapping[str, Column], keys: Sequence[str]
     """
     names = list(conditions)
     code = F.concat(*[F.when(conditions[n], "1").when(~conditions[n], "0").otherwise("-") for n in names])
-    held = days.select(*keys, "doy", F.struct(F.col("day_no").alias("day"), code.alias("code")).alias("__d"))
-    lists = held.groupBy(*keys).agg(F.min("doy").alias("first_doy"), F.array_sort(F.collect_list("__d")).alias("__d"))
+    held = days.select(*keys, F.struct(F.col("day_no").alias("day"), "doy", code.alias("code")).alias("__d"))
+    # A day is asked for twice, so that it is made before it is gathered: what is gathered and ordered is this day, and not all columns that it is made of.
+    lists = held.groupBy(*keys).agg(F.min("__d").alias("__first"), F.sort_array(F.collect_list("__d")).alias("__d")).withColumn("first_doy", F.col("__first.doy"))
 
     def of(i: int) -> Column:
         def shown(d: Column, at: Column) -> Column:

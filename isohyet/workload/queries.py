@@ -19,7 +19,7 @@ from ..operators.spi import monthly_precipitation, rolling_months, spi, spi_qual
 from ..plans.compute import compute_indices
 from ..sources.tables import read_series, write_extraction, write_series_store
 from ..streaming.incremental import ingest
-from .derived import PREFIX, cells, daily
+from .derived import PREFIX, cells, daily, tasks_by_cell
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,7 +78,12 @@ def add_indices(name: str, names: Sequence[str], sql: str | None) -> None:
 
 
 def baseline7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return baseline_percentiles(daily(spark, sf_dir), 1995, 1997, min_years=3, quantile_type=7)
+    return baseline_percentiles(daily(spark, sf_dir), 1995, 1997, min_years=3, quantile_type=7, by_cell=True)
+
+
+def limits7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The thresholds, rounded, and dealt as the days are, so that these stay where they are when the two meet."""
+    return rounded(baseline7(spark, sf_dir)).repartition(tasks_by_cell(spark, sf_dir), "cell_id")
 
 
 # --- aggregates -----------------------------------------------------------------------------------------------------------------
@@ -271,7 +276,7 @@ query("baseline_percentiles", baseline_cte(7) + f" SELECT cell_id, doy, {_THRESH
 
 @query("baseline_percentiles_type8", baseline_cte(8) + f" SELECT cell_id, doy, {_THRESHOLD_COLUMNS} FROM baseline")
 def baseline8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return baseline_percentiles(daily(spark, sf_dir), 1995, 1997, min_years=3)
+    return baseline_percentiles(daily(spark, sf_dir), 1995, 1997, min_years=3, by_cell=True)
 
 
 # Thresholds are rounded before they are compared, as engines interpolate with different last bits.
@@ -288,7 +293,7 @@ _X_COUNT = {
 
 @query("percentile_exceedance", _JOINED + f"SELECT cell_id, year, {big(_X_COUNT)} FROM j GROUP BY cell_id, year")
 def percentile_exceedance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return indices(tuple(_X_COUNT), spark, sf_dir, rounded(baseline7(spark, sf_dir)))
+    return indices(tuple(_X_COUNT), spark, sf_dir, limits7(spark, sf_dir))
 
 
 @query(
@@ -296,7 +301,7 @@ def percentile_exceedance(spark: SparkSession, sf_dir: str) -> DataFrame:
     _JOINED + "SELECT cell_id, year, round(coalesce(sum(pr) FILTER (pr > pr_75p_threshold), 0) / sum(pr) FILTER (pr >= 1), 6) AS fraction_heavy_precip FROM j GROUP BY cell_id, year",
 )
 def heavy_precipitation_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return indices(("fraction_heavy_precip",), spark, sf_dir, rounded(baseline7(spark, sf_dir)))
+    return indices(("fraction_heavy_precip",), spark, sf_dir, limits7(spark, sf_dir))
 
 
 _D_RUNS = {"warm_spell_duration_index": ("warm", "total", 6), "cold_spell_duration_index": ("cold", "total", 6)}
@@ -304,7 +309,7 @@ _D_RUNS = {"warm_spell_duration_index": ("warm", "total", 6), "cold_spell_durati
 
 @query("spell_duration", _JOINED + islands({"warm": "tasmax > tx90p_threshold", "cold": "tasmin < tn10p_threshold"}, "j") + f"SELECT cell_id, year, {run_stats(_D_RUNS)} {_ALL}")
 def spell_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return indices(tuple(_D_RUNS), spark, sf_dir, rounded(baseline7(spark, sf_dir)))
+    return indices(tuple(_D_RUNS), spark, sf_dir, limits7(spark, sf_dir))
 
 
 @query(

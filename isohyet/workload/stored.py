@@ -11,7 +11,7 @@ from ..operators.baseline import THRESHOLDS
 from ..plans.catalog import CATALOG, Index, register
 from ..plans.compute import compute_indices
 from ..sources import tables
-from .derived import PREFIX, cells, daily
+from .derived import PREFIX, cells, daily, tasks_by_cell
 from .queries import (
     _H_COUNT,
     _H_DOUBLE,
@@ -148,7 +148,7 @@ def stored_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("colocated_exceedance", _JOINED + f"SELECT cell_id, year, {big(_X_COUNT)} FROM j GROUP BY cell_id, year")
 def colocated_exceedance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days and thresholds in buckets by cell: neither the join nor the aggregate deals them again."""
-    buckets, base = int(spark.conf.get("spark.sql.shuffle.partitions")), scratch(spark, "buckets")
+    buckets, base = tasks_by_cell(spark, sf_dir), scratch(spark, "buckets")  # as the days lie, so they are written where they are
     name = base.rsplit("-", 1)[1]
     tables.write_bucketed(daily(spark, sf_dir), f"daily_{name}", buckets, f"{base}/daily")
     tables.write_bucketed(rounded(baseline7(spark, sf_dir)), f"baseline_{name}", buckets, f"{base}/baseline")
@@ -250,7 +250,7 @@ def quality_index_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many indices of each group have values in a table computed with one threshold only: four of temperature need others."""
     groups = ("humidity", "comfort", "temperature")
     want = {g: sum(i.group == g for i in CATALOG.values()) for g in groups}
-    base = baseline7(spark, sf_dir).select("cell_id", "doy", "tx90p_threshold")
+    base = baseline7(spark, sf_dir).select("cell_id", "doy", "tx90p_threshold").repartition(tasks_by_cell(spark, sf_dir), "cell_id")
     found = compute_indices(daily(spark, sf_dir), base, groups=groups, max_missing=None)
     filled = found.agg(*[F.count(c).alias(c) for c in found.columns if c in CATALOG]).first()
     have = {g: sum(bool(filled[n]) for n in filled.asDict() if CATALOG[n].group == g) for g in groups}
