@@ -17,7 +17,7 @@ from ..operators.baseline import THRESHOLDS, baseline_percentiles, threshold_sum
 from ..operators.spells import first_to_last
 from ..operators.spi import monthly_precipitation, rolling_months, spi, spi_quality
 from ..plans.compute import compute_indices
-from ..sources.tables import read_series, write_extraction, write_series_store
+from ..sources.tables import colocated, read_series, write_extraction, write_series_store
 from ..streaming.incremental import ingest
 from .derived import PREFIX, cells, daily, tasks_by_cell
 
@@ -482,9 +482,11 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("merge_validated", ", a AS (SELECT cell_id, date, lat, tas FROM daily) SELECT cell_id, CAST(date AS VARCHAR) AS date, lat, lon, tas, pr FROM a JOIN (SELECT cell_id, date, lon, pr FROM daily) USING (cell_id, date)")
 def merged_after_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two tables that line up are merged with the check on."""
-    d = daily(spark, sf_dir).select("cell_id", "date", "lat", "lon", "tas", "pr")
-    return extract.merge_daily(d.drop("pr"), d.drop("tas"))
+    """Two tables that line up are merged with the check on; both are dealt by cell, so the join does not deal their days again."""
+    d, path = daily(spark, sf_dir).select("cell_id", "date", "lat", "lon", "tas", "pr"), scratch(spark, "merged")
+    with colocated(spark):
+        extract.merge_daily(d.drop("pr"), d.drop("tas")).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @query(

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from isohyet.operators.baseline import baseline_percentiles, quantile, with_thresholds
-from isohyet.operators.extract import misaligned
+from isohyet.operators.extract import merge_daily, misaligned
 from isohyet.plans.compute import compute_indices
+from isohyet.sources.tables import colocated
 from isohyet.workload import derived, queries
 
 SMALL = "/root/testdata/sf0.001"
@@ -41,6 +42,14 @@ def test_thresholds_meet_days_where_they_lie(spark):
     assert not any("date" in x or "doy" in x or "year" in x for x in dealt(plan(found)))
 
 
+def test_days_of_two_tables_are_joined_where_they_lie(spark):
+    d = derived.daily(spark, SMALL).select("cell_id", "date", "lat", "lon", "tas", "pr")
+    with colocated(spark):
+        merged = merge_daily(d.drop("pr"), d.drop("tas"), validate=False)
+        assert "Join" in plan(merged) and not any("date" in x for x in dealt(plan(merged)))
+    assert merged.count() == d.count()
+
+
 @pytest.mark.parametrize("whole", [True, False])
 def test_thresholds_by_day_of_year(spark, whole):
     base = spark.createDataFrame([(c, d, float(1000 * c + d)) for c in (1, 2) for d in range(1, 367) if whole or d % 3], "cell_id long, doy smallint, t double")
