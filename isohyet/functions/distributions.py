@@ -1,7 +1,8 @@
 """Gamma, normal, beta and Student's t distributions as column expressions.
 
 Series and continued fractions are folds over sequences, as long as a row's
-arguments need, so no row leaves the JVM.
+arguments need, so no row leaves the JVM. Evaluating them is interpreted; for
+many values see ``arrays``. What is plain arithmetic takes columns and arrays.
 """
 
 from __future__ import annotations
@@ -40,14 +41,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _sum(terms: Sequence[Column]) -> Column:
+def _sum(terms: Sequence[Column | np.ndarray]) -> Column | np.ndarray:
     out = terms[0]
     for t in terms[1:]:
         out = out + t
     return out
 
 
-def log_gamma(x: Column) -> Column:
+def _log(x: Column | np.ndarray) -> Column | np.ndarray:
+    return F.log(x) if isinstance(x, Column) else np.log(x)
+
+
+def log_gamma(x: Column | np.ndarray) -> Column | np.ndarray:
     """Stirling's series at x + 8, and eight steps back."""
     product = x
     for i in range(1, 8):
@@ -55,16 +60,16 @@ def log_gamma(x: Column) -> Column:
     y = x + 8
     z = 1 / (y * y)
     series = (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z / 1680))) / y
-    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - F.log(product)
+    return (y - 0.5) * _log(y) - y + 0.5 * math.log(2 * math.pi) + series - _log(product)
 
 
-def digamma(x: Column) -> Column:
+def digamma(x: Column | np.ndarray) -> Column | np.ndarray:
     y = x + 8
     z = 1 / (y * y)
-    return F.log(y) - 1 / (2 * y) - z * (1 / 12 - z * (1 / 120 - z * (1 / 252 - z / 240))) - _sum([1 / (x + i) for i in range(8)])
+    return _log(y) - 1 / (2 * y) - z * (1 / 12 - z * (1 / 120 - z * (1 / 252 - z / 240))) - _sum([1 / (x + i) for i in range(8)])
 
 
-def trigamma(x: Column) -> Column:
+def trigamma(x: Column | np.ndarray) -> Column | np.ndarray:
     y = x + 8
     z = 1 / (y * y)
     return 1 / y + z / 2 + z / y * (1 / 6 - z * (1 / 30 - z * (1 / 42 - z / 30))) + _sum([1 / ((x + i) * (x + i)) for i in range(8)])
@@ -142,16 +147,19 @@ def gamma_tail(x: Column, shape: Column) -> Column:
     return let(F.struct(x.alias("x"), shape.alias("a")), of)
 
 
-def _polynomial(coefficients: Sequence[float], r: Column) -> Column:
-    out = F.lit(coefficients[-1])
+def _polynomial(coefficients: Sequence[float], r: Column | np.ndarray) -> Column | np.ndarray:
+    out = coefficients[-1]
     for c in reversed(coefficients[:-1]):
         out = out * r + c
     return out
 
 
+def ratio(table: Sequence[Sequence[float]], r: Column | np.ndarray) -> Column | np.ndarray:
+    return _polynomial(table[0], r) / _polynomial(table[1], r)
+
+
 def normal_quantile(p: Column) -> Column:
     """The inverse of the normal distribution by Wichura's rational functions, for p clipped to 1e-300 and 1 - 1e-16."""
-    ratio = lambda table, r: _polynomial(table[0], r) / _polynomial(table[1], r)
 
     def of(v: Column) -> Column:
         q = v - 0.5

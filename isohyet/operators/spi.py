@@ -2,40 +2,52 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.distributions import gamma_cdf, gamma_shape, gamma_tail, let, normal_quantile
+from ..functions.arrays import gamma_cdf, gamma_shape, gamma_tail, normal_quantile
 
 MONTHS = (1, 3, 6, 12, 24)
 BOUND = 8.21
-
-
-def fitted(sums: Column) -> Column:
-    """A zero-inflated gamma distribution from a struct of its calibration sums n, zero, total and log: struct of dry, mean and shape.
-
-    Null with fewer than two wet values.
-    """
-    wet = (sums["n"] - sums["zero"]).cast("double")
-    mean = sums["total"] / wet
-    fit = F.struct((sums["zero"] / sums["n"]).alias("dry"), mean.alias("mean"), gamma_shape(F.log(mean) - sums["log"] / wet).alias("shape"))
-    return F.when(sums["n"] - sums["zero"] >= 2, fit)
-
-
-def standardised(x: Column, fit: Column) -> Column:
-    """The normal quantile of x under ``fitted``; null where either is."""
-
-    def quantile(s: Column) -> Column:
-        dry, k, u = s["fit"]["dry"], s["fit"]["shape"], s["u"]
-        # Far above the mean, one less the probability has lost its digits; the tail has them.
-        above = u > k + 2 * F.sqrt(k) + 2
-        p = F.when(above, (1 - dry) * gamma_tail(u, k)).otherwise(dry + (1 - dry) * gamma_cdf(u, k))
-        return let(normal_quantile(p), lambda z: F.when(above, -z).otherwise(z))
-
-    z = let(F.struct(fit.alias("fit"), (x * fit["shape"] / fit["mean"]).alias("u")), quantile)
-    return F.when(x.isNotNull() & fit.isNotNull(), F.greatest(F.least(z, F.lit(BOUND)), F.lit(-BOUND)))
+#: Values that are standardised at a time, so that the arrays of a step stay in a core's cache.
+VALUES = 1 << 15
+
+
+def fitted(n: np.ndarray, zero: np.ndarray, total: np.ndarray, log: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Zero-inflated gamma distributions from calibration sums: the dry share, mean and shape. NaN with fewer than two wet values."""
+    wet = np.where(n - zero >= 2, n - zero, np.nan)
+    mean = total / wet
+    return zero / n, mean, gamma_shape(np.log(mean) - log / wet)
+
+
+def standardised(x: np.ndarray, dry: np.ndarray, mean: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    """The normal quantiles of x under ``fitted``; NaN where either is."""
+    u = x * shape / mean
+    # Far above the mean, one less the probability has lost its digits; the tail has them.
+    above = u > shape + 2 * np.sqrt(shape) + 2
+    p = np.empty_like(u)
+    p[above] = (1 - dry[above]) * gamma_tail(u[above], shape[above])
+    p[~above] = dry[~above] + (1 - dry[~above]) * gamma_cdf(u[~above], shape[~above])
+    z = normal_quantile(p)
+    return np.clip(np.where(above, -z, z), -BOUND, BOUND)
+
+
+def _of_months(batch: pa.RecordBatch, names: Sequence[str]) -> pa.RecordBatch:
+    """Rows of a cell and calendar month, with their years and calibration sums, to rows of a cell and month."""
+    plain = lambda values: values.to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(-1, len(names))
+    held, sums = batch.column("years"), batch.column("sums").flatten()
+    years = held.flatten()
+    row = np.repeat(np.arange(batch.num_rows), held.value_lengths().to_numpy(zero_copy_only=False))
+    with np.errstate(all="ignore"):
+        fit = fitted(*[plain(sums.field(s)) for s in ("n", "zero", "total", "log")])
+        z = standardised(plain(years.field("x").flatten()), *[f[row] for f in fit])
+    columns = [batch.column("cell_id").take(pa.array(row)), years.field("month_start")]
+    columns += [pa.array(v, mask=np.isnan(v)) for v in z.T]
+    return pa.RecordBatch.from_arrays(columns, names=["cell_id", "month_start", *names])
 
 
 def monthly_precipitation(daily: DataFrame, complete: bool = True) -> DataFrame:
@@ -68,6 +80,7 @@ def spi(daily: DataFrame, months: Sequence[int] = MONTHS, first: int = 1981, las
     is fixed at 0. Months with fewer than two wet calibration values are null.
     All spans share one window by cell; in the same partitioning, a row for each
     cell and calendar month holds its years, so a distribution is fitted once.
+    Such rows are fitted and standardised as arrays, a batch at a time.
     """
     rolled = _numbered(monthly_precipitation(daily, complete)).withColumns({f"x{n}": _rolled(n) for n in months})
     calibrates = F.year("month_start").between(first, last)
@@ -79,10 +92,17 @@ def spi(daily: DataFrame, months: Sequence[int] = MONTHS, first: int = 1981, las
         sums.append(F.struct(*[v.alias(k) for k, v in gathered.items()]))
     year = F.struct("month_start", F.array(*[f"x{n}" for n in months]).alias("x"))
     held = rolled.groupBy("cell_id", F.month("month_start").alias("month")).agg(F.collect_list(year).alias("years"), F.array(*sums).alias("sums"))
-    # One expression for all spans, whose results are taken apart after.
-    one = held.select("cell_id", F.transform("sums", fitted).alias("fit"), "years").select("cell_id", "fit", F.explode("years").alias("y"))
-    z = one.select("cell_id", "y.month_start", F.zip_with("y.x", "fit", standardised).alias("z"))
-    return z.select("cell_id", "month_start", *[F.col("z")[i].alias(f"spi_{n}month") for i, n in enumerate(months)])
+    names = [f"spi_{n}month" for n in months]
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = len(batch.column("years").flatten()) * len(names)
+            rows = max(1, batch.num_rows * VALUES // max(values, 1))
+            for at in range(0, batch.num_rows, rows):
+                yield _of_months(batch.slice(at, rows), names)
+
+    kind = held.schema["cell_id"].dataType.simpleString()
+    return held.mapInArrow(of_batches, f"cell_id {kind}, month_start date, " + ", ".join(f"{n} double" for n in names))
 
 
 def spi_quality(values: DataFrame) -> DataFrame:
