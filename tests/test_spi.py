@@ -115,3 +115,14 @@ def test_distributions_are_no_folds(spark, rain, months):
     for df in (spi(rain[1], months, 1990, 1999), spi_quality(spi(rain[1], months, 1990, 1999))):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "lambda" not in plan.lower() and "MapInArrow" in plan
+
+
+def test_quality_counts_what_is_missing(spark, rain):
+    z = spi(rain[1], (1, 3), 1990, 1999, complete=False)
+    rows = z.collect()
+    got = {r["variable"]: r for r in spi_quality(z).collect()}
+    assert set(got) == {"spi_1month", "spi_3month"}
+    for name, r in got.items():
+        there = [x[name] for x in rows if x[name] is not None]
+        assert 0 < r["missing"] == pytest.approx(1 - len(there) / len(rows)) and r["extreme"] == pytest.approx(sum(abs(v) > 5 for v in there) / len(there))
+        assert r["status"] == ("WARNING" if r["missing"] > 0.1 or r["extreme"] > 0.01 else "PASS")
