@@ -41,8 +41,10 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Line items and suppliers are dealt by cell, and only then does a cell unfold
     into its days, where it lies: the days themselves are never dealt or sorted,
-    and what groups them by cell finds them together. The number of tasks grows
-    with the cells, so that of a task's days does not.
+    and what groups them by cell finds them together. Days without line items
+    follow the others, where the zipped sums have ended and are null; all of it
+    is compiled code. The number of tasks grows with the cells, so that of a
+    task's days does not.
     """
     items, grid, tasks = read(spark, sf_dir, "lineitem"), cells(spark, sf_dir), tasks_by_cell(spark, sf_dir)
     sold = items.select(
@@ -54,9 +56,8 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = grid.repartition(tasks, "cell_id").join(obs.hint("merge"), "cell_id", "left").crossJoin(F.broadcast(years))
     whole = whole.withColumn("seen", F.coalesce("seen", F.expr("cast(array() as array<struct<date: date, p: bigint, q: bigint>>)")))
     others = F.expr("array_except(sequence(make_date(first, 1, 1), make_date(last, 12, 31)), seen.date)")
-    none = F.lit(None).cast("long")
-    days = F.concat("seen", F.transform(others, lambda x: F.struct(x.alias("date"), none.alias("p"), none.alias("q"))))
-    d = whole.select(*grid.columns, F.explode(days).alias("of")).select(*grid.columns, "of.*")
+    days = F.arrays_zip(F.concat("seen.date", others).alias("date"), F.col("seen.p").alias("p"), F.col("seen.q").alias("q"))
+    d = whole.select(*grid.columns, F.inline(days))
     d = d.withColumns({"day_no": F.datediff("date", F.lit("1970-01-01").cast("date")).cast("long"), "doy": F.dayofyear("date").cast("long")})
     d = d.withColumn("pm", F.expr("(coalesce(p, 0) * 3 + day_no * 37 + (day_no % 89) * (day_no % 83) + cell_id * 11) % 100"))
     d = d.withColumn("base", F.expr("24 - (abs(doy - 200) * 40) div 180 - lat_idx % 12 + (coalesce(q, 25) + (day_no % 29) * 7 + cell_id * 3) % 17 - 8"))

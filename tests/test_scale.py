@@ -30,6 +30,32 @@ def test_days_unfold_where_their_cell_lies(spark):
     assert shown and len(shown) == 2 and not any("date" in x for x in shown)
 
 
+def test_days_unfold_in_compiled_code(spark):
+    days = derived.daily(spark, SMALL)
+    text = plan(days.groupBy("cell_id").agg(F.sum("pr"), F.sum("tasmax")))
+    assert re.search(r"\*\(\d+\) Generate", text) and "lambda" not in text
+
+
+def test_every_day_of_every_cell_once(spark, tmp_path):
+    sold = [(1, "2000-03-01", 2.0, 0.5), (1, "2000-03-01", 3.0, 0.1), (1, "2001-01-05", 7.0, 0.02), (2, "2000-12-31", 4.0, 0.25), (9, "2000-05-05", 1.0, 0.0), (None, "2000-05-05", 1.0, 0.0), (2, None, 1.0, 0.0)]
+    items = spark.createDataFrame(sold, "l_suppkey long, l_shipdate string, l_quantity double, l_discount double")
+    items.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 0), (2, 0), (3, 0)], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(0, 4)], "n_nationkey int, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    seen = {(1, date(2000, 3, 1)): (130, 5), (1, date(2001, 1, 5)): (14, 7), (2, date(2000, 12, 31)): (100, 4)}
+    want = {}
+    for cell in (1, 2, 3):
+        for i in range(366 + 365):
+            day = date(2000, 1, 1) + timedelta(i)
+            p, q = seen.get((cell, day), (0, None))
+            n = (day - date(1970, 1, 1)).days
+            pm = (p * 3 + n * 37 + (n % 89) * (n % 83) + cell * 11) % 100
+            base = 24 - abs(day.timetuple().tm_yday - 200) * 40 // 180 + ((25 if q is None else q) + (n % 29) * 7 + cell * 3) % 17 - 8
+            want[cell, day] = (0.0 if pm < 55 else (pm - 55) ** 2 / 20, float(base) if q is not None or (n + cell) % 97 else None)
+    rows = derived.daily(spark, str(tmp_path)).collect()
+    assert len(rows) == len(want) and {(r["cell_id"], r["date"]): (r["pr"], r["tas"]) for r in rows} == want
+
+
 def test_tasks_grow_with_the_cells(spark, tmp_path):
     for cells, want in ((10, 4), (512 * 9, 9), (512 * 9 + 1, 10)):
         path = str(tmp_path / str(cells))
