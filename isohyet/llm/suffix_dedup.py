@@ -30,10 +30,11 @@ LENGTH, GRAM = 50, 20
 SHARD_BYTES = 1 << 19
 NO_ID = (1 << 63) - 1
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
+_SYMBOLS = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
 
 
 def byte_symbols(text: bytes) -> np.ndarray:
-    return mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))[np.frombuffer(text, np.uint8)]
+    return _SYMBOLS[np.frombuffer(text, np.uint8)]
 
 
 def byte_spec(length: int, gram: int) -> Spec:

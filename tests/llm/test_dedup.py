@@ -10,14 +10,14 @@ import pytest
 from fixtures import corpus, frame, key_of, ordered, words
 from pyspark.sql import functions as F
 
-from isohyet.llm import near_dedup
-from isohyet.llm.anchors import cut_runs
+from isohyet.llm import anchors, near_dedup
+from isohyet.llm.anchors import cut_runs, recurring, recurring_runs
 from isohyet.llm.components import components
 from isohyet.llm.exact_dedup import directory, exact_duplicates, may_repeat
 from isohyet.llm.near_dedup import MISS, Verifier, banding, least_matches, near_duplicates, shingle_set, words_of
 from isohyet.llm.substring_dedup import remove_repeats, without_repeats
 from isohyet.llm.suffix_array import permuted_prefixes, suffix_array
-from isohyet.llm.suffix_dedup import EMPTY_SHA, remove_seen
+from isohyet.llm.suffix_dedup import EMPTY_SHA, byte_spec, remove_seen
 
 BIG = 1 << 62
 
@@ -241,6 +241,49 @@ def test_seen_bytes_of_long_periods(spark, period):
     assert ordered(remove_seen(frame(spark, rows)).collect()) == expected_bytes(rows, 50)
 
 
+def seeds_in_changing_company():
+    """Texts that share stretches of 28 bytes, so seeds but no window; two of them share a window as well."""
+    rnd = random.Random(13)
+    some = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    shared, window = [some(28) for _ in range(9)], some(50)
+    return [(i, "".join(some(60) + x for x in shared) + some(60) + (some(20) + window + some(20) if i in (7, 11) else "")) for i in range(40)]
+
+
+def test_seeds_that_meet_by_chance_list_no_runs(spark):
+    rows = seeds_in_changing_company()
+    texts = spark.createDataFrame([(t, i) for i, t in rows], "text string, doc long").repartition(3)
+    spec = byte_spec(50, 20)
+    listed = recurring_runs(texts, spec, recurring(texts, spec, False), False).collect()
+    assert {r["doc"] for r in listed} == {7, 11}
+    assert ordered(remove_seen(frame(spark, rows)).collect()) == expected_bytes(rows, 50)
+
+
+def test_runs_are_listed_in_several_passes(spark, monkeypatch):
+    monkeypatch.setattr(anchors, "PASS_BYTES", 512)
+    rows = corpus()
+    texts = spark.createDataFrame([(t, i) for i, (_, t) in enumerate(rows)], "text string, doc long")
+    found = recurring(texts, byte_spec(50, 20), False)
+    assert len(found.passes()) > 2 and found.passes()[-1][1] == found.parts
+    assert ordered(remove_seen(frame(spark, rows)).collect()) == expected_bytes(rows, 50)
+
+
+@pytest.mark.parametrize(("length", "gram"), [(50, 20), (50, 19), (31, 31), (20, 5)])
+def test_equal_windows_share_a_key(length, gram):
+    rnd = random.Random(3)
+    base = bytes(rnd.choice(b"abcd") for _ in range(200))
+    texts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(9))) + base[rnd.randrange(60) : rnd.randrange(100, 200)] + bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(90))) for _ in range(80)]
+    texts += [b"q" * i + b"abcabcabd" * (9 + i % 3) + b"z" * (i % 50) for i in range(20)] + [b"k" * (40 + i) for i in range(20)] + [b"", b"k" * 70_000 + base]
+    keys_of = {}
+    for first, lot in anchors.chunks(texts, byte_spec(length, gram)):
+        found = anchors.runs(lot, byte_spec(length, gram), anchors.Powers(), False)
+        for j in range(len(found.text)):
+            text, keys = lot[found.text[j]], frozenset(found.key[found.run == j].tolist())
+            for i in range(found.first[j], min(found.last[j], found.first[j] + 200) + 1):
+                keys_of.setdefault(text[i : i + length], {}).setdefault(first + int(found.text[j]), set()).update(keys)
+    shared = [list(x.values()) for x in keys_of.values() if len(x) > 1]
+    assert len(shared) > 100 and all(a & b for x in shared for a in x[:4] for b in x[-4:])
+
+
 def test_runs_are_cut():
     first, last = cut_runs(np.array([5] * 10 + [6] + [5] * 4, np.uint64), 4)
     assert first.tolist() == [0, 4, 8, 10, 11] and last.tolist() == [3, 7, 9, 10, 14]
